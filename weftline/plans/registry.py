@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.plans import preparation
+from weftline.plans import joining, preparation, rules
 
 
 def parts() -> list:
-    return [preparation]
+    return [preparation, rules, joining]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
