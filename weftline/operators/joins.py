@@ -6,6 +6,7 @@ neighbours are sought in cells or by a donor table of checked size.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,44 +45,57 @@ def checked_join(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return df.join(other, on)
 
 
-def nearest_donor(recipients: DataFrame, donors: DataFrame, rid: str, did: str, features: list[str], group: str, block: int = 512) -> DataFrame:
-    """For each recipient the donor of its group at the smallest standardised squared distance (ties: smaller id).
+def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str, features: dict[str, float], group: str, k: int = 1, squared: bool = True, standardise: bool = True, block: int = 512) -> DataFrame:
+    """For each recipient the ``k`` nearest donors of its group: ``rid, did, distance, rank`` (ties: smaller id).
 
-    Features are standardised by the donors' mean and deviation (0 counts as 1); missing features count as the mean.
-    Donors of a group are searched in blocks of at most ``block`` rows with matrix products inside one Arrow batch
-    function; a recipient meets each block of its group once, so no pair is materialised. Recipients of a group without donors are
-    matched against all donors. Returns ``rid, did, distance``.
+    ``features`` names the columns with their weights. Distances are weighted sums of squared (or absolute) differences;
+    standardised by the donors' mean and deviation (0 counts as 1), missing features counting as the mean. Recipients
+    of a group without donors are matched against all donors.
+
+    Recipients and donors of a group are dealt to blocks of about ``block`` rows by a hash of their id; a recipient
+    block meets each donor block of its group in one Arrow batch function that keeps the ``k`` best, so no pair of rows
+    is ever materialised as a row and no group is one task.
     """
     import numpy as np
-    import pandas as pd
 
-    stats = donors.agg(*[F.avg(f).alias(f"m_{f}") for f in features], *[F.stddev_pop(f).alias(f"s_{f}") for f in features]).first()
-    z = lambda f: F.coalesce((F.col(f) - F.lit(stats[f"m_{f}"] or 0.0)) / F.lit(stats[f"s_{f}"] or 1.0), F.lit(0.0))
+    stats = donors.agg(*[F.avg(f).alias(f"m_{f}") for f in features], *[F.stddev_pop(f).alias(f"s_{f}") for f in features]).first() if standardise else None
+
+    def z(f: str) -> Column:
+        return F.coalesce(((F.col(f) - F.lit(stats[f"m_{f}"] or 0.0)) / F.lit(stats[f"s_{f}"] or 1.0)) if standardise else F.col(f).cast("double"), F.lit(0.0))
+
+    everyone = "\x00all"
     vec = F.array(*[z(f) for f in features])
+    dealt = lambda n: F.pmod(F.xxhash64("_id"), F.greatest(F.ceil(n / block), F.lit(1)))
     d = donors.select(F.col(did).alias("_id"), F.col(group).cast("string").alias("_g"), vec.alias("_v"))
-    groups = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    all_d = d.select("_id", F.lit("\x00all").alias("_g"), "_v")
-    r = recipients.select(F.col(rid).alias("_id"), F.col(group).cast("string").alias("_g"), vec.alias("_v")).join(groups.select("_g", "_n"), "_g", "left")
-    r = r.select("_id", F.when(F.col("_n").isNull(), F.lit("\x00all")).otherwise(F.col("_g")).alias("_g"), "_v")
-    need_all = r.where(F.col("_g") == "\x00all").limit(1).count() > 0
-    pool = d.unionByName(all_d) if need_all else d
-    blocks = pool.withColumn("_b", F.floor((F.row_number().over(Window.partitionBy("_g").orderBy("_id")) - 1) / block)).groupBy("_g", "_b").agg(F.array_sort(F.collect_list(F.struct("_id", "_v"))).alias("_pool"))
-    paired = r.withColumn("_rb", F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) % 64).groupBy("_g", "_rb").agg(F.collect_list(F.struct("_id", "_v")).alias("_ask")).join(blocks, "_g")
+    sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"))
+    r = recipients.select(F.col(rid).alias("_id"), F.col(group).cast("string").alias("_g"), vec.alias("_v")).join(sizes, "_g", "left")
+    r = r.select("_id", F.when(F.col("_nd").isNull(), F.lit(everyone)).otherwise(F.col("_g")).alias("_g"), "_v")
+    if r.where(F.col("_g") == everyone).limit(1).count():
+        d = d.unionByName(d.withColumn("_g", F.lit(everyone)))
+        sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"))
+    asked = r.groupBy("_g").agg(F.count(F.lit(1)).alias("_nr"))
+    entry = F.struct("_id", "_v")
+    pools = d.join(sizes, "_g").groupBy("_g", dealt(F.col("_nd")).alias("_b")).agg(F.array_sort(F.collect_list(entry)).alias("_pool"))
+    asks = r.join(asked, "_g").groupBy("_g", dealt(F.col("_nr")).alias("_rb")).agg(F.collect_list(entry).alias("_ask"))
+    weights = np.array(list(features.values()), float)
 
     def run(batches):
         for b in batches:
             rows = []
             for ask, have in zip(b["_ask"], b["_pool"]):
-                a = np.array([list(x["_v"]) for x in ask], float)
-                p = np.array([list(x["_v"]) for x in have], float)
-                dist = ((a[:, None, :] - p[None, :, :]) ** 2).sum(axis=2)
-                best = dist.argmin(axis=1)
-                rows += [(x["_id"], have[j]["_id"], float(dist[i, j])) for i, (x, j) in enumerate(zip(ask, best))]
+                a, p = (np.array([list(x["_v"]) for x in y], float) for y in (ask, have))
+                dist = np.zeros((len(a), len(p)))
+                for j, w in enumerate(weights):
+                    diff = a[:, j, None] - p[None, :, j]
+                    dist += w * (diff * diff if squared else np.abs(diff))
+                best = np.argsort(dist, axis=1, kind="stable")[:, :k]
+                rows += [(x["_id"], have[j]["_id"], float(dist[i, j])) for i, x in enumerate(ask) for j in best[i]]
             yield pd.DataFrame(rows, columns=["rid", "did", "distance"])
 
     types = dict(recipients.dtypes)[rid], dict(donors.dtypes)[did]
-    found = paired.select("_ask", "_pool").mapInPandas(run, f"rid {types[0]}, did {types[1]}, distance double")
-    return found.groupBy("rid").agg(F.min(F.struct("distance", "did")).alias("m")).select("rid", "m.did", "m.distance")
+    found = asks.join(pools, "_g").select("_ask", "_pool").mapInPandas(run, f"rid {types[0]}, did {types[1]}, distance double")
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("rid").orderBy("distance", "did")))
+    return best.where(F.col("rank") <= k)
 
 
 def pair_by_rank(recipients: DataFrame, donors: DataFrame, rid: str, did: str, r_order: str, d_order: str, group: str) -> DataFrame:

@@ -177,7 +177,7 @@ x AS (SELECT rid, did, round(pow((r.p_size - d.p_size) / ss, 2) + pow((r.p_retai
 @book.add(_KNN + "SELECT rid, min(dist) AS distance FROM x GROUP BY rid")
 def j22_nearest_donor(spark, d):
     p = Micro(spark, d).raw("part").withColumn("g", F.split("p_type", " ")[0])
-    found = J.nearest_donor(p.where("p_partkey % 3 = 1"), p.where("p_partkey % 3 = 0"), "p_partkey", "p_partkey", ["p_size", "p_retailprice"], "g")
+    found = J.nearest_donors(p.where("p_partkey % 3 = 1"), p.where("p_partkey % 3 = 0"), "p_partkey", "p_partkey", {"p_size": 1.0, "p_retailprice": 1.0}, "g")
     return found.select("rid", F.round("distance", 8).alias("distance"))
 
 
@@ -186,10 +186,9 @@ WITH x AS (SELECT s.s_suppkey AS rid, p_partkey AS did, abs(p_size - s_suppkey %
 SELECT rid, did, k FROM (SELECT rid, did, row_number() OVER (PARTITION BY rid ORDER BY round(dist, 8), did) AS k FROM x) WHERE k <= 3""")
 def j23_top_donors(spark, d):
     m = Micro(spark, d)
-    r = m.raw("supplier").select(c("s_suppkey").alias("rid"), c("s_nationkey").cast("long").alias("g"), "s_acctbal")
-    x = m.raw("part").select(c("p_partkey").alias("did"), (c("p_partkey") % 25).alias("g"), "p_size", "p_retailprice").join(r, "g")
-    dist = F.abs(c("p_size") - c("rid") % 50) * 2 + F.abs(F.log1p("p_retailprice") - F.log1p(F.abs("s_acctbal")))
-    return x.withColumn("k", F.row_number().over(Window.partitionBy("rid").orderBy(F.round(dist, 8), "did"))).where("k <= 3").select("rid", "did", "k")
+    r = m.raw("supplier").select(c("s_suppkey").alias("rid"), c("s_nationkey").cast("long").alias("g"), (c("s_suppkey") % 50).alias("size"), F.log1p(F.abs("s_acctbal")).alias("log_amount"))
+    p = m.raw("part").select(c("p_partkey").alias("did"), (c("p_partkey") % 25).alias("g"), c("p_size").alias("size"), F.log1p("p_retailprice").alias("log_amount"))
+    return J.nearest_donors(r, p, "rid", "did", {"size": 2.0, "log_amount": 1.0}, "g", k=3, squared=False, standardise=False).select("rid", "did", c("rank").alias("k"))
 
 
 @book.add("""

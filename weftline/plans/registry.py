@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.plans import joining, preparation, rules
+from weftline.plans import joining, preparation, rules, totals
 
 
 def parts() -> list:
-    return [preparation, rules, joining]
+    return [preparation, rules, joining, totals]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preparation.p1_orphan_counts(spark, sf_dir)
+    return totals.a3_entity_targets(spark, sf_dir)
