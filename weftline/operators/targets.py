@@ -143,3 +143,10 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def get_or_create(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """``existing`` plus the ``new`` rows whose key it lacks, one per key."""
     return existing.unionByName(new.dropDuplicates([key]).join(existing.select(key), key, "left_anti").select(*existing.columns))
+
+
+def load_long(wide: DataFrame, area: str, scales: dict[str, float]) -> DataFrame:
+    """A wide table as long records ``area, variable, value``, each variable times its scale; missing cells are dropped."""
+    long = wide.select(area, *[F.col(v).cast("double").alias(v) for v in scales]).unpivot(area, list(scales), "variable", "value")
+    factor = F.create_map(*[F.lit(x) for kv in scales.items() for x in kv])
+    return long.where(F.col("value").isNotNull()).withColumn("value", F.col("value") * F.try_element_at(factor, "variable"))

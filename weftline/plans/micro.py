@@ -26,7 +26,12 @@ class Book:
         def put(f: Callable) -> Callable:
             self.queries[f.__name__] = f
             if sql is not None:
-                self.sql[f.__name__] = BASE + sql if not sql.lstrip().upper().startswith("WITH") else BASE + "," + sql.lstrip()[4:]
+                text = sql.strip()
+                if text.upper().startswith("WITH RECURSIVE"):
+                    text = BASE.replace("WITH district", "WITH RECURSIVE district", 1) + "," + text[14:]
+                else:
+                    text = BASE + ("," + text[4:] if text.upper().startswith("WITH") else text)
+                self.sql[f.__name__] = text
             return f
 
         return put

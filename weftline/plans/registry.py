@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.plans import joining, preparation, rules, totals
+from weftline.plans import geography, joining, preparation, ranking, rules, targeting, totals
 
 
 def parts() -> list:
-    return [preparation, rules, joining, totals]
+    return [preparation, rules, joining, totals, ranking, targeting, geography]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
