@@ -45,3 +45,15 @@ def cut(df: DataFrame) -> DataFrame:
             shared = tempfile.mkdtemp(prefix="weftline-checkpoint-")
         sc.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for files that executors share: below the checkpoint folder, or a temporary one in a local session."""
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="weftline-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
