@@ -42,13 +42,14 @@ def canonical(variable: Column, text: Column) -> Column:
     t = F.regexp_replace(text, BLANKS, "")
     n = read_number(text)
     whole = F.when((F.abs(n) < 9e18) & (n == F.floor(n)), n.cast("decimal(20,0)").cast("string"))
+    plain = F.when((F.abs(n) < 1e15) & (n == F.floor(n)), n.cast("decimal(20,0)").cast("string")).otherwise(n.cast("string"))
     low = F.lower(t)
     flag = F.when(low.isin("1", "true", "yes", "1.0"), "true").when(low.isin("0", "false", "no", "0.0"), "false")
     return (
         F.when(variable.isin(*INTEGERS), whole)
         .when(variable.isin(*TEXTS), F.when(t != "", t))
         .when(variable.isin(*BOOLEANS), flag)
-        .otherwise(n.cast("string"))
+        .otherwise(plain)
     )
 
 

@@ -121,10 +121,10 @@ def j13_band_join(spark, d):
     return J.band_join(u, bands(spark), c("agi"), "lo", "hi", 50000.0).groupBy("band", "status").agg(N().alias("n"), F.round(F.sum(c("agi") * c("weight")), 2).alias("amount"))
 
 
-@book.add("SELECT household_id, round(sum(earnings), 2) AS earnings, arg_min(gross, (line, part, supp, age, gross)) AS first_gross, bool_or(age > 49) AS any_old FROM person GROUP BY 1")
+@book.add("SELECT household_id, round(sum(earnings), 4) AS earnings, arg_min(gross, (line, part, supp, age, gross)) AS first_gross, bool_or(age > 49) AS any_old FROM person GROUP BY 1")
 def j14_j15_j16_climb(spark, d):
     p = Micro(spark, d).person
-    s = E.sum_to(p, "household_id", earnings=c("earnings")).withColumn("earnings", F.round("earnings", 2))
+    s = E.sum_to(p, "household_id", earnings=c("earnings")).withColumn("earnings", F.round("earnings", 4))
     f = E.first_member(p, "household_id", ["line", "part", "supp", "age"], first_gross=c("gross"))
     return s.join(f, "household_id").join(E.any_member(p, "household_id", any_old=c("age") > 49), "household_id")
 

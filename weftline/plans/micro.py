@@ -107,7 +107,7 @@ con_num AS (SELECT *, CASE WHEN regexp_matches(l, '^[+-]?(inf|infinity)$') THEN
   WHEN regexp_matches(l, '^[+-]?[$]?([0-9]{1,3}(,[0-9]{3})+|[0-9]+)([.][0-9]*)?(e[+-]?[0-9]+)?$') THEN TRY_CAST(replace(replace(l, '$', ''), ',', '') AS DOUBLE) END AS n FROM con_raw),
 con_can AS (SELECT *, CASE WHEN v IN ('state_fips', 'congressional_district_geoid', 'age', 'eitc_child_count') THEN CASE WHEN NOT isinf(n) AND n = floor(n) THEN CAST(CAST(n AS BIGINT) AS VARCHAR) END
   WHEN v = 'ucgid_str' THEN nullif(t, '') WHEN v IN ('tax_unit_is_filer', 'medicaid_enrolled', 'used_aca_ptc', 'is_pregnant', 'tax_unit_itemizes', 'is_aca_ptc_eligible') THEN CASE WHEN l IN ('1', 'true', 'yes', '1.0') THEN 'true' WHEN l IN ('0', 'false', 'no', '0.0') THEN 'false' END
-  ELSE CASE n WHEN 'Infinity'::DOUBLE THEN 'Infinity' WHEN '-Infinity'::DOUBLE THEN '-Infinity' ELSE CAST(n + 0.0 AS VARCHAR) END END AS c FROM con_num),
+  ELSE CASE n WHEN 'Infinity'::DOUBLE THEN 'Infinity' WHEN '-Infinity'::DOUBLE THEN '-Infinity' ELSE CASE WHEN abs(n) < 1e15 AND n = floor(n) THEN CAST(CAST(n AS BIGINT) AS VARCHAR) ELSE CAST(n + 0.0 AS VARCHAR) END END END AS c FROM con_num),
 constr AS (SELECT stratum_id, v AS variable, o AS operation, arg_max(c, (loaded_at, constraint_id, c)) AS value FROM con_can SEMI JOIN living USING (stratum_id) WHERE c IS NOT NULL GROUP BY ALL),
 target AS (SELECT target_id, x.variable, x.period, x.stratum_id, x.reform_id, x.value, x.active, x.source FROM (
   SELECT target_id, max({'loaded_at': loaded_at, 'o': coalesce(value, 0.0), 'variable': variable, 'period': period, 'stratum_id': stratum_id, 'reform_id': reform_id, 'value': value, 'active': active, 'source': source}) AS x FROM targets WHERE deleted_at IS NULL GROUP BY 1))

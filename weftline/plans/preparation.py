@@ -120,7 +120,7 @@ canon AS (
   SELECT *, CASE WHEN v IN ({_INT}) THEN CASE WHEN NOT isinf(n) AND n = floor(n) THEN CAST(CAST(n AS BIGINT) AS VARCHAR) END
     WHEN v IN ({_TXT}) THEN nullif(t, '')
     WHEN v IN ({_BOOL}) THEN CASE WHEN l IN ('1', 'true', 'yes', '1.0') THEN 'true' WHEN l IN ('0', 'false', 'no', '0.0') THEN 'false' END
-    ELSE CAST(n + 0.0 AS VARCHAR) END AS c
+    ELSE CASE WHEN abs(n) < 1e15 AND n = floor(n) THEN CAST(CAST(n AS BIGINT) AS VARCHAR) ELSE CAST(n + 0.0 AS VARCHAR) END END AS c
   FROM num),
 cells AS (
   SELECT stratum_id, v, o, arg_max(c, (loaded_at, constraint_id, c)) FILTER (c IS NOT NULL) AS resolved, count(DISTINCT c) AS n_values, bool_or(c IS NULL) AS has_bad,

@@ -137,11 +137,11 @@ def a16_a19_group_broadcast(spark, d):
     return h.join(h.groupBy("state").agg(F.max("wealth").alias("top")), "state").join(h.groupBy("district").agg(N().alias("n")), "district").select("household_id", "top", "n")
 
 
-@book.add("""SELECT household_id, max(age) AS oldest, round(sum(earnings), 2) AS earnings, count(*) AS members, count(*) FILTER (age < 18) AS minors, round(arg_max(gross, (age, -line, -part, -supp, gross)), 2) AS reference_gross,
+@book.add("""SELECT household_id, max(age) AS oldest, round(sum(earnings), 4) AS earnings, count(*) AS members, count(*) FILTER (age < 18) AS minors, round(arg_max(gross, (age, -line, -part, -supp, gross)), 2) AS reference_gross,
 bool_or(flag = 'A') AND bool_or(flag = 'R') AS mixed FROM person GROUP BY 1""")
 def a17_a18_a21_household_summary(spark, d):
     return Micro(spark, d).person.groupBy("household_id").agg(
-        F.max("age").alias("oldest"), F.round(F.sum("earnings"), 2).alias("earnings"), N().alias("members"), F.count(F.when(c("age") < 18, 1)).alias("minors"),
+        F.max("age").alias("oldest"), F.round(F.sum("earnings"), 4).alias("earnings"), N().alias("members"), F.count(F.when(c("age") < 18, 1)).alias("minors"),
         F.round(F.max(F.struct("age", (-c("line")).alias("l"), (-c("part")).alias("p"), (-c("supp")).alias("s"), "gross"))["gross"], 2).alias("reference_gross"), (F.max(c("flag") == "A") & F.max(c("flag") == "R")).alias("mixed"))
 
 
