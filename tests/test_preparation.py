@@ -204,3 +204,12 @@ def test_fill_backs_off_and_flags(spark):
     lone = fill.fill_records(spark.createDataFrame([(1, "x", "2023", None, None, None, None)], FORBES)).first()
     assert lone["age"] is None and lone["age_level"] == "none"
     assert fill.fill_records(spark.createDataFrame([], FORBES)).count() == 0
+
+
+def test_very_long_texts(spark):
+    long = "1," * 300_000 + '"a,b"'
+    row = [(1, 1, "f", T0, T0, 1, "h" * 300_000), (1, 1, "f", T0, T0, 2, long)]
+    parsed = drift.read_lines(spark.createDataFrame(row, LINES))
+    assert parsed.where("line_no = 2").select(F.size("cells"), F.element_at("cells", -1)).first() == (300_001, "a,b")
+    t = " " * 300_000
+    assert spark.createDataFrame([("1" + t + "1",), (t + "7" + t,)], "t string").select(wide.read_number(F.col("t")).alias("n")).where("n = 7").count() == 1

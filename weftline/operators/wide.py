@@ -23,7 +23,7 @@ DOUBLES = ("adjusted_gross_income", "tanf", "aca_ptc", "snap", "selected_marketp
 OPERATORS = {"==": "eq", ">": "gt", ">=": "ge", "<": "lt", "<=": "le", "!=": "ne"}
 TYPES = {v: t for t, names in (("bigint", INTEGERS), ("string", TEXTS), ("boolean", BOOLEANS), ("double", DOUBLES)) for v in names}
 
-BLANKS = r"^[\s\u00a0\u2009\u202f]+|[\s\u00a0\u2009\u202f]+$"
+BLANKS = " \t\n\r\f\v\u00a0\u2009\u202f"
 #: One number: sign, currency sign, plain or grouped digits, fraction, exponent.
 NUMBER = r"^[+-]?[$€£]?(?:\d{1,3}(?:[, _\u00a0\u2009\u202f']\d{3})+|\d+)(?:\.\d*)?(?:e[+-]?\d+)?$|^[+-]?[$€£]?\.\d+(?:e[+-]?\d+)?$"
 INFINITY = r"^[+-]?(?:inf|infinity|∞)$"
@@ -31,7 +31,7 @@ INFINITY = r"^[+-]?(?:inf|infinity|∞)$"
 
 def read_number(text: Column) -> Column:
     """The double that ``text`` writes, or null."""
-    t = F.lower(F.regexp_replace(text, BLANKS, ""))
+    t = F.lower(F.trim(text, F.lit(BLANKS)))
     plain = F.regexp_replace(t, r"[$€£, _\u00a0\u2009\u202f']", "").try_cast("double")
     signed = F.when(t.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
     return F.when(t.rlike(INFINITY), signed).when(t.rlike(NUMBER), plain + F.lit(0.0))
@@ -39,7 +39,7 @@ def read_number(text: Column) -> Column:
 
 def canonical(variable: Column, text: Column) -> Column:
     """``text`` read as the type of ``variable`` and written in one way, or null if it cannot be read."""
-    t = F.regexp_replace(text, BLANKS, "")
+    t = F.trim(text, F.lit(BLANKS))
     n = read_number(text)
     whole = F.when((F.abs(n) < 9e18) & (n == F.floor(n)), n.cast("decimal(20,0)").cast("string"))
     plain = F.when((F.abs(n) < 1e15) & (n == F.floor(n)), n.cast("decimal(20,0)").cast("string")).otherwise(n.cast("string"))
@@ -55,8 +55,8 @@ def canonical(variable: Column, text: Column) -> Column:
 
 def resolve_cells(rows: DataFrame, entity: str, variable: str, operation: str, value: str, row_id: str, loaded_at: str) -> DataFrame:
     """One row per cell: ``entity_id, variable, operation, resolved, n_values (0, 1 or 2 for more), unreadable, has_bad``."""
-    v = F.lower(F.regexp_replace(F.col(variable), BLANKS, ""))
-    o = F.regexp_replace(F.col(operation), BLANKS, "")
+    v = F.lower(F.trim(F.col(variable), F.lit(BLANKS)))
+    o = F.trim(F.col(operation), F.lit(BLANKS))
     cells = (
         rows.select(F.col(entity).cast("long").alias("entity_id"), v.alias("variable"), F.when(o == "=", "==").otherwise(o).alias("operation"), F.col(value).alias("text"), F.col(row_id).alias("rid"), F.col(loaded_at).alias("seen"))
         .where((F.col("entity_id") > 0) & (F.col("variable") != "") & (F.col("operation") != ""))
