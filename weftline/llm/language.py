@@ -59,9 +59,10 @@ NAMES = {
 }
 CODES = {n: c for c, names in NAMES.items() for n in names.split()}
 
-_END = re.compile(r"[.!?…]+[\"”“»’)\]]*(?=\s)|[。！？]+[”》」）]*|\n[ \t]*(?:[>|][ \t]*)?\n|\n(?=[ \t]*(?:[-*#`•|>]|\d{1,3}[.)])[ \t`])")
+_END = re.compile(r"(?<![.!?…])[.!?…]++[\"”“»’)\]]*+(?=\s)|[。！？]+[”》」）]*|\n[ \t]*(?:[>|][ \t]*)?\n|\n(?=[ \t]*(?:[-*#`•|>]|\d{1,3}[.)])[ \t`])")
 _TAG = re.compile(r"<[^<>]{0,300}>")
-_NOWORD = re.compile(r"\S*[\d_]\S*|[^\w\s'’]+")
+_NUMERIC = re.compile(r"[\d_]")
+_NOWORD = re.compile(r"[^\w'’]+")
 _HAN = re.compile(r"[㐀-鿿]")
 _MARKUP_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b")
 _SETS = {c: frozenset(w.split()) for c, w in FUNCTION_WORDS.items()}
@@ -87,7 +88,9 @@ def statements(text: str | None) -> list[tuple[int, int, str, int, int]]:
             han = len(_HAN.findall(raw))
             if "<" in raw:
                 raw = _TAG.sub(" ", raw)
-            plain = " ".join(_NOWORD.sub(" ", raw if raw.isascii() else _HAN.sub(" ", unicodedata.normalize("NFC", raw))).lower().split())
+            letters = raw if raw.isascii() else _HAN.sub(" ", unicodedata.normalize("NFC", raw))
+            kept = [w if w.isalpha() else _NOWORD.sub(" ", w) for w in letters.lower().split() if w.isalpha() or not _NUMERIC.search(w)]
+            plain = " ".join(" ".join(kept).split())
             out.append((at, end, plain, plain.count(" ") + 1 if plain else 0, han))
         at = end
     return out

@@ -37,7 +37,7 @@ ITEM_BLOCK = 1_000
 _BREAKING = re.compile(r"</?(?:p|br|div|li|ul|ol|tr|td|th|table|h[1-6]|hr|pre|blockquote)\b[^<>]*>", re.I)
 _INLINE = re.compile(r"</?[a-zA-Z][^<>]{0,300}>")
 _JOINED = re.compile(r"(?<=\d)[.,](?=\d)|(?<=\w)['’`´‘ʼ\-‐‑](?=\w)")
-_NUMBERED = re.compile(r"^\s*\d{1,3}\)\s", re.M)
+_NUMBERED = re.compile(r"^[ \t]*\d{1,3}\)\s", re.M)
 _WORD = re.compile(r"[^\W_]+")
 _HAN = re.compile(r"([㐀-鿿豈-﫿])")
 _HIDDEN = dict.fromkeys([0xAD, 0x180E, 0xFEFF, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070)])
