@@ -51,6 +51,7 @@ def value_bounds(rows: DataFrame) -> DataFrame:
 def heavy_keys(bounds: DataFrame, shares: dict[str, float]) -> DataFrame:
     """Keys that hold at least ``shares[key_field]`` of all rows, null keys counting in the total."""
     share = F.create_map(*[F.lit(x) for kv in shares.items() for x in kv])
+    bounds = cut(bounds)  # one row per key, read twice below
     total = bounds.groupBy("key_field").agg(F.sum("n_rows").alias("all_rows")).withColumnRenamed("key_field", "f")
     return (
         bounds.join(F.broadcast(total), F.col("key_field") == F.col("f"))  # one row per key field named by the caller
