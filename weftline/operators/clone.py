@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.operators import weights as W
+
 
 def shares(df: DataFrame, value: str, group: list[str], name: str = "share") -> DataFrame:
     """``value`` as a share of its group's total, by an aggregation joined back (a whole-table group is one row)."""
@@ -55,16 +57,8 @@ def clones(df: DataFrame, n: int, record: str, n_records: Column) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, group: list[str], order: str, name: str) -> DataFrame:
-    """Numbers 0..n-1 per group in ``order``, computed in ranges of the order column so that no group is one task.
-
-    Rows are counted per range of ``order`` (``2**16`` consecutive integers), the counts are summed up in order and
-    added to the row's rank within its range.
-    """
-    blk = F.shiftright(F.col(order).cast("long"), 16)
-    b = df.withColumn("_b", blk)
-    w = Window.partitionBy(*group, "_b").orderBy(order)
-    offs = b.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_o", F.sum("_n").over(Window.partitionBy(*(group or [F.lit(0)])).orderBy("_b")) - F.col("_n")).drop("_n")
-    return b.withColumn("_r", F.row_number().over(w) - 1).join(offs, [*group, "_b"]).withColumn(name, F.col("_o") + F.col("_r")).drop("_b", "_r", "_o")
+    """Numbers 0..n-1 per group in ``order`` (numeric, unique per group), counted range by range so that no group is one task."""
+    return W.cumulative(df, order, [F.lit(1).cast("long")], [], group).withColumn(name, F.col("cum0") - 1).drop("cum0", "tot0")
 
 
 def double_records(df: DataFrame, ids: list[str], weight: str, replaced: dict[str, Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import exprs as X
 
+# The geographic constraint variables.
 GEO_VARIABLES = ("state_fips", "congressional_district_geoid", "ucgid_str")
 # Variables that are no domain of a stratum.
 NO_DOMAIN = ("state_fips", "congressional_district_geoid", "tax_unit_is_filer", "ucgid_str")

@@ -1,8 +1,9 @@
 """Weighted order statistics, inequality, concentration and selection up to a weighted total.
 
 Cumulative sums over a whole table run in two steps: rows are sorted within value ranges found by approximate
-quantiles, each range's total is added up in order, and the ranges before are added to the sum within the range. Thus
-no step holds all rows in one task; only the ranges' totals (at most ``RANGES`` rows per group) meet in one place.
+quantiles, each range's total is added up in order, and the ranges before are added to the sum within the range. The
+number of ranges grows with the rows (``ROWS_PER_RANGE``, up to ``MOST_RANGES``), so no step holds all rows in one
+task; only the ranges' totals (one row per range and group) meet in one place.
 """
 
 from __future__ import annotations
@@ -10,19 +11,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Value ranges of the cumulative sums.
-RANGES = 64
+#: Rows that one range of a cumulative sum holds, about, and the most ranges.
+ROWS_PER_RANGE, MOST_RANGES = 500_000, 1024
 
 
-def cumulative(df: DataFrame, value: str, add: list[Column], order: list[Column], group: list[str] | None = None, descending: bool = False, ranges: int = RANGES) -> DataFrame:
+def _range_of(v: Column, edges: list[float]) -> Column:
+    """The number of ``edges`` at or below ``v``: among 32 coarse edges first, then within one stretch between them."""
+    step = max(1, -(-len(edges) // 32))
+    coarse = edges[::step]
+    at = sum(((v >= F.lit(e)).cast("int") for e in coarse), F.lit(0))
+    if step == 1:
+        return F.coalesce(at, F.lit(-1))
+    parts = F.array(*[F.array(*[F.lit(e) for e in edges[i * step + 1 : (i + 1) * step]]).cast("array<double>") for i in range(len(coarse))])
+    inner = F.size(F.filter(F.element_at(parts, F.greatest(at, F.lit(1))), lambda e: e <= v))
+    return F.coalesce(F.when(at == 0, 0).otherwise((at - 1) * step + 1 + inner), F.lit(-1))
+
+
+def cumulative(df: DataFrame, value: str, add: list[Column], order: list[Column], group: list[str] | None = None, descending: bool = False, ranges: int | None = None) -> DataFrame:
     """Adds ``cum0, cum1, ...`` (running sums of ``add`` in the order of ``value`` and then ``order``) and ``tot0, ...``."""
     group = group or []
-    edges = df.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 1000).alias("e")).first()["e"] or []
-    edges = sorted(set(edges))
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, [i / MOST_RANGES for i in range(1, MOST_RANGES)], 4 * MOST_RANGES).alias("e")).first()
+    ranges = ranges or max(2, min(MOST_RANGES, seen["n"] // ROWS_PER_RANGE))
+    edges = sorted({float(e) for e in (seen["e"] or [])[MOST_RANGES // ranges - 1 :: MOST_RANGES // ranges]})
     v = F.col(value)
-    rng = F.coalesce(sum(((v >= F.lit(e)).cast("int") for e in edges), F.lit(0)), F.lit(-1))
-    rng = -rng if descending else rng
-    d = df.withColumn("_r", rng)
+    rng = _range_of(v, edges)
+    d = df.withColumn("_r", -rng if descending else rng)
     for i, a in enumerate(add):
         d = d.withColumn(f"_a{i}", a)
     n = range(len(add))
