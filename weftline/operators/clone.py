@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions import exprs as X
+from weftline.operators import impute
 from weftline.operators import weights as W
+from weftline.session import cut
 
 
 def shares(df: DataFrame, value: str, group: list[str], name: str = "share") -> DataFrame:
@@ -41,14 +44,27 @@ def draw_block(rows: DataFrame, blocks: DataFrame, group: str, order: str, weigh
     return r.join(cum.select(group, "_cell", "lo", "hi", order), [group, "_cell"]).where((F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi"))).drop("_cell", "lo", "hi", "_u")
 
 
-def draw_without_repeat(records: DataFrame, options: DataFrame, record: str, option: str, weight: str, n: int, u: Column) -> DataFrame:
-    """``n`` different options for each record with probability by weight: the smallest exponential keys ``-ln(u)/weight``.
+def draw_without_repeat(records: DataFrame, options: DataFrame, record: str, option: str, weight: str, n: int, salt: str = "place") -> DataFrame:
+    """``n`` different options (numeric) for each record: draws by weight, one after the other, repeats passed over.
 
-    ``options`` is a small table (districts); each record keeps only its ``n`` smallest keys, which is bounded.
+    A round gives each record that still lacks options ``2 n`` more draws; rounds go on until none lacks any, so the
+    rows are a few per record, not one per record and option. Fewer than ``n`` options of positive weight is an error.
     """
-    held = options.agg(F.collect_list(F.struct(F.col(option).alias("o"), F.col(weight).alias("w"))).alias("opts"))
-    keyed = records.join(F.broadcast(held), F.lit(True)).withColumn("x", F.explode("opts")).select(record, F.col("x.o").alias(option), F.col("x.w").alias("_w"))
-    return keyed.withColumn("_k", -F.log(F.greatest(u, F.lit(1e-18))) / F.col("_w")).withColumn("clone", F.row_number().over(Window.partitionBy(record).orderBy("_k", option)) - 1).where(F.col("clone") < n).select(record, "clone", option)
+    pool = options.where(F.col(weight) > 0)
+    if pool.select(option).distinct().count() < n:
+        raise ValueError("fewer options than wanted")
+    draws, open_, start = None, records.select(record), 0
+    while True:
+        asked = open_.withColumn("_t", F.explode(F.sequence(F.lit(start), F.lit(start + 2 * n - 1))))
+        got = impute.draw_weighted(asked, pool, option, weight, X.hash_uniform(F.lit(salt), record, "_t"))
+        draws = got if draws is None else draws.unionByName(got)
+        draws = cut(draws.groupBy(record, option).agg(F.min("_t").alias("_t")))
+        lacking = records.select(record).join(draws.groupBy(record).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= n), record, "left_anti")
+        if not lacking.limit(1).count():
+            break
+        open_, start = cut(lacking), start + 2 * n
+    order = Window.partitionBy(record).orderBy("_t")
+    return draws.withColumn("clone", F.row_number().over(order) - 1).where(F.col("clone") < n).select(record, "clone", option)
 
 
 def clones(df: DataFrame, n: int, record: str, n_records: Column) -> DataFrame:

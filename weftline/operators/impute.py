@@ -132,13 +132,25 @@ def project_to_bounds(df: DataFrame, group: list[str], value: str, weight: str,
     return cur
 
 
-def best_by_product(rows: DataFrame, donors: DataFrame, rid: str, did: str, group: str, weight: Column, u: Column) -> DataFrame:
-    """One donor per row of its group with probability in proportion to ``weight``: the smallest ``-ln(u) / weight``.
+def draw_tilted(rows: DataFrame, donors: DataFrame, rid: str, did: str, group: str, weight: str, tilt: Column, rounds: tuple[int, ...] = (8, 64, 512)) -> DataFrame:
+    """One donor (numeric id) per row of its group with probability in proportion to ``weight * tilt``, ``0 <= tilt <= 1``.
 
-    Donors per group are a small pool by contract (an archetype's); only the running minimum is kept per row.
+    By rejection: donors are drawn by weight and kept with probability ``tilt`` (which may use columns of both sides);
+    the first kept draw counts. Rows are given 8, 64 and 512 draws as long as they need them; what then is left, rows
+    whose whole group is unlike them, takes the donor with the largest ``weight * tilt``, found by a grouped maximum.
     """
-    j = rows.join(donors, group)
-    return j.withColumn("_k", -F.log(F.greatest(u, F.lit(1e-18))) / weight).groupBy(rid).agg(F.min_by(did, F.struct("_k", did)).alias(did))
+    left, found = rows, None
+    for k, n in enumerate(rounds):
+        asked = left.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        got = draw_weighted(asked, donors, did, weight, X.hash_uniform(F.lit(f"draw{k}"), rid, "_t"), [group]).join(donors.drop(weight), [group, did])
+        kept = got.where(X.hash_uniform(F.lit(f"keep{k}"), rid, "_t") < tilt).groupBy(rid).agg(F.min_by(did, "_t").alias(did))
+        found = kept if found is None else found.unionByName(kept)
+        found = cut(found)
+        left = cut(rows.join(found.select(rid), rid, "left_anti"))
+        if not left.limit(1).count():
+            return found
+    rest = left.join(donors, group).groupBy(rid).agg(F.max_by(did, F.struct(F.col(weight) * tilt, -F.col(did))).alias(did))
+    return found.unionByName(rest)
 
 
 def expand(df: DataFrame, n: Column) -> DataFrame:

@@ -40,10 +40,10 @@ def cl2_tilted_shares(spark, d):
 
 @book.add()
 def cl3_places_without_repeat(spark, d):
-    """Three different districts for each household, by exponential keys weighted with the district's blocks."""
+    """Three different districts for each household, drawn by the weight of their blocks."""
     m = Micro(spark, d)
     o = m.raw("block_distribution").groupBy("cd_geoid").agg(F.sum("probability").alias("p"))
-    return C.draw_without_repeat(m.household.select("household_id"), o, "household_id", "cd_geoid", "p", N_CLONES, X.hash_uniform("household_id", "cd_geoid"))
+    return C.draw_without_repeat(m.household.select("household_id"), o, "household_id", "cd_geoid", "p", N_CLONES)
 
 
 @book.add("SELECT household_id, k AS clone, k * (SELECT count(*) FROM household) + household_id AS col_id FROM household, range(3) r(k)")

@@ -242,11 +242,11 @@ def ds5_replicate(spark, d):
 
 @book.add()
 def ds6_probability_donors(spark, d):
-    """A donor of the household's nation for each, by weight times a tilt to similar size, from one hash draw per pair of the small pool."""
+    """A donor of the household's nation for each, in proportion to a tilt towards similar size."""
     m = Micro(spark, d)
-    pool = m.raw("supplier").select(c("s_suppkey").alias("donor"), c("s_nationkey").alias("district"), c("s_acctbal").alias("donor_wealth"))
-    w = F.exp(-F.abs(c("wealth") - c("donor_wealth")) / 5000.0)
-    return I.best_by_product(m.household.select("household_id", "district", "wealth"), pool, "household_id", "donor", "district", w, X.hash_uniform("household_id", "donor"))
+    pool = m.raw("supplier").select(c("s_suppkey").alias("donor"), c("s_nationkey").alias("district"), c("s_acctbal").alias("donor_wealth"), F.lit(1.0).alias("w"))
+    tilt = F.exp(-F.abs(c("wealth") - c("donor_wealth")) / 5000.0)
+    return I.draw_tilted(m.household.select("household_id", "district", "wealth"), pool, "household_id", "donor", "district", "w", tilt)
 
 
 @book.add("""
