@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.session import cut
+
 #: Lines per block of the join between lines and their file's rules.
 LINE_BLOCK = 20_000
 #: A comma and its cell, quoted or plain; the line is read with a comma before it. Linear in the line's length.
@@ -114,7 +116,7 @@ def with_previous(files: DataFrame) -> DataFrame:
     The predecessor is sought within the feed's day; the first file of a day takes the last of the feed's previous
     day that has one, so that a feed with most of the files is spread over its days.
     """
-    f = files.withColumn("day", F.to_date("published_at"))
+    f = cut(files).withColumn("day", F.to_date("published_at"))  # one row per file, read three times below
     w = Window.partitionBy("feed_id", "day").orderBy("published_at", "file_id")
     within = f.withColumn("prev", F.lag("fields").over(w)).withColumn("n", F.row_number().over(w))
     order = F.struct("published_at", "file_id", "fields")
