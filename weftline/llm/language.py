@@ -28,6 +28,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.session import cut
+
 LANGS = ("en", "es", "fr", "de", "pt", "it", "zh")
 MIN_WORDS, MIN_HAN = 10, 12
 SURE, TRUST = 0.9, 0.9
@@ -164,6 +166,7 @@ def host_priors(documents: DataFrame, source: str = "source", label: str = "lang
     """Smoothed shares of declared languages: per source ``source, prior``, and of all documents."""
     declared = label_language(F.col(label))
     counted = documents.select(F.col(source).alias("source"), declared.alias("c")).where(F.col("c").isNotNull()).groupBy("source", "c").agg(F.count(F.lit(1)).alias("n"))
+    counted = cut(counted)  # a row per source and language, read four times below
     suffix = F.coalesce(F.regexp_extract("source", r"([^.-]*)$", 1), F.lit(""))
     per = counted.groupBy("source").agg(*[F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(0)).cast("double").alias(c) for c in LANGS]).withColumn("suffix", suffix)
     by_suffix = per.groupBy("suffix").agg(*[F.sum(c).alias(f"s_{c}") for c in LANGS])
