@@ -61,7 +61,9 @@ NAMES = {
 }
 CODES = {n: c for c, names in NAMES.items() for n in names.split()}
 
-_END = re.compile(r"(?<![.!?…])[.!?…]++[\"”“»’)\]]*+(?=\s)|[。！？]+[”》」）]*|\n[ \t]*(?:[>|][ \t]*)?\n|\n(?=[ \t]*(?:[-*#`•|>]|\d{1,3}[.)])[ \t`])")
+_END = re.compile(
+    r"[.!?…。！？\n](?:(?<=[.!?…])(?![.!?…])[\"”“»’)\]]*+(?=\s)|(?<=[。！？])[”》」）]*|(?<=\n)(?:[ \t]*+(?:[>|][ \t]*+)?\n|(?=[ \t]*+(?:[-*#`•|>]|\d{1,3}[.)])[ \t`])))"
+)
 _TAG = re.compile(r"<[^<>]{0,300}>")
 _NUMERIC = re.compile(r"[\d_]")
 _NOWORD = re.compile(r"[^\w'’]+")

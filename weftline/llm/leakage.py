@@ -36,11 +36,14 @@ ITEM_BLOCK = 1_000
 
 _BREAKING = re.compile(r"</?(?:p|br|div|li|ul|ol|tr|td|th|table|h[1-6]|hr|pre|blockquote)\b[^<>]*>", re.I)
 _INLINE = re.compile(r"</?[a-zA-Z][^<>]{0,300}>")
-_JOINED = re.compile(r"(?<=\d)[.,](?=\d)|(?<=\w)['’`´‘ʼ\-‐‑](?=\w)")
+_JOINED = re.compile(r"[.,'’`´‘ʼ\-‐‑](?:(?<=\d[.,])(?=\d)|(?<=\w['’`´‘ʼ\-‐‑])(?=\w))")
+_MARKS = re.compile("[\u0300-\u036f]+")
+#: Letters of scripts with combining marks of their own.
+_MARKED_SCRIPTS = re.compile("[\u0483-\u1fff\u20d0-\u20f0\u3099\u309a\ua66f-\uabff\ufb1e\ufe20-\ufe2f\U00010000-\U0001ffff]")
 _NUMBERED = re.compile(r"^[ \t]*\d{1,3}\)\s", re.M)
 _WORD = re.compile(r"[^\W_]+")
 _HAN = re.compile(r"([㐀-鿿豈-﫿])")
-_HIDDEN = dict.fromkeys([0xAD, 0x180E, 0xFEFF, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070)])
+_HIDDEN = re.compile("[\u00ad\u180e\ufeff\u200b-\u200f\u202a-\u202e\u2060-\u206f]+")
 
 
 def words(text: str | None) -> list[str]:
@@ -50,8 +53,9 @@ def words(text: str | None) -> list[str]:
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(_HIDDEN))
-        text = "".join(c for c in text if not unicodedata.combining(c))
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", _HIDDEN.sub("", text)))
+        if _MARKED_SCRIPTS.search(text):
+            text = "".join(c for c in text if not unicodedata.combining(c))
         if _HAN.search(text):
             text = _HAN.sub(r" \1 ", text)
     if "<" in text:
