@@ -36,6 +36,15 @@ def test_household_passes_only_if_one_person_meets_all(spark):
     assert {r["household_id"]: r["contribution"] for r in E.target_values(p, cond, None, "household_id").collect()} == {1: 0.0, 2: 1.0, 3: 0.0}
 
 
+def test_targets_together_equal_targets_alone(spark):
+    p = spark.createDataFrame([(i % 7, i % 20, 20 + i % 50, float(i % 11)) for i in range(200)] + [(8, 99, None, None)], "household_id int, unit_id int, age int, v double")
+    specs = [("a", c("age") > 60, "household", c("v")), ("b", c("age") > 65, "unit", c("v")), ("c", c("age") > 65, "unit", None), ("d", c("age") > 65, "person", None)]
+    both = {(r["target"], r["household_id"]): r["contribution"] for r in E.targets_together(p, "unit_id", "household_id", specs).collect()}
+    for t, cond, level, v in specs:
+        alone = E.target_values(p, cond, {"household": "household_id", "unit": "unit_id", "person": None}[level], "household_id", v)
+        assert {r["household_id"]: r["contribution"] for r in alone.collect()} == {h: x for (n, h), x in both.items() if n == t}
+
+
 def test_bands_codes_and_labels(spark):
     assert one(spark, X.band(c("x"), [0, 10, 20], ["a", "b"]), x=10.0) == "b"
     assert one(spark, X.band(c("x"), [0, 10, 20], ["a", "b"]), x=99.0) == "b"

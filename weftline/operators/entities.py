@@ -47,6 +47,33 @@ def target_values(person: DataFrame, condition: Column, entity: str | None, hous
     return per.groupBy(household).agg(F.sum(each).alias("contribution"))
 
 
+def targets_together(person: DataFrame, unit: str, household: str, specs: list[tuple[str, Column, str, Column | None]]) -> DataFrame:
+    """Household contributions to many targets from one pass over the persons: ``household, target, contribution``.
+
+    Each spec is ``(target, condition, level, value)`` with level ``person``, ``unit`` or ``household``; the meaning is
+    that of :func:`target_values`. Persons are shuffled once, to their unit; only units go on to the household.
+    """
+    aggs = []
+    for i, (_, cond, level, value) in enumerate(specs):
+        ok = F.coalesce(cond, F.lit(False))
+        if level == "person":
+            aggs.append(F.sum(ok.cast("long")).alias(f"_n{i}"))
+        else:
+            aggs += [F.max(ok).alias(f"_ok{i}"), (F.max(value) if value is not None else F.lit(1.0)).alias(f"_v{i}")]
+    per_unit = person.groupBy(household, unit).agg(*aggs)
+    sums = []
+    for i, (_, _, level, _) in enumerate(specs):
+        if level == "person":
+            sums.append(F.sum(f"_n{i}").cast("double").alias(f"_c{i}"))
+        elif level == "unit":
+            sums.append(F.sum(F.when(F.col(f"_ok{i}"), F.col(f"_v{i}")).otherwise(0.0)).alias(f"_c{i}"))
+        else:
+            sums.append(F.when(F.max(f"_ok{i}"), F.max(f"_v{i}")).otherwise(0.0).alias(f"_c{i}"))
+    per = per_unit.groupBy(household).agg(*sums)
+    long = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"_c{i}").alias("contribution")) for i, (t, *_) in enumerate(specs)]))
+    return per.select(household, long.alias("_x")).select(household, "_x.*")
+
+
 def by_geography(contributions: DataFrame, households: DataFrame, household: str = "household_id", weight: str = "weight") -> DataFrame:
     """Weighted estimates of named contributions for nation, states and districts in one pass over the households.
 

@@ -34,11 +34,8 @@ def target_table(spark: SparkSession, d: str) -> DataFrame:
     m = Micro(spark, d)
     p = m.person.join(m.unit.select("unit_id", "agi"), "unit_id").join(m.household.select("household_id", "wealth"), "household_id")
     cond = X.conjunction([("age", ">", "30"), ("flag", "==", "R")], p.columns)
-    named = [("amount", "household_id", c("wealth")), ("unit_amount", "unit_id", c("agi")), ("unit_count", "unit_id", None), ("person_count", None, None)]
-    parts = [E.target_values(p, cond, entity, "household_id", v).withColumn("target", F.lit(n)) for n, entity, v in named]
-    both = parts[0]
-    for x in parts[1:]:
-        both = both.unionByName(x)
+    specs = [("amount", cond, "household", c("wealth")), ("unit_amount", cond, "unit", c("agi")), ("unit_count", cond, "unit", None), ("person_count", cond, "person", None)]
+    both = E.targets_together(p, "unit_id", "household_id", specs)
     return E.by_geography(both, m.household)
 
 
