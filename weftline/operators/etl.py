@@ -45,7 +45,7 @@ def joint_flags(df: DataFrame, flags: list[str], weight: str) -> DataFrame:
 
 def annualise(df: DataFrame, keys: list[Column], month: Column, value: Column, name: str) -> DataFrame:
     """``sum * 12 / months seen``, halves to even."""
-    return df.groupBy(*keys).agg(F.bround(F.sum(value) * 12 / F.count_distinct(month), 0).alias(name))
+    return df.groupBy(*keys).agg(F.bround(F.round(F.sum(value), 2) * 12 / F.count_distinct(month), 0).alias(name))
 
 
 def first_row(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -249,7 +249,7 @@ def a36_head_join(spark, d):
     return Micro(spark, d).unit.groupBy("household_id").agg(F.sum("agi").alias("agi"), N().alias("n"), top).select("household_id", F.round("agi", 2).alias("agi"), "n", c("h.unit_id").alias("head"), c("h.priority").alias("priority"))
 
 
-@book.add("SELECT o_custkey AS household_id, CAST(year(o_orderdate) AS INT) AS y, round_even(sum(o_totalprice) * 12 / count(DISTINCT month(o_orderdate)), 0) AS annual FROM orders GROUP BY ALL")
+@book.add("SELECT o_custkey AS household_id, CAST(year(o_orderdate) AS INT) AS y, round_even(round(sum(o_totalprice), 2) * 12 / count(DISTINCT month(o_orderdate)), 0) AS annual FROM orders GROUP BY ALL")
 def a37_annualise(spark, d):
     o = Micro(spark, d).raw("orders")
     return etl.annualise(o, [c("o_custkey").alias("household_id"), F.year("o_orderdate").alias("y")], F.month("o_orderdate"), c("o_totalprice"), "annual")
