@@ -163,6 +163,51 @@ s AS (
 """
 
 
+_P3 = """
+WITH l AS (SELECT file_id, line_no, max(feed_id) AS feed_id, max(published_at) AS published_at, arg_max(line_text, (loaded_at, line_text)) AS t FROM aca_ptc_lines
+  WHERE trim(line_text) <> '' AND NOT starts_with(ltrim(line_text), '#') GROUP BY ALL),
+c AS (SELECT file_id, line_no, feed_id, published_at, list_transform(regexp_extract_all(',' || t, ',([ ]*"(?:[^"]|"")*"[^,]*|[^,]*)', 1), lambda x: replace(regexp_replace(trim(x), '^"(.*)"$', '\\1'), '""', '"')) AS cells FROM l),
+hd AS (SELECT file_id, min(line_no) AS header_line FROM c GROUP BY 1),
+h AS (SELECT file_id, feed_id, published_at, header_line, unnest(cells) AS header, generate_subscripts(cells, 1) AS pos FROM c JOIN hd USING (file_id) WHERE line_no = header_line),
+k AS (SELECT *, lower(trim(header)) AS low, regexp_replace(lower(trim(header)), '[^a-z0-9]', '', 'g') AS w FROM h WHERE trim(header) <> ''),
+y AS (SELECT *, regexp_replace(regexp_replace(w, '^(20)?[0-9][0-9]([a-z])', '\\2'), '([a-z])(20)?[0-9][0-9]$', '\\1') AS stem, '20' || coalesce(nullif(regexp_extract(w, '([0-9][0-9])$', 1), ''), regexp_extract(w, '^(20)?([0-9][0-9])[a-z]', 2)) AS yr FROM k),
+n AS (SELECT *, CASE WHEN w IN ('state', 'st', 'statename', 'statecode', 'stateabbr', 'stateabbreviation', 'statefips', 'fips') THEN 'state' WHEN regexp_matches(w, '^(vol|volume)(mult|multiplier|ratio)$') THEN 'vol_mult' WHEN regexp_matches(w, '^(val|value)(mult|multiplier|ratio)$') THEN 'val_mult'
+  WHEN regexp_matches(stem, '^(@COUNT)$') AND yr IN ('2022', '2024', '2025') THEN 'enroll_' || yr WHEN regexp_matches(stem, '^(@CREDIT)$') AND yr IN ('2022', '2024', '2025') THEN 'aptc_' || yr ELSE low END AS name FROM y)
+""".replace("@COUNT", drift.COUNT_WORDS).replace("@CREDIT", drift.CREDIT_WORDS)
+
+_P3_FOUND = _P3 + """, u AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY file_id, name ORDER BY pos) = 1),
+v AS (SELECT c.file_id, u.name, trim(coalesce(c.cells[u.pos], '')) AS x FROM u JOIN c ON c.file_id = u.file_id AND c.line_no > u.header_line),
+ty AS (SELECT file_id, name, CASE WHEN bool_and(x = '' OR regexp_matches(x, '^[0-9]+$')) THEN 'integer' WHEN bool_and(x = '' OR regexp_matches(x, '^([0-9]+[.]?[0-9]*|[.][0-9]+)$')) THEN 'decimal' ELSE 'text' END AS type FROM v GROUP BY ALL),
+f AS (SELECT u.file_id, u.name, trim(u.header) AS header, coalesce(type, 'integer') AS type FROM u LEFT JOIN ty USING (file_id, name)),
+o AS (SELECT file_id, lag(file_id) OVER (PARTITION BY feed_id ORDER BY published_at, file_id) AS prev FROM (SELECT DISTINCT file_id, feed_id, published_at FROM n)),
+b AS (SELECT o.file_id, coalesce(x.name, z.name) AS field_name, x.header AS h1, x.type AS t1, z.header AS h0, z.type AS t0 FROM (SELECT o.file_id, o.prev, f.name FROM o JOIN f ON f.file_id IN (o.file_id, o.prev) WHERE o.prev IS NOT NULL GROUP BY ALL) o
+  LEFT JOIN f x ON x.file_id = o.file_id AND x.name = o.name LEFT JOIN f z ON z.file_id = o.prev AND z.name = o.name)
+SELECT file_id, field_name, 'added' AS change_kind FROM b WHERE h0 IS NULL UNION ALL SELECT file_id, field_name, 'removed' FROM b WHERE h1 IS NULL
+UNION ALL SELECT file_id, field_name, 'renamed' FROM b WHERE h1 <> h0 UNION ALL SELECT file_id, field_name, 'retyped' FROM b WHERE t1 <> t0"""
+
+
+def _p3_table() -> str:
+    def raw(n: str) -> str:
+        return f"max(x) FILTER (name = '{n}' AND x <> '') AS raw_{n}"
+
+    def num(n: str) -> str:
+        t = f"regexp_replace(raw_{n}, '[$, ]', '', 'g')"
+        return f"CASE WHEN {t} LIKE '%\\%' ESCAPE '\\' THEN TRY_CAST(rtrim({t}, '%') AS DOUBLE) / 100 ELSE TRY_CAST({t} AS DOUBLE) END"
+
+    def typed(n: str, t: str) -> str:
+        if n == "state":
+            codes = ", ".join(f"('{k}', '{v}')" for k, v in drift.state_codes().items())
+            return f"coalesce((SELECT code FROM (VALUES {codes}) s(k, code) WHERE k = lower(raw_state)), raw_state) AS state"
+        return f"CASE WHEN {num(n)} = floor({num(n)}) THEN CAST({num(n)} AS BIGINT) END AS {n}" if t == "bigint" else f"{num(n)} AS {n}"
+
+    fields = ", ".join(f"'{n}'" for n in drift.FIELDS)
+    fails = " || ".join(f"CASE WHEN raw_{n} IS NOT NULL AND {n} IS NULL THEN ';{n}=' || raw_{n} ELSE '' END" for n in sorted(drift.FIELDS))
+    return _P3 + f""", d AS (SELECT c.feed_id, c.file_id, c.published_at, c.line_no, n.name, trim(coalesce(c.cells[n.pos], '')) AS x, coalesce(c.cells[n.pos], '') AS cell FROM n JOIN c ON c.file_id = n.file_id AND c.line_no > n.header_line),
+g AS (SELECT feed_id, file_id, published_at, line_no, {', '.join(raw(n) for n in drift.FIELDS)}, coalesce(string_agg(name || '=' || cell, ';' ORDER BY name || '=' || cell) FILTER (name NOT IN ({fields})), '') AS extras FROM d GROUP BY ALL),
+t AS (SELECT *, {', '.join(typed(n, t) for n, t in drift.FIELDS.items())} FROM g)
+SELECT feed_id, file_id, published_at, line_no, {', '.join(drift.FIELDS)}, extras, ltrim({fails}, ';') AS cast_failures FROM t"""
+
+
 def _p5_sql() -> str:
     levels = {"person": "person", "industry_year": "iy", "industry": "ind", "snapshot": "sn", "all": "'*'"}
     joins, sel = [], []
@@ -185,6 +230,8 @@ def oracle_sql() -> dict[str, str]:
         "p1_orphan_counts": _P1 + "SELECT table_name, ref_field, period, orphan_kind, count(DISTINCT row_id) AS orphan_rows FROM found WHERE orphan_kind IS NOT NULL GROUP BY ALL",
         "p2_found": _P2 + "SELECT stratum_id, v AS constraint_variable, o AS operation FROM cells WHERE has_bad OR n_values > 1",
         "p2_wide": _P2 + f"SELECT stratum_id, {_P2_COLS},\n  coalesce(string_agg(v || '|' || o || '=' || CASE WHEN has_bad THEN bad ELSE 'conflict' END, ';' ORDER BY v || '|' || o) FILTER (has_bad OR n_values > 1), '') AS unfilled FROM cells GROUP BY stratum_id",
+        "p3_found": _P3_FOUND,
+        "p3_table": _p3_table(),
         "p4_found": _GEO + "SELECT key_field, key_value FROM k, (SELECT count(*) AS t FROM geography_assignment) WHERE key_value IS NOT NULL GROUP BY key_field, key_value, t HAVING count(*) >= t * CASE key_field WHEN 'cd_geoid' THEN 0.02 ELSE 0.05 END",
         "p4_key_totals": _GEO + "SELECT key_field, key_value, count(*) AS n_rows, count(DISTINCT record_idx) AS n_records, round(sum(w) FILTER (NOT isnan(w)), 2) AS total_weight FROM k WHERE key_value IS NOT NULL GROUP BY ALL",
         "p4_key_quantiles": _GEO + ", qs AS (SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS q), r AS (SELECT key_field, key_value, w, row_number() OVER (PARTITION BY key_field, key_value ORDER BY w) AS i, count(w) OVER (PARTITION BY key_field, key_value) AS n FROM k WHERE key_value IS NOT NULL AND w IS NOT NULL AND NOT isnan(w))"

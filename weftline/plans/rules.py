@@ -172,7 +172,9 @@ def f9_age_ranges(spark, d):
     return Micro(spark, d).raw("part").select("p_partkey", lo.alias("lo"), hi.alias("hi"))
 
 
-@book.add()
+@book.add("""
+WITH h AS (SELECT p_partkey, list_reduce(list_transform(string_split(p_name, ''), lambda ch: ord(ch)::HUGEINT), lambda x, b: (x * 31 + b) % 18446744073709551616::HUGEINT, 0::HUGEINT)::UBIGINT AS a FROM part),
+m AS (SELECT p_partkey, ((xor(a, a >> 33)::UHUGEINT * 18397679294719823053::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT AS b FROM h) SELECT p_partkey, CAST(xor(b, b >> 33) AS VARCHAR) AS h FROM m""")
 def f10_string_hash(spark, d):
     return Micro(spark, d).raw("part").select("p_partkey", X.string_hash("p_name").alias("h"))
 
