@@ -43,18 +43,18 @@ def _hierarchy(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(_HIER + """SELECT domain, variable, d.state, district, round(state_value / sum(value) OVER (PARTITION BY domain, variable, d.state), 8) AS hif,
-round(CASE WHEN state_value IS NOT NULL THEN value * state_value / sum(value) OVER (PARTITION BY domain, variable, d.state) * CASE WHEN d.state = 1 THEN 1.25::DOUBLE ELSE 1 END ELSE value END, 2) AS reconciled FROM d LEFT JOIN s USING (domain, variable, state)""")
+round(CASE WHEN state_value IS NOT NULL THEN value * state_value / sum(value) OVER (PARTITION BY domain, variable, d.state) * CASE WHEN d.state = 1 THEN 1.25::DOUBLE ELSE 1 END ELSE value END, 4) AS reconciled FROM d LEFT JOIN s USING (domain, variable, state)""")
 def tg2_reconcile(spark, d):
     f = spark.createDataFrame([(1, "agi", 1.25)], "state int, variable string, factor double")
-    return T.reconcile(_hierarchy(spark, d), f).select("domain", "variable", "state", "district", F.round("hif", 8).alias("hif"), F.round("reconciled", 2).alias("reconciled"))
+    return T.reconcile(_hierarchy(spark, d), f).select("domain", "variable", "state", "district", F.round("hif", 8).alias("hif"), F.round("reconciled", 4).alias("reconciled"))
 
 
 @book.add(_HIER + """, x AS (SELECT *, sum(value) OVER (PARTITION BY domain, state) AS t FROM d)
-SELECT domain, state, district, round(CASE WHEN abs(t - state_value) > 1e-8 + 1e-3 * abs(state_value) AND t <> 0 THEN value * state_value / t ELSE value END, 2) AS rescaled FROM x LEFT JOIN s USING (domain, state)""")
+SELECT domain, state, district, round(CASE WHEN abs(t - state_value) > 1e-8 + 1e-3 * abs(state_value) AND t <> 0 THEN value * state_value / t ELSE value END, 4) AS rescaled FROM x LEFT JOIN s USING (domain, state)""")
 def tg3_rescale_children(spark, d):
     h = _hierarchy(spark, d)
     kids = h.where("geo_level = 'district'").select("domain", "state", "district", "value")
-    return T.rescale_children(h.where("geo_level = 'state'"), kids, ["domain", "state"]).select("domain", "state", "district", F.round("rescaled", 2).alias("rescaled"))
+    return T.rescale_children(h.where("geo_level = 'state'"), kids, ["domain", "state"]).select("domain", "state", "district", F.round("rescaled", 4).alias("rescaled"))
 
 
 @book.add("WITH s AS (SELECT state, segment, sum(wealth) AS v FROM household GROUP BY ALL) SELECT state, segment, round(v * 1000000 / sum(v) OVER (PARTITION BY segment), 4) AS scaled FROM s")

@@ -94,7 +94,7 @@ round(sum(value) FILTER (geo_level = 'district'), 2) AS district_sum, count(valu
 def a10_pivot_levels(spark, d):
     t = Micro(spark, d).raw("target_overview").where("value IS NOT NULL AND NOT isnan(value)").select("target_id", "variable", "period", "geo_level", "value").distinct()
     p = t.groupBy("variable", "period").pivot("geo_level", ["national", "state", "district"]).agg(F.round(F.sum("value"), 2).alias("sum"), F.count("value").alias("n"))
-    return p
+    return p.fillna(0, ["national_n", "state_n", "district_n"])
 
 
 @book.add("SELECT segment, round(sum(agi) FILTER (period = 1996), 2) AS \"1996\", round(sum(agi) FILTER (period = 1997), 2) AS \"1997\", round(sum(agi) FILTER (period = 1998), 2) AS \"1998\" FROM unit JOIN household USING (household_id) GROUP BY 1")
