@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.session import cut
+
 #: Keys per block, a power of two. It bounds the rows of one as-of window and the length of a run's array.
 RUN_BLOCK_BITS = 12
 #: Copies of each orphan key in the join back to the rows, so that a hot orphan key is spread over as many tasks.
@@ -74,7 +76,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, key: str, loaded_at: str =
     ``missing``: no parent has the key; ``deleted``: all parents with the key are deleted; ``late``: the first parent
     with the key was loaded after the reference. Every such row is returned, repeated rows as often as they occur.
     """
-    runs = key_runs(parents, key, loaded_at, deleted_at)
+    runs = cut(key_runs(parents, key, loaded_at, deleted_at))  # read twice below
     keys = refs.groupBy("ref_key").agg(F.min("ref_loaded_at").alias("earliest_ref"))
     at = match_runs(keys, runs)
     inside = F.coalesce(F.col("ref_key") <= F.col("run_end"), F.lit(False))
