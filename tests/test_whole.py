@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, differences
 from tests.conftest import SF
+from weftline.operators import joins
+from weftline.plans import joining
 
 QUERIES = entry.queries()
 
@@ -27,3 +29,35 @@ def test_splits_apply_to_every_person(spark, con):
     (CASE WHEN flag = 'R' THEN age ELSE 0 END) + (CASE WHEN linestatus = 'R' THEN gross ELSE 0 END) AS coded,
     least(earnings, 20000) AS pool1, least(greatest(earnings - least(earnings, 20000), 0), 15000) AS pool2 FROM person"""
     assert differences(QUERIES["q12_q13_q14_splits"](spark, SF), con, sql) == []
+
+
+def test_nearest_donor_among_all_other_parts(spark, con):
+    """Brute force over all pairs of a kind."""
+    import numpy as np
+
+    rows = con.execute("SELECT p_partkey, split_part(p_type, ' ', 1), p_size, p_retailprice FROM part").fetchall()
+    v = np.array([r[2:] for r in rows], float)
+    v = (v - v.mean(axis=0)) / v.std(axis=0)
+    got = {r["rid"]: r["distance"] for r in QUERIES["j22_nearest_donor"](spark, SF).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for i, (part, kind, *_) in enumerate(rows):
+        others = [j for j, r in enumerate(rows) if j != i and r[1] == kind] or [j for j in range(len(rows)) if j != i]
+        assert abs(got[part] - min(((v[j] - v[i]) ** 2).sum() for j in others)) < 1e-7
+
+
+def test_lone_row_of_a_group_meets_all_others(spark):
+    d = spark.createDataFrame([(1, "x", 0.0), (2, "x", 5.0), (3, "x", 6.0), (4, "y", 4.0)], "id long, g string, a double")
+    got = {r["rid"]: r["did"] for r in joins.nearest_donors(d, d, "id", "id", {"a": 1.0}, "g", standardise=False, block=1, others=True).collect()}
+    assert got == {1: 2, 2: 3, 3: 2, 4: 2}
+
+
+def test_every_place_value_counts(spark, con):
+    sql = """SELECT DISTINCT l_partkey AS record, c_nationkey AS district, round(coalesce(p_retailprice * (1 + c_nationkey / 100.0::DOUBLE), 0), 4) AS val
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey LEFT JOIN part ON p_partkey = l_partkey"""
+    assert differences(QUERIES["j20_j21_place_values"](spark, SF), con, sql) == []
+
+
+def test_place_value_falls_back_to_parent_then_zero(spark):
+    v = spark.createDataFrame([(1, 2, 8.0), (1, 7, 4.0)], "record long, district long, val double")
+    asked = spark.createDataFrame([(1, 2), (1, 12), (1, 3), (9, 2)], "record long, district long")
+    assert {(r["record"], r["district"]): r["val"] for r in joining._place_values(asked, v).collect()} == {(1, 2): 8.0, (1, 12): 6.0, (1, 3): 0.0, (9, 2): 0.0}

@@ -45,12 +45,12 @@ def checked_join(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return df.join(other, on)
 
 
-def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str, features: dict[str, float], group: str, k: int = 1, squared: bool = True, standardise: bool = True, block: int = 512) -> DataFrame:
+def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str, features: dict[str, float], group: str, k: int = 1, squared: bool = True, standardise: bool = True, block: int = 512, others: bool = False) -> DataFrame:
     """For each recipient the ``k`` nearest donors of its group: ``rid, did, distance, rank`` (ties: smaller id).
 
     ``features`` names the columns with their weights. Distances are weighted sums of squared (or absolute) differences;
     standardised by the donors' mean and deviation (0 counts as 1), missing features counting as the mean. Recipients
-    of a group without donors are matched against all donors.
+    of a group without donors are matched against all donors. With ``others`` a recipient's own id is no donor for it.
 
     Recipients and donors of a group are dealt to blocks of about ``block`` rows by a hash of their id; a recipient
     block meets each donor block of its group in one Arrow batch function that keeps the ``k`` best, so no pair of rows
@@ -67,9 +67,12 @@ def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str,
     vec = F.array(*[z(f) for f in features])
     dealt = lambda n: F.pmod(F.xxhash64("_id"), F.greatest(F.ceil(n / block), F.lit(1)))
     d = donors.select(F.col(did).alias("_id"), F.col(group).cast("string").alias("_g"), vec.alias("_v"))
-    sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"))
+    sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"), F.min("_id").alias("_one"))
     r = recipients.select(F.col(rid).alias("_id"), F.col(group).cast("string").alias("_g"), vec.alias("_v")).join(sizes, "_g", "left")
-    r = r.select("_id", F.when(F.col("_nd").isNull(), F.lit(everyone)).otherwise(F.col("_g")).alias("_g"), "_v")
+    without = F.col("_nd").isNull()
+    if others:
+        without = without | ((F.col("_nd") == 1) & (F.col("_one") == F.col("_id")))
+    r = r.select("_id", F.when(without, F.lit(everyone)).otherwise(F.col("_g")).alias("_g"), "_v")
     if r.where(F.col("_g") == everyone).limit(1).count():
         d = d.unionByName(d.withColumn("_g", F.lit(everyone)))
         sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"))
@@ -88,8 +91,10 @@ def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str,
                 for j, w in enumerate(weights):
                     diff = a[:, j, None] - p[None, :, j]
                     dist += w * (diff * diff if squared else np.abs(diff))
-                best = np.argsort(dist, axis=1, kind="stable")[:, :k]
-                rows += [(x["_id"], have[j]["_id"], float(dist[i, j])) for i, x in enumerate(ask) for j in best[i]]
+                if others:
+                    dist[np.array([x["_id"] for x in ask])[:, None] == np.array([x["_id"] for x in have])] = np.inf
+                best = np.where(np.isnan(dist), np.inf, dist).argmin(axis=1)[:, None] if k == 1 else np.argsort(dist, axis=1, kind="stable")[:, :k]
+                rows += [(x["_id"], have[j]["_id"], float(dist[i, j])) for i, x in enumerate(ask) for j in best[i] if not others or x["_id"] != have[j]["_id"]]
             yield pd.DataFrame(rows, columns=["rid", "did", "distance"])
 
     types = dict(recipients.dtypes)[rid], dict(donors.dtypes)[did]

@@ -161,10 +161,15 @@ SELECT part AS record, district, round(coalesce(val, sval, 0), 4) AS val FROM (S
 def j20_j21_place_values(spark, d):
     """A record's value for its place, else for the place's parent, else 0."""
     m = Micro(spark, d)
-    v = m.raw("part").select(c("p_partkey").alias("record"), "p_retailprice").withColumn("district", F.explode(F.sequence(F.lit(0), F.lit(24)))).where("(record + district) % 5 = 0").select("record", "district", (c("p_retailprice") * (1 + c("district") / 100.0)).alias("val"))
+    v = m.raw("part").select(c("p_partkey").alias("record"), "p_retailprice").withColumn("district", F.explode(F.sequence(F.lit(0), F.lit(24)))).select("record", "district", (c("p_retailprice") * (1 + c("district") / 100.0)).alias("val"))
+    asked = m.person.join(m.household.select("household_id", "district"), "household_id").select(c("part").alias("record"), "district").distinct()
+    return _place_values(asked, v).withColumn("val", F.round("val", 4))
+
+
+def _place_values(asked: DataFrame, v: DataFrame) -> DataFrame:
     s = v.groupBy("record", (c("district") % 5).alias("st")).agg(F.avg("val").alias("sval"))
-    asked = m.person.join(m.household.select("household_id", "district"), "household_id").select(c("part").alias("record"), "district").distinct().withColumn("st", c("district") % 5)
-    return asked.join(v, ["record", "district"], "left").join(s, ["record", "st"], "left").select("record", "district", F.round(F.coalesce("val", "sval", F.lit(0.0)), 4).alias("val"))
+    j = asked.withColumn("st", c("district") % 5).join(v, ["record", "district"], "left").join(s, ["record", "st"], "left")
+    return j.select("record", "district", F.coalesce("val", "sval", F.lit(0.0)).alias("val"))
 
 
 _KNN = """
@@ -176,8 +181,9 @@ x AS (SELECT rid, did, round(pow((r.p_size - d.p_size) / ss, 2) + pow((r.p_retai
 
 @book.add(_KNN + "SELECT rid, min(dist) AS distance FROM x GROUP BY rid")
 def j22_nearest_donor(spark, d):
+    """Each part's nearest other part of its kind."""
     p = Micro(spark, d).raw("part").withColumn("g", F.split("p_type", " ")[0])
-    found = J.nearest_donors(p.where("p_partkey % 3 = 1"), p.where("p_partkey % 3 = 0"), "p_partkey", "p_partkey", {"p_size": 1.0, "p_retailprice": 1.0}, "g")
+    found = J.nearest_donors(p, p, "p_partkey", "p_partkey", {"p_size": 1.0, "p_retailprice": 1.0}, "g", others=True)
     return found.select("rid", F.round("distance", 8).alias("distance"))
 
 
