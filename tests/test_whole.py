@@ -1,12 +1,13 @@
 """Queries that must treat all rows, against an independent computation over the whole tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
 from tests.conftest import SF
-from weftline.operators import joins
-from weftline.plans import joining
+from weftline.operators import joins, matrix, solve
+from weftline.plans import geography, joining, solving
 
 QUERIES = entry.queries()
 
@@ -61,3 +62,44 @@ def test_place_value_falls_back_to_parent_then_zero(spark):
     v = spark.createDataFrame([(1, 2, 8.0), (1, 7, 4.0)], "record long, district long, val double")
     asked = spark.createDataFrame([(1, 2), (1, 12), (1, 3), (9, 2)], "record long, district long")
     assert {(r["record"], r["district"]): r["val"] for r in joining._place_values(asked, v).collect()} == {(1, 2): 8.0, (1, 12): 6.0, (1, 3): 0.0, (9, 2): 0.0}
+
+
+def test_raking_meets_its_targets(spark):
+    x, t = solving.problem(spark, SF)
+    w = QUERIES["sv1_rake_to_tolerance"](spark, SF)
+    assert abs(solve.totals(x.join(w, "household_id"), solving.FEATURES, F.col("w")) / t - 1).max() < 1e-5
+    for r in QUERIES["lr2_yearly_projection"](spark, SF).collect():
+        assert abs(r["achieved"] / r["value"] - 1) < 1e-5
+
+
+def test_raking_over_rows_and_over_distinct_features_agree(spark):
+    x = spark.createDataFrame([(1.0 + i % 3, float(i % 4), float(i % 2)) for i in range(60)], "d double, a double, b double")
+    t = list(solve.totals(x, ["a", "b"], F.col("d")) * [1.05, 0.97])
+    one, two = (x.select(solve.rake(x, ["a", "b"], t, "d", 4, rows=n).weight.alias("w")).toPandas()["w"].to_numpy() for n in (0, 1000))
+    assert abs(one - two).max() < 1e-9
+
+
+def test_gates_close_and_targets_hold(spark):
+    got = QUERIES["sv7_sv8_sparse_gates"](spark, SF).toPandas()
+    assert 0 < got["active"].sum() < len(got) / 2
+    assert (got.loc[~got["active"], "w"] == 0).all()
+    x = spark.createDataFrame([(k % 2, k, 1.0) for k in range(40)], "target_idx long, col_id long, val double")
+    w = x.select("col_id", F.lit(1.0).alias("w"))
+    y = spark.createDataFrame([(0, 30.0), (1, 10.0)], "target_idx long, value double")
+    fit = solve.sparse_gates(x, w, y, 1e-3)
+    est = {r["target_idx"]: r["estimate"] for r in matrix.multiply(x, fit).collect()}
+    assert abs(est[0] / 30 - 1) < 0.15 and abs(est[1] / 10 - 1) < 0.15
+
+
+def test_gates_in_one_task_and_spread_agree(spark):
+    x = spark.createDataFrame([(k % 2, k // 2, 1.0 + k) for k in range(12)], "target_idx long, col_id long, val double")
+    w = x.select("col_id", F.lit(1.0).alias("w")).distinct()
+    y = spark.createDataFrame([(0, 30.0, 0.5), (1, 10.0, 1.5)], "target_idx long, value double, mass double")
+    one, two = ({r["col_id"]: r["w"] for r in solve.sparse_gates(x, w, y, 1e-3, epochs=3, local=n).collect()} for n in (0, 1000))
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-9 for k in one)
+
+
+def test_targets_of_the_nation_weigh_as_much_as_the_others(spark):
+    _, t, x = geography._package(spark, SF)
+    got = solving._gate_targets(t, x).groupBy("nation").agg(F.sum("mass").alias("m")).collect()
+    assert len(got) == 2 and abs(got[0]["m"] - got[1]["m"]) < 1e-9

@@ -2,8 +2,8 @@
 
 The unknowns of the convex solvers are one number per target. They live on the driver; the weights are a closed
 expression of them (``d * exp(x . b)`` and the like), so an iteration is one aggregation over the rows, no state is
-shuffled and no lineage grows. Only the gate solver keeps a state per column; it writes it to the checkpoint folder
-every epoch.
+shuffled and no lineage grows. Only the gate solver keeps a state per column: within one task, or, for a large matrix,
+written to the checkpoint folder every epoch.
 
 Features are numeric columns, one per target. Null features count as zero.
 """
@@ -66,8 +66,15 @@ def moments(df: DataFrame, features: list[str], w: Column) -> tuple[np.ndarray,
     return g[0, 1:], g[1:, 1:], g[0, 0]
 
 
-def rake(df: DataFrame, features: list[str], targets: list[float], weight: str, iterations: int = 100, tol: float = 1e-6) -> Fit:
-    """Multiplicative raking: each row moves by its targets' factors, with its feature shares as exponents."""
+#: Most distinct feature rows that are raked on the driver; beyond, every round is an aggregation.
+RAKE_ROWS = 100_000
+
+
+def rake(df: DataFrame, features: list[str], targets: list[float], weight: str, iterations: int = 2000, tol: float = 1e-6, rows: int = RAKE_ROWS) -> Fit:
+    """Multiplicative raking: each row moves by its targets' factors, with its feature shares as exponents.
+
+    Rows with equal features move alike, so the rounds run over the distinct feature rows and their summed weights.
+    """
     y = np.array(targets, float)
     xs = [F.greatest(x, F.lit(0.0)) for x in _x(features)]
     whole = functools.reduce(operator.add, xs)
@@ -77,14 +84,23 @@ def rake(df: DataFrame, features: list[str], targets: list[float], weight: str,
         e = functools.reduce(operator.add, [x * F.lit(float(v)) for x, v in zip(xs, lf)])
         return F.col(weight) * F.when(whole > 0, F.exp(e / whole)).otherwise(F.lit(1.0))
 
-    done = 0
+    distinct = cut(df.groupBy(*[x.alias(f) for x, f in zip(_x(features), features)]).agg(F.sum(F.col(weight).cast("double")).alias(weight)))
+    if distinct.count() <= rows:
+        a = np.array([list(r) for r in distinct.select(*features, weight).collect()], float).reshape(-1, len(y) + 1)
+        x, d = a[:, :-1], np.nan_to_num(a[:, -1])
+        up = np.maximum(x, 0.0)
+        share = up / np.where(up.sum(axis=1) > 0, up.sum(axis=1), 1.0)[:, None]
+        sums = lambda lf: (d * np.exp(share @ lf)) @ x
+    else:
+        sums = lambda lf: totals(distinct, features, w_of(lf))
+
+    done, met = 0, False
     for done in range(1, iterations + 1):
-        step = np.log(np.maximum(y, 1e-300)) - np.log(totals(df, features, w_of(log_f)) + 1e-10)
+        step = np.log(np.maximum(y, 1e-300)) - np.log(sums(log_f) + 1e-10)
         log_f = log_f + step
-        if np.abs(step).max() < tol:
+        if met := bool(np.abs(step).max() < tol):
             break
-    err = totals(df, features, w_of(log_f)) - y
-    return Fit(w_of(log_f), ["rake"], done, err)
+    return Fit(w_of(log_f), ["rake"], done, sums(log_f) - y, met)
 
 
 def linear(df: DataFrame, features: list[str], targets: list[float], weight: str) -> Fit:
@@ -192,51 +208,100 @@ def calibrate(df: DataFrame, features: list[str], targets: list[float], weight:
     return rake(df, features, targets, weight)
 
 
-def sparse_gates(matrix: DataFrame, weights: DataFrame, targets: DataFrame, penalty: float, epochs: int, rate: float = 0.1, temperature: float = 0.5) -> DataFrame:
+#: Most matrix entries that one task fits by itself (32 bytes each); beyond, every epoch is a pass over the columns.
+LOCAL_ENTRIES = 2_000_000
+
+
+def sparse_gates(matrix: DataFrame, weights: DataFrame, targets: DataFrame, penalty: float, epochs: int = 5000, rate: float = 0.1, temperature: float = 0.5, tol: float = 1e-4, patience: int = 200, local: int = LOCAL_ENTRIES) -> DataFrame:
     """Sparse reweighting with stretched gates: ``col_id, w, gate, active``.
 
-    ``matrix``: ``target_idx, col_id, val``; ``weights``: ``col_id, w``; ``targets``: ``target_idx, value``. Loss is
-    the mean over targets of ``((estimate - value + 1) / (value + 1))^2`` plus ``penalty`` times the expected number of
-    open gates. Each column holds its entries, logarithmic weight, gate logit and Adam moments; an epoch is a map over
-    the columns with the residuals of all targets (a bounded list, one number each) and one aggregation for the next
-    estimates. Gates use their expected openings, so the fit is reproducible.
+    ``matrix``: ``target_idx, col_id, val``; ``weights``: ``col_id, w``; ``targets``: ``target_idx, value`` and, if it
+    has the column, ``mass`` (a target's factor in the loss). Loss is the mean over targets of
+    ``mass * ((estimate - value + 1) / (value + 1))^2`` plus ``penalty`` times the expected number of open gates. It is
+    minimised by Adam until, over ``patience`` epochs, the least loss has fallen by no more than ``tol`` of itself and as
+    many gates stayed open; over ``epochs`` epochs at most. Gates use their expected
+    openings, so the fit is reproducible.
+
+    Up to ``local`` entries are fitted in one task. Beyond, each column holds its entries, logarithmic weight, gate logit
+    and Adam moments; an epoch is a map over the columns with the residuals of all targets (a bounded list, one number
+    each) and one aggregation for the next estimates.
     """
     lo, hi = -0.1, 1.1
-    state = matrix.groupBy("col_id").agg(F.array_sort(F.collect_list(F.struct("target_idx", "val"))).alias("e")).join(weights, "col_id").select(
-        "col_id", "e", F.log(F.greatest("w", F.lit(1e-12))).alias("lw"), F.lit(2.0).alias("la"), *[F.lit(0.0).alias(m) for m in ("m1", "v1", "m2", "v2")])
-    y = {r["target_idx"]: float(r["value"]) for r in targets.select("target_idx", "value").collect()}  # one row per target
+    y = {r["target_idx"]: (float(r["value"]), float(r["mass"])) for r in (targets if "mass" in targets.columns else targets.withColumn("mass", F.lit(1.0))).select("target_idx", "value", "mass").collect()}  # one row per target
     n = max(len(y), 1)
+    shift = temperature * np.log(-lo / hi)
+    flat = cut(matrix.join(weights, "col_id").select("col_id", "target_idx", F.col("val").cast("double").alias("val"), F.log(F.greatest("w", F.lit(1e-12))).alias("lw")))
     gate = F.least(F.greatest(F.lit(1.0) / (1 + F.exp(-F.col("la"))) * (hi - lo) + lo, F.lit(0.0)), F.lit(1.0))
-    schema = state.schema
-
-    def estimate(s: DataFrame) -> dict:
-        rows = s.select(F.explode("e").alias("x"), (F.exp("lw") * gate).alias("w")).groupBy("x.target_idx").agg(F.sum(F.col("x.val") * F.col("w")).alias("est"))
-        return {r["target_idx"]: r["est"] for r in rows.collect()}  # one row per target
-
-    def update(slope: dict, t: int) -> Callable:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                g = np.array([sum(x["val"] * slope.get(x["target_idx"], 0.0) for x in e) for e in b["e"]])
-                la, w = b["la"].to_numpy(float), np.exp(b["lw"].to_numpy(float))
-                sig = 1 / (1 + np.exp(-la))
-                raw = sig * (hi - lo) + lo
-                z = np.clip(raw, 0, 1)
-                active = 1 / (1 + np.exp(-(la - temperature * np.log(-lo / hi))))
-                g1 = g * w * z
-                g2 = g * w * np.where((raw > 0) & (raw < 1), (hi - lo) * sig * (1 - sig), 0) + penalty * active * (1 - active)
-                for p, grad, m, v in (("lw", g1, "m1", "v1"), ("la", g2, "m2", "v2")):
-                    b[m] = 0.9 * b[m] + 0.1 * grad
-                    b[v] = 0.999 * b[v] + 0.001 * grad * grad
-                    b[p] = b[p] - rate * (b[m] / (1 - 0.9**t)) / (np.sqrt(b[v] / (1 - 0.999**t)) + 1e-8)
-                yield b
-
-        return run
-
-    state = cut(state)
-    for t in range(1, epochs + 1):
-        est = estimate(state)
-        slope = {k: 2 * (est.get(k, 0.0) - v + 1) / (v + 1) ** 2 / n for k, v in y.items()}
-        state = cut(state.mapInPandas(update(slope, t), schema))
+    given = dict(flat.dtypes)["col_id"]
+
+    def settled(history: list[tuple[float, int]]) -> bool:
+        if len(history) <= patience:
+            return False
+        last = history[-patience:]
+        return min(x for x, _ in last) >= min(x for x, _ in history[:-patience]) * (1 - tol) and len({n for _, n in last}) == 1
+
+    def loss_slope(est: dict) -> tuple[float, dict]:
+        r = {k: (est.get(k, 0.0) - v + 1) / (v + 1) for k, (v, _) in y.items()}
+        return sum(m * r[k] ** 2 for k, (_, m) in y.items()) / n, {k: 2 * m * r[k] / (v + 1) / n for k, (v, m) in y.items()}
+
+    def step(b: pd.DataFrame, g: np.ndarray, t: int) -> None:
+        la, w = b["la"].to_numpy(float), np.exp(b["lw"].to_numpy(float))
+        sig = 1 / (1 + np.exp(-la))
+        raw = sig * (hi - lo) + lo
+        z = np.clip(raw, 0, 1)
+        active = 1 / (1 + np.exp(-(la - shift)))
+        g1 = g * w * z
+        g2 = g * w * np.where((raw > 0) & (raw < 1), (hi - lo) * sig * (1 - sig), 0) + penalty * active * (1 - active)
+        for p, grad, m, v in (("lw", g1, "m1", "v1"), ("la", g2, "m2", "v2")):
+            b[m] = 0.9 * b[m] + 0.1 * grad
+            b[v] = 0.999 * b[v] + 0.001 * grad * grad
+            b[p] = b[p] - rate * (b[m] / (1 - 0.9**t)) / (np.sqrt(b[v] / (1 - 0.999**t)) + 1e-8)
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [*batches]
+        if not rows:
+            return
+        x = pd.concat(rows, ignore_index=True).sort_values(["col_id", "target_idx"], ignore_index=True)
+        col, ids = pd.factorize(x["col_id"])
+        row, names = pd.factorize(x["target_idx"])
+        val = x["val"].to_numpy(float)
+        b = pd.DataFrame({"col_id": ids, "lw": x["lw"].to_numpy(float)[np.unique(col, return_index=True)[1]], "la": 2.0} | dict.fromkeys(("m1", "v1", "m2", "v2"), 0.0))
+        history: list[tuple[float, int]] = []
+        for t in range(1, epochs + 1):
+            sig = 1 / (1 + np.exp(-b["la"].to_numpy()))
+            z = np.clip(sig * (hi - lo) + lo, 0, 1)
+            w = np.exp(b["lw"].to_numpy()) * z
+            main, slope = loss_slope(dict(zip(names, np.bincount(row, val * w[col], len(names)))))
+            history.append((main + penalty * float((1 / (1 + np.exp(-(b["la"].to_numpy() - shift)))).sum()), int((z > 0).sum())))
+            if settled(history):
+                break
+            step(b, np.bincount(col, val * np.array([slope.get(k, 0.0) for k in names])[row], len(ids)), t)
+        yield b[["col_id", "lw", "la"]]
+
+    def spread() -> DataFrame:
+        s = flat.groupBy("col_id").agg(F.array_sort(F.collect_list(F.struct("target_idx", "val"))).alias("e"), F.first("lw").alias("lw"))
+        s = cut(s.select("col_id", "e", "lw", F.lit(2.0).alias("la"), *[F.lit(0.0).alias(m) for m in ("m1", "v1", "m2", "v2")]))
+
+        def update(slope: dict, t: int) -> Callable:
+            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for b in batches:
+                    step(b, np.array([sum(x["val"] * slope.get(x["target_idx"], 0.0) for x in e) for e in b["e"]]), t)
+                    yield b
+
+            return run
+
+        history: list[tuple[float, int]] = []
+        for t in range(1, epochs + 1):
+            rows = s.select(F.explode("e").alias("x"), (F.exp("lw") * gate).alias("w")).groupBy("x.target_idx").agg(F.sum(F.col("x.val") * F.col("w")).alias("est"))
+            main, slope = loss_slope({r["target_idx"]: r["est"] for r in rows.collect()})  # one row per target
+            p, k = s.agg(F.sum(1 / (1 + F.exp(F.lit(shift) - F.col("la")))), F.sum((gate > 0).cast("long"))).first()
+            history.append((main + penalty * (p or 0.0), k or 0))
+            if settled(history):
+                break
+            s = cut(s.mapInPandas(update(slope, t), s.schema))
+        return s
+
+    state = flat.repartition(1).mapInPandas(fit, f"col_id {given}, lw double, la double") if flat.count() <= local else spread()
     return state.select("col_id", (F.exp("lw") * gate).alias("w"), gate.alias("gate"), (gate > 0).alias("active"))
 
 

@@ -46,6 +46,13 @@ def sv1_rake_two_rounds(spark: SparkSession, d: str) -> DataFrame:
     return x.select("household_id", F.round(S.rake(x, FEATURES, t, "d", iterations=2, tol=0.0).weight, 6).alias("w"))
 
 
+@book.add()
+def sv1_rake_to_tolerance(spark, d):
+    """All rounds, until no factor is further than 1e-6 from one."""
+    x, t = problem(spark, d)
+    return x.select("household_id", S.rake(x, FEATURES, t, "d").weight.alias("w"))
+
+
 @book.add(_P + """, s AS (SELECT sum(d * f0) * 0.03::DOUBLE AS r0, sum(d * f1) * -0.05::DOUBLE AS r1, sum(d * f0 * f0) AS a, sum(d * f0 * f1) AS b, sum(d * f1 * f1) AS e FROM x), l AS (SELECT (r0 * e - r1 * b) / (a * e - b * b) AS l0, (a * r1 - b * r0) / (a * e - b * b) AS l1 FROM s)
 SELECT household_id, round(d * (1 + f0 * l0 + f1 * l1), 6) AS w FROM x, l""")
 def sv2_linear(spark, d):
@@ -81,8 +88,15 @@ def sv7_sv8_sparse_gates(spark, d):
     from weftline.plans.geography import _package
 
     cols, t, x = _package(spark, d)
-    est = x.groupBy("target_idx").agg((F.sum("val") * 1.5).alias("value"))
-    return S.sparse_gates(x, cols.select("col_id", F.lit(1.0).alias("w")), est, penalty=1e-4, epochs=4)
+    return S.sparse_gates(x, cols.select("col_id", F.lit(1.0).alias("w")), _gate_targets(t, x), penalty=1e-4)
+
+
+def _gate_targets(t: DataFrame, x: DataFrame) -> DataFrame:
+    """Targets 50% off, those of the nation together as heavy as all others."""
+    est = x.groupBy("target_idx").agg((F.sum("val") * 1.5).alias("value")).join(t.select("target_idx", (c("geo_level") == "national").alias("nation")), "target_idx")
+    n = est.agg(N().alias("n"), F.sum(c("nation").cast("long")).alias("k")).first()
+    # of mean 1: each half of the loss has the mass n / 2
+    return est.withColumn("mass", F.when(c("nation"), n["n"] / (2.0 * max(n["k"] or 0, 1))).otherwise(n["n"] / (2.0 * max(n["n"] - (n["k"] or 0), 1))))
 
 
 @book.add("""
@@ -293,7 +307,7 @@ def lr2_yearly_projection(spark, d):
     out = None
     for year in range(3):
         want = [v * 1.01**year for v in t]
-        fit = S.rake(x, FEATURES, want, "d", iterations=8)
+        fit = S.rake(x, FEATURES, want, "d")
         got = S.totals(x, FEATURES, fit.weight)
         part = spark.createDataFrame([(2025 + year, f, float(w), float(g)) for f, w, g in zip(FEATURES, want, got)], "year int, target string, value double, achieved double")
         out = part if out is None else out.unionByName(part)
