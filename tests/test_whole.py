@@ -103,3 +103,19 @@ def test_targets_of_the_nation_weigh_as_much_as_the_others(spark):
     _, t, x = geography._package(spark, SF)
     got = solving._gate_targets(t, x).groupBy("nation").agg(F.sum("mass").alias("m")).collect()
     assert len(got) == 2 and abs(got[0]["m"] - got[1]["m"]) < 1e-9
+
+
+def test_density_counts_the_columns(spark):
+    cols, t, x = geography._package(spark, SF)
+    got = QUERIES["mx5_package_report"](spark, SF).first()
+    assert cols.count() == 2 * 150 and abs(got["density"] - x.count() / (t.count() * 2 * 150)) < 1e-8
+
+
+def test_columns_stay_apart_beyond_a_million_households(spark, tmp_path):
+    for t in ("nation", "region"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    n = 1_000_001
+    spark.read.parquet(f"{SF}/customer.parquet").limit(2).withColumn("c_custkey", F.when(F.monotonically_increasing_id() % 2 == 0, 1).otherwise(n).cast("long")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.read.parquet(f"{SF}/orders.parquet").limit(2).withColumn("o_custkey", F.when(F.monotonically_increasing_id() % 2 == 0, 1).otherwise(n).cast("long")).write.parquet(f"{tmp_path}/orders.parquet")
+    cols, _, _ = geography._package(spark, str(tmp_path))
+    assert cols.count() == 4 and cols.select("col_id").distinct().count() == 4

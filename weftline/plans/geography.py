@@ -177,7 +177,10 @@ x AS (SELECT target_idx, value_key, geo_level, geographic_id, col_id, val FROM c
 def _package(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Columns, targets and matrix of a small package: two clones, two value keys, three levels."""
     m = Micro(spark, d)
-    col = m.household.select("household_id", "district", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("k")).select((c("k") * 1000000 + c("household_id")).alias("col_id"), c("household_id").alias("record"), ((c("district") + c("k") * 7) % 25).alias("district"))
+    h = m.household.select("household_id", "district")
+    # the factor of the clone number is beyond all ids, and 1,000,000 at least, so that ids up to that size stay as they were
+    step = h.agg(F.greatest(F.max("household_id") + 1, F.lit(1000000)).alias("step"))
+    col = C.clones(h.join(F.broadcast(step), F.lit(True)), 2, "household_id", c("step")).select("col_id", c("household_id").alias("record"), ((c("district") + c("clone") * 7) % 25).alias("district"))
     cols = col.join(m.district.select("district", "state"), "district")
     u = m.unit
     vals = u.groupBy(F.lit("agi").alias("value_key"), c("household_id").alias("record")).agg(F.sum("agi").alias("val")).unionByName(u.where("status = 'F'").groupBy(F.lit("units").alias("value_key"), c("household_id").alias("record")).agg(N().cast("double").alias("val")))
@@ -212,8 +215,8 @@ def mx4_initial_weights(spark, d):
 
 @book.add(_MX + "SELECT (SELECT count(*) FROM tg) AS n_targets, count(*) AS entries, (SELECT count(*) FROM tg) - count(DISTINCT target_idx) AS impossible, round(count(*) / ((SELECT count(*) FROM tg) * 1000.0), 8) AS density FROM x")
 def mx5_package_report(spark, d):
-    _, t, x = _package(spark, d)
-    return MX.package_report(x, t, 1000).withColumn("density", F.round("density", 8))
+    cols, t, x = _package(spark, d)
+    return MX.package_report(x, t, cols.count()).withColumn("density", F.round("density", 8))
 
 
 @book.add(_MX + ", e AS (SELECT target_idx, sum(val) AS xw FROM x GROUP BY 1), k AS (SELECT value_key, geo_level, geographic_id, sum(val) AS direct FROM x GROUP BY ALL) SELECT value_key, geo_level, geographic_id, round(xw, 2) AS xw, round(direct, 2) AS direct FROM e JOIN tg USING (target_idx) JOIN k USING (value_key, geo_level, geographic_id)")
