@@ -185,7 +185,7 @@ def _package(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFra
     u = m.unit
     vals = u.groupBy(F.lit("agi").alias("value_key"), c("household_id").alias("record")).agg(F.sum("agi").alias("val")).unionByName(u.where("status = 'F'").groupBy(F.lit("units").alias("value_key"), c("household_id").alias("record")).agg(N().cast("double").alias("val")))
     keys = F.explode(F.array(F.lit("agi"), F.lit("units"))).alias("value_key")
-    t = m.raw("region").limit(1).select(keys, F.lit(0).alias("lv"), F.lit("national").alias("geo_level"), F.lit("US").alias("geographic_id"))
+    t = spark.range(1).select(keys, F.lit(0).alias("lv"), F.lit("national").alias("geo_level"), F.lit("US").alias("geographic_id"))
     t = t.unionByName(m.raw("region").select(keys, F.lit(1).alias("lv"), F.lit("state").alias("geo_level"), c("r_regionkey").cast("string").alias("geographic_id")))
     t = t.unionByName(m.raw("nation").select(keys, F.lit(2).alias("lv"), F.lit("district").alias("geo_level"), c("n_nationkey").cast("string").alias("geographic_id")))
     from pyspark.sql import Window
@@ -213,7 +213,7 @@ def mx4_initial_weights(spark, d):
     return MX.initial_weights(cols, people).select("col_id", F.round("w", 8).alias("w"))
 
 
-@book.add(_MX + "SELECT (SELECT count(*) FROM tg) AS n_targets, count(*) AS entries, (SELECT count(*) FROM tg) - count(DISTINCT target_idx) AS impossible, round(count(*) / ((SELECT count(*) FROM tg) * 1000.0), 8) AS density FROM x")
+@book.add(_MX + "SELECT (SELECT count(*) FROM tg) AS n_targets, count(*) AS entries, (SELECT count(*) FROM tg) - count(DISTINCT target_idx) AS impossible, round(count(*) / ((SELECT count(*) FROM tg) * (SELECT count(*) FROM cols)), 8) AS density FROM x")
 def mx5_package_report(spark, d):
     cols, t, x = _package(spark, d)
     return MX.package_report(x, t, cols.count()).withColumn("density", F.round("density", 8))

@@ -156,7 +156,7 @@ def j19_checked_join(spark, d):
 
 
 @book.add("""
-WITH v AS (SELECT p_partkey AS record, n_nationkey AS place, p_retailprice * (1 + n_nationkey / 100.0::DOUBLE) AS val FROM part, nation WHERE (p_partkey + n_nationkey) % 5 = 0), s AS (SELECT record, place % 5 AS st, avg(val) AS sval FROM v GROUP BY ALL)
+WITH v AS (SELECT p_partkey AS record, n_nationkey AS place, p_retailprice * (1 + n_nationkey / 100.0::DOUBLE) AS val FROM part, nation), s AS (SELECT record, place % 5 AS st, avg(val) AS sval FROM v GROUP BY ALL)
 SELECT part AS record, district, round(coalesce(val, sval, 0), 4) AS val FROM (SELECT DISTINCT part, district FROM person JOIN household USING (household_id)) LEFT JOIN v ON record = part AND place = district LEFT JOIN s ON s.record = part AND st = district % 5""")
 def j20_j21_place_values(spark, d):
     """A record's value for its place, else for the place's parent, else 0."""
@@ -173,9 +173,8 @@ def _place_values(asked: DataFrame, v: DataFrame) -> DataFrame:
 
 
 _KNN = """
-WITH st AS (SELECT avg(p_size) AS ms, stddev_pop(p_size) AS ss, avg(p_retailprice) AS mp, stddev_pop(p_retailprice) AS sp FROM part WHERE p_partkey % 3 = 0),
-d AS (SELECT p_partkey AS did, split_part(p_type, ' ', 1) AS g, p_size, p_retailprice FROM part WHERE p_partkey % 3 = 0), r AS (SELECT p_partkey AS rid, split_part(p_type, ' ', 1) AS g, p_size, p_retailprice FROM part WHERE p_partkey % 3 = 1),
-x AS (SELECT rid, did, round(pow((r.p_size - d.p_size) / ss, 2) + pow((r.p_retailprice - d.p_retailprice) / sp, 2), 8) AS dist FROM r JOIN d USING (g), st)
+WITH st AS (SELECT stddev_pop(p_size) AS ss, stddev_pop(p_retailprice) AS sp FROM part), p AS (SELECT p_partkey AS id, split_part(p_type, ' ', 1) AS g, p_size, p_retailprice FROM part), n AS (SELECT g, count(*) AS n FROM p GROUP BY 1),
+x AS (SELECT r.id AS rid, round(pow((r.p_size - d.p_size) / ss, 2) + pow((r.p_retailprice - d.p_retailprice) / sp, 2), 8) AS dist FROM p r JOIN n USING (g) JOIN p d ON d.id <> r.id AND (d.g = r.g OR n = 1), st)
 """
 
 

@@ -80,7 +80,7 @@ def q10_q11_codes(spark, d):
 
 @book.add("""SELECT unit_id, line, part, supp, age, earnings * 0.75::DOUBLE AS taxable, earnings * 0.25::DOUBLE AS exempt,
 (CASE WHEN flag = 'R' THEN age ELSE 0 END) + (CASE WHEN linestatus = 'R' THEN gross ELSE 0 END) AS coded,
-least(earnings, 20000) AS pool1, least(greatest(earnings - least(earnings, 20000), 0), 15000) AS pool2 FROM person WHERE age > 45""")
+least(earnings, 20000) AS pool1, least(greatest(earnings - least(earnings, 20000), 0), 15000) AS pool2 FROM person""")
 def q12_q13_q14_splits(spark, d):
     p = Micro(spark, d).person
     pools = X.waterfall(c("earnings"), [F.lit(20000.0), F.lit(15000.0)])

@@ -136,7 +136,7 @@ def im4_ds7_reconcile(spark, d):
     return v.select("unit_id", F.round(a, 4).alias("a"), F.round(b, 4).alias("b"))
 
 
-@book.add("SELECT unit_id, line, part, supp, age, CASE WHEN flag = 'N' THEN 0 ELSE least(greatest(earnings * 0.25, 0), CASE WHEN age >= 50 THEN 7500 ELSE 6500 END) END AS capped FROM person WHERE age > 40")
+@book.add("SELECT unit_id, line, part, supp, age, CASE WHEN flag = 'N' THEN 0 ELSE least(greatest(earnings * 0.25, 0), CASE WHEN age >= 50 THEN 7500 ELSE 6500 END) END AS capped FROM person")
 def im5_caps(spark, d):
     cap = F.when(c("age") >= 50, 7500.0).otherwise(6500.0)
     return Micro(spark, d).person.select("unit_id", "line", "part", "supp", "age", F.when(c("flag") == "N", 0.0).otherwise(F.least(F.greatest(c("earnings") * 0.25, F.lit(0.0)), cap)).alias("capped"))
