@@ -96,6 +96,15 @@ def test_cells_resolve_and_report(spark):
     assert wide.widen(cells(spark, [])).count() == 0
 
 
+def test_own_types_and_names_with_separators(spark):
+    types = {"colour": "string", "n|x": "bigint"}
+    df = spark.createDataFrame([(1, 1, "Colour", "==", "red", T0), (2, 1, "n|x", "==", "5", T0), (3, 1, "n", "x|==", "bad", T0), (4, 1, "n|x", "==", "7", T0)], "cid long, sid long, var string, op string, val string, loaded_at timestamp_ntz")
+    c = wide.resolve_cells(df, "sid", "var", "op", "val", "cid", "loaded_at", types)
+    w = wide.widen(c, types).first()
+    assert w["colour_eq"] == "red" and w["n|x_eq"] == 7 and w["unfilled"] == {"n\\|x|==": "conflict", "n|x|==": "bad"} and w["other_values"] == {}
+    assert {tuple(r) for r in wide.unclean_cells(c).collect()} == {(1, "n|x", "=="), (1, "n", "x|==")}
+
+
 # ---- p3 ----
 
 

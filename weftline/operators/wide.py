@@ -2,8 +2,8 @@
 
 Each cell (entity, variable, operator) is first resolved with map-side combining to its latest readable value, its
 number of different values and its last unreadable text. An entity's resolved cells then go into one key-value map,
-from which the known keys are projected into typed columns; cells that could not be filled cleanly stay in a second
-map. An entity collects at most one entry per distinct cell, however many rows it has.
+from which the known keys are projected into typed columns and the cells that could not be filled cleanly are kept
+with the text that failed. An entity collects at most one entry per distinct cell, however many rows it has.
 
 Defined results: entities are positive ids; names are trimmed and lower-cased, ``=`` is ``==``; rows without variable
 or operator are no cells; a conflicting cell is filled with its latest readable value (ties: highest row id, then
@@ -31,37 +31,43 @@ INFINITY = r"^[+-]?(?:inf|infinity|∞)$"
 
 def read_number(text: Column) -> Column:
     """The double that ``text`` writes, or null."""
-    t = F.lower(F.trim(text, F.lit(BLANKS)))
-    plain = F.regexp_replace(t, r"[$€£, _\u00a0\u2009\u202f']", "").try_cast("double")
-    signed = F.when(t.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(t.rlike(INFINITY), signed).when(t.rlike(NUMBER), plain + F.lit(0.0))
-
-
-def canonical(variable: Column, text: Column) -> Column:
-    """``text`` read as the type of ``variable`` and written in one way, or null if it cannot be read."""
-    t = F.trim(text, F.lit(BLANKS))
-    n = read_number(text)
-    whole = F.when((F.abs(n) < 9e18) & (n == F.floor(n)), n.cast("decimal(20,0)").cast("string"))
-    plain = F.when((F.abs(n) < 1e15) & (n == F.floor(n)), n.cast("decimal(20,0)").cast("string")).otherwise(n.cast("string"))
-    low = F.lower(t)
+    return _number(F.lower(F.trim(text, F.lit(BLANKS))))
+
+
+def _number(low: Column) -> Column:
+    plain = F.regexp_replace(low, r"[$€£, _\u00a0\u2009\u202f']", "").try_cast("double")
+    signed = F.when(low.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return F.when(low.rlike(INFINITY), signed).when(low.rlike(NUMBER), plain + F.lit(0.0))
+
+
+def canonical(df: DataFrame, variable: str, text: str, types: dict[str, str] = TYPES) -> DataFrame:
+    """``df`` with ``canon``: ``text`` read as the type of ``variable`` and written in one way, or null if it cannot be read.
+
+    Each step is a projection of its own, so that a text is trimmed and its number parsed once per row.
+    """
+    of = lambda t: [v for v, k in types.items() if k == t]
+    v, t, low, n = F.col(variable), F.col("_t"), F.col("_low"), F.col("_n")
+    d = df.withColumn("_t", F.trim(F.col(text), F.lit(BLANKS))).withColumn("_low", F.lower("_t"))
+    d = d.withColumn("_n", F.when(~v.isin(*of("string"), *of("boolean")), _number(low)))
+    digits = F.when((F.abs(n) < 9e18) & (n == F.floor(n)), n.cast("decimal(20,0)").cast("string"))
+    plain = F.when(F.abs(n) < 1e15, F.coalesce(digits, n.cast("string"))).otherwise(n.cast("string"))
     flag = F.when(low.isin("1", "true", "yes", "1.0"), "true").when(low.isin("0", "false", "no", "0.0"), "false")
-    return (
-        F.when(variable.isin(*INTEGERS), whole)
-        .when(variable.isin(*TEXTS), F.when(t != "", t))
-        .when(variable.isin(*BOOLEANS), flag)
-        .otherwise(plain)
-    )
+    canon = F.when(v.isin(*of("bigint")), digits).when(v.isin(*of("string")), F.when(t != "", t)).when(v.isin(*of("boolean")), flag).otherwise(plain)
+    return d.withColumn("canon", canon).drop("_t", "_low", "_n")
+
 
+def resolve_cells(rows: DataFrame, entity: str, variable: str, operation: str, value: str, row_id: str, loaded_at: str, types: dict[str, str] = TYPES) -> DataFrame:
+    """One row per cell: ``entity_id, variable, operation, resolved, n_values (0, 1 or 2 for more), unreadable, has_bad``.
 
-def resolve_cells(rows: DataFrame, entity: str, variable: str, operation: str, value: str, row_id: str, loaded_at: str) -> DataFrame:
-    """One row per cell: ``entity_id, variable, operation, resolved, n_values (0, 1 or 2 for more), unreadable, has_bad``."""
+    ``types`` gives each variable's type (``bigint``, ``double``, ``boolean`` or ``string``); others are doubles.
+    """
     v = F.lower(F.trim(F.col(variable), F.lit(BLANKS)))
     o = F.trim(F.col(operation), F.lit(BLANKS))
-    cells = (
+    named = (
         rows.select(F.col(entity).cast("long").alias("entity_id"), v.alias("variable"), F.when(o == "=", "==").otherwise(o).alias("operation"), F.col(value).alias("text"), F.col(row_id).alias("rid"), F.col(loaded_at).alias("seen"))
         .where((F.col("entity_id") > 0) & (F.col("variable") != "") & (F.col("operation") != ""))
-        .withColumn("canon", canonical(F.col("variable"), F.col("text")))
     )
+    cells = canonical(named, "variable", "text", types)
     good, bad = F.col("canon").isNotNull(), F.col("canon").isNull()
     return (
         cells.groupBy("entity_id", "variable", "operation")
@@ -77,29 +83,47 @@ def resolve_cells(rows: DataFrame, entity: str, variable: str, operation: str, v
     )
 
 
-def unclean_cells(cells: DataFrame) -> DataFrame:
-    """The cells that cannot be filled cleanly."""
-    return cells.where(F.col("has_bad") | (F.col("n_values") > 1)).select("entity_id", "variable", "operation")
-
-
 def column_name(variable: str, operation: str) -> str:
     return f"{variable}_{OPERATORS[operation]}"
 
 
+def pair_name(variable: Column, operation: Column) -> Column:
+    """The key of a cell in an entity's map; a ``|`` of the variable is escaped, so no two cells share a key."""
+    return F.concat(F.replace(variable, F.lit("|"), F.lit("\\|")), F.lit("|"), operation)
+
+
+def entity_maps(cells: DataFrame) -> DataFrame:
+    """One key-value map per entity: ``entity_id, pairs``, from cell name to ``variable, operation, resolved, issue``.
+
+    ``issue`` is null for a clean cell, else its last unreadable text, or ``conflict``.
+    """
+    issue = F.when(F.col("has_bad"), F.col("unreadable")).when(F.col("n_values") > 1, F.lit("conflict"))
+    pair = F.struct(pair_name(F.col("variable"), F.col("operation")).alias("k"), F.struct("variable", "operation", "resolved", issue.alias("issue")).alias("v"))
+    return cells.groupBy("entity_id").agg(F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("pairs"))
+
+
+def cast_failures(maps: DataFrame) -> DataFrame:
+    """The cells of :func:`entity_maps` that cannot be filled cleanly: ``entity_id, variable, operation, issue``."""
+    kept = F.map_filter("pairs", lambda _, v: v["issue"].isNotNull())
+    return maps.select("entity_id", F.explode(F.map_values(kept)).alias("f")).select("entity_id", "f.variable", "f.operation", "f.issue")
+
+
+def unclean_cells(cells: DataFrame) -> DataFrame:
+    """The resolved cells that cannot be filled cleanly, read from the entities' maps."""
+    return cast_failures(entity_maps(cells)).drop("issue")
+
+
 def widen(cells: DataFrame, types: dict[str, str] = TYPES) -> DataFrame:
     """One row per entity: a typed column per known variable and operator, ``other_values`` and ``unfilled``.
 
-    ``unfilled`` maps each unclean cell to its last unreadable text, or to ``conflict``. ``other_values`` has the cells
-    whose variable or operator is not known.
+    All are projected from the entity's map. ``unfilled`` maps each unclean cell to its issue; ``other_values`` has the
+    readable cells whose variable or operator is not known. ``types`` must be those given to :func:`resolve_cells`.
     """
-    name = F.concat_ws("|", "variable", "operation")
-    issue = F.when(F.col("has_bad"), F.col("unreadable")).when(F.col("n_values") > 1, F.lit("conflict"))
-    pairs = cells.select("entity_id", name.alias("k"), F.col("resolved").alias("v"), issue.alias("issue"))
-    per = pairs.groupBy("entity_id").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("k", "v")))).alias("m"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("issue").isNotNull(), F.struct("k", "issue"))))).alias("unfilled"),
-    )
+    maps = entity_maps(cells)
     known = [(v, o) for v in types for o in OPERATORS]
-    cols = [F.try_element_at("m", F.lit(f"{v}|{o}")).try_cast(types[v]).alias(column_name(v, o)) for v, o in known]
-    rest = F.map_filter("m", lambda k, _: ~k.isin([f"{v}|{o}" for v, o in known]))
-    return per.select("entity_id", *cols, rest.alias("other_values"), "unfilled")
+    names = [f"{v.replace('|', chr(92) + '|')}|{o}" for v, o in known]
+    cols = [F.try_element_at("pairs", F.lit(k))["resolved"].try_cast(types[v]).alias(column_name(v, o)) for k, (v, o) in zip(names, known)]
+    value = lambda m, part: F.transform_values(m, lambda _, v: v[part])
+    rest = value(F.map_filter("pairs", lambda k, v: ~k.isin(*names) & v["resolved"].isNotNull()), "resolved")
+    unfilled = value(F.map_filter("pairs", lambda _, v: v["issue"].isNotNull()), "issue")
+    return maps.select("entity_id", *cols, rest.alias("other_values"), unfilled.alias("unfilled"))
