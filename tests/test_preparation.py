@@ -154,8 +154,9 @@ def test_drift_edge_cases(spark):
 
     rows = f(1, 0, "# note", " State ,enr_22,,note", 'Alabama,"1,200",x,"a ""b"", c"') + f(1, 0, "# note")
     rows += f(2, 0, "state,ENROLL_2022,enroll_2023,note", "28,55", "MS,,7,") + f(3, 2, "# only a comment") + f(4, 3, "st,Enroll_2022", "56,1.5") + [(None, 1, "f", T0, T0, 1, "x"), (5, 1, "f", T0, T0, None, "x"), (6, None, "f", None, None, 1, None)]
-    parsed = drift.read_lines(clash(spark.createDataFrame(rows, LINES)))
-    files = drift.file_fields(parsed)
+    lines = clash(spark.createDataFrame(rows, LINES))
+    parsed = drift.read_lines(lines)
+    files = drift.file_fields(lines, parsed)
     got = {tuple(r)[1:] for r in drift.schema_changes(files).collect()}
     assert got == {
         (2, "state", "renamed"), (2, "enroll_2022", "renamed"), (2, "enroll_2022", "retyped"), (2, "enroll_2023", "added"), (2, "note", "retyped"),
@@ -164,8 +165,43 @@ def test_drift_edge_cases(spark):
     t = {(r["file_id"], r["line_no"]): r for r in drift.conform(parsed, files).collect()}
     assert t[1, 3]["state"] == "AL" and t[1, 3]["enroll_2022"] == 1200 and t[1, 3]["extras"] == 'note=a "b", c'
     assert t[2, 2]["state"] == "MS" and t[2, 2]["enroll_2022"] == 55 and t[4, 2]["cast_failures"] == "enroll_2022=1.5"
-    empty = drift.read_lines(spark.createDataFrame([], LINES))
-    assert drift.schema_changes(drift.file_fields(empty)).count() == 0 and drift.conform(empty, drift.file_fields(empty)).count() == 0
+    none = spark.createDataFrame([], LINES)
+    empty, no_files = drift.read_lines(none), drift.file_fields(none)
+    assert drift.schema_changes(no_files).count() == 0 and drift.conform(empty, no_files).count() == 0 and drift.version_rules(drift.versioned(no_files)).count() == 0
+
+
+def test_rules_composed_from_steps_equal_the_files_own_fields(spark):
+    """Sixty files with columns that come, go, move, change case, double and change type; chains of any length."""
+    rnd = random.Random(9)
+    heads = ["state", "State", "enr_22", "ENROLL_2022", "enroll_2022", "aptc_25", "note", "x", "X ", "vol_mult", ""]
+    rows = []
+    for i in range(60):
+        if i % 3 == 0:
+            cols = [rnd.choice(heads) for _ in range(rnd.randrange(1, 7))]
+            cells = [rnd.choice(["1", "1.5", "a", ""]) for _ in cols]
+        day = T0 + dt.timedelta(days=i // 7, minutes=i)
+        rows += [(i, i % 2 if i < 30 else 1, "f", day, T0, n, ",".join(c)) for n, c in enumerate((cols, cells), 1) if ",".join(c).strip()]
+    files = drift.file_fields(spark.createDataFrame(rows, LINES))
+    versions = drift.versioned(files)
+    own = {(r["feed_id"], r["version"]): {(x["name"], x["occurrence"], x["pos"], x["type"]) for x in r["fields"]} for r in versions.collect()}
+    assert max(v for _, v in own) > 12
+    for chain in (1, 3, 64):
+        got = {(r["feed_id"], r["version"]): {tuple(x) for x in r["rules"]} for r in drift.version_rules(versions, chain).collect()}
+        assert got == own
+    order = versions.select("feed_id", "published_at", "version", "fingerprint", "new_version").orderBy("feed_id", "published_at").collect()
+    for a, b in zip(order, order[1:]):
+        if a["feed_id"] == b["feed_id"]:
+            assert b["version"] - a["version"] == int(a["fingerprint"] != b["fingerprint"]) == int(b["new_version"])
+
+
+def test_own_target_with_defaults(spark):
+    rows = [(1, 1, "f", T0, T0, 1, "Id,Qty 2021,colour"), (1, 1, "f", T0, T0, 2, "7,5,RED"), (2, 1, "f", T0 + dt.timedelta(1), T0, 1, "identifier,units_21"), (2, 1, "f", T0 + dt.timedelta(1), T0, 2, "8,x")]
+    own = drift.Target({"id": "bigint", "qty_2021": "double", "colour": "string"}, (("identifier", "id"), ("qty|units", "qty_{year}")), {"colour": {"red": "R"}}, {"colour": "none"})
+    lines = spark.createDataFrame(rows, LINES)
+    files = drift.file_fields(lines, target=own)
+    t = {r["file_id"]: r for r in drift.conform(drift.read_lines(lines), files, own).collect()}
+    assert (t[1]["id"], t[1]["qty_2021"], t[1]["colour"]) == (7, 5.0, "R") and (t[2]["id"], t[2]["qty_2021"], t[2]["colour"], t[2]["cast_failures"]) == (8, None, "none", "qty_2021=x")
+    assert {tuple(r)[2:] for r in drift.schema_changes(files).collect()} == {("id", "renamed"), ("qty_2021", "renamed"), ("qty_2021", "retyped"), ("colour", "removed")}
 
 
 # ---- p4 ----

@@ -40,8 +40,9 @@ def p2_wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    parsed = drift.read_lines(table(spark, d, "aca_ptc_lines"))
-    return parsed, drift.file_fields(parsed)
+    lines = table(spark, d, "aca_ptc_lines")
+    parsed = drift.read_lines(lines)
+    return parsed, drift.file_fields(lines, parsed)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -56,6 +57,11 @@ def p3_versions(spark: SparkSession, d: str) -> DataFrame:
     return drift.schema_versions(_files(spark, d)[1])
 
 
+def p3_steps(spark: SparkSession, d: str) -> DataFrame:
+    """The migration steps between the versions of each feed."""
+    return drift.migration_steps(drift.versioned(_files(spark, d)[1]))
+
+
 def _keyed(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "geography_assignment")
     return skew.keyed(g, {"cd_geoid": skew.district_number(F.col("cd_geoid")), "state_fips": F.col("state_fips")}, F.col("household_weight"), F.col("record_idx"))
@@ -88,7 +94,7 @@ def p5_filled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_orphan_counts, p2_found, p2_wide, p3_found, p3_table, p3_versions, p4_found, p4_key_totals, p4_key_quantiles, p5_found, p5_filled)}
+    return {f.__name__: f for f in (p1_found, p1_orphan_counts, p2_found, p2_wide, p3_found, p3_table, p3_versions, p3_steps, p4_found, p4_key_totals, p4_key_quantiles, p5_found, p5_filled)}
 
 
 # ---- SQL ----
@@ -186,6 +192,14 @@ SELECT file_id, field_name, 'added' AS change_kind FROM b WHERE h0 IS NULL UNION
 UNION ALL SELECT file_id, field_name, 'renamed' FROM b WHERE h1 <> h0 UNION ALL SELECT file_id, field_name, 'retyped' FROM b WHERE t1 <> t0"""
 
 
+_P3_VERSIONS = _P3 + """, ty AS (SELECT n.file_id, n.pos, bool_and(x = '' OR regexp_matches(x, '^[0-9]+$')) AS whole, bool_and(x = '' OR regexp_matches(x, '^([0-9]+[.]?[0-9]*|[.][0-9]+)$')) AS dec
+  FROM n JOIN (SELECT file_id, line_no, unnest(list_transform(cells, lambda z: trim(z))) AS x, generate_subscripts(cells, 1) AS pos FROM c) v ON v.file_id = n.file_id AND v.pos = n.pos AND v.line_no > n.header_line GROUP BY ALL),
+fp AS (SELECT file_id, feed_id, published_at, count(*) AS n_fields, sha256(string_agg(trim(header) || chr(9) || name || chr(9) || CASE WHEN coalesce(whole, true) THEN 'integer' WHEN dec THEN 'decimal' ELSE 'text' END, chr(10) ORDER BY pos)) AS fingerprint
+  FROM n LEFT JOIN ty USING (file_id, pos) GROUP BY ALL),
+ch AS (SELECT *, coalesce(fingerprint <> lag(fingerprint) OVER w, true) AS new_version FROM fp WINDOW w AS (PARTITION BY feed_id ORDER BY published_at, file_id))
+SELECT feed_id, file_id, published_at, n_fields, fingerprint, CAST(sum(new_version::INT) OVER (PARTITION BY feed_id ORDER BY published_at, file_id) AS BIGINT) AS version, new_version FROM ch"""
+
+
 def _p3_table() -> str:
     def raw(n: str) -> str:
         return f"max(x) FILTER (name = '{n}' AND x <> '') AS raw_{n}"
@@ -232,6 +246,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_wide": _P2 + f"SELECT stratum_id, {_P2_COLS},\n  coalesce(string_agg(v || '|' || o || '=' || CASE WHEN has_bad THEN bad ELSE 'conflict' END, ';' ORDER BY v || '|' || o) FILTER (has_bad OR n_values > 1), '') AS unfilled FROM cells GROUP BY stratum_id",
         "p3_found": _P3_FOUND,
         "p3_table": _p3_table(),
+        "p3_versions": _P3_VERSIONS,
         "p4_found": _GEO + "SELECT key_field, key_value FROM k, (SELECT count(*) AS t FROM geography_assignment) WHERE key_value IS NOT NULL GROUP BY key_field, key_value, t HAVING count(*) >= t * CASE key_field WHEN 'cd_geoid' THEN 0.02 ELSE 0.05 END",
         "p4_key_totals": _GEO + "SELECT key_field, key_value, count(*) AS n_rows, count(DISTINCT record_idx) AS n_records, round(sum(w) FILTER (NOT isnan(w)), 2) AS total_weight FROM k WHERE key_value IS NOT NULL GROUP BY ALL",
         "p4_key_quantiles": _GEO + ", qs AS (SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS q), r AS (SELECT key_field, key_value, w, row_number() OVER (PARTITION BY key_field, key_value ORDER BY w) AS i, count(w) OVER (PARTITION BY key_field, key_value) AS n FROM k WHERE key_value IS NOT NULL AND w IS NOT NULL AND NOT isnan(w))"
