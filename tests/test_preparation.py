@@ -227,10 +227,35 @@ def test_quantiles_brute_force(spark):
 
 def test_heavy_keys_count_nulls_and_repeats(spark):
     df = spark.createDataFrame([("637",), ("0637",), (" 637.0 ",), ("1198",), ("1101",), ("600",), ("x",), (None,), ("",), ("1",)], "cd string")
-    b = skew.value_bounds(skew.keyed(df, {"cd": skew.district_number(F.col("cd"))}, F.lit(1.0)))
+    b = skew.keyed(df, {"cd": skew.district_number(F.col("cd"))}, F.lit(1.0))
     assert {tuple(r)[1:3] for r in skew.heavy_keys(b, {"cd": 0.2}).collect()} == {("637", 3), ("1101", 2)}
 
 
+def test_heavy_keys_brute_force(spark):
+    rnd = random.Random(5)
+    for n in (0, 1, 7, 400):
+        keys = [rnd.choice([None, 3, 3, 3, 10**8, rnd.randrange(40), rnd.randrange(40)]) for _ in range(n)]
+        rows = skew.keyed(spark.createDataFrame([(k,) for k in keys], "k long"), {"a": F.col("k"), "b": F.col("k") % 5}, F.lit(None))
+        for share in (0.03, 0.3, 1.0):
+            want = {(f, str(x), c) for f, ks in (("a", keys), ("b", [None if k is None else k % 5 for k in keys])) for x in set(ks) - {None} if (c := ks.count(x)) >= share * len(ks)}
+            assert {tuple(r)[:3] for r in skew.heavy_keys(rows, {"a": share, "b": share}, bins=3).collect()} == want
+
+
+def test_a_hot_key_of_one_value_is_spread(spark):
+    """Nine tenths of the rows share key and value: in the salted path no partition gets more than a few salts' worth."""
+    rows = spark.range(40_000).repartition(4).select(F.lit("f").alias("key_field"), F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("hot").alias("key_value"), F.lit(1.0).alias("value"))
+    spans = rows.select("key_field", "key_value").distinct().withColumns({"lo": F.lit(0.0), "hi": F.lit(2.0)})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = skew._attach(rows, spans.hint("merge"), skew.BROADCAST_INTERVALS + 1)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 40_000 and max(sizes) < 40_000 * 0.3
+
+
 # ---- p5 ----
 
 FORBES = "record_id long, alias string, snapshot_date string, age double, children string, marital_status string, industry string"

@@ -62,9 +62,12 @@ def p3_steps(spark: SparkSession, d: str) -> DataFrame:
     return drift.migration_steps(drift.versioned(_files(spark, d)[1]))
 
 
+def _areas() -> dict:
+    return {"cd_geoid": skew.district_number(F.col("cd_geoid")), "state_fips": F.col("state_fips")}
+
+
 def _keyed(spark: SparkSession, d: str) -> DataFrame:
-    g = table(spark, d, "geography_assignment")
-    return skew.keyed(g, {"cd_geoid": skew.district_number(F.col("cd_geoid")), "state_fips": F.col("state_fips")}, F.col("household_weight"), F.col("record_idx"))
+    return skew.keyed(table(spark, d, "geography_assignment"), _areas(), F.col("household_weight"))
 
 
 #: Share of all rows from which a key is heavy.
@@ -72,13 +75,13 @@ HEAVY = {"cd_geoid": 0.02, "state_fips": 0.05}
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return skew.heavy_keys(skew.value_bounds(_keyed(spark, d)), HEAVY).select("key_field", "key_value")
+    return skew.heavy_keys(_keyed(spark, d), HEAVY).select("key_field", "key_value")
 
 
 def p4_key_totals(spark: SparkSession, d: str) -> DataFrame:
-    rows = _keyed(spark, d)
-    totals = skew.value_bounds(rows).where(F.col("key_value").isNotNull())
-    return totals.join(skew.distinct_records(rows), ["key_field", "key_value"], "left").select("key_field", "key_value", "n_rows", F.coalesce("n_records", F.lit(0)).alias("n_records"), F.round("total", 2).alias("total_weight"))
+    totals = skew.value_bounds(_keyed(spark, d)).where(F.col("key_value").isNotNull())
+    records = skew.distinct_records(table(spark, d, "geography_assignment"), _areas(), F.col("record_idx"))
+    return totals.join(records, ["key_field", "key_value"], "left").select("key_field", "key_value", "n_rows", F.coalesce("n_records", F.lit(0)).alias("n_records"), F.round("total", 2).alias("total_weight"))
 
 
 def p4_key_quantiles(spark: SparkSession, d: str) -> DataFrame:
