@@ -263,17 +263,30 @@ FORBES = "record_id long, alias string, snapshot_date string, age double, childr
 
 def test_fill_backs_off_and_flags(spark):
     rows = [(i, f"p-{i}", "2023-09-01", 40.0 + i % 3, "2", "Married", "tech") for i in range(1, 7)]
-    rows += [(10, "A-b-1", "2022-09-01", 50.0, " 3 ", "single", "tech"), (11, "a_b_1 ", "2024-09-01", float("nan"), "99", "?", "tech"), (12, "new", "2023-09-01", 999.0, "", None, "tech"), (13, None, "2023-09-01", None, "-1", "N/A", None), (14, None, None, 0.0, "x", " ", "other|tech"), (12, "new", "2023-09-01", 999.0, "", None, "tech")]
+    rows += [(10, "A-b-1", "2022-09-01", 50.0, " 3 ", "single", "tech"), (11, "a_b_1 ", "2024-09-01", float("nan"), "99", "?", "tech"), (12, "new", "2023-09-01", 999.0, "", None, "tech"), (13, None, "2023-09-01", None, "-1", "N/A", None), (14, None, None, 0.0, "x", " ", "other|tech"), (15, None, None, 0.0, "x", " ", "other"), (12, "new", "2023-09-01", 999.0, "", None, "tech")]
     out = {r["record_id"]: r for r in fill.fill_records(clash(spark.createDataFrame(rows, FORBES))).collect()}
     assert out[10]["age"] == 50.0 and out[10]["age_level"] is None and out[10]["marital_status"] == "Single"
     assert out[11]["age"] == 52.0 and out[11]["age_level"] == "person" and out[11]["children"] == 3
     assert out[12]["age"] == 41.0 and out[12]["age_level"] == "industry_year" and out[12]["marital_status"] == "Married"
-    assert out[13]["children_level"] == "snapshot" and out[14]["age_level"] == "all"
+    assert out[13]["children_level"] == "snapshot" and out[14]["age_level"] == "industry" and out[15]["age_level"] == "all"
     cells = fill.filled_cells(fill.fill_records(spark.createDataFrame(rows, FORBES)))
-    assert cells.count() == 12
+    assert cells.count() == 15
     lone = fill.fill_records(spark.createDataFrame([(1, "x", "2023", None, None, None, None)], FORBES)).first()
     assert lone["age"] is None and lone["age_level"] == "none"
     assert fill.fill_records(spark.createDataFrame([], FORBES)).count() == 0
+    old, fill.BROADCAST_COMBINATIONS = fill.BROADCAST_COMBINATIONS, 0
+    salted = sorted(map(str, fill.fill_records(spark.createDataFrame(rows, FORBES)).collect()))
+    fill.BROADCAST_COMBINATIONS = old
+    assert salted == sorted(map(str, fill.fill_records(spark.createDataFrame(rows, FORBES)).collect()))
+
+
+def test_fill_own_fields_and_merged_groups(spark):
+    rows = [(1, ["a"], 10, "x"), (2, ["a"], 20, "y"), (3, ["b"], 30, "x"), (4, ["b", "a"], None, None), (5, ["c|d"], 1, "z"), (6, ["c", "d"], None, None), (7, None, None, "q")]
+    base = spark.createDataFrame(rows, "id long, tags array<string>, size int, colour string").withColumn("one", F.lit("*"))
+    fields = (fill.Field("size", "median", "int"), fill.Field("colour", "mode", "string"))
+    out = {r["id"]: r for r in fill.fill_fields(base, ["id"], fields, [fill.Level("tags", "tags", 2), fill.Level("all", "one", 1)]).collect()}
+    assert (out[4]["size"], out[4]["colour"], out[4]["size_level"]) == (20, "x", "tags")
+    assert (out[6]["size"], out[6]["size_level"]) == (10, "all") and out[7]["colour_level"] is None and out[7]["size_level"] == "all"
 
 
 def test_very_long_texts(spark):

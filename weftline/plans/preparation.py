@@ -156,13 +156,13 @@ WITH base AS (
       WHEN 'widowed, remarried' THEN 'Widowed, Remarried' WHEN 'engaged' THEN 'Engaged' WHEN 'in relationship' THEN 'In Relationship' END AS marital_status
   FROM forbes_top_tail),
 grp AS (
-  SELECT *, CASE WHEN len(inds) > 0 THEN array_to_string(inds, '|') || '@' || year END AS iy, inds[1] AS ind, CAST(year AS VARCHAR) AS sn FROM base),
+  SELECT *, CASE WHEN len(inds) > 0 THEN array_to_string(inds, '|') || '@' || year END AS iy, CASE WHEN len(inds) > 0 THEN array_to_string(inds, '|') END AS ind, CAST(year AS VARCHAR) AS sn FROM base),
 d AS (SELECT DISTINCT * FROM grp),
+cell AS (SELECT person, iy, inds, sn, unnest(['age', 'born', 'children', 'marital_status']) AS field, unnest([CAST(age::INT AS VARCHAR), CAST(year - age::INT AS VARCHAR), CAST(children AS VARCHAR), marital_status]) AS v FROM d),
 c AS (
   SELECT level, g, field, v, count(*) AS n FROM (
-    SELECT unnest(['person', 'industry_year', 'industry', 'snapshot', 'all']) AS level, unnest([person, iy, ind, sn, '*']) AS g, field, v FROM (
-      SELECT person, iy, ind, sn, unnest(['age', 'born', 'children', 'marital_status']) AS field,
-        unnest([CAST(age::INT AS VARCHAR), CAST(year - age::INT AS VARCHAR), CAST(children AS VARCHAR), marital_status]) AS v FROM d))
+    SELECT unnest(['person', 'industry_year', 'snapshot', 'all']) AS level, unnest([person, iy, sn, '*']) AS g, field, v FROM cell
+    UNION ALL SELECT 'industry', q.ind, field, v FROM (SELECT DISTINCT ind, unnest(inds) AS one FROM grp) q JOIN (SELECT unnest(inds) AS one, field, v FROM cell) USING (one))
   WHERE g IS NOT NULL AND v IS NOT NULL AND CASE field WHEN 'born' THEN level = 'person' WHEN 'age' THEN level <> 'person' ELSE true END GROUP BY ALL),
 r AS (SELECT *, sum(n) OVER (PARTITION BY level, g, field ORDER BY TRY_CAST(v AS INT), v) AS upto, sum(n) OVER (PARTITION BY level, g, field) AS support FROM c),
 s AS (
