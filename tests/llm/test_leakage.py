@@ -2,7 +2,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from weftline.llm import leakage as L
+from weftline.session import table
 
 
 def contains(item, doc):
@@ -64,3 +66,34 @@ def test_spark_edge_cases(spark):
     assert {(r["doc_id"], r["item_id"]) for r in L.leaked(d, items).collect()} == got
     L.ITEM_BLOCK = old
     assert L.leaked(d.where("false"), items).count() == L.leaked(d, items.where("false")).count() == 0
+
+
+def test_long_tags_do_not_hide_an_item(spark):
+    w = [f"word{i}" for i in range(24)]
+    tag = '<a href="https://example.org/' + "x" * 20_000 + '">'
+    p = L.Patterns([(1, " ".join(w))])
+    for t in (tag, tag.replace("<a", "<p"), "<b>"):
+        assert p.contained(" ".join(w[:12]) + " " + t + " ".join(w[12:])) == [(1, 24)]
+
+
+def test_blocks_are_bounded_by_characters(spark):
+    items = [(k, " ".join(f"w{k}x{i}" for i in range(30))) for k in range(5)]
+    docs = spark.createDataFrame([(k, t) for k, t in items], "doc_id long, text string")
+    it = spark.createDataFrame(items, "item_id long, text string")
+    old, L.ITEM_CHARS = L.ITEM_CHARS, 250
+    got = {(r["doc_id"], r["item_id"]) for r in L.leaked(docs, it).collect()}
+    L.ITEM_CHARS = old
+    assert got == {(k, k) for k in range(5)}
+
+
+def test_exact_windows_are_all_found(spark):
+    """A lower bound by other means: every document that shares 20 words in a row with an item, from hashes of windows."""
+    docs, items = table(spark, SF, "documents").select("doc_id", "text").collect(), table(spark, SF, "eval_items").select("item_id", "text").collect()
+    window = lambda t: (lambda w: {tuple(w[i : i + L.WINDOW]) for i in range(len(w) - L.WINDOW + 1)})(L.words(t))
+    by = {}
+    for r in items:
+        for x in window(r["text"]):
+            by.setdefault(x, set()).add(r["item_id"])
+    least = {(d["doc_id"], i) for d in docs for x in window(d["text"]) for i in by.get(x, ())}
+    got = {(r["doc_id"], r["item_id"]) for r in L.leaked(table(spark, SF, "documents"), table(spark, SF, "eval_items")).collect()}
+    assert least and least <= got

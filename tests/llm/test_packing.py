@@ -57,3 +57,35 @@ def test_edge_cases(spark):
     assert len(by) == 7 and len(by[4, 1]) == 2 and len(by[3, 0]) == 1 and len(by[5, 0]) == 25
     assert sum(r["n_bytes"] for r in by[5, 0]) == 100_001 and by[1, 0][0]["n_bytes"] == 0
     assert packing.place_documents(df.where("false")).count() == 0
+
+
+def test_plain_packing_lets_a_new_container_compete():
+    """In order of arrival, opening counts as a choice: each placement against all of them."""
+    rnd = random.Random(8)
+    for _ in range(25):
+        cap = rnd.choice([10, 17, 64])
+        sizes = np.array([rnd.randrange(0, cap + 1) for _ in range(rnd.randrange(0, 40))], dtype=np.int64)
+        gaps: dict[int, int] = {}
+        total = lambda g: sum(n * n for x, n in Counter(g.values()).items() if x > 0)
+        for s, b in zip(sizes.tolist(), packing.pack(sizes, cap, plain=True).tolist()):
+            if s == 0:
+                continue
+            choices = {k: total({**gaps, k: g - s}) for k, g in gaps.items() if g >= s}
+            choices[len(gaps)] = total({**gaps, len(gaps): cap - s})
+            assert choices[b] == min(choices.values())
+            gaps[b] = gaps.get(b, cap) - s
+
+
+def test_many_copies_of_one_document_are_dealt_out(spark):
+    counted = spark.createDataFrame([(1, 10, 90_000), (2, 20, 3), (None, 5, 10_001)], "doc_id long, size long, copies long")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        out = packing.number_copies(counted, span=1_000)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 100_004 and max(sizes) < 30_000
+    per = {r["doc_id"]: (r["n"], r["d"], r["lo"], r["hi"]) for r in out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("copy_no").alias("d"), F.min("copy_no").alias("lo"), F.max("copy_no").alias("hi")).collect()}
+    assert per == {1: (90_000, 90_000, 0, 89_999), 2: (3, 3, 0, 2), None: (10_001, 10_001, 0, 10_000)}

@@ -1,27 +1,33 @@
 """Languages of documents and of their segments, by Bayesian evidence fusion.
 
-A text is cut into statements. Each statement's language gets the posterior of
-  * the likelihood of its letter triples under one model per language,
-  * the declared language (the label and a ``lang`` attribute in markup), which is right with probability ``TRUST``,
+A text is cut into statements. Each statement's language, one of ``LANGS`` or ``other``, gets the posterior of
+  * the likelihood of its letter triples under one model per language and, for ``other``, under a background of
+    independent letters with a malus per triple, so that text which no model explains well belongs to none,
+  * the number of its function words of each language,
+  * the declared language (the label, and the ``lang`` attribute of the element that holds the statement), which is
+    right with probability ``TRUST``,
   * the prior of the document's host: shares of declared languages per source, smoothed towards those of the source's
     address suffix (its part after the last ``.`` or ``-``), and these towards the shares of all documents.
 The shares come from one grouped aggregation over all documents. The letter models are fitted on a sample of at most
 about ``SAMPLE_PER_LABEL`` labelled documents per language (whole texts, drawn by a hash of the id), of which only
 statements count whose function words agree with the label; the function words themselves are a small prior, so a
-language without labelled documents is known as well. Han script is its own evidence.
+language without labelled documents is known as well. Script is evidence of its own: only Han letters without kana
+are Chinese, and a statement mostly in another script than Latin or Han is ``other``.
 
 A language is present in a document if it holds one statement of ``MIN_WORDS`` words (``MIN_HAN`` Han letters) with
 posterior of at least ``SURE``. Neighbouring statements of one language form a segment.
 
 Defined results: null and empty texts have no segments and the language of their prior; field names, numbers and
 words with digits or underscores are no words; labels that name no single language count as no label; repeated rows
-are handled one by one; an empty table gives an empty result.
+are handled one by one; an empty table gives an empty result. ``other`` is a language of segments and documents but
+never a row of :func:`wrong_labels`, since it names none.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +37,13 @@ from pyspark.sql import functions as F
 from weftline.session import cut
 
 LANGS = ("en", "es", "fr", "de", "pt", "it", "zh")
+OTHER = "other"
+ALL = (*LANGS, OTHER)
+ZH, NONE = LANGS.index("zh"), len(LANGS)
+#: Prior of a statement in none of the languages, and the background's bonus per letter triple.
+OTHER_PRIOR, OTHER_BONUS = 1e-3, -0.8
+#: Share of a statement's words that are function words of its language, and of any other language.
+OWN_WORDS, STRAY_WORDS = 0.25, 0.05
 MIN_WORDS, MIN_HAN = 10, 12
 SURE, TRUST = 0.9, 0.9
 #: Bound of the labelled sample, per language.
@@ -64,12 +77,22 @@ CODES = {n: c for c, names in NAMES.items() for n in names.split()}
 _END = re.compile(
     r"[.!?…。！？\n](?:(?<=[.!?…])(?![.!?…])[\"”“»’)\]]*+(?=\s)|(?<=[。！？])[”》」）]*|(?<=\n)(?:[ \t]*+(?:[>|][ \t]*+)?\n|(?=[ \t]*+(?:[-*#`•|>]|\d{1,3}[.)])[ \t`])))"
 )
-_TAG = re.compile(r"<[^<>]{0,300}>")
+_TAG = re.compile(r"<[^<>]*+>")
 _NUMERIC = re.compile(r"[\d_]")
 _NOWORD = re.compile(r"[^\w'’]+")
 _HAN = re.compile(r"[㐀-鿿]")
-_MARKUP_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b")
+#: Letters of scripts other than Latin and Han: Greek, Cyrillic, Armenian, Hebrew, Arabic, the Indic and Thai block, Georgian, kana, Hangul.
+_FOREIGN = re.compile(r"[\u0370-\u03ff\u0400-\u05ff\u0600-\u07ff\u0900-\u0fff\u10a0-\u11ff\u3040-\u30ff\uac00-\ud7af]")
+_ELEMENT = re.compile(r"<(/?)([A-Za-z][\w:-]*+)([^<>]*+)>")
+_MARKUP_LANG = re.compile(r"\blang\s*+=\s*+[\"']?([A-Za-z]{2,3})\b")
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Latin letters and the blanks and marks between words, over which the background is spread.
+_LATIN = "".join(chr(i) for i in range(0x61, 0x250) if chr(i).isalpha() and chr(i).islower()) + " '’"
 _SETS = {c: frozenset(w.split()) for c, w in FUNCTION_WORDS.items()}
+#: Each function word's row in the table of the languages that have it.
+_ROW = {w: i for i, w in enumerate(sorted({w for ws in _SETS.values() for w in ws}))}
+_LISTED = np.array([c in _SETS for c in ALL])
+_HAS = np.array([[w in _SETS.get(c, ()) for c in ALL] for w in _ROW], float)
 
 
 def label_language(label: Column) -> Column:
@@ -79,8 +102,46 @@ def label_language(label: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in CODES.items() for x in kv]), stem)
 
 
-def statements(text: str | None) -> list[tuple[int, int, str, int, int]]:
-    """``start, end, plain words, number of words, number of Han letters`` of each statement."""
+def declared_elements(text: str) -> tuple[list[int], list[str | None]]:
+    """Where the language declared by markup changes, and to what: that of the innermost open element with a ``lang``.
+
+    An element without an end lasts to the end of the text. Linear in the text.
+    """
+    at, langs = [0], [None]
+    if "<" not in text or "lang" not in text:
+        return at, langs
+    stack: list[list] = []  # name, language, open elements of the same name inside
+    held: dict[str, int] = {}
+
+    def now(pos: int) -> None:
+        at.append(pos)
+        langs.append(stack[-1][1] if stack else None)
+
+    for m in _ELEMENT.finditer(text):
+        name = m.group(2).lower()
+        if not m.group(1):
+            if name in _VOID or m.group(3).endswith("/"):
+                continue
+            found = _MARKUP_LANG.search(m.group(3))
+            if found:
+                stack.append([name, CODES.get(found.group(1).lower()), 0])
+                held[name] = held.get(name, 0) + 1
+                now(m.start())
+            elif held.get(name) and stack[-1][0] == name:
+                stack[-1][2] += 1
+        elif held.get(name):
+            while stack[-1][0] != name:
+                held[stack.pop()[0]] -= 1
+            if stack[-1][2]:
+                stack[-1][2] -= 1
+            else:
+                held[stack.pop()[0]] -= 1
+            now(m.end())
+    return at, langs
+
+
+def statements(text: str | None) -> list[tuple[int, int, str, int, int, int]]:
+    """``start, end, plain words, number of words, of Han letters and of letters of other scripts`` of each statement."""
     out = []
     if not text:
         return out
@@ -89,20 +150,29 @@ def statements(text: str | None) -> list[tuple[int, int, str, int, int]]:
     for end in [*cuts, len(text)]:
         raw = text[at:end]
         if raw.strip():
-            han = len(_HAN.findall(raw))
             if "<" in raw:
                 raw = _TAG.sub(" ", raw)
-            letters = raw if raw.isascii() else _HAN.sub(" ", unicodedata.normalize("NFC", raw))
+            han = foreign = 0
+            letters = raw
+            if not raw.isascii():
+                han, foreign = len(_HAN.findall(raw)), len(_FOREIGN.findall(raw))
+                letters = unicodedata.normalize("NFC", raw)
+                if han:
+                    letters = _HAN.sub(" ", letters)
             kept = [w if w.isalpha() else _NOWORD.sub(" ", w) for w in letters.lower().split() if w.isalpha() or not _NUMERIC.search(w)]
             plain = " ".join(" ".join(kept).split())
-            out.append((at, end, plain, plain.count(" ") + 1 if plain else 0, han))
+            out.append((at, end, plain, plain.count(" ") + 1 if plain else 0, han, foreign))
         at = end
     return out
 
 
+def _hash(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return ((a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA77) + c * np.uint32(0xC2B2AE3D)) >> np.uint32(16)).astype(np.int64)
+
+
 def _buckets(codes: np.ndarray) -> np.ndarray:
     c = codes.astype(np.uint32)
-    return ((c[:-2] * np.uint32(0x9E3779B1) + c[1:-1] * np.uint32(0x85EBCA77) + c[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(16)).astype(np.int64)
+    return _hash(c[:-2], c[1:-1], c[2:])
 
 
 def _codes(text: str) -> np.ndarray:
@@ -117,24 +187,30 @@ def votes(plain: str) -> str | None:
 
 
 def sample_counts(docs: DataFrame) -> DataFrame:
-    """Letter triples of the statements of labelled ``docs`` (``declared, text``): ``lang, bucket, n``."""
+    """Letter triples of the statements of labelled ``docs`` (``declared, text``): ``lang, bucket, n``; single letters under the number of ``other``."""
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        total = np.zeros((len(LANGS), BUCKETS), np.int64)
+        total = np.zeros((len(ALL), BUCKETS), np.int64)
+
+        def add(lang: str, texts: list[str]) -> None:
+            codes = _codes(" " + " ".join(texts) + " ")
+            total[LANGS.index(lang)] += np.bincount(_buckets(codes), minlength=BUCKETS)
+            total[NONE] += np.bincount(codes[codes < BUCKETS], minlength=BUCKETS)
+
         for b in batches:
             parts: dict[str, list[str]] = {c: [] for c in LANGS}
             for d, t in zip(b["declared"], b["text"]):
-                for _, _, plain, words, _ in statements(t):
+                for _, _, plain, words, _, _ in statements(t):
                     if words >= MIN_WORDS and d in _SETS and votes(plain) == d:
                         parts[d].append(plain)
                 if len(parts[d]) > 2_000:
-                    total[LANGS.index(d)] += np.bincount(_buckets(_codes(" " + " ".join(parts[d]) + " ")), minlength=BUCKETS)
+                    add(d, parts[d])
                     parts[d] = []
             for c, p in parts.items():
                 if p:
-                    total[LANGS.index(c)] += np.bincount(_buckets(_codes(" " + " ".join(p) + " ")), minlength=BUCKETS)
+                    add(c, p)
         i, j = np.nonzero(total)
         yield pd.DataFrame({"lang": i.astype("int32"), "bucket": j.astype("int32"), "n": total[i, j]})
 
@@ -142,15 +218,29 @@ def sample_counts(docs: DataFrame) -> DataFrame:
 
 
 def letter_model(counts: DataFrame | None) -> np.ndarray:
-    """Log probabilities of buckets by language, ``BUCKETS x len(LANGS)``; the table's size is fixed."""
+    """Log probabilities of buckets by language and, last, of the background, ``BUCKETS x len(ALL)``; the table's size is fixed."""
     total = np.full((len(LANGS), BUCKETS), 0.05)
+    letters = np.zeros(BUCKETS)
     for k, c in enumerate(LANGS):
         for w in FUNCTION_WORDS.get(c, "").split():
             np.add.at(total[k], _buckets(_codes(f" {w} ")), 5.0)
+            np.add.at(letters, _codes(f" {w}").astype(np.int64), 1.0)
     if counts is not None:
         t = counts.toArrow()
-        np.add.at(total, (t["lang"].to_numpy(), t["bucket"].to_numpy()), t["n"].to_numpy().astype(float))
-    return np.ascontiguousarray(np.log(total / total.sum(axis=1, keepdims=True)).T.astype(np.float32))
+        lang, bucket, n = t["lang"].to_numpy(), t["bucket"].to_numpy(), t["n"].to_numpy().astype(float)
+        own = lang < len(LANGS)
+        np.add.at(total, (lang[own], bucket[own]), n[own])
+        np.add.at(letters, bucket[~own], n[~own])
+    alphabet = _codes(_LATIN)
+    p = letters[alphabet] + max(letters.sum(), 1.0) * 1e-4
+    p = p / p.sum()
+    n = len(alphabet)
+    triples = np.stack(np.meshgrid(alphabet, alphabet, alphabet, indexing="ij"), -1).reshape(-1, 3).astype(np.uint32)
+    background = np.full(BUCKETS, 1e-9)
+    chance = (p[:, None, None] * p[None, :, None] * p[None, None, :]).reshape(-1)
+    np.add.at(background, _hash(triples[:, 0], triples[:, 1], triples[:, 2]), chance)
+    model = np.log(total / total.sum(axis=1, keepdims=True))
+    return np.ascontiguousarray(np.vstack([model, np.log(background / background.sum()) + OTHER_BONUS]).T.astype(np.float32))
 
 
 def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = SAMPLE_PER_LABEL) -> np.ndarray:
@@ -184,9 +274,10 @@ def host_priors(documents: DataFrame, source: str = "source", label: str = "lang
 
 
 def posteriors(texts: list[str | None], declared: list[str | None], priors: list, model: np.ndarray, whole: list[float]) -> Iterator[list[tuple[int, int, int, int, np.ndarray]]]:
-    """Per text its statements as ``start, end, words, Han letters, posterior``."""
-    k, zh = len(LANGS), LANGS.index("zh")
+    """Per text its statements as ``start, end, words, Han letters, posterior`` over ``ALL``."""
+    k = len(ALL)
     wrong = (1 - TRUST) / (k - 1)
+    trusted = {c: np.log(np.where(np.arange(k) == i, TRUST, wrong)) for i, c in enumerate(LANGS)}
     at = 0
     while at < len(texts):
         docs, size = [], 0
@@ -201,22 +292,33 @@ def posteriors(texts: list[str | None], declared: list[str | None], priors: list
             starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
             codes = _codes("".join(plains) + "  ")
             score = np.add.reduceat(model[_buckets(codes)], starts, axis=0, dtype=np.float64) / TEMPER
+            rows = [[_ROW[w] for w in p.split() if w in _ROW] for p in plains]
+            hits = np.zeros_like(score)
+            np.add.at(hits, np.repeat(np.arange(len(rows)), [len(r) for r in rows]), _HAS[[i for r in rows for i in r]])
+            n_words = np.array([s[3] for d in docs for s in d])[:, None]
+            evidence = hits * np.log(OWN_WORDS / STRAY_WORDS) + (n_words - hits) * np.log((1 - OWN_WORDS) / (1 - STRAY_WORDS))
+            score += np.where(_LISTED, evidence, 0.0)
         n = 0
         for j, d in enumerate(docs, at - len(docs)):
-            base = np.log(np.maximum(np.array(whole if priors[j] is None else priors[j], float), 1e-9))
-            t = texts[j] or ""
-            marked = _MARKUP_LANG.search(t) if "lang" in t and "<" in t else None
-            for dec in (declared[j], CODES.get(marked.group(1).lower()) if marked else None):
-                if dec in LANGS:
-                    base = base + np.log(np.where(np.arange(k) == LANGS.index(dec), TRUST, wrong))
+            shares = np.maximum(np.array(whole if priors[j] is None else priors[j], float), 1e-9)
+            base = np.log(np.append(shares, OTHER_PRIOR))
+            if declared[j] in trusted:
+                base = base + trusted[declared[j]]
+            marks, langs = declared_elements(texts[j] or "")
             out = []
-            for start, end, _, words, han in d:
+            for start, end, plain, words, han, foreign in d:
                 x = base + score[n]
-                if han >= MIN_HAN and han > 2 * words:
+                here = langs[bisect_right(marks, (start + end) // 2) - 1] if len(marks) > 1 else None
+                if here in trusted:
+                    x = x + trusted[here]
+                if foreign > 2 and 2 * foreign > len(plain) - words:  # more than half of the letters, or kana beside Han
+                    x = np.full(k, -60.0)
+                    x[NONE] = 0.0
+                elif han >= MIN_HAN and han > 2 * words:
                     x = np.full(k, -60.0)
-                    x[zh] = 0.0
+                    x[ZH] = 0.0
                 elif words:
-                    x[zh] -= 60.0
+                    x[ZH] -= 60.0 if han else 1e6
                 e = np.exp(x - x.max())
                 out.append((start, end, words, han, e / e.sum()))
                 n += 1
@@ -254,16 +356,16 @@ def segment_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
                 d = None if ids[i] is None or ids[i] != ids[i] else int(ids[i])
                 for start, end, words, han, p in parts:
                     k = int(p.argmax())
-                    full = p[k] >= SURE and (han >= MIN_HAN if LANGS[k] == "zh" else words >= MIN_WORDS)
+                    full = p[k] >= SURE and (han >= MIN_HAN if k == ZH else words >= MIN_WORDS)
                     weight = max(end - start, 1)
                     if run_ and (run_[2] == k or not (full or words >= MIN_WORDS)):
                         run_[1], run_[3], run_[4], run_[5] = end, run_[3] + weight * float(p[run_[2]]), run_[4] + weight, run_[5] or (full and run_[2] == k)
                     else:
                         if run_:
-                            rows.append((d, labels[i], decs[i], no, run_[0], run_[1], LANGS[run_[2]], run_[3] / run_[4], run_[5]))
+                            rows.append((d, labels[i], decs[i], no, run_[0], run_[1], ALL[run_[2]], run_[3] / run_[4], run_[5]))
                             no += 1
                         run_ = [start, end, k, weight * float(p[k]), weight, bool(full)]
-                rows.append((d, labels[i], decs[i], no, run_[0], run_[1], LANGS[run_[2]], run_[3] / run_[4], run_[5]))
+                rows.append((d, labels[i], decs[i], no, run_[0], run_[1], ALL[run_[2]], run_[3] / run_[4], run_[5]))
             cols = list(zip(*rows)) if rows else [()] * 9
             yield pd.DataFrame({
                 "doc_id": pd.array(cols[0], dtype="Int64"), "label": pd.array(cols[1], dtype="object"), "declared": pd.array(cols[2], dtype="object"), "segment_no": pd.array(cols[3], dtype="Int32"),
@@ -284,4 +386,5 @@ def document_languages(segments: DataFrame) -> DataFrame:
 def wrong_labels(languages: DataFrame) -> DataFrame:
     """Documents whose label is missing, wrong or not the only language: ``doc_id, true_lang`` per language present."""
     fine = (F.size("present") == 1) & F.coalesce(F.get("present", F.lit(0)) == F.col("declared"), F.lit(False))
-    return languages.where(~fine).select("doc_id", F.explode("present").alias("true_lang")).distinct()
+    named = F.filter("present", lambda x: x != OTHER)
+    return languages.where(~fine).select("doc_id", F.explode(named).alias("true_lang")).distinct()

@@ -10,8 +10,9 @@ reaching words per number of edits), which is exact.
 Case, accents, punctuation, spacing, invisible characters, line breaks and markup are removed from both texts; a
 number with its separators is one word, and so is a word with its apostrophes or hyphens.
 
-The items are the stated query set: they are searched in blocks of ``ITEM_BLOCK`` items, each of which fits a task's
-memory by construction; all documents are scanned whole for each block. No document text is shuffled.
+The items are the stated query set: they are searched in blocks of ``ITEM_BLOCK`` items or ``ITEM_CHARS`` characters,
+whichever comes first, so that a block's tables fit a task's memory; all documents are scanned whole for each block. A
+longer item is a block of its own. A block's tables are built once per Python worker. No document text is shuffled.
 
 Defined results: null or empty texts contain nothing; items of fewer than ``WINDOW`` words cannot be contained; rows
 with a null id are reported under null; repeated rows are reported once; empty tables give an empty result.
@@ -31,11 +32,11 @@ from pyspark.sql import functions as F
 WINDOW, EDITS = 20, 2
 #: Untouched words next to each other that a window with so many edits still has.
 SEED = (WINDOW - EDITS) // (EDITS + 1)
-#: Items whose search tables one pass holds; about 0.1 MB for an item of 100 words.
-ITEM_BLOCK = 1_000
+#: Items, and characters of items, whose search tables one pass holds; about 1 KB for a word.
+ITEM_BLOCK, ITEM_CHARS = 1_000, 1_000_000
 
-_BREAKING = re.compile(r"</?(?:p|br|div|li|ul|ol|tr|td|th|table|h[1-6]|hr|pre|blockquote)\b[^<>]*>", re.I)
-_INLINE = re.compile(r"</?[a-zA-Z][^<>]{0,300}>")
+_BREAKING = re.compile(r"</?(?:p|br|div|li|ul|ol|tr|td|th|table|h[1-6]|hr|pre|blockquote)\b[^<>]*+>", re.I)
+_INLINE = re.compile(r"</?[a-zA-Z][^<>]*+>")
 _JOINED = re.compile(r"[.,'’`´‘ʼ\-‐‑](?:(?<=\d[.,])(?=\d)|(?<=\w['’`´‘ʼ\-‐‑])(?=\w))")
 _MARKS = re.compile("[\u0300-\u036f]+")
 #: Letters of scripts with combining marks of their own.
@@ -149,6 +150,17 @@ def stretch(item: list[str], at: int, doc: list[str], start: int) -> tuple[int,
     return SEED + max(left[k] + right[EDITS - k] for k in range(EDITS + 1)), SEED + right[0]
 
 
+_BUILT: dict[int, Patterns] = {}
+
+
+def _patterns(number: int, items: list[tuple[int | None, str | None]]) -> Patterns:
+    """A block's tables, kept for the worker's next tasks; only one block's at a time."""
+    if number not in _BUILT:
+        _BUILT.clear()
+        _BUILT[number] = Patterns(items)
+    return _BUILT[number]
+
+
 def leaked(documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Documents with the items they contain: ``doc_id, item_id, repeated_words``, one row per pair."""
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -159,21 +171,24 @@ def leaked(documents: DataFrame, items: DataFrame, text: str = "text", doc_id: s
 
     def search(part: list[tuple[int | None, str | None]]) -> DataFrame:
         held = spark.sparkContext.broadcast(part)
+        number = held._jbroadcast.id()
 
         def run(batches: Iterator) -> Iterator:
             import pandas as pd
 
-            patterns = Patterns(held.value)
+            patterns = _patterns(number, held.value)
             for b in batches:
                 rows = [(d, i, n) for d, t in zip(b["doc_id"].tolist(), b["text"].tolist()) for i, n in patterns.contained(t)]
                 yield pd.DataFrame({"doc_id": pd.array([None if r[0] is None or r[0] != r[0] else int(r[0]) for r in rows], dtype="Int64"), "item_id": pd.array([r[1] for r in rows], dtype="Int64"), "repeated_words": pd.array([r[2] for r in rows], dtype="Int32")})
 
         return docs.mapInPandas(run, schema)
 
+    chars = 0
     for row in items.select(F.col(item_id).cast("long"), F.col(item_text)).toLocalIterator():
+        if block and (len(block) >= ITEM_BLOCK or chars + len(row[1] or "") > ITEM_CHARS):
+            out, block, chars = out.unionByName(search(block)), [], 0
         block.append((row[0], row[1]))
-        if len(block) == ITEM_BLOCK:
-            out, block = out.unionByName(search(block)), []
+        chars += len(row[1] or "")
     if block:
         out = out.unionByName(search(block))
     return out.groupBy("doc_id", "item_id").agg(F.max("repeated_words").alias("repeated_words"))

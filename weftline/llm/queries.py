@@ -21,6 +21,18 @@ def p6_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.containers(packing.place_documents(table(spark, d, "documents")))
 
 
+def p6_document_bytes(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes and pieces of each document as placed."""
+    return packing.place_documents(table(spark, d, "documents")).groupBy("doc_id").agg(F.sum("n_bytes").alias("n_bytes"), F.max("n_pieces").alias("n_pieces"))
+
+
+def p6_limits(spark: SparkSession, d: str) -> DataFrame:
+    """What the containers must keep: nothing over their capacity, all bytes, and at most 3% (small tables) unused."""
+    boxes = packing.containers(packing.place_documents(table(spark, d, "documents")))
+    used, room = F.sum("used"), F.count(F.lit(1)) * packing.CAPACITY
+    return boxes.agg((F.max("used") <= packing.CAPACITY).alias("fits"), used.alias("bytes"), (1 - used / room < 0.03).alias("well_filled"))
+
+
 def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -51,8 +63,13 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p6_found, p6_placed, p6_containers, p7_found, p7_leaks, p7_items, p8_found, p8_segments, p8_documents)}
+    return {f.__name__: f for f in (p6_found, p6_placed, p6_containers, p6_document_bytes, p6_limits, p7_found, p7_leaks, p7_items, p8_found, p8_segments, p8_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": "SELECT DISTINCT doc_id FROM documents WHERE octet_length(encode(text)) > 4096"}
+    size = "octet_length(encode(text))"
+    return {
+        "p6_found": f"SELECT DISTINCT doc_id FROM documents WHERE {size} > 4096",
+        "p6_document_bytes": f"SELECT doc_id, CAST(sum(coalesce({size}, 0)) AS BIGINT) AS n_bytes, CAST(max(greatest(ceil(coalesce({size}, 0) / 4096.0), 1)) AS BIGINT) AS n_pieces FROM documents GROUP BY 1",
+        "p6_limits": f"SELECT true AS fits, CAST(sum({size}) AS BIGINT) AS bytes, true AS well_filled FROM documents",
+    }
