@@ -114,5 +114,63 @@ def test_project_to_bounds_and_allocate(spark):
     assert abs(a[1] + 2 * a[2] + a[3] - 40) < 1e-9 and a[3] == 0.0
 
 
+def test_bounds_that_cannot_meet_a_total_leave_a_residual(spark):
+    rows = [(1, "a", 5.0, 1.0, 100.0), (2, "a", 9.0, 2.0, 100.0), (3, "b", 0.0, 1.0, 7.0), (4, "b", 0.0, 1.0, 7.0), (5, "c", None, 1.0, -3.0), (6, "d", 50.0, 0.0, 4.0), (7, "e", 2.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "i int, g string, v double, w double, t double").withColumns({"lo": F.lit(0.0), "hi": F.lit(12.0)})
+    out = {r["i"]: (r["v"], r["residual"]) for r in I.project_to_bounds(df, ["g"], "v", "w", "t", "lo", "hi").collect()}
+    assert out[1] == (12.0, 64.0) and out[2] == (12.0, 64.0)  # 100 wanted, 36 possible
+    assert abs(out[3][0] - 3.5) < 1e-6 and abs(out[3][1]) < 1e-6
+    assert out[5] == (0.0, -3.0) and out[6] == (12.0, 4.0) and out[7][0] == 2.0
+    many = spark.range(60).select(F.lit("g").alias("g"), F.pow(F.lit(1.7), F.col("id") % 30).alias("v"), F.lit(1.0).alias("w"), F.lit(0.0).alias("lo"), (1 + 3 * F.pow(F.lit(1.5), F.col("id") % 30)).alias("hi"))
+    most = many.agg(F.sum("hi")).first()[0]
+    got = I.project_to_bounds(many.withColumn("t", F.lit(most * 0.999)), ["g"], "v", "w", "t", "lo", "hi").agg(F.max(F.abs("residual")), F.max(c("v") - c("hi"))).first()
+    assert got[0] < 1e-5 and got[1] <= 1e-9
+
+
+def test_tilted_draws_follow_weight_times_tilt(spark):
+    """Frequencies with small tilts, where hardly any draw is kept, and with some kept: both ends are exact."""
+    donors = spark.createDataFrame([(k, "g", float(1 + k % 3), float(k)) for k in range(20)] + [(99, "h", 0.0, 1.0), (98, "g", 0.0, 1.0)], "did long, g string, w double, x double")
+    rows = spark.range(6000).select(c("id").alias("rid"), F.lit("g").alias("g")).unionByName(spark.createDataFrame([(-1, "h"), (-2, "none")], "rid long, g string"))
+    for scale in (1e-5, 0.02):
+        tilt = scale * (1 + c("x") % 4) / 4
+        got = {r["did"]: r["n"] for r in I.draw_tilted(rows, donors, "rid", "did", "g", "w", tilt).groupBy("did").agg(F.count(F.lit(1)).alias("n")).collect()}
+        mass = {k: (1 + k % 3) * (1 + k % 4) for k in range(20)}
+        assert sum(got.values()) == 6000 and got.keys() <= mass.keys()
+        chi = sum((got.get(k, 0) - 6000 * m / sum(mass.values())) ** 2 / (6000 * m / sum(mass.values())) for k, m in mass.items())
+        assert chi < 45  # 19 degrees of freedom: one in a thousand is beyond 43.8
+
+
+def test_weighted_draws_with_tiny_and_many_donors(spark):
+    donors = spark.createDataFrame([(k, 1e-12 if k % 2 else 3.0) for k in range(3000)], "did long, w double")
+    got = I.draw_weighted(spark.range(5000), donors, "did", "w", X.hash_uniform("id"))
+    assert got.count() == got.select("id").distinct().count() == 5000
+    per = got.groupBy("did").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)), F.max("n"), F.max(c("did") % 2)).first()
+    assert per[0] > 1300 and per[1] < 20 and per[2] == 0
+
+
+def test_places_without_repeat_when_one_option_holds_all_weight(spark):
+    from weftline.operators import clone as C
+
+    options = spark.createDataFrame([(1, 1.0), (2, 1e-9), (3, 3e-9), (4, 0.0), (5, 1e-9)], "o long, w double")
+    got = C.draw_without_repeat(spark.range(2000).withColumnRenamed("id", "r"), options, "r", "o", "w", 3).collect()
+    per = {}
+    for x in got:
+        per.setdefault(x["r"], {})[x["clone"]] = x["o"]
+    assert len(per) == 2000 and all(len(set(v.values())) == 3 and set(v) == {0, 1, 2} and v[0] == 1 for v in per.values())
+    second = [v[1] for v in per.values()]
+    assert abs(second.count(3) / 2000 - 0.6) < 0.05 and 4 not in second
+    with pytest.raises(ValueError):
+        C.draw_without_repeat(spark.range(2).withColumnRenamed("id", "r"), options, "r", "o", "w", 5)
+
+
+def test_donor_sampling_with_and_without_replacement(spark):
+    d = spark.createDataFrame([(i, "a", float(i), 10.0) for i in range(6)] + [(10, "b", 1.0, 1.0), (11, "b", 2.0, 1.0)], "i long, b string, score double, amt double")
+    p = I.donor_probabilities(d.withColumn("t", F.lit(10.0)), "b", "score", "amt", "t")
+    assert all(abs(r["s"] - 1) < 1e-9 for r in p.groupBy("b").agg(F.sum("probability").alias("s")).collect())
+    s = I.sample_donors(p, "b", "i", "probability", F.lit(4), X.hash_uniform("i")).collect()
+    a, b = [r["i"] for r in s if r["b"] == "a"], [r["i"] for r in s if r["b"] == "b"]
+    assert len(a) == len(set(a)) == 4 and len(b) == 4 and set(b) <= {10, 11}
+
+
 def test_signatures():
     assert S.compare_signatures({"a": 1, "b": 2}, {"a": 1, "b": 3, "n": 0}, ("b",)) == {"fatal": ["b"], "soft": ["n"]}

@@ -12,22 +12,36 @@ from weftline.functions import exprs as X
 from weftline.operators import weights as W
 from weftline.session import cut
 
-#: Cells of the unit line in which draws meet cumulative shares.
-CELLS = 256
+#: Fewest cells of the unit line in which draws meet cumulative shares, and donors to a cell beyond that.
+CELLS, CELL_DONORS = 256, 4
+# Fixed value: the power of the scores in donor selection.
+SELECTION_POWER = 24.0
+#: Most groups whose numbers of cells are broadcast.
+BROADCAST_GROUPS = 100_000
 
 
 def draw_weighted(rows: DataFrame, donors: DataFrame, key: str, weight: str, u: Column, group: list[str] | None = None, cells: int = CELLS) -> DataFrame:
     """Give each row one donor ``key`` (numeric) with probability by weight, within ``group``.
 
-    Donors' running shares are cut at the cells of the unit line; a draw meets the donors of its cell only.
+    Donors' running shares are cut at the cells of the unit line and a draw meets the donors of its cell only. The
+    number of cells grows with the group's donors (one for ``CELL_DONORS`` of them, ``cells`` at least), so a draw meets
+    a few donors however many there are. Shares are whole numbers (2^52 for a group), so that neighbouring intervals
+    meet exactly and every row gets one donor. Rows of a group without donors of positive weight get none.
     """
     group = group or []
-    c = W.cumulative(donors.select(*group, key, weight), key, [F.col(weight)], [F.col(key)], group)
-    hi, lo = F.col("cum0") / F.col("tot0"), (F.col("cum0") - F.col(weight)) / F.col("tot0")
-    c = c.select(*group, key, lo.alias("_lo"), hi.alias("_hi")).where(F.col("_hi") > F.col("_lo"))
-    c = c.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_lo") * cells).cast("int"), F.least(F.floor(F.col("_hi") * cells), F.lit(cells - 1)).cast("int"))))
-    r = rows.withColumn("_u", u).withColumn("_cell", F.floor(F.col("_u") * cells).cast("int"))
-    return r.join(c, [*group, "_cell"]).where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi"))).drop("_u", "_cell", "_lo", "_hi")
+    on = [*group, "_g"]
+    d = donors.where(F.col(weight) > 0).select(*group, key, weight).withColumn("_g", F.lit(0))
+    n = F.greatest(F.lit(cells), F.ceil(F.count(F.lit(1)) / CELL_DONORS)).cast("long")
+    per = cut(d.groupBy(*on).agg(n.alias("_cells"), F.sum(weight).alias("_whole")))
+    per = F.broadcast(per) if per.count() <= BROADCAST_GROUPS else per
+    part = F.greatest(F.round(F.col(weight) / F.col("_whole") * float(1 << 52)).cast("long"), F.lit(1))
+    c = W.cumulative(d.join(per, on).withColumn("_part", part), key, [F.col("_part")], [F.col(key)], on)
+    c = c.select(*on, key, "_cells", ((F.col("cum0") - F.col("_part")) / F.col("tot0")).alias("_lo"), (F.col("cum0") / F.col("tot0")).alias("_hi"))
+    spread = F.sequence(F.floor(F.col("_lo") * F.col("_cells")), F.least(F.floor(F.col("_hi") * F.col("_cells")), F.col("_cells") - 1))
+    c = c.withColumn("_cell", F.explode(spread)).drop("_cells")
+    r = rows.withColumn("_g", F.lit(0)).join(per.select(*on, "_cells"), on).withColumn("_u", u)
+    r = r.withColumn("_cell", F.floor(F.col("_u") * F.col("_cells"))).drop("_cells")
+    return r.join(c, [*on, "_cell"]).where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi"))).drop("_u", "_cell", "_lo", "_hi", "_g")
 
 
 def hot_deck(recipients: DataFrame, donors: DataFrame, cell: list[str], columns: list[str], key: str, bands: int = 4) -> DataFrame:
@@ -108,49 +122,98 @@ def allocate(df: DataFrame, group: list[str], base: str, weight: str, total: str
     return j.withColumn(name, F.when(F.abs(t) <= 1e-6, F.lit(0.0)).otherwise(mag * t + 0.0)).drop("_p", "_n", "_a", "_w")
 
 
-def project_to_bounds(df: DataFrame, group: list[str], value: str, weight: str, total: str, lower: str, upper: str, rounds: int = 20) -> DataFrame:
-    """Move values within their bounds until each group's weighted sum meets ``total``.
+def project_to_bounds(df: DataFrame, group: list[str], value: str, weight: str, total: str, lower: str, upper: str, tol: float = 1e-6) -> DataFrame:
+    """Move values within their bounds until each group's weighted sum meets ``total``; adds ``residual``, what is left.
 
-    Each round spreads the residual over the rows that have room, in proportion to their size. A round is one grouped
-    aggregation joined back, so no group is collected; the state is written to the checkpoint folder between rounds.
+    Each round spreads the residual over the rows that have room, in proportion to their size (equally where all are
+    zero). A round that does not meet the total brings at least one row to its bound, so rounds go on until every
+    group's residual is within ``tol`` or its rows have no room left; the residual of a group whose bounds cannot meet
+    the total is what the nearest values leave. Rows without positive weight keep their clamped values.
+
+    A round is two grouped aggregations joined back, so no group is collected; the state is written to the checkpoint
+    folder between rounds. Null values count as zero, null bounds as none.
     """
-    v, w = F.col(value), F.col(weight)
-    cur = df.withColumn(value, F.least(F.greatest(v.cast("double"), F.col(lower)), F.col(upper)))
-    for _ in range(rounds):
+    v, w = F.col(value), F.coalesce(F.col(weight), F.lit(0.0))
+    lo, hi = F.coalesce(F.col(lower), F.lit(float("-inf"))), F.coalesce(F.col(upper), F.lit(float("inf")))
+    cur = df.withColumn(value, F.least(F.greatest(F.coalesce(v.cast("double"), F.lit(0.0)), lo), hi))
+    while True:
         cur = cut(cur)
         res = cur.groupBy(*group).agg((F.max(total) - F.sum(v * w)).alias("_r"))
-        if not res.where(F.abs("_r") > 1e-6).limit(1).count():
-            break
-        j = cur.join(res, group)
-        room = F.when(F.col("_r") > 0, F.col(upper) - v).otherwise(v - F.col(lower))
-        j = j.withColumn("_free", room > 1e-9).withColumn("_room", room)
-        base = j.groupBy(*group).agg(F.sum(F.when(F.col("_free"), F.abs(v) * w)).alias("_b"), F.sum(F.when(F.col("_free"), w)).alias("_w"))
-        j = j.join(base, group)
-        step = F.when(F.col("_b") > 1e-9, F.col("_r") * F.abs(v) / F.col("_b")).when(F.col("_w") > 0, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
-        step = F.when(F.col("_free"), F.greatest(F.least(step, F.col("_room")), -F.col("_room"))).otherwise(F.lit(0.0))
+        room = F.when(F.col("_r") > 0, hi - v).otherwise(v - lo)
+        j = cur.join(res, group).withColumn("_room", room).withColumn("_free", (w > 0) & (F.col("_room") > 1e-9 * F.greatest(F.abs(v), F.lit(1.0))))
+        base = j.groupBy(*group).agg(F.max("_r").alias("_r"), F.sum(F.when(F.col("_free"), F.abs(v) * w)).alias("_b"), F.sum(F.when(F.col("_free"), w)).alias("_w"))
+        base = cut(base.withColumn("_open", (F.abs("_r") > tol) & F.coalesce(F.col("_w") > 0, F.lit(False))))
+        if not base.where("_open").limit(1).count():
+            return cur.join(base.select(*group, F.col("_r").alias("residual")), group)
+        j = j.drop("_r").join(base, group)
+        step = F.when(F.col("_b") > 1e-9, F.col("_r") * F.abs(v) / F.col("_b")).otherwise(F.col("_r") / F.col("_w"))
+        step = F.when(F.col("_open") & F.col("_free"), F.greatest(F.least(step, F.col("_room")), -F.col("_room"))).otherwise(F.lit(0.0))
         cur = j.withColumn(value, v + step).select(*cur.columns)
-    return cur
 
 
-def draw_tilted(rows: DataFrame, donors: DataFrame, rid: str, did: str, group: str, weight: str, tilt: Column, rounds: tuple[int, ...] = (8, 64, 512)) -> DataFrame:
+def donor_probabilities(donors: DataFrame, bucket: str, score: str, amount: str, wanted: str, power: float = SELECTION_POWER) -> DataFrame:
+    """Adds ``probability``: a donor's chance within its bucket, by its score to ``power`` and the nearness of its amount to ``wanted``.
+
+    Nearness is the square root of ``1 / (1 + d)``, ``d`` being the distance of the logarithms of one plus the absolute
+    amounts. Scores below 1e-6 count as that; a bucket whose masses are not positive numbers gives all donors the same.
+    """
+    mass = F.pow(F.greatest(F.coalesce(F.col(score), F.lit(0.0)), F.lit(1e-6)), F.lit(power))
+    gap = F.abs(F.log1p(F.abs(F.col(amount))) - F.log1p(F.greatest(F.abs(F.col(wanted)), F.lit(1.0))))
+    d = donors.withColumn("_mass", mass * F.sqrt(1 / (1 + gap)))
+    per = d.groupBy(bucket).agg(F.sum("_mass").alias("_all"), F.count(F.lit(1)).alias("_k"), F.max(F.col("_mass").isNull() | F.isnan("_mass")).alias("_odd"))
+    even = F.col("_odd") | ~F.coalesce((F.col("_all") > 0) & (F.col("_all") < float("inf")), F.lit(False))
+    return d.join(per, bucket).withColumn("probability", F.when(even, 1.0 / F.col("_k")).otherwise(F.col("_mass") / F.col("_all"))).drop("_mass", "_all", "_k", "_odd")
+
+
+def sample_donors(donors: DataFrame, bucket: str, key: str, probability: str, n: Column, u: Column) -> DataFrame:
+    """``n`` donors per bucket: ``bucket, key, copy``; without replacement by exponential keys of the draw ``u``.
+
+    A bucket with fewer donors than ``n`` (a column that is equal within a bucket) draws with replacement instead, one
+    weighted draw per ``copy``.
+    """
+    d = donors.where(F.col(probability) > 0).select(bucket, key, probability, n.cast("long").alias("_want"), (-F.log(1 - u) / F.col(probability)).alias("_key"))
+    sizes = cut(d.groupBy(bucket).agg(F.count(F.lit(1)).alias("_k"), F.max("_want").alias("_want")))
+    few = sizes.where(F.col("_k") < F.col("_want"))
+    enough = d.drop("_want").join(sizes.where(F.col("_k") >= F.col("_want")).drop("_k"), bucket)
+    once = W.cumulative(enough, "_key", [F.lit(1).cast("long")], [F.col(key)], [bucket]).where(F.col("cum0") <= F.col("_want")).select(bucket, key, (F.col("cum0") - 1).alias("copy"))
+    asked = few.select(bucket, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_want") - 1)).alias("copy"))
+    again = draw_weighted(asked, d.select(bucket, key, probability), key, probability, X.hash_uniform(F.lit("again"), bucket, "copy"), [bucket]).select(bucket, key, "copy")
+    return once.unionByName(again)
+
+
+#: Donors in one block of the exact search of :func:`draw_tilted`.
+TILT_BLOCK = 512
+
+
+def draw_tilted(rows: DataFrame, donors: DataFrame, rid: str, did: str, group: str, weight: str, tilt: Column, rounds: tuple[int, ...] = (8, 64)) -> DataFrame:
     """One donor (numeric id) per row of its group with probability in proportion to ``weight * tilt``, ``0 <= tilt <= 1``.
 
-    By rejection: donors are drawn by weight and kept with probability ``tilt`` (which may use columns of both sides);
-    the first kept draw counts. Rows are given 8, 64 and 512 draws as long as they need them; what then is left, rows
-    whose whole group is unlike them, takes the donor with the largest ``weight * tilt``, found by a grouped maximum.
+    First by rejection: donors are drawn by weight and kept with probability ``tilt`` (which may use columns of both
+    sides); the first kept draw counts. Rows are given 8 and then 64 draws. What is left, rows that are unlike most of
+    their group, is drawn exactly: each such row meets its group's donors block by block, every donor gets the key
+    ``-ln(u) / (weight * tilt)``, and the smallest key wins, which combines map-side. Both ways have the same
+    distribution, so the number of rounds does not change it. Rows whose donors all have a tilt of zero are drawn by
+    weight alone; rows of a group without donors of positive weight get none.
     """
     left, found = rows, None
+    pool = donors.where(F.col(weight) > 0)
     for k, n in enumerate(rounds):
         asked = left.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        got = draw_weighted(asked, donors, did, weight, X.hash_uniform(F.lit(f"draw{k}"), rid, "_t"), [group]).join(donors.drop(weight), [group, did])
+        got = draw_weighted(asked, pool, did, weight, X.hash_uniform(F.lit(f"draw{k}"), rid, "_t"), [group]).join(pool.drop(weight), [group, did])
         kept = got.where(X.hash_uniform(F.lit(f"keep{k}"), rid, "_t") < tilt).groupBy(rid).agg(F.min_by(did, "_t").alias(did))
         found = kept if found is None else found.unionByName(kept)
         found = cut(found)
         left = cut(rows.join(found.select(rid), rid, "left_anti"))
         if not left.limit(1).count():
             return found
-    rest = left.join(donors, group).groupBy(rid).agg(F.max_by(did, F.struct(F.col(weight) * tilt, -F.col(did))).alias(did))
-    return found.unionByName(rest)
+    sizes = pool.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / TILT_BLOCK).alias("_blocks"))
+    asked = left.join(sizes, group).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
+    dealt = pool.join(sizes, group).withColumn("_block", F.pmod(F.xxhash64(did), F.col("_blocks"))).drop("_blocks")
+    share = F.col(weight) * tilt
+    key = -F.log(1 - X.hash_uniform(F.lit("exact"), rid, did)) / share
+    rest = cut(asked.join(dealt, [group, "_block"]).where(share > 0).groupBy(rid).agg(F.min_by(did, F.struct(key, F.col(did))).alias(did)))
+    untilted = left.join(rest.select(rid), rid, "left_anti").select(rid, group)
+    return found.unionByName(rest).unionByName(draw_weighted(untilted, pool, did, weight, X.hash_uniform(F.lit("untilted"), rid), [group]).select(rid, did))
 
 
 def expand(df: DataFrame, n: Column) -> DataFrame:

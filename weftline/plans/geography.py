@@ -29,21 +29,45 @@ def cl1_block_shares(spark: SparkSession, d: str) -> DataFrame:
 _AMT = "a AS (SELECT CAST(geographic_id AS INT) AS cd_geoid, sum(value) AS amount FROM (SELECT DISTINCT target_id, geographic_id, value FROM target_overview WHERE geo_level = 'district' AND value > 0 AND NOT isnan(value) AND variable = 'adjusted_gross_income') GROUP BY 1)"
 
 
+def _district_amounts(m: Micro) -> DataFrame:
+    t = m.raw("target_overview").where("geo_level = 'district' AND value > 0 AND NOT isnan(value) AND variable = 'adjusted_gross_income'").select("target_id", "geographic_id", "value").distinct()
+    return t.groupBy(c("geographic_id").cast("int").alias("cd_geoid")).agg(F.sum("value").alias("amount"))
+
+
 @book.add(f"""WITH {_AMT}, m AS (SELECT cd_geoid, sum(probability) AS m FROM block_distribution GROUP BY 1), k AS (SELECT cd_geoid, m, coalesce(amount, 0) AS amount FROM m LEFT JOIN a USING (cd_geoid))
 SELECT cd_geoid, block_geoid, round(probability / m * amount / (SELECT sum(amount) FROM k), 12) AS tilted FROM block_distribution JOIN k USING (cd_geoid)""")
 def cl2_tilted_shares(spark, d):
     m = Micro(spark, d)
-    t = m.raw("target_overview").where("geo_level = 'district' AND value > 0 AND NOT isnan(value) AND variable = 'adjusted_gross_income'").select("target_id", "geographic_id", "value").distinct()
-    a = t.groupBy(c("geographic_id").cast("int").alias("cd_geoid")).agg(F.sum("value").alias("amount"))
-    return C.tilt(m.raw("block_distribution"), a).select("cd_geoid", "block_geoid", F.round("tilted", 12).alias("tilted"))
+    return C.tilt(m.raw("block_distribution"), _district_amounts(m)).select("cd_geoid", "block_geoid", F.round("tilted", 12).alias("tilted"))
+
+
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    """Three different districts for each household by the weight of their blocks; for the top decile by the tilted weight (CL2)."""
+    m = Micro(spark, d)
+    b = m.raw("block_distribution")
+    even = b.groupBy("cd_geoid").agg(F.sum("probability").alias("p")).withColumn("pool", F.lit("all"))
+    tilted = C.tilt(b, _district_amounts(m)).groupBy("cd_geoid").agg(F.sum("tilted").alias("p")).withColumn("pool", F.lit("top"))
+    return C.draw_without_repeat(_pools(m), even.unionByName(tilted), "household_id", "cd_geoid", "p", N_CLONES, group="pool")
+
+
+def _pools(m: Micro) -> DataFrame:
+    top = m.household.agg(F.percentile("wealth", 0.9).alias("edge"))
+    return m.household.join(F.broadcast(top), F.lit(True)).select("household_id", F.when(c("wealth") >= c("edge"), "top").otherwise("all").alias("pool"))  # one row
 
 
 @book.add()
 def cl3_places_without_repeat(spark, d):
-    """Three different districts for each household, drawn by the weight of their blocks."""
+    return _places(spark, d)
+
+
+@book.add("SELECT count(*) AS households, 3 * count(*) AS places, true AS all_different, true AS top_in_tilted FROM household")
+def cl3_place_rules(spark, d):
+    """What the places must keep: three per household, all different, and for the top decile only districts with tilted weight."""
     m = Micro(spark, d)
-    o = m.raw("block_distribution").groupBy("cd_geoid").agg(F.sum("probability").alias("p"))
-    return C.draw_without_repeat(m.household.select("household_id"), o, "household_id", "cd_geoid", "p", N_CLONES)
+    p = _places(spark, d).join(_pools(m), "household_id")
+    heavy = _district_amounts(m).where("amount > 0").select("cd_geoid", F.lit(True).alias("heavy"))
+    per = p.join(heavy, "cd_geoid", "left").groupBy("household_id", "pool").agg(N().alias("n"), F.count_distinct("cd_geoid").alias("k"), F.min(F.coalesce("heavy", F.lit(False))).alias("heavy"))
+    return per.agg(N().alias("households"), F.sum("n").alias("places"), F.min((c("k") == N_CLONES) & (c("n") == N_CLONES)).alias("all_different"), F.min((c("pool") != "top") | c("heavy")).alias("top_in_tilted"))
 
 
 @book.add("SELECT household_id, k AS clone, k * (SELECT count(*) FROM household) + household_id AS col_id FROM household, range(3) r(k)")
@@ -72,10 +96,31 @@ b AS (SELECT cd_geoid, block_geoid, sum(probability) OVER (PARTITION BY cd_geoid
 SELECT household_id, h.cd_geoid, min(block_geoid) AS block_geoid FROM h JOIN b ON b.cd_geoid = h.cd_geoid AND u < hi GROUP BY ALL""")
 def cl6_draw_block(spark, d):
     m = Micro(spark, d)
+    return C.draw_block(_in_districts(m), m.raw("block_distribution"), "cd_geoid", "block_geoid", "probability", X.lcg_uniform(c("household_id"), 9)).select("household_id", "cd_geoid", "block_geoid")
+
+
+@book.add(f"""
+WITH o AS (SELECT cd_geoid, row_number() OVER (ORDER BY cd_geoid) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT cd_geoid FROM block_distribution)),
+h AS (SELECT household_id, cd_geoid, {_U9} AS u FROM household JOIN o ON i = household_id % n),
+k AS (SELECT cd_geoid, left(block_geoid, 5) AS county, sum(probability) AS p FROM block_distribution WHERE cd_geoid % 2 = 1 GROUP BY ALL
+  UNION ALL SELECT o.cd_geoid, county, 1.0 FROM o JOIN (SELECT DISTINCT left(block_geoid, 5) AS county FROM block_distribution) c ON CAST(left(county, 2) AS INT) = o.cd_geoid // 100 WHERE o.cd_geoid % 2 = 0),
+b AS (SELECT cd_geoid, county, sum(p) OVER (PARTITION BY cd_geoid ORDER BY county) / sum(p) OVER (PARTITION BY cd_geoid) AS hi FROM k)
+SELECT household_id, h.cd_geoid, min(county) AS county FROM h JOIN b ON b.cd_geoid = h.cd_geoid AND u < hi GROUP BY ALL""")
+def cl6_county_fallback(spark, d):
+    """A county by weight where the district has a distribution (the odd ones), else any of the state's with equal chance."""
+    m = Micro(spark, d)
+    b = m.raw("block_distribution").withColumn("county", F.substring("block_geoid", 1, 5))
+    known = b.where("cd_geoid % 2 = 1").groupBy("cd_geoid", "county").agg(F.sum("probability").alias("p"))
+    others = b.select(F.substring("county", 1, 2).cast("int").alias("parent"), "county")
+    h = _in_districts(m)
+    return C.draw_with_fallback(h, known, others, "cd_geoid", "county", "p", F.floor(c("cd_geoid") / 100).cast("int"), X.lcg_uniform(c("household_id"), 9)).select("household_id", "cd_geoid", "county")
+
+
+def _in_districts(m: Micro) -> DataFrame:
+    """Households dealt to the districts in turn."""
     o = C.dense_ids(m.raw("block_distribution").select("cd_geoid").distinct(), [], "cd_geoid", "i")
     n = o.agg(N().alias("n"))
-    h = m.household.select("household_id").join(F.broadcast(n), F.lit(True)).withColumn("i", c("household_id") % c("n")).join(o, "i")
-    return C.draw_block(h.select("household_id", "cd_geoid"), m.raw("block_distribution"), "cd_geoid", "block_geoid", "probability", X.lcg_uniform(c("household_id"), 9)).select("household_id", "cd_geoid", "block_geoid")
+    return m.household.select("household_id").join(F.broadcast(n), F.lit(True)).withColumn("i", c("household_id") % c("n")).join(o, "i").select("household_id", "cd_geoid")
 
 
 @book.add("""

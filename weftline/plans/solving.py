@@ -233,21 +233,55 @@ def ds1_integer_weights(spark, d):
     return r.select("household_id", I.integer_weights(c("total"), c("n"), c("k") + 1).alias("w"))
 
 
+def _bounded(spark: SparkSession, d: str) -> DataFrame:
+    """Wealth within bounds, to 1.1 times its total per segment; one segment asks for more than its bounds allow."""
+    h = Micro(spark, d).household.select("household_id", "segment", "wealth", "weight", F.lit(-2000.0).alias("lo"), F.lit(12000.0).alias("hi"))
+    t = h.groupBy("segment").agg(F.when(c("segment") == "MACHINERY", F.sum("weight") * 12100.0).otherwise(F.sum(c("wealth") * c("weight")) * 1.1).alias("total"))
+    return I.project_to_bounds(h.join(t, "segment"), ["segment"], "wealth", "weight", "total", "lo", "hi")
+
+
 @book.add()
 def ds2_project_to_bounds(spark, d):
-    h = Micro(spark, d).household.select("household_id", "segment", "wealth", "weight", F.lit(-2000.0).alias("lo"), F.lit(12000.0).alias("hi"))
-    t = h.groupBy("segment").agg((F.sum(c("wealth") * c("weight")) * 1.1).alias("total"))
-    return I.project_to_bounds(h.join(t, "segment"), ["segment"], "wealth", "weight", "total", "lo", "hi").select("household_id", "wealth")
+    return _bounded(spark, d).select("household_id", "wealth", F.round("residual", 4).alias("residual"))
+
+
+@book.add("""
+SELECT segment, round(CASE segment WHEN 'MACHINERY' THEN sum(weight) * 100.0::DOUBLE ELSE 0 END, 2) AS residual, round(CASE segment WHEN 'MACHINERY' THEN sum(weight) * 12000.0::DOUBLE ELSE sum(wealth * weight) * 1.1::DOUBLE END, 2) AS achieved, true AS inside FROM household GROUP BY 1""")
+def ds2_residuals(spark, d):
+    """The totals met, or what the clamped values leave."""
+    return _bounded(spark, d).groupBy("segment").agg(F.round(F.max("residual") + 0.0, 2).alias("residual"), F.round(F.sum(c("wealth") * c("weight")), 2).alias("achieved"), F.min(c("wealth").between(-2000.0, 12000.0)).alias("inside"))
 
 
 @book.add("""
 WITH t AS (SELECT segment, CASE segment WHEN 'BUILDING' THEN -100000.0 ELSE 500000.0 END::DOUBLE AS total, sum(wealth * weight) FILTER (wealth > 0) AS p, sum(-wealth * weight) FILTER (wealth < 0) AS n FROM household GROUP BY 1)
 SELECT household_id, round(CASE WHEN total > 0 THEN greatest(wealth, 0) / p ELSE greatest(-wealth, 0) / n END * total + 0.0, 6) AS allocated FROM household JOIN t USING (segment)""")
-def ds3_ds4_allocate(spark, d):
+def ds3_allocate(spark, d):
     h = Micro(spark, d).household.withColumn("total", F.when(c("segment") == "BUILDING", -100000.0).otherwise(500000.0))
     return I.allocate(h, ["segment"], "wealth", "weight", "total").select("household_id", F.round("allocated", 6).alias("allocated"))
 
 
+_DS4 = f"""
+WITH m AS (SELECT household_id, segment, greatest(abs(wealth) / 10000.0::DOUBLE, 1e-6) ** 24 * sqrt(1 / (1 + abs(ln(1 + abs(wealth)) - ln(1 + 5000.0)))) AS mass, ((household_id * (1103515245 + 4) + 12345 + 4) % 2147483648) / 2147483648.0 AS u FROM household),
+p AS (SELECT *, mass / sum(mass) OVER (PARTITION BY segment) AS probability FROM m)
+"""
+
+
+def _ds4(spark: SparkSession, d: str) -> DataFrame:
+    h = Micro(spark, d).household.select("household_id", "segment", "wealth", (F.abs("wealth") / 10000.0).alias("score"), F.lit(5000.0).alias("wanted"))
+    return I.donor_probabilities(h, "segment", "score", "wealth", "wanted")
+
+
+@book.add(_DS4 + "SELECT household_id, round(probability, 12) AS probability FROM p")
+def ds4_donor_probabilities(spark, d):
+    return _ds4(spark, d).select("household_id", F.round("probability", 12).alias("probability"))
+
+
+@book.add(_DS4 + "SELECT segment, household_id FROM (SELECT segment, household_id, row_number() OVER (PARTITION BY segment ORDER BY -ln(1 - u) / probability, household_id) AS k FROM p) WHERE k <= 20")
+def ds4_sample(spark, d):
+    """Twenty donors of each bucket, without replacement."""
+    return I.sample_donors(_ds4(spark, d), "segment", "household_id", "probability", F.lit(20), X.lcg_uniform(c("household_id"), 4)).select("segment", "household_id")
+
+
 @book.add("SELECT unit_id, k AS copy, agi / (1 + unit_id % 3) AS part FROM (SELECT unit_id, agi, unnest(range(CAST(1 + unit_id % 3 AS INT))) AS k FROM unit)")
 def ds5_replicate(spark, d):
     n = 1 + c("unit_id") % 3
