@@ -53,3 +53,63 @@ def test_solvers_meet_their_targets(spark):
     fit = solve.calibrate(x, ["a", "b"], infeasible, "d", "entropy", max_error=0.1)
     assert fit.path[0].startswith("entropy")
     assert solve.densify(t * 1.0, t * 1.1, t, 0.05) == 0.5 or abs(solve.densify(t * 1.0, t * 1.1, t, 0.05) - 0.5) < 1e-9
+
+
+def test_nearest_donors_with_ties_and_repeats(spark):
+    """Half of the donors share one place; all blocks, parts and packs are small."""
+    rnd = random.Random(11)
+    donors = [(i, "x", 5.0 if i % 2 else float(rnd.randrange(40)), float(rnd.randrange(3))) for i in range(300)]
+    d = spark.createDataFrame(donors, "id long, g string, a double, b double")
+    got = {}
+    for r in joins.nearest_donors(d, d, "id", "id", {"a": 1.0, "b": 1.0}, "g", k=3, standardise=False, block=16, others=True).collect():
+        got.setdefault(r["rid"], {})[r["rank"]] = (r["distance"], r["did"])
+    for i, _, a, b in donors:
+        best = sorted(((x[2] - a) ** 2 + (x[3] - b) ** 2, x[0]) for x in donors if x[0] != i)[:3]
+        assert [got[i][k] for k in (1, 2, 3)] == best
+
+
+def test_a_hot_group_of_donors_is_no_single_task(spark):
+    d = spark.range(6000).select(F.col("id"), F.lit("x").alias("g"), (F.col("id") * 7919 % 6000).cast("double").alias("a"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = joins.nearest_donors(d, d, "id", "id", {"a": 1.0}, "g", block=64, standardise=False, others=True)
+        assert out.count() == 6000 and out.where("abs(distance - 1) > 1e-9").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_cumulative_cuts_a_value_that_most_rows_share(spark):
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id").cast("double")).otherwise(3.0).alias("v"), F.lit(1).cast("long").alias("w"))
+    out = W.cumulative(df, "v", [F.col("w")], [F.col("id")], ranges=64)
+    rows = sorted(out.select("v", "id", "cum0").collect())
+    assert [r["cum0"] for r in rows] == list(range(1, 20_001))
+    down = sorted(W.cumulative(df, "v", [F.col("w")], [F.col("id")], descending=True, ranges=64).select((-F.col("v")).alias("v"), "id", "cum0").collect())
+    assert [r["cum0"] for r in down] == list(range(1, 20_001))
+    # one value holds nine tenths of the rows, which a single window would have sorted
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        sizes = [r["count"] for r in W.cumulative(df, "v", [F.col("w")], [F.col("id")], ranges=64).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert max(sizes) < 6_000
+
+
+def test_string_hash_of_mixed_texts(spark):
+    import functools
+
+    from weftline.functions import exprs as X
+
+    def one(t):
+        m = (1 << 64) - 1
+        n = functools.reduce(lambda h, b: (h * 31 + b) & m, t.encode(), 0)
+        n ^= n >> 33
+        n = n * 0xFF51AFD7ED558CCD & m
+        return str(n ^ n >> 33)
+
+    texts = ["", "a", "é中😀", "x" * 5000, "", "snap\n", "ab"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in [*texts, None]], "s string").coalesce(1).select(X.string_hash("s")).collect()]
+    assert got == [one(t) for t in texts] + [None]

@@ -10,6 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.operators import weights as W
+from weftline.session import cut
+
+#: Most blocks of donors along the axis of a nearest-neighbour search; their edges are broadcast (8 MB).
+MOST_BLOCKS = 1_000_000
 #: Most rows of a specification table (bands, rules, rates) that are broadcast; about 10 MB.
 BROADCAST_ROWS = 100_000
 
@@ -52,22 +57,26 @@ def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str,
     standardised by the donors' mean and deviation (0 counts as 1), missing features counting as the mean. Recipients
     of a group without donors are matched against all donors. With ``others`` a recipient's own id is no donor for it.
 
-    Recipients and donors of a group are dealt to blocks of about ``block`` rows by a hash of their id; a recipient
-    block meets each donor block of its group in one Arrow batch function that keeps the ``k`` best, so no pair of rows
-    is ever materialised as a row and no group is one task.
+    The donors of a group are cut into blocks of about ``block`` by the feature with most different values (the axis;
+    larger only where there would be more than ``MOST_BLOCKS``), and donors that tie there are dealt to parts of a block.
+    A recipient first meets the block it lies in; its k-th distance there bounds how far along the axis a nearer donor
+    can lie, and only the blocks within are met then. Recipients come in packs of ``block`` and every (group, block,
+    part) is a join key of its own, so no group is one task and no pair of rows is ever a row: an Arrow function keeps
+    the ``k`` best of a pack and a part.
     """
     import numpy as np
 
-    stats = donors.agg(*[F.avg(f).alias(f"m_{f}") for f in features], *[F.stddev_pop(f).alias(f"s_{f}") for f in features]).first() if standardise else None
+    names = list(features)
+    seen = donors.agg(*[F.avg(f).alias(f"m_{f}") for f in names], *[F.stddev_pop(f).alias(f"s_{f}") for f in names], *[F.approx_count_distinct(f).alias(f"n_{f}") for f in names]).first()
+    axis = max(range(len(names)), key=lambda i: (seen[f"n_{names[i]}"] if features[names[i]] > 0 else -1, -i))
 
     def z(f: str) -> Column:
-        return F.coalesce(((F.col(f) - F.lit(stats[f"m_{f}"] or 0.0)) / F.lit(stats[f"s_{f}"] or 1.0)) if standardise else F.col(f).cast("double"), F.lit(0.0))
+        return F.coalesce(((F.col(f) - F.lit(seen[f"m_{f}"] or 0.0)) / F.lit(seen[f"s_{f}"] or 1.0)) if standardise else F.col(f).cast("double"), F.lit(0.0))
 
     everyone = "\x00all"
-    vec = F.array(*[z(f) for f in features])
-    dealt = lambda n: F.pmod(F.xxhash64("_id"), F.greatest(F.ceil(n / block), F.lit(1)))
+    vec = F.array(*[z(f) for f in names])
     d = donors.select(F.col(did).alias("_id"), F.col(group).cast("string").alias("_g"), vec.alias("_v"))
-    sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"), F.min("_id").alias("_one"))
+    sizes = cut(d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"), F.min("_id").alias("_one")))
     r = recipients.select(F.col(rid).alias("_id"), F.col(group).cast("string").alias("_g"), vec.alias("_v")).join(sizes, "_g", "left")
     without = F.col("_nd").isNull()
     if others:
@@ -75,11 +84,39 @@ def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str,
     r = r.select("_id", F.when(without, F.lit(everyone)).otherwise(F.col("_g")).alias("_g"), "_v")
     if r.where(F.col("_g") == everyone).limit(1).count():
         d = d.unionByName(d.withColumn("_g", F.lit(everyone)))
-        sizes = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_nd"))
-    asked = r.groupBy("_g").agg(F.count(F.lit(1)).alias("_nr"))
+        sizes = sizes.select("_g", "_nd").unionByName(sizes.agg(F.sum("_nd").alias("_nd")).select(F.lit(everyone).alias("_g"), "_nd"))
+    n = sizes.agg(F.coalesce(F.sum("_nd"), F.lit(0)), F.coalesce(F.max("_nd"), F.lit(0))).first()
+    block = max(block, -(-n[0] // MOST_BLOCKS))
+    edges: dict[str, np.ndarray] = {}
+    if n[1] > block:
+        points = min(4095, -(-n[1] // block) - 1)
+        step = F.greatest(F.lit(1), F.floor(F.lit(points) / F.greatest(F.ceil(F.col("n") / block) - 1, F.lit(1)))).cast("int")
+        cuts = d.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.get("_v", F.lit(axis)), F.lit([i / (points + 1) for i in range(1, points + 1)]), 10 * points).alias("e")).where(F.col("n") > block)
+        kept = cuts.withColumn("step", step).select("_g", F.filter("e", lambda _, i: (i + 1) % F.col("step") == 0).alias("e"))
+        edges = {x["_g"]: np.unique(np.array(x["e"], float)) for x in kept.collect()}  # at most MOST_BLOCKS numbers
+    held = donors.sparkSession.sparkContext.broadcast(edges)
+    spot = F.get("_v", F.lit(axis))
+
+    @F.pandas_udf("array<long>")
+    def blocks_near(g: pd.Series, x: pd.Series, reach: pd.Series) -> pd.Series:
+        out = np.empty(len(g), object)
+        gs, xs, rs = g.to_numpy(), x.to_numpy(float), reach.to_numpy(float)
+        for name in set(gs):
+            at, e = np.nonzero(gs == name)[0], held.value.get(name, np.zeros(0))
+            pad = rs[at] * (1 + 1e-9) + 1e-12
+            lo, hi = np.searchsorted(e, xs[at] - pad, "right"), np.searchsorted(e, xs[at] + pad, "right")
+            own = np.searchsorted(e, xs[at], "right")
+            for i, a, b, o, r_ in zip(at, lo, hi, own, rs[at]):
+                out[i] = [int(o)] if r_ < 0 else [j for j in range(a, b + 1) if j != o]
+        return pd.Series(out)
+
+    def in_own_block(df: DataFrame) -> DataFrame:
+        return df.withColumn("_b", F.get(blocks_near("_g", spot, F.lit(-1.0)), F.lit(0)) if edges else F.lit(0).cast("long"))
+
     entry = F.struct("_id", "_v")
-    pools = d.join(sizes, "_g").groupBy("_g", dealt(F.col("_nd")).alias("_b")).agg(F.array_sort(F.collect_list(entry)).alias("_pool"))
-    asks = r.join(asked, "_g").groupBy("_g", dealt(F.col("_nr")).alias("_rb")).agg(F.collect_list(entry).alias("_ask"))
+    d = in_own_block(d)
+    parts = cut(d.groupBy("_g", "_b").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("_parts")))
+    pools = cut(d.join(parts, ["_g", "_b"]).groupBy("_g", "_b", F.pmod(F.xxhash64("_id"), F.col("_parts")).alias("_s")).agg(F.array_sort(F.collect_list(entry)).alias("_pool")))
     weights = np.array(list(features.values()), float)
 
     def run(batches):
@@ -98,16 +135,40 @@ def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str,
             yield pd.DataFrame(rows, columns=["rid", "did", "distance"])
 
     types = dict(recipients.dtypes)[rid], dict(donors.dtypes)[did]
-    found = asks.join(pools, "_g").select("_ask", "_pool").mapInPandas(run, f"rid {types[0]}, did {types[1]}, distance double")
-    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("rid").orderBy("distance", "did")))
-    return best.where(F.col("rank") <= k)
+
+    def meet(asked: DataFrame) -> DataFrame:
+        """The best donors of each asked block, for rows of ``_id, _g, _v, _b``."""
+        n_asked = asked.groupBy("_g", "_b").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("_packs")).join(parts, ["_g", "_b"])
+        packs = asked.join(n_asked, ["_g", "_b"]).groupBy("_g", "_b", "_parts", F.pmod(F.xxhash64("_id"), F.col("_packs")).alias("_p")).agg(F.collect_list(entry).alias("_ask"))
+        spread = packs.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+        return spread.join(pools, ["_g", "_b", "_s"]).select("_ask", "_pool").mapInPandas(run, f"rid {types[0]}, did {types[1]}, distance double")
+
+    def top(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(Window.partitionBy("rid").orderBy("distance", "did"))).where(F.col("rank") <= k)
+
+    r = in_own_block(r)
+    first = top(meet(r))
+    if not edges:
+        return first
+    first = cut(first)
+    last = first.groupBy(F.col("rid").alias("_id")).agg(F.max("distance").alias("_far"), F.count(F.lit(1)).alias("_k"))
+    w = features[names[axis]]
+    reach = F.when((F.col("_k") == k) & F.lit(w > 0), F.sqrt(F.col("_far") / w) if squared else F.col("_far") / w)
+    more = r.drop("_b").join(last, "_id", "left").select("_id", "_g", "_v", F.explode(blocks_near("_g", spot, F.coalesce(reach, F.lit(float("inf"))))).alias("_b"))
+    return top(first.drop("rank").unionByName(meet(more)))
 
 
 def pair_by_rank(recipients: DataFrame, donors: DataFrame, rid: str, did: str, r_order: str, d_order: str, group: str) -> DataFrame:
-    """The i-th recipient of a group meets the donor at the evenly spaced position of the ordered donors (halves to even)."""
-    rw, dw = Window.partitionBy(group), Window.partitionBy(group)
-    r = recipients.select(group, F.col(rid).alias("rid"), (F.row_number().over(rw.orderBy(r_order, rid)) - 1).alias("i"), F.count(F.lit(1)).over(rw).alias("n"))
-    d = donors.select(group, F.col(did).alias("did"), (F.row_number().over(dw.orderBy(d_order, did)) - 1).alias("pos"), F.count(F.lit(1)).over(dw).alias("m"))
-    m = d.select(group, "m").distinct()
+    """The i-th recipient of a group meets the donor at the evenly spaced position of the ordered donors (halves to even).
+
+    Positions come from sums by value ranges, so no group is sorted in one task; the orders are numbers.
+    """
+    def ranked(df: DataFrame, key: str, name: str, order: str, pos: str, size: str) -> DataFrame:
+        one = df.select(group, F.col(key).alias(name), F.col(order).alias("_o"))
+        c = W.cumulative(one, "_o", [F.lit(1).cast("long")], [F.col(name)], [group])
+        return c.select(group, name, (F.col("cum0") - 1).alias(pos), F.col("tot0").alias(size))
+
+    r, d = ranked(recipients, rid, "rid", r_order, "i", "n"), ranked(donors, did, "did", d_order, "pos", "m")
+    m = donors.groupBy(group).agg(F.count(F.lit(1)).alias("m"))
     at = F.when(F.col("n") == 1, F.lit(0)).otherwise(F.bround(F.col("i") * (F.col("m") - 1) / (F.col("n") - 1), 0)).cast("int")
     return r.join(m, group).withColumn("pos", at).join(d.select(group, "pos", "did"), [group, "pos"]).select(group, "rid", "did")

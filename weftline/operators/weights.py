@@ -3,13 +3,17 @@
 Cumulative sums over a whole table run in two steps: rows are sorted within value ranges found by approximate
 quantiles, each range's total is added up in order, and the ranges before are added to the sum within the range. The
 number of ranges grows with the rows (``ROWS_PER_RANGE``, up to ``MOST_RANGES``), so no step holds all rows in one
-task; only the ranges' totals (one row per range and group) meet in one place.
+task; only the ranges' totals (one row per range and group) meet in one place. A value that fills more than one range
+gets a range of its own, which is cut further by the first of the columns that order its ties, if that is a number.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 #: Rows that one range of a cumulative sum holds, about, and the most ranges.
 ROWS_PER_RANGE, MOST_RANGES = 500_000, 1024
@@ -30,23 +34,29 @@ def _range_of(v: Column, edges: list[float]) -> Column:
 def cumulative(df: DataFrame, value: str, add: list[Column], order: list[Column], group: list[str] | None = None, descending: bool = False, ranges: int | None = None) -> DataFrame:
     """Adds ``cum0, cum1, ...`` (running sums of ``add`` in the order of ``value`` and then ``order``) and ``tot0, ...``."""
     group = group or []
-    seen = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, [i / MOST_RANGES for i in range(1, MOST_RANGES)], 4 * MOST_RANGES).alias("e")).first()
+    points = F.lit([i / MOST_RANGES for i in range(1, MOST_RANGES)])
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, points, 4 * MOST_RANGES).alias("e")).first()
     ranges = ranges or max(2, min(MOST_RANGES, seen["n"] // ROWS_PER_RANGE))
-    edges = sorted({float(e) for e in (seen["e"] or [])[MOST_RANGES // ranges - 1 :: MOST_RANGES // ranges]})
+    some = slice(MOST_RANGES // ranges - 1, None, MOST_RANGES // ranges)
+    picked = [float(e) for e in (seen["e"] or [])[some]]
+    heavy = sorted({a for a, b in zip(picked, picked[1:]) if a == b})
     v = F.col(value)
-    rng = _range_of(v, edges)
-    d = df.withColumn("_r", -rng if descending else rng)
+    rng = _range_of(v, sorted({*picked, *(math.nextafter(h, math.inf) for h in heavy)}))
+    d = df.withColumn("_r", -rng if descending else rng).withColumn("_s", F.lit(0))
+    if heavy and order and isinstance(df.select(order[0]).schema[0].dataType, NumericType):
+        ties = df.where(v.isin(heavy)).agg(F.percentile_approx(order[0].cast("double"), points, 4 * MOST_RANGES).alias("e")).first()["e"]
+        d = d.withColumn("_s", F.when(v.isin(heavy), _range_of(order[0].cast("double"), sorted({float(e) for e in (ties or [])[some]}))).otherwise(0))
     for i, a in enumerate(add):
         d = d.withColumn(f"_a{i}", a)
     n = range(len(add))
     key = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    inner = Window.partitionBy(*group, "_r").orderBy(key, *order).rowsBetween(Window.unboundedPreceding, 0)
-    per = d.groupBy(*group, "_r").agg(*[F.sum(f"_a{i}").alias(f"_t{i}") for i in n])
+    inner = Window.partitionBy(*group, "_r", "_s").orderBy(key, *order).rowsBetween(Window.unboundedPreceding, 0)
+    per = d.groupBy(*group, "_r", "_s").agg(*[F.sum(f"_a{i}").alias(f"_t{i}") for i in n])
     outer = Window.partitionBy(*(group or [F.lit(0)]))
-    before = outer.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(*group, "_r", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_b{i}") for i in n], *[F.sum(f"_t{i}").over(outer).alias(f"tot{i}") for i in n])
-    out = d.withColumns({f"_c{i}": F.sum(f"_a{i}").over(inner) for i in n}).join(per, [*group, "_r"])
-    return out.withColumns({f"cum{i}": F.col(f"_b{i}") + F.col(f"_c{i}") for i in n}).drop("_r", *[f"{p}{i}" for i in n for p in ("_a", "_b", "_c")])
+    before = outer.orderBy("_r", "_s").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*group, "_r", "_s", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_b{i}") for i in n], *[F.sum(f"_t{i}").over(outer).alias(f"tot{i}") for i in n])
+    out = d.withColumns({f"_c{i}": F.sum(f"_a{i}").over(inner) for i in n}).join(per, [*group, "_r", "_s"])
+    return out.withColumns({f"cum{i}": F.col(f"_b{i}") + F.col(f"_c{i}") for i in n}).drop("_r", "_s", *[f"{p}{i}" for i in n for p in ("_a", "_b", "_c")])
 
 
 def weighted_rank_share(df: DataFrame, value: str, weight: str, key: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # files of checkpoints that nothing refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,6 +34,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One JVM, so that driver and executors share its folders; ``local-cluster[...]`` does not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def own_folder(prefix: str) -> str:
+    """A temporary folder that is deleted when Python ends."""
+    folder = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and go on from there.
 
@@ -40,9 +57,9 @@ def cut(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
-            if not sc.master.startswith("local[") and sc.master != "local":
+            if not _is_local(spark):
                 raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="weftline-checkpoint-")
+            shared = own_folder("weftline-checkpoint-")
         sc.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
 
@@ -53,7 +70,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="weftline-")
+        shared = own_folder("weftline-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
