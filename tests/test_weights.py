@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from weftline.operators import clone, joins, solve
@@ -113,3 +116,67 @@ def test_string_hash_of_mixed_texts(spark):
     texts = ["", "a", "é中😀", "x" * 5000, "", "snap\n", "ab"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in [*texts, None]], "s string").coalesce(1).select(X.string_hash("s")).collect()]
     assert got == [one(t) for t in texts] + [None]
+
+
+def test_fits_report_what_their_weights_do(spark):
+    """Singular and impossible problems: errors are measured, and nothing that misses its targets counts as converged."""
+    x = spark.createDataFrame([(i, 1.0 + i % 3, float(i % 4), float(i % 2)) for i in range(120)], "i long, d double, a double, b double").withColumn("a2", F.col("a"))
+    now = solve.totals(x, ["a", "a2", "b"], F.col("d"))
+    for fit in (solve.linear(x, ["a", "a2"], [200.0, 50.0], "d"), solve.rake(x, ["a", "a2"], [200.0, 50.0], "d", 100), solve.entropy(x, ["a", "a2"], [200.0, 50.0], "d")):
+        assert not fit.converged
+        assert abs(solve.totals(x, ["a", "a2"], fit.weight) - np.array([200.0, 50.0]) - fit.errors).max() < 1e-6 * 200
+    same = solve.linear(x, ["a", "a2", "b"], [now[0] * 1.1, now[1] * 1.1, now[2] * 0.9], "d")
+    assert same.converged and abs(same.errors).max() < 1e-6 * now[0]
+    fit = solve.calibrate(x, ["a", "a2"], [200.0, 50.0], "d", "linear")
+    assert fit.path == ["linear failed", "rake"] and not fit.converged
+    lp = solve.minimax(x, ["a", "a2"], [200.0, 50.0], "d")  # |s - 200| / 200 = |s - 50| / 50 at s = 80
+    assert abs(solve.relative_errors(lp.errors, [200.0, 50.0]).max() - 0.6) < 1e-6 and x.where(lp.weight < 0).count() == 0
+    one, two = (x.select(solve.entropy(x, ["a", "b"], [now[0] * 1.02, now[2] * 0.97], "d", rows=n).weight.alias("w")).toPandas()["w"].to_numpy() for n in (0, 1000))
+    assert abs(one - two).max() < 1e-6
+
+
+def test_minimax_against_a_grid(spark):
+    rnd = random.Random(2)
+    x = spark.createDataFrame([(i, 1.0, float(rnd.randrange(5)), float(rnd.randrange(5)), float(rnd.randrange(-2, 3))) for i in range(60)], "i long, d double, a double, b double, c double")
+    fit = solve.minimax(x, ["a", "b", "c"], [100.0, 80.0, 20.0], "d")
+    assert fit.converged and fit.iterations < 50
+    worse = solve.minimax(x, ["a", "b"], [100.0, -80.0], "d")
+    assert abs(solve.relative_errors(worse.errors, [100.0, -80.0]).max() - 1.0) < 1e-6
+    nothing = solve.minimax(x.where("false"), ["a"], [5.0], "d")
+    assert nothing.errors[0] == -5.0
+
+
+def test_entropy_for_five_thousand_targets(spark):
+    """One-hot and numeric features; known weights give the targets, so they can be met."""
+    rng = np.random.default_rng(3)
+    n, m = 20_000, 5_000
+    idx = np.concatenate([rng.integers(0, m - 10, (n, 3)), m - 10 + rng.integers(0, 10, (n, 1))], 1)
+    val = np.concatenate([np.ones((n, 3)), rng.uniform(0.5, 2.0, (n, 1))], 1)
+    d, wanted = rng.uniform(1, 3, n), rng.uniform(0.8, 1.25, n)
+    y = np.bincount(idx.ravel(), (val * (d * wanted)[:, None]).ravel(), m)
+    long = spark.createDataFrame(pd.DataFrame({"row": np.repeat(np.arange(n), 4), "j": idx.ravel(), "x": val.ravel()})).groupBy("row", "j").agg(F.sum("x").alias("x"))
+    base = spark.createDataFrame(pd.DataFrame({"row": np.arange(n + 1), "d": np.append(d, 7.0)}))
+    rows = solve.feature_rows(long, base, "row", "j", "x", "d").persist()
+    beta, errors, met = solve.entropy_wide(rows, y, "d", tol=1e-7)
+    assert met and (np.abs(errors) / np.maximum(y, 1)).max() < 1e-6
+    w = solve.wide_weight(rows, beta, "row", "d").toPandas().set_index("row")["w"]
+    assert (w > 0).all() and w[n] == 7.0
+    rows.unpersist()
+
+
+def test_gates_resume_and_guard(spark, tmp_path):
+    x = spark.createDataFrame([(k % 2, k // 2, 1.0 + k) for k in range(12)], "target_idx long, col_id long, val double")
+    w = x.select("col_id", F.lit(1.0).alias("w")).distinct()
+    y = spark.createDataFrame([(0, 30.0, 0.5), (1, 10.0, 1.5)], "target_idx long, value double, mass double")
+    whole = {r["col_id"]: r["w"] for r in solve.sparse_gates(x, w, y, 1e-3, epochs=24).collect()}
+    for local in (1000, 0):
+        f = f"{tmp_path}/{local}"
+        solve.sparse_gates(x, w, y, 1e-3, epochs=11, local=local, folder=f, every=4)
+        got = {r["col_id"]: r["w"] for r in solve.sparse_gates(x, w, y, 1e-3, epochs=24, local=local, folder=f, every=7).collect()}
+        assert all(abs(got[k] - v) < 1e-9 for k, v in whole.items())
+        log = [r["epoch"] for r in spark.read.parquet(f"{f}/log").orderBy("epoch").collect()]
+        assert log == list(range(1, 25))
+        told = spark.read.parquet(f"{f}/targets")
+        assert {r["epoch"] for r in told.select("epoch").distinct().collect()} == {4, 8, 11, 18, 24} and told.count() == 10
+        with pytest.raises(ValueError):
+            solve.sparse_gates(x, w, y, 2e-3, epochs=30, local=local, folder=f)

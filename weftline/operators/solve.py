@@ -3,14 +3,18 @@
 The unknowns of the convex solvers are one number per target. They live on the driver; the weights are a closed
 expression of them (``d * exp(x . b)`` and the like), so an iteration is one aggregation over the rows, no state is
 shuffled and no lineage grows. Only the gate solver keeps a state per column: within one task, or, for a large matrix,
-written to the checkpoint folder every epoch.
+on the executors and every few epochs in the checkpoint folder.
 
-Features are numeric columns, one per target. Null features count as zero.
+Features are numeric columns, one per target, for up to some hundred targets (the second moments of all pairs of
+targets go to the driver); :func:`entropy_wide` takes them as long rows and never forms these. Null features count as
+zero. Every fit reports the errors of its own weights, measured on the rows.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import json
 import operator
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -66,7 +70,7 @@ def moments(df: DataFrame, features: list[str], w: Column) -> tuple[np.ndarray,
     return g[0, 1:], g[1:, 1:], g[0, 0]
 
 
-#: Most distinct feature rows that are raked on the driver; beyond, every round is an aggregation.
+#: Most distinct feature rows that are raked or balanced on the driver; beyond, every round is an aggregation.
 RAKE_ROWS = 100_000
 
 
@@ -103,16 +107,30 @@ def rake(df: DataFrame, features: list[str], targets: list[float], weight: str,
     return Fit(w_of(log_f), ["rake"], done, sums(log_f) - y, met)
 
 
-def linear(df: DataFrame, features: list[str], targets: list[float], weight: str) -> Fit:
-    """Linear calibration ``d (1 + x . l)``: one pass for the moments, a small solve, one map. Weights may be negative."""
+def relative_errors(errors: np.ndarray, targets) -> np.ndarray:
+    """Absolute errors over ``max(|target|, 1)``."""
+    return np.abs(errors) / np.maximum(np.abs(np.array(targets, float)), 1.0)
+
+
+def linear(df: DataFrame, features: list[str], targets: list[float], weight: str, tol: float = 1e-6) -> Fit:
+    """Linear calibration ``d (1 + x . l)``: one pass for the moments, a small solve, one map. Weights may be negative.
+
+    Features that depend on each other are solved in the least-squares sense; the fit has converged if the totals of
+    its weights, measured on the rows, are within ``tol`` of the targets.
+    """
     s, g, _ = moments(df, features, F.col(weight).cast("double"))
-    lam = np.linalg.solve(g + 1e-12 * np.eye(len(s)) * max(1.0, np.trace(g)), np.array(targets, float) - s)
-    return Fit(F.col(weight) * (F.lit(1.0) + _dot(features, lam)), ["linear"], 1, np.zeros(len(s)))
+    scale = np.sqrt(np.maximum(np.diag(g), 1e-300))
+    lam = np.linalg.lstsq(g / np.outer(scale, scale), (np.array(targets, float) - s) / scale, rcond=1e-12)[0] / scale
+    w = F.col(weight) * (F.lit(1.0) + _dot(features, lam))
+    errors = totals(df, features, w) - np.array(targets, float)
+    return Fit(w, ["linear"], 1, errors, bool((relative_errors(errors, targets) <= tol).all()))
 
 
-def entropy(df: DataFrame, features: list[str], targets: list[float], weight: str, box: float = 0.0, iterations: int = 60, tol: float = 1e-9) -> Fit:
+def entropy(df: DataFrame, features: list[str], targets: list[float], weight: str, box: float = 0.0, iterations: int = 60, tol: float = 1e-9, rows: int = RAKE_ROWS) -> Fit:
     """Positive weights nearest to the baseline in relative entropy, by Newton steps with halving.
 
+    Rows with equal features move alike, so the steps run over the distinct feature rows, on the driver if there are at
+    most ``rows`` of them, else by aggregations.
     With ``box`` > 0 each total may be off by ``box * max(|target|, 1)``: the dual gains an absolute-value term, which
     is minimised by coordinate steps on the quadratic model.
     """
@@ -124,8 +142,18 @@ def entropy(df: DataFrame, features: list[str], targets: list[float], weight: st
     def w_of(b: np.ndarray) -> Column:
         return F.col(weight) * F.exp(F.least(F.greatest(_dot(features, b / scale), F.lit(-700.0)), F.lit(700.0)))
 
+    distinct = cut(df.groupBy(*[x.alias(f) for x, f in zip(_x(features), features)]).agg(F.sum(F.col(weight).cast("double")).alias(weight)))
+    local = np.nan_to_num(np.array([list(r) for r in distinct.collect()], float).reshape(-1, len(t) + 1)) if distinct.count() <= rows else None
+
+    def sums(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        if local is None:
+            return moments(distinct, features, w_of(b))
+        x, d = local[:, :-1], local[:, -1]
+        w = d * np.exp(np.clip(x @ (b / scale), -700.0, 700.0))
+        return w @ x, (x * w[:, None]).T @ x, float(w.sum())
+
     def state(b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        s, g, n = moments(df, features, w_of(b))
+        s, g, n = sums(b)
         return n - ts @ b + slack @ np.abs(b), s / scale - ts, g / np.outer(scale, scale)
 
     f, grad, hess = state(beta)
@@ -143,7 +171,7 @@ def entropy(df: DataFrame, features: list[str], targets: list[float], weight: st
                     z[j] = -np.sign(q) * max(abs(q) - slack[j], 0) / h[j, j]
             step = z - beta
         else:
-            step = -np.linalg.solve(h, grad)
+            step = -np.linalg.lstsq(h, grad, rcond=1e-14)[0]
         for _ in range(30):
             f2, g2, h2 = state(beta + step)
             if np.isfinite(f2) and f2 <= f + 1e-12 * max(1.0, abs(f)):
@@ -152,21 +180,113 @@ def entropy(df: DataFrame, features: list[str], targets: list[float], weight: st
         else:
             break
         beta, f, grad, hess = beta + step, f2, g2, h2
-    ok = bool((np.abs(grad) <= slack + 1e-6).all())
-    return Fit(w_of(beta), ["entropy" if not box else f"entropy within {box:g}"], n, grad * scale, ok)
-
-
-def least_uniform_error(df: DataFrame, features: list[str], targets: list[float], weight: str, steps: int = 8, top: float = 1.0) -> tuple[float, Fit | None]:
-    """About the smallest box that positive weights can meet, by bisection over boxed fits."""
-    lo, hi, best = 0.0, top, None
-    for _ in range(steps):
-        mid = (lo + hi) / 2
-        fit = entropy(df, features, targets, weight, box=mid, iterations=15)
-        if fit.converged:
-            hi, best = mid, fit
-        else:
-            lo = mid
-    return hi, best
+    w = w_of(beta)
+    errors = totals(df, features, w) - t
+    ok = bool((relative_errors(errors, t) <= box + 1e-6).all())
+    return Fit(w, ["entropy" if not box else f"entropy within {box:g}"], n, errors, ok)
+
+
+def simplex(c: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
+    """A vertex that minimises ``c . x`` with ``a x = b`` and ``x >= 0``, or null if there is none; two phases, Bland's rule."""
+    m, n = a.shape
+    sign = np.where(b < 0, -1.0, 1.0)
+    t = np.hstack([a * sign[:, None], np.eye(m), (b * sign)[:, None]])
+    basis = list(range(n, n + m))
+
+    def run(cost: np.ndarray, usable: int) -> None:
+        pivots = 0
+        while True:
+            reduced = cost[:usable] - cost[basis] @ t[:, :usable]
+            better = np.nonzero(reduced < -1e-10)[0]
+            if not len(better):
+                return
+            # the steepest column at first, the first one after many pivots, which cannot cycle
+            enter = int(better[reduced[better].argmin()] if pivots < 200 else better[0])
+            pivots += 1
+            up = t[:, enter] > 1e-12
+            if not up.any():
+                return
+            ratio = np.where(up, t[:, -1] / np.where(up, t[:, enter], 1.0), np.inf)
+            rows = np.nonzero(ratio <= ratio.min() + 1e-12)[0]
+            leave = min(rows, key=lambda i: basis[i])
+            t[leave] /= t[leave, enter]
+            others = np.arange(m) != leave
+            t[others] -= np.outer(t[others, enter], t[leave])
+            basis[leave] = enter
+
+    run(np.concatenate([np.zeros(n), np.ones(m)]), n + m)
+    if sum(t[i, -1] for i, j in enumerate(basis) if j >= n) > 1e-7 * max(1.0, np.abs(b).max(initial=0.0)):
+        return None
+    for i, j in enumerate(basis):  # artificial columns that stayed at zero
+        if j >= n:
+            k = next((k for k in range(n) if abs(t[i, k]) > 1e-9 and k not in basis), None)
+            if k is not None:
+                t[i] /= t[i, k]
+                others = np.arange(m) != i
+                t[others] -= np.outer(t[others, k], t[i])
+                basis[i] = k
+    run(np.concatenate([c, np.full(m, 1e9)]), n)
+    x = np.zeros(n + m)
+    x[basis] = t[:, -1]
+    return x[:n]
+
+
+def minimax(df: DataFrame, features: list[str], targets: list[float], weight: str, rounds: int = 500, tol: float = 1e-9) -> Fit:
+    """Non-negative weights with the least largest relative error, by linear programming with generated columns.
+
+    The program has a row pair per target and a column per distinct feature row. The driver holds only the columns
+    generated so far; a round finds the distinct feature row that would improve the solution most, one aggregation. The
+    solution has weight on at most ``2 m + 1`` feature rows; all table rows with these features share it in proportion to
+    their weights. ``errors`` are measured on the rows; ``iterations`` counts the rounds.
+    """
+    y = np.array(targets, float)
+    scale = np.maximum(np.abs(y), 1.0)
+    m = len(y)
+    rows = cut(df.groupBy(*[x.alias(f) for x, f in zip(_x(features), features)]).agg(F.sum(F.col(weight).cast("double")).alias(weight)).where(F.col(weight) > 0))
+    start = rows.agg(*[fn(F.struct(F.col(f), *features)).alias(f"{k}{i}") for i, f in enumerate(features) for k, fn in (("a", F.max), ("b", F.min))]).first()
+    held: list[tuple] = []
+    for s0 in (start or ()):
+        if s0 is not None and tuple(s0)[1:] not in held:
+            held.append(tuple(s0)[1:])
+    n, w, rhs = 0, np.zeros(0), np.tile(y / scale, 2)
+    for n in range(1, rounds + 1):
+        x = np.array(held, float).reshape(-1, m).T / scale[:, None]
+        # x w - t + s = y, x w + t - r = y
+        k = x.shape[1]
+        a = np.block([[x, -np.ones((m, 1)), np.eye(m), np.zeros((m, m))], [x, np.ones((m, 1)), np.zeros((m, m)), -np.eye(m)]])
+        cost = np.zeros(k + 1 + 2 * m)
+        cost[k] = 1.0
+        sol = simplex(cost, a, rhs)
+        w = sol[:k]
+        # prices: least squares on the columns in use gives the dual at a non-degenerate vertex
+        used = np.nonzero(sol > 1e-12)[0]
+        price = np.linalg.lstsq(a[:, used].T, cost[used], rcond=None)[0]
+        if (price @ a > cost + 1e-7).any():
+            price = dual(a, cost, rhs)
+        p = (price[:m] + price[m:]) / scale
+        gain = _dot(features, p)
+        best = rows.select(gain.alias("gain"), *features).agg(F.max(F.struct("gain", *features)).alias("b")).first()["b"]
+        if best is None or best["gain"] <= tol or tuple(best)[1:] in held:
+            break
+        held.append(tuple(best)[1:])
+    spread = [(r, v) for r, v in zip(held, w) if v > 1e-12]
+    share = F.lit(0.0)
+    if spread:
+        mass = {tuple(r[f] for f in features): r[weight] for r in rows.where(functools.reduce(operator.or_, [functools.reduce(operator.and_, [F.col(f) == F.lit(float(v)) for f, v in zip(features, r)]) for r, _ in spread])).collect()}  # at most 2 m + 1 rows
+        for r, v in spread:
+            same = functools.reduce(operator.and_, [x == F.lit(float(c)) for x, c in zip(_x(features), r)])
+            share = F.when(same, F.lit(float(v / mass[r]))).otherwise(share)
+    out = F.col(weight) * share
+    errors = totals(df, features, out) - y
+    return Fit(out, ["minimax"], n, errors, bool((relative_errors(errors, y) <= 1e-6).all()))
+
+
+def dual(a: np.ndarray, c: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Prices ``p`` that maximise ``b . p`` with ``p a <= c``, by the simplex method on ``p = u - v`` with slacks."""
+    n = a.shape[1]
+    sol = simplex(np.concatenate([-b, b, np.zeros(n)]), np.hstack([a.T, -a.T, np.eye(n)]), c)
+    m = a.shape[0]
+    return sol[:m] - sol[m : 2 * m]
 
 
 def densify(estimates: np.ndarray, baseline: np.ndarray, targets: np.ndarray, bound: float) -> float:
@@ -184,53 +304,185 @@ def densify(estimates: np.ndarray, baseline: np.ndarray, targets: np.ndarray, bo
     return float(min(max(share, 0.0), 1.0))
 
 
-def calibrate(df: DataFrame, features: list[str], targets: list[float], weight: str, method: str = "rake", approximate: bool = True, max_error: float = 0.1) -> Fit:
-    """Dispatch with fall-backs; ``path`` records what was tried."""
+def calibrate(df: DataFrame, features: list[str], targets: list[float], weight: str, method: str = "rake", approximate: bool = True, max_error: float = 0.1, exact: float = 1e-6) -> Fit:
+    """Dispatch with fall-backs; ``path`` records what was tried, ``converged`` and ``errors`` what came of it.
+
+    ``linear`` that does not meet its targets goes on to ``rake``. ``entropy`` goes on to the minimax program, taken if
+    it meets the targets; where an approximate fit is allowed and the least largest error is within ``max_error``, to
+    entropy within that box, then to the minimax weights with as much of the baseline blended in as the bound allows,
+    then to the minimax weights; otherwise the fit that failed is returned as not converged. ``rake`` has no fall-back.
+    """
+    y = np.array(targets, float)
     if method == "linear":
-        try:
-            return linear(df, features, targets, weight)
-        except np.linalg.LinAlgError:
-            fit = rake(df, features, targets, weight)
-            fit.path.insert(0, "linear failed")
+        fit = linear(df, features, targets, weight)
+        if fit.converged:
             return fit
+        after = rake(df, features, targets, weight)
+        after.path.insert(0, "linear failed")
+        return after
     if method == "entropy":
         fit = entropy(df, features, targets, weight)
-        if fit.converged or not approximate:
+        if fit.converged:
+            return fit
+        lp = minimax(df, features, targets, weight)
+        lp.path.insert(0, "entropy failed")
+        if lp.converged:
+            return lp
+        least = float(relative_errors(lp.errors, y).max())
+        if not approximate or least > max_error:
+            fit.path.append(f"least error {least:.3g}")
             return fit
         boxed = entropy(df, features, targets, weight, box=max_error)
         if boxed.converged:
             boxed.path.insert(0, "entropy failed")
             return boxed
-        _, last = least_uniform_error(df, features, targets, weight)
-        last = last or boxed
-        last.path.insert(0, "entropy and box failed")
-        return last
+        share = densify(lp.errors + y, totals(df, features, F.col(weight).cast("double")), y, max_error)
+        if share > 0:
+            blend = lp.weight * (1 - share) + F.col(weight) * share
+            errors = totals(df, features, blend) - y
+            return Fit(blend, [*lp.path, f"blended {share:.3g}"], lp.iterations, errors, bool((relative_errors(errors, y) <= max_error + 1e-9).all()))
+        lp.converged = True
+        return lp
     return rake(df, features, targets, weight)
 
 
+def feature_rows(long: DataFrame, base: DataFrame, row: str, j: str, x: str, weight: str) -> DataFrame:
+    """One row per table row: ``row, weight, idx, val``, its non-zero features as two arrays; rows without any have empty ones."""
+    e = long.where(F.col(x) != 0).groupBy(row).agg(F.array_sort(F.collect_list(F.struct(F.col(j).cast("int").alias("j"), F.col(x).cast("double").alias("x")))).alias("e"))
+    none = F.array().cast("array<struct<j:int,x:double>>")
+    e = base.select(row, F.col(weight).cast("double").alias(weight)).join(e, row, "left").withColumn("e", F.coalesce("e", none))
+    return e.select(row, weight, F.transform("e", lambda z: z["j"]).alias("idx"), F.transform("e", lambda z: z["x"]).alias("val"))
+
+
+def _flat(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of a batch: row number, target number and value."""
+    size = b["idx"].map(len).to_numpy()
+    if not size.sum():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return np.repeat(np.arange(len(b)), size), np.concatenate(b["idx"].to_list()).astype(np.int64), np.concatenate(b["val"].to_list()).astype(float)
+
+
+def entropy_wide(rows: DataFrame, targets: np.ndarray, weight: str, iterations: int = 60, tol: float = 1e-9, cg: int = 200) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Entropy balancing for many targets on :func:`feature_rows`: multipliers, errors of the totals, and whether they are met.
+
+    Newton steps with halving whose systems are solved by preconditioned conjugate gradients: the matrix of second
+    moments is only ever multiplied with a vector, in a pass over the rows that returns one number per target and
+    partition, so the driver holds a few vectors of one number per target. The weights are
+    ``d * exp(sum of val * multiplier)``, see :func:`wide_weight`.
+    """
+    y = np.asarray(targets, float)
+    m = len(y)
+    rows = cut(rows)
+
+    def over(b1: np.ndarray, v: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+        """Totals, and the product of the second moments with ``v`` (or their diagonal), and the sum of the weights."""
+        held = rows.sparkSession.sparkContext.broadcast((b1, v))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            beta, vec = held.value
+            g, h, n = np.zeros(m), np.zeros(m), 0.0
+            for b in batches:
+                at, idx, val = _flat(b)
+                w = b[weight].to_numpy(float) * np.exp(np.clip(np.bincount(at, val * beta[idx], len(b)), -700, 700))
+                n += w.sum()
+                g += np.bincount(idx, val * w[at], m)
+                h += np.bincount(idx, val * val * w[at] if vec is None else val * (w * np.bincount(at, val * vec[idx], len(b)))[at], m)
+            j = np.nonzero(g != 0)[0] if not h.any() else np.nonzero((g != 0) | (h != 0))[0]
+            yield pd.DataFrame({"j": np.append(j, -1), "g": np.append(g[j], n), "h": np.append(h[j], 0.0)})
+
+        got = rows.mapInPandas(run, "j long, g double, h double").groupBy("j").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()  # one row per target
+        held.destroy()
+        j, gs, hs = (got[c].to_numpy() for c in "jgh")
+        g, h = np.zeros(m), np.zeros(m)
+        g[j[j >= 0]], h[j[j >= 0]] = gs[j >= 0], hs[j >= 0]
+        return g, h, float(gs[j < 0].sum())
+
+    beta = np.zeros(m)
+    s, diag, n = over(beta)
+    unit = np.maximum(np.maximum(np.abs(y), np.abs(s)), 1.0)
+    f = n - y @ beta
+    for _ in range(iterations):
+        grad = s - y
+        if (np.abs(grad) / unit).max(initial=0.0) < tol:
+            break
+        pre = 1 / np.maximum(diag, 1e-12 * max(diag.max(initial=0.0), 1e-300))
+        step, r = np.zeros(m), -grad
+        z = pre * r
+        p, rz, start = z, r @ z, np.sqrt(np.abs(r @ z))
+        for _ in range(cg):
+            _, hp, _ = over(beta, p)
+            curve = p @ hp
+            if curve <= 0:
+                break
+            a = rz / curve
+            step, r = step + a * p, r - a * hp
+            z = pre * r
+            rz, last = r @ z, rz
+            if np.sqrt(abs(rz)) < 0.01 * start:
+                break
+            p = z + (rz / last) * p
+        for _ in range(30):
+            s2, diag2, n2 = over(beta + step)
+            f2 = n2 - y @ (beta + step)
+            if np.isfinite(f2) and f2 <= f + 1e-12 * max(1.0, abs(f)):
+                break
+            step = step / 2
+        else:
+            break
+        beta, s, diag, f = beta + step, s2, diag2, f2
+    return beta, s - y, bool((relative_errors(s - y, y) <= 1e-6).all())
+
+
+def wide_weight(rows: DataFrame, beta: np.ndarray, row: str, weight: str) -> DataFrame:
+    """``row, w``: the weights of :func:`entropy_wide` for its multipliers."""
+    held = rows.sparkSession.sparkContext.broadcast(beta)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            at, idx, val = _flat(b)
+            yield pd.DataFrame({row: b[row], "w": b[weight].to_numpy(float) * np.exp(np.clip(np.bincount(at, val * held.value[idx], len(b)), -700, 700))})
+
+    return rows.mapInPandas(run, f"{row} {dict(rows.dtypes)[row]}, w double")
+
+
 #: Most matrix entries that one task fits by itself (32 bytes each); beyond, every epoch is a pass over the columns.
 LOCAL_ENTRIES = 2_000_000
+#: Epochs from one write of the columns' state to the checkpoint folder to the next; between them it is kept on the executors.
+EPOCHS_KEPT = 10
+_GATE_STATE = ("lw", "la", "m1", "v1", "m2", "v2")
 
 
-def sparse_gates(matrix: DataFrame, weights: DataFrame, targets: DataFrame, penalty: float, epochs: int = 5000, rate: float = 0.1, temperature: float = 0.5, tol: float = 1e-4, patience: int = 200, local: int = LOCAL_ENTRIES) -> DataFrame:
+def sparse_gates(
+    matrix: DataFrame, weights: DataFrame, targets: DataFrame, penalty: float, epochs: int = 5000, rate: float = 0.1, temperature: float = 0.5, tol: float = 1e-4, patience: int = 200,
+    local: int = LOCAL_ENTRIES, folder: str | None = None, every: int = 500,
+) -> DataFrame:
     """Sparse reweighting with stretched gates: ``col_id, w, gate, active``.
 
     ``matrix``: ``target_idx, col_id, val``; ``weights``: ``col_id, w``; ``targets``: ``target_idx, value`` and, if it
     has the column, ``mass`` (a target's factor in the loss). Loss is the mean over targets of
     ``mass * ((estimate - value + 1) / (value + 1))^2`` plus ``penalty`` times the expected number of open gates. It is
     minimised by Adam until, over ``patience`` epochs, the least loss has fallen by no more than ``tol`` of itself and as
-    many gates stayed open; over ``epochs`` epochs at most. Gates use their expected
-    openings, so the fit is reproducible.
+    many gates stayed open; over ``epochs`` epochs at most. Gates use their expected openings, so the fit is
+    reproducible.
+
+    Up to ``local`` entries are fitted in one task. Beyond, each column holds its entries as arrays, its logarithmic
+    weight, gate logit and Adam moments; an epoch is a map over batches of columns with the slopes of all targets (one
+    number each) and a pass that adds up the next estimates per partition.
 
-    Up to ``local`` entries are fitted in one task. Beyond, each column holds its entries, logarithmic weight, gate logit
-    and Adam moments; an epoch is a map over the columns with the residuals of all targets (a bounded list, one number
-    each) and one aggregation for the next estimates.
+    With ``folder`` (shared by all executors) the fit is written there every ``every`` epochs: the columns' state, the
+    losses (``epoch, loss, open``) and the targets (``epoch, target_idx, estimate, value, relative_error``). A later call
+    with the same problem goes on from the last state, or returns at once if that had settled; another penalty, rate,
+    temperature, mass or target value is an error (:func:`compare_signatures`), another number of epochs is not.
     """
     lo, hi = -0.1, 1.1
-    y = {r["target_idx"]: (float(r["value"]), float(r["mass"])) for r in (targets if "mass" in targets.columns else targets.withColumn("mass", F.lit(1.0))).select("target_idx", "value", "mass").collect()}  # one row per target
+    listed = (targets if "mass" in targets.columns else targets.withColumn("mass", F.lit(1.0))).select("target_idx", "value", "mass").orderBy("target_idx").collect()  # one row per target
+    ids = [r["target_idx"] for r in listed]
+    y, mass = np.array([r["value"] for r in listed], float), np.array([r["mass"] for r in listed], float)
     n = max(len(y), 1)
     shift = temperature * np.log(-lo / hi)
-    flat = cut(matrix.join(weights, "col_id").select("col_id", "target_idx", F.col("val").cast("double").alias("val"), F.log(F.greatest("w", F.lit(1e-12))).alias("lw")))
+    spark = matrix.sparkSession
+    where = spark.createDataFrame(list(enumerate(ids)), f"_pos int, target_idx {dict(targets.dtypes)['target_idx']}")
+    flat = cut(matrix.join(F.broadcast(where), "target_idx").join(weights, "col_id").select("col_id", "_pos", F.col("val").cast("double").alias("val"), F.log(F.greatest("w", F.lit(1e-12))).alias("lw")))  # as long as the list of targets above
     gate = F.least(F.greatest(F.lit(1.0) / (1 + F.exp(-F.col("la"))) * (hi - lo) + lo, F.lit(0.0)), F.lit(1.0))
     given = dict(flat.dtypes)["col_id"]
 
@@ -240,68 +492,131 @@ def sparse_gates(matrix: DataFrame, weights: DataFrame, targets: DataFrame, pena
         last = history[-patience:]
         return min(x for x, _ in last) >= min(x for x, _ in history[:-patience]) * (1 - tol) and len({n for _, n in last}) == 1
 
-    def loss_slope(est: dict) -> tuple[float, dict]:
-        r = {k: (est.get(k, 0.0) - v + 1) / (v + 1) for k, (v, _) in y.items()}
-        return sum(m * r[k] ** 2 for k, (_, m) in y.items()) / n, {k: 2 * m * r[k] / (v + 1) / n for k, (v, m) in y.items()}
+    def loss_slope(est: np.ndarray) -> tuple[float, np.ndarray]:
+        r = (est - y + 1) / (y + 1)
+        return float((mass * r * r).sum() / n), 2 * mass * r / (y + 1) / n
 
-    def step(b: pd.DataFrame, g: np.ndarray, t: int) -> None:
-        la, w = b["la"].to_numpy(float), np.exp(b["lw"].to_numpy(float))
-        sig = 1 / (1 + np.exp(-la))
+    def step(b: dict, g: np.ndarray, t: int) -> None:
+        w = np.exp(b["lw"])
+        sig = 1 / (1 + np.exp(-b["la"]))
         raw = sig * (hi - lo) + lo
         z = np.clip(raw, 0, 1)
-        active = 1 / (1 + np.exp(-(la - shift)))
-        g1 = g * w * z
-        g2 = g * w * np.where((raw > 0) & (raw < 1), (hi - lo) * sig * (1 - sig), 0) + penalty * active * (1 - active)
-        for p, grad, m, v in (("lw", g1, "m1", "v1"), ("la", g2, "m2", "v2")):
-            b[m] = 0.9 * b[m] + 0.1 * grad
-            b[v] = 0.999 * b[v] + 0.001 * grad * grad
+        active = 1 / (1 + np.exp(-(b["la"] - shift)))
+        slopes = {"lw": g * w * z, "la": g * w * np.where((raw > 0) & (raw < 1), (hi - lo) * sig * (1 - sig), 0) + penalty * active * (1 - active)}
+        for p, m, v in (("lw", "m1", "v1"), ("la", "m2", "v2")):
+            b[m] = 0.9 * b[m] + 0.1 * slopes[p]
+            b[v] = 0.999 * b[v] + 0.001 * slopes[p] * slopes[p]
             b[p] = b[p] - rate * (b[m] / (1 - 0.9**t)) / (np.sqrt(b[v] / (1 - 0.999**t)) + 1e-8)
 
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [*batches]
-        if not rows:
-            return
-        x = pd.concat(rows, ignore_index=True).sort_values(["col_id", "target_idx"], ignore_index=True)
-        col, ids = pd.factorize(x["col_id"])
-        row, names = pd.factorize(x["target_idx"])
-        val = x["val"].to_numpy(float)
-        b = pd.DataFrame({"col_id": ids, "lw": x["lw"].to_numpy(float)[np.unique(col, return_index=True)[1]], "la": 2.0} | dict.fromkeys(("m1", "v1", "m2", "v2"), 0.0))
-        history: list[tuple[float, int]] = []
-        for t in range(1, epochs + 1):
-            sig = 1 / (1 + np.exp(-b["la"].to_numpy()))
-            z = np.clip(sig * (hi - lo) + lo, 0, 1)
-            w = np.exp(b["lw"].to_numpy()) * z
-            main, slope = loss_slope(dict(zip(names, np.bincount(row, val * w[col], len(names)))))
-            history.append((main + penalty * float((1 / (1 + np.exp(-(b["la"].to_numpy() - shift)))).sum()), int((z > 0).sum())))
-            if settled(history):
-                break
-            step(b, np.bincount(col, val * np.array([slope.get(k, 0.0) for k in names])[row], len(ids)), t)
-        yield b[["col_id", "lw", "la"]]
-
-    def spread() -> DataFrame:
-        s = flat.groupBy("col_id").agg(F.array_sort(F.collect_list(F.struct("target_idx", "val"))).alias("e"), F.first("lw").alias("lw"))
-        s = cut(s.select("col_id", "e", "lw", F.lit(2.0).alias("la"), *[F.lit(0.0).alias(m) for m in ("m1", "v1", "m2", "v2")]))
-
-        def update(slope: dict, t: int) -> Callable:
+    def opened(b: dict) -> tuple[np.ndarray, float, int]:
+        """Weights, expected number of open gates and open gates."""
+        z = np.clip(1 / (1 + np.exp(-b["la"])) * (hi - lo) + lo, 0, 1)
+        return np.exp(b["lw"]) * z, float((1 / (1 + np.exp(-(b["la"] - shift)))).sum()), int((z > 0).sum())
+
+    numbers = ", ".join(f"{c} double" for c in _GATE_STATE)
+
+    def in_one_task(state: DataFrame, first: int, last: int, before: list) -> tuple[DataFrame, list, bool]:
+        def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rows = [*batches]
+            if not rows:
+                return
+            x = pd.concat(rows, ignore_index=True).sort_values(["col_id", "_pos"], ignore_index=True)
+            col, names = pd.factorize(x["col_id"])
+            pos, val = x["_pos"].to_numpy(), x["val"].to_numpy(float)
+            lead = np.unique(col, return_index=True)[1]
+            b = {c: x[c].to_numpy(float)[lead] for c in _GATE_STATE}
+            history, done = list(before), 0
+            for t in range(first, last + 1):
+                w, p, k = opened(b)
+                main, slope = loss_slope(np.bincount(pos, val * w[col], len(y)))
+                history.append((main + penalty * p, k))
+                done += 1
+                if settled(history):
+                    break
+                step(b, np.bincount(col, val * slope[pos], len(names)), t)
+            yield pd.DataFrame({"col_id": names, "kind": 0} | b)
+            news = history[len(before):]
+            yield pd.DataFrame({"col_id": pd.Series([names[0]] * done), "kind": range(1, done + 1), "lw": [a for a, _ in news], "la": [float(k) for _, k in news]} | dict.fromkeys(_GATE_STATE[2:], 0.0))
+
+        out = cut(flat.drop("lw").join(state, "col_id").repartition(1).mapInPandas(fit, f"col_id {given}, kind int, {numbers}"))
+        news = [(r["lw"], int(r["la"])) for r in out.where("kind > 0").orderBy("kind").collect()]  # one row per epoch
+        return out.where("kind = 0").drop("kind"), news, settled([*before, *news])
+
+    def spread(state: DataFrame, first: int, last: int, before: list) -> tuple[DataFrame, list, bool]:
+        e = flat.groupBy("col_id").agg(F.array_sort(F.collect_list(F.struct("_pos", "val"))).alias("e"))
+        s = cut(e.join(state, "col_id").select("col_id", F.transform("e", lambda x: x["_pos"]).alias("idx"), F.transform("e", lambda x: x["val"]).alias("val"), *_GATE_STATE))
+
+        def update(slope: np.ndarray, t: int) -> Callable:
             def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for b in batches:
-                    step(b, np.array([sum(x["val"] * slope.get(x["target_idx"], 0.0) for x in e) for e in b["e"]]), t)
-                    yield b
+                for x in batches:
+                    at, idx, val = _flat(x)
+                    b = {c: x[c].to_numpy(float) for c in _GATE_STATE}
+                    step(b, np.bincount(at, val * slope[idx], len(x)), t)
+                    yield x.assign(**b)
 
             return run
 
-        history: list[tuple[float, int]] = []
-        for t in range(1, epochs + 1):
-            rows = s.select(F.explode("e").alias("x"), (F.exp("lw") * gate).alias("w")).groupBy("x.target_idx").agg(F.sum(F.col("x.val") * F.col("w")).alias("est"))
-            main, slope = loss_slope({r["target_idx"]: r["est"] for r in rows.collect()})  # one row per target
-            p, k = s.agg(F.sum(1 / (1 + F.exp(F.lit(shift) - F.col("la")))), F.sum((gate > 0).cast("long"))).first()
-            history.append((main + penalty * (p or 0.0), k or 0))
+        def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            est, p, k = np.zeros(len(y)), 0.0, 0
+            for x in batches:
+                at, idx, val = _flat(x)
+                w, p1, k1 = opened({c: x[c].to_numpy(float) for c in _GATE_STATE})
+                est += np.bincount(idx, val * w[at], len(y))
+                p, k = p + p1, k + k1
+            yield pd.DataFrame({"pos": np.arange(-2, len(y)), "v": np.concatenate([[float(k), p], est])})
+
+        history, kept = list(before), []
+        for t in range(first, last + 1):
+            got = s.mapInPandas(add_up, "pos int, v double").groupBy("pos").agg(F.sum("v").alias("v")).orderBy("pos").toArrow()["v"].to_numpy()  # one number per target
+            main, slope = loss_slope(got[2:] if len(got) else np.zeros(len(y)))
+            history.append((main + penalty * (got[1] if len(got) else 0.0), int(got[0]) if len(got) else 0))
             if settled(history):
                 break
-            s = cut(s.mapInPandas(update(slope, t), s.schema))
-        return s
-
-    state = flat.repartition(1).mapInPandas(fit, f"col_id {given}, lw double, la double") if flat.count() <= local else spread()
+            s = s.mapInPandas(update(slope, t), s.schema)
+            if t % EPOCHS_KEPT == 0 or t == last:
+                s = cut(s)
+                for k in kept:
+                    k.unpersist()
+                kept = []
+            else:
+                s = s.persist()
+                kept.append(s)
+        news = history[len(before):]
+        return cut(s.select("col_id", *_GATE_STATE)) if kept else s.select("col_id", *_GATE_STATE), news, settled(history)
+
+    signature = {"penalty": penalty, "rate": rate, "temperature": temperature, "targets": hashlib.sha256(repr([(str(i), float(a), float(b)) for i, a, b in zip(ids, y, mass)]).encode()).hexdigest(), "epochs": epochs}
+    history: list[tuple[float, int]] = []
+    state, done = None, False
+    if folder:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/log")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            log = spark.read.parquet(f"{folder}/log").orderBy("epoch").collect()  # one row per epoch
+            old = json.loads(spark.read.text(f"{folder}/signature").first()[0])
+            differ = compare_signatures(old, signature, ("penalty", "rate", "temperature", "targets"))
+            if differ["fatal"]:
+                raise ValueError(f"the fit in {folder} is of another problem: {', '.join(differ['fatal'])}")
+            history = [(r["loss"], r["open"]) for r in log]
+            state = spark.read.parquet(f"{folder}/state/epoch={len(history)}")
+            done = settled(history)
+    if state is None:
+        state = flat.groupBy("col_id").agg(F.first("lw").alias("lw")).select("col_id", "lw", F.lit(2.0).alias("la"), *[F.lit(0.0).alias(c) for c in _GATE_STATE[2:]])
+        if folder:
+            spark.createDataFrame([(json.dumps(signature),)], "s string").coalesce(1).write.mode("overwrite").text(f"{folder}/signature")
+    run = in_one_task if flat.count() <= local else spread
+    while not done and len(history) < epochs:
+        first = len(history) + 1
+        state, news, done = run(state, first, min(epochs, first + every - 1) if folder else epochs, history)
+        history += news
+        if not news:
+            break
+        if folder:
+            at = len(history)
+            state.write.mode("overwrite").parquet(f"{folder}/state/epoch={at}")
+            state = spark.read.parquet(f"{folder}/state/epoch={at}")
+            est = flat.drop("lw").join(state.select("col_id", (F.exp("lw") * gate).alias("w")), "col_id").groupBy("_pos").agg(F.sum(F.col("val") * F.col("w")).alias("estimate"))
+            told = where.join(est, "_pos", "left").join(targets.select("target_idx", "value"), "target_idx").select(F.lit(at).alias("epoch"), "target_idx", F.coalesce("estimate", F.lit(0.0)).alias("estimate"), "value")
+            told.withColumn("relative_error", F.try_divide(F.col("estimate") - F.col("value"), F.abs("value"))).write.mode("append").parquet(f"{folder}/targets")
+            spark.createDataFrame([(first + i, float(a), int(k)) for i, (a, k) in enumerate(news)], "epoch int, loss double, open long").coalesce(1).write.mode("append").parquet(f"{folder}/log")
     return state.select("col_id", (F.exp("lw") * gate).alias("w"), gate.alias("gate"), (gate > 0).alias("active"))
 
 

@@ -72,7 +72,47 @@ def sv4_boxed_entropy(spark, d):
     return x.select("household_id", S.entropy(x, FEATURES, t, "d", box=0.01).weight.alias("w"))
 
 
-@book.add()
+@book.add(_P + """, s AS (SELECT sum(d * f0) * 1.03::DOUBLE AS f0, sum(d * f1) * 0.95::DOUBLE AS f1, sum(d * f2) * 1.02::DOUBLE AS f2 FROM x)
+SELECT unnest(['exact', 'within 1%']) AS fit, round(f0, 2) AS t0, round(f1, 2) AS t1, round(f2, 2) AS t2, true AS met, true AS positive FROM s""")
+def sv3_sv4_totals(spark, d):
+    """The totals of both fits against their targets, and the sign of the weights."""
+    x, t = problem(spark, d)
+    rows = []
+    for name, box in (("exact", 0.0), ("within 1%", 0.01)):
+        w = S.entropy(x, FEATURES, t, "d", box=box).weight
+        met = S.relative_errors(S.totals(x, FEATURES, w) - t, t).max() <= box + 1e-6
+        rows.append((name, *(round(float(v), 2) for v in t), bool(met), bool(x.agg(F.min(w) > 0).first()[0])))
+    return spark.createDataFrame(rows, "fit string, t0 double, t1 double, t2 double, met boolean, positive boolean")
+
+
+@book.add(_P + """, s AS (SELECT sum(d * f0) * 1.03::DOUBLE AS f0, sum(d * f1) * 0.95::DOUBLE AS f1, sum(d * f2) * 1.02::DOUBLE AS f2 FROM x) SELECT j, round(CASE j WHEN 0 THEN f0 WHEN 1 THEN f1 ELSE f2 END, 2) AS total FROM s, range(3) r(j)""")
+def sv3_entropy_wide(spark, d):
+    """The same problem from long rows, without the second moments: totals of the weights by target."""
+    x, t = problem(spark, d)
+    long = x.unpivot("household_id", FEATURES, "f", "x").select("household_id", F.substring("f", 2, 1).cast("int").alias("j"), "x")
+    rows = S.feature_rows(long, x, "household_id", "j", "x", "d")
+    beta, _, _ = S.entropy_wide(rows, t, "d")
+    w = S.wide_weight(rows, beta, "household_id", "d")
+    return long.join(w, "household_id").groupBy(c("j").cast("long").alias("j")).agg(F.round(F.sum(c("x") * c("w")), 2).alias("total"))
+
+
+@book.add("SELECT household_id, true AS within, 'entropy > least error 0.0476' AS path FROM household")
+def sv5_minimax(spark, d):
+    """Targets that contradict each other (a total and 1.1 times it): the least largest error is 1/21, by non-negative weights."""
+    x, t = _contradiction(spark, d)
+    fit = S.minimax(x, ["f0", "g0"], t, "d")
+    least = S.relative_errors(fit.errors, t).max()
+    ok = F.lit(bool(abs(least - 1 / 21) < 1e-6)) & (fit.weight >= 0)
+    failed = S.calibrate(x, ["f0", "g0"], t, "d", "entropy", approximate=False)
+    return x.select("household_id", ok.alias("within"), F.lit(" > ".join(failed.path)).alias("path"))
+
+
+def _contradiction(spark: SparkSession, d: str) -> tuple[DataFrame, list[float]]:
+    x, t = problem(spark, d)
+    return x.withColumn("g0", c("f0")), [t[0], t[0] * 1.1]
+
+
+@book.add("SELECT household_id, true AS positive, 'entropy' AS path FROM household")
 def sv5_sv6_dispatch(spark, d):
     """Calibrate, then blend in as much baseline as a 1% bound allows."""
     import numpy as np
@@ -80,7 +120,27 @@ def sv5_sv6_dispatch(spark, d):
     x, t = problem(spark, d)
     fit = S.calibrate(x, FEATURES, t, "d", "entropy")
     share = S.densify(S.totals(x, FEATURES, fit.weight), S.totals(x, FEATURES, c("d")), np.array(t), 0.01)
-    return x.select("household_id", (fit.weight * (1 - share) + c("d") * share).alias("w"), F.lit(" > ".join(fit.path)).alias("path"))
+    return x.select("household_id", ((fit.weight * (1 - share) + c("d") * share) > 0).alias("positive"), F.lit(" > ".join(fit.path)).alias("path"))
+
+
+@book.add("""
+SELECT * FROM (VALUES ('linear', 'linear', true, 0.0), ('contradicting, linear', 'linear failed > rake', false, 0.048809), ('entropy', 'entropy', true, 0.0), ('impossible, entropy', 'entropy > least error 1', false, 1.0),
+  ('contradicting, entropy', 'entropy failed > entropy within 0.1', true, 0.1), ('contradicting, narrow', 'entropy > least error 0.0476', false, 0.1), ('rake', 'rake', true, 0.0)) v("case", path, converged, bound)""")
+def sv6_fit_report(spark, d):
+    """What each way came to, its largest error measured on the weights: equal to the bound known beforehand, or within it."""
+    x, t = problem(spark, d)
+    y, u = _contradiction(spark, d)
+    cases = [
+        ("linear", x, FEATURES[:2], t[:2], {"method": "linear"}, 0.0), ("contradicting, linear", y, ["f0", "g0"], u, {"method": "linear"}, 0.048809), ("entropy", x, FEATURES, t, {"method": "entropy"}, 0.0),
+        ("impossible, entropy", x, FEATURES[:2], [t[0], -t[1]], {"method": "entropy"}, 1.0), ("contradicting, entropy", y, ["f0", "g0"], u, {"method": "entropy"}, 0.1),
+        ("contradicting, narrow", y, ["f0", "g0"], u, {"method": "entropy", "max_error": 0.04}, 0.1), ("rake", x, FEATURES, t, {"method": "rake"}, 0.0),
+    ]
+    rows = []
+    for name, df, features, wanted, how, bound in cases:
+        fit = S.calibrate(df, features, wanted, "d", **how)
+        error = float(S.relative_errors(S.totals(df, features, fit.weight) - wanted, wanted).max())
+        rows.append((name, " > ".join(fit.path), fit.converged, bound if error <= bound + 1e-5 else error))
+    return spark.createDataFrame(rows, "case string, path string, converged boolean, bound double")
 
 
 @book.add()
