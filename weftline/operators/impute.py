@@ -236,22 +236,71 @@ def reference_person(df: DataFrame, household: str, order: list[str], adult: Col
     return j.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_na", "_np", "_ns")
 
 
-def filing_units(person: DataFrame, household: str, line: str, spouse: str, parent: str, age: str, adult_age: int = 18) -> DataFrame:
-    """Units of a household from pointers: ``household, line, unit_line, role``.
-
-    Two persons who point to each other form a pair led by the older (then by line); other adults lead their own unit;
-    children join the unit of the parent they point to, else that of the household's first unit. Chains of claims
-    are not followed: a child's parent must lead or share a unit.
+def filing_units(
+    person: DataFrame, household: str, line: str, spouse: str, parent: str, age: str, adult_age: int = 18, *,
+    parent2: str | None = None, income: str | None = None, reference: Column | None = None, child: Column | None = None, relative: Column | None = None, kin: Column | None = None, young: int = 15,
+) -> DataFrame:
+    """Units of a household from pointers, in two passes of claims: ``household, line, unit_line, role``.
+
+    Two persons who point to each other form a pair, led by the reference person, else the older (then the lower line);
+    other adults begin a unit of their own. First the single adults, by age and line, may be claimed by a unit that holds
+    one of their parents, if ``child`` holds for them; a claimed adult's unit can claim nobody after that, and claims are
+    followed through chains to the unit that is left. Then the others, by age and line, are claimed by what is left: if
+    ``child`` holds, by a parent's unit, or, for those under ``young`` without a parent's line, by the reference person's
+    unit; else, if ``relative`` holds, by a parent's unit or, for those under ``young`` with ``kin`` or without a parent's
+    line, the reference person's unit. Among several units the one with the largest income, then the older head, then the
+    lower line claims. Whoever is not claimed is a unit of their own.
+
+    By default ``child`` is being under ``adult_age``, ``relative`` holds for all, ``kin`` and ``reference`` for none.
+    Everything happens in one grouping per household (whose members are a short list), with no join. A line that occurs
+    twice in a household is an error of the data: the first in order of age counts for pointers.
     """
-    p = person.select(F.col(household).alias("h"), F.col(line).alias("l"), F.col(spouse).alias("s"), F.col(parent).alias("p"), F.col(age).alias("a"))
-    q = p.select(F.col("h"), F.col("l").alias("s"), F.col("s").alias("back"), F.col("a").alias("sa"))
-    j = p.join(q, ["h", "s"], "left").withColumn("paired", F.coalesce((F.col("back") == F.col("l")) & (F.col("s") != F.col("l")), F.lit(False)))
-    leads = (F.col("a") > F.col("sa")) | ((F.col("a") == F.col("sa")) & (F.col("l") < F.col("s")))
-    own = F.when(F.col("paired"), F.when(leads, F.col("l")).otherwise(F.col("s"))).when(F.col("a") >= adult_age, F.col("l"))
-    j = j.withColumn("own", own)
-    first = j.groupBy("h").agg(F.min("own").alias("first"))
-    parents = j.select("h", F.col("l").alias("p"), F.col("own").alias("parent_unit"))
-    k = j.join(first, "h").join(parents, ["h", "p"], "left")
-    unit = F.coalesce("own", "parent_unit", "first", "l")
-    role = F.when(F.col("own") == F.col("l"), "head").when(F.col("own").isNotNull(), "spouse").when(unit == F.col("l"), "head").otherwise("dependant")
-    return k.select(F.col("h").alias(household), F.col("l").alias(line), unit.alias("unit_line"), role.alias("role"))
+    no = F.lit(False)
+    parents = F.array_compact(F.array(F.col(parent).cast("int"), *([F.col(parent2).cast("int")] if parent2 else [])))
+    test = lambda c, default: F.coalesce(c if c is not None else default, no)
+    p = F.struct(
+        F.col(line).cast("int").alias("l"), F.col(spouse).cast("int").alias("s"), parents.alias("ps"), F.col(age).cast("double").alias("a"),
+        (F.coalesce(F.col(income).cast("double"), F.lit(0.0)) if income else F.lit(0.0)).alias("i"), F.coalesce(F.col(age) >= adult_age, no).alias("adult"),
+        test(reference, no).alias("ref"), test(child, F.col(age) < adult_age).alias("child"), test(relative, F.lit(True)).alias("rel"), test(kin, no).alias("kin"),
+    )
+    h = person.groupBy(F.col(household).alias("h")).agg(F.array_sort(F.collect_list(p)).alias("p"))  # a household's members
+    mate = lambda x: F.get(F.filter("p", lambda y: (y["l"] == x["s"]) & (y["s"] == x["l"]) & (y["l"] != x["l"])), F.lit(0))
+
+    def lead(x: Column, m: Column) -> Column:
+        older = (x["a"] > m["a"]) | ((x["a"] == m["a"]) & (x["l"] < m["l"]))
+        return F.when(x["ref"], x["l"]).when(m["ref"], m["l"]).when(F.coalesce(older, x["l"] < m["l"]), x["l"]).otherwise(m["l"])
+
+    own = F.transform("p", lambda x: F.struct(x.alias("x"), mate(x).alias("m")))
+    h = h.withColumn("q", own).withColumn("q", F.transform("q", lambda z: F.struct(
+        z["x"].alias("x"), z["m"].isNotNull().alias("paired"), F.when(z["m"].isNotNull(), lead(z["x"], z["m"])).when(z["x"]["adult"], z["x"]["l"]).alias("own"),
+        F.coalesce(z["m"]["i"], F.lit(0.0)).alias("mi"), F.coalesce(z["m"]["ref"], no).alias("mref"), F.when(z["m"].isNotNull(), F.array(z["x"]["l"], z["m"]["l"])).otherwise(F.array(z["x"]["l"])).alias("lines"))))
+    led = F.filter("q", lambda z: z["own"] == z["x"]["l"])
+    h = h.withColumn("u", F.transform(led, lambda z: F.struct((z["x"]["i"] + z["mi"]).alias("i"), z["x"]["a"].alias("a"), (-F.array_min(z["lines"])).alias("o"), z["x"]["l"].alias("k"), z["lines"].alias("lines"), (z["x"]["ref"] | z["mref"]).alias("ref"))))
+
+    def best(found: Column) -> Column:
+        return F.array_max(F.transform(found, lambda u: F.struct(u["i"].alias("i"), u["a"].alias("a"), u["o"].alias("o"), u["k"].alias("k"))))["k"]
+
+    ordered = lambda cond: F.array_sort(F.transform(F.filter("q", cond), lambda z: F.struct(z["x"]["a"].alias("a"), z["x"]["l"].alias("l"), z["x"].alias("x"))))
+    none = F.array().cast("array<struct<f:int,t:int>>")
+
+    def claim(acc: Column, z: Column) -> Column:
+        x = z["x"]
+        may = F.filter("u", lambda u: ~F.exists(acc, lambda c: c["f"] == u["k"]) & (u["k"] != x["l"]) & F.arrays_overlap(u["lines"], x["ps"]))
+        to = F.when(x["child"], best(may))
+        return F.when(to.isNotNull(), F.concat(acc, F.array(F.struct(x["l"].alias("f"), to.alias("t"))))).otherwise(acc)
+
+    h = h.withColumn("first", F.aggregate(ordered(lambda z: z["x"]["adult"] & ~z["paired"]), none, claim))
+    follow = lambda k: F.aggregate(F.sequence(F.lit(1), F.greatest(F.size("first"), F.lit(1))), k, lambda cur, _: F.coalesce(F.get(F.filter("first", lambda c: c["f"] == cur), F.lit(0))["t"], cur))
+    h = h.withColumn("left", F.filter("u", lambda u: ~F.exists("first", lambda c: c["f"] == u["k"])))
+
+    def second(x: Column) -> Column:
+        of_parents = best(F.filter("left", lambda u: F.arrays_overlap(u["lines"], x["ps"])))
+        of_reference = best(F.filter("left", lambda u: u["ref"]))
+        lone, small = F.size(x["ps"]) == 0, F.coalesce(x["a"] < young, no)
+        return F.coalesce(F.when(x["child"], F.coalesce(of_parents, F.when(lone & small, of_reference))), F.when(x["rel"], F.coalesce(of_parents, F.when((x["kin"] | lone) & small, of_reference))))
+
+    unit = lambda z: F.when(z["paired"], z["own"]).when(z["x"]["adult"], follow(z["x"]["l"])).otherwise(F.coalesce(second(z["x"]), z["x"]["l"]))
+    each = F.transform("q", lambda z: F.struct(z["x"]["l"].alias("l"), unit(z).alias("unit"), z["paired"].alias("paired")))
+    out = h.select("h", F.explode(each).alias("e")).select("h", "e.*")
+    role = F.when(F.col("unit") == F.col("l"), "head").when(F.col("paired"), "spouse").otherwise("dependant")
+    return out.select(F.col("h").alias(household), F.col("l").alias(line), F.col("unit").alias("unit_line"), role.alias("role"))

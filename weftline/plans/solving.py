@@ -367,20 +367,41 @@ def ds8_top_tail_report(spark, d):
 
 # ---- households and long-run support ----
 
+# Persons with pointers: spouses in a third of the units, parents one or two lines up, so that young adults form chains.
 _HC = """
-WITH q AS (SELECT unit_id, line, max(age) AS age FROM person GROUP BY ALL), p AS (SELECT unit_id AS h, line AS l, age AS a, CASE WHEN unit_id % 3 = 0 THEN CASE line WHEN 1 THEN 2 WHEN 2 THEN 1 END END AS s, CASE WHEN line >= 3 AND unit_id % 2 = 0 THEN 1 WHEN line >= 5 THEN 2 END AS p FROM q),
-j AS (SELECT x.*, coalesce(y.s = x.l, false) AS paired, y.a AS sa FROM p x LEFT JOIN p y ON y.h = x.h AND y.l = x.s),
-o AS (SELECT *, CASE WHEN paired THEN CASE WHEN a > sa OR (a = sa AND l < s) THEN l ELSE s END WHEN a >= 18 THEN l END AS own FROM j), f AS (SELECT h, min(own) AS first FROM o GROUP BY 1)
+WITH RECURSIVE p AS (SELECT unit_id AS h, line AS l, max(age) AS a, sum(gross) AS i, max(age) >= 18 AS adult, max(age) < 24 AS child, sum(gross) < 40000 AS rel, line = 1 AND unit_id % 7 = 0 AS ref, line % 2 = 0 AS kin,
+  CASE WHEN unit_id % 3 = 0 THEN CASE line WHEN 1 THEN 2 WHEN 2 THEN 1 END END AS s, CASE WHEN unit_id % 2 = 0 THEN line - 1 WHEN line >= 4 THEN line - 2 END AS par FROM person GROUP BY unit_id, line),
+q AS (SELECT x.*, coalesce(x.par, 0) AS pp, y.l IS NOT NULL AS paired, CASE WHEN y.l IS NOT NULL THEN CASE WHEN x.ref THEN x.l WHEN y.ref THEN y.l WHEN x.a > y.a OR (x.a = y.a AND x.l < y.l) THEN x.l ELSE y.l END WHEN x.adult THEN x.l END AS own,
+  coalesce(y.i, 0) AS mi, coalesce(y.ref, false) AS mref, y.l AS ml FROM p x LEFT JOIN p y ON y.h = x.h AND y.l = x.s AND y.s = x.l),
+u AS (SELECT h, l AS k, coalesce(ml, l) AS k2, i + mi AS ui, a AS ua, -least(l, coalesce(ml, l)) AS o, ref OR mref AS uref FROM q WHERE own = l),
+ul AS (SELECT h, list(struct_pack(k := CAST(k AS INT), k2 := CAST(k2 AS INT), ui := ui, ua := ua, o := o, uref := uref)) AS units FROM u GROUP BY h),
+c AS (SELECT h, l, pp, child, row_number() OVER (PARTITION BY h ORDER BY a, l) AS n FROM q WHERE adult AND NOT paired),
+st AS (SELECT h, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(f INT, t INT)[]) AS claims FROM ul
+  UNION ALL SELECT st.h, c.n, CASE WHEN t IS NULL THEN claims ELSE list_append(claims, struct_pack(f := CAST(c.l AS INT), t := t)) END FROM (
+    SELECT st.h, st.n, st.claims, CASE WHEN c.child THEN list_sort(list_transform(list_filter(units, lambda z: NOT list_contains(list_transform(st.claims, lambda w: w.f), z.k) AND z.k <> c.l AND (z.k = c.pp OR z.k2 = c.pp)), lambda z: struct_pack(ui := z.ui, ua := z.ua, o := z.o, k := z.k)), 'DESC')[1].k END AS t, c.l, c.n AS cn
+    FROM st JOIN c ON c.h = st.h AND c.n = st.n + 1 JOIN ul ON ul.h = st.h) st JOIN c ON c.h = st.h AND c.n = st.cn),
+fin AS (SELECT h, arg_max(claims, n) AS claims FROM st GROUP BY h),
+cl AS (SELECT h, unnest(claims).f AS f, unnest(claims).t AS t FROM fin),
+ch AS (SELECT h, f, t, 1 AS n FROM cl UNION ALL SELECT ch.h, ch.f, cl.t, ch.n + 1 FROM ch JOIN cl ON cl.h = ch.h AND cl.f = ch.t),
+ro AS (SELECT h, f, arg_max(t, n) AS t FROM ch GROUP BY h, f),
+lf AS (SELECT u.* FROM u ANTI JOIN cl ON cl.h = u.h AND cl.f = u.k),
+bp AS (SELECT q.h, q.l, arg_max(lf.k, (lf.ui, lf.ua, lf.o, lf.k)) AS k FROM q JOIN lf ON lf.h = q.h AND (lf.k = q.pp OR lf.k2 = q.pp) GROUP BY ALL),
+br AS (SELECT h, arg_max(k, (ui, ua, o, k)) AS k FROM lf WHERE uref GROUP BY h)
+SELECT q.h AS unit_id, q.l AS line, v AS unit_line, CASE WHEN v = q.l THEN 'head' WHEN paired THEN 'spouse' ELSE 'dependant' END AS role FROM (
+  SELECT q.*, CASE WHEN paired THEN own WHEN adult THEN coalesce(ro.t, q.l) ELSE coalesce(CASE WHEN child THEN coalesce(bp.k, CASE WHEN par IS NULL AND a < 15 THEN br.k END) END, CASE WHEN rel THEN coalesce(bp.k, CASE WHEN (kin OR par IS NULL) AND a < 15 THEN br.k END) END, q.l) END AS v
+  FROM q LEFT JOIN ro ON ro.h = q.h AND ro.f = q.l LEFT JOIN bp ON bp.h = q.h AND bp.l = q.l LEFT JOIN br ON br.h = q.h) q
 """
 
 
-@book.add(_HC + """SELECT o.h AS unit_id, o.l AS line, coalesce(o.own, z.own, first, o.l) AS unit_line, CASE WHEN o.own = o.l THEN 'head' WHEN o.own IS NOT NULL THEN 'spouse' WHEN coalesce(z.own, first, o.l) = o.l THEN 'head' ELSE 'dependant' END AS role
-FROM o JOIN f USING (h) LEFT JOIN o z ON z.h = o.h AND z.l = o.p""")
+@book.add(_HC)
 def hc1_filing_units(spark, d):
-    q = Micro(spark, d).person.groupBy("unit_id", "line").agg(F.max("age").alias("age"))
+    q = Micro(spark, d).person.groupBy("unit_id", "line").agg(F.max("age").alias("age"), F.sum("gross").alias("income"))
     spouse = F.when(c("unit_id") % 3 == 0, F.when(c("line") == 1, 2).when(c("line") == 2, 1))
-    parent = F.when((c("line") >= 3) & (c("unit_id") % 2 == 0), 1).when(c("line") >= 5, 2)
-    return I.filing_units(q.withColumn("sp", spouse).withColumn("pa", parent), "unit_id", "line", "sp", "pa", "age")
+    parent = F.when(c("unit_id") % 2 == 0, c("line") - 1).when(c("line") >= 4, c("line") - 2)
+    return I.filing_units(
+        q.withColumn("sp", spouse).withColumn("pa", parent), "unit_id", "line", "sp", "pa", "age", income="income",
+        reference=(c("line") == 1) & (c("unit_id") % 7 == 0), child=c("age") < 24, relative=c("income") < 40000, kin=c("line") % 2 == 0,
+    )
 
 
 @book.add("""
