@@ -29,11 +29,23 @@ BROADCAST_INTERVALS = 50_000
 SALTS = 32
 
 
+def _whole(n: Column) -> Column:
+    return F.when((n == F.floor(n)) & (n >= 0) & (n < 1e9), n.cast("long"))
+
+
+def _first_district(n: Column) -> Column:
+    return F.when(n == 1198, F.lit(1101).cast("long")).when(n % 100 == 0, n + 1).otherwise(n)
+
+
 def district_number(cd: Column) -> Column:
     """A district written in any way as its number; district 00, and 98 in state 11, count as 01."""
-    n = F.trim(cd.cast("string")).try_cast("double")
-    n = F.when((n == F.floor(n)) & (n >= 0) & (n < 1e9), n.cast("long"))
-    return F.when(n == 1198, F.lit(1101).cast("long")).when(n % 100 == 0, n + 1).otherwise(n)
+    return _first_district(_whole(F.trim(cd.cast("string")).try_cast("double")))
+
+
+def with_district(df: DataFrame, cd: str, name: str) -> DataFrame:
+    """:func:`district_number` in steps of their own, so that a text is read once per row."""
+    d = df.withColumn(name, F.trim(F.col(cd).cast("string")).try_cast("double"))
+    return d.withColumn(name, _whole(F.col(name))).withColumn(name, _first_district(F.col(name)))
 
 
 def keyed(df: DataFrame, keys: dict[str, Column], value: Column, record: Column | None = None) -> DataFrame:

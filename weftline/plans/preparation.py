@@ -62,12 +62,13 @@ def p3_steps(spark: SparkSession, d: str) -> DataFrame:
     return drift.migration_steps(drift.versioned(_files(spark, d)[1]))
 
 
-def _areas() -> dict:
-    return {"cd_geoid": skew.district_number(F.col("cd_geoid")), "state_fips": F.col("state_fips")}
+def _areas(spark: SparkSession, d: str) -> tuple[DataFrame, dict]:
+    g = skew.with_district(table(spark, d, "geography_assignment"), "cd_geoid", "district")
+    return g, {"cd_geoid": F.col("district"), "state_fips": F.col("state_fips")}
 
 
 def _keyed(spark: SparkSession, d: str) -> DataFrame:
-    return skew.keyed(table(spark, d, "geography_assignment"), _areas(), F.col("household_weight"))
+    return skew.keyed(*_areas(spark, d), F.col("household_weight"))
 
 
 #: Share of all rows from which a key is heavy.
@@ -80,7 +81,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_key_totals(spark: SparkSession, d: str) -> DataFrame:
     totals = skew.value_bounds(_keyed(spark, d)).where(F.col("key_value").isNotNull())
-    records = skew.distinct_records(table(spark, d, "geography_assignment"), _areas(), F.col("record_idx"))
+    records = skew.distinct_records(*_areas(spark, d), F.col("record_idx"))
     return totals.join(records, ["key_field", "key_value"], "left").select("key_field", "key_value", "n_rows", F.coalesce("n_records", F.lit(0)).alias("n_records"), F.round("total", 2).alias("total_weight"))
 
 
