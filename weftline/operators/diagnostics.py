@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,29 @@ def compare_distributions(df: DataFrame, side: str, x: str, other: str, bins: in
     return overlap.join(F.broadcast(ks), one).join(F.broadcast(rest), one)
 
 
+def kendall(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
+    """Kendall's tau-b of ``x`` and ``y``, each in ``bins`` bins of equal width: one row ``tau``.
+
+    Pairs are counted from the at most ``bins * bins`` cells of the two-way table, never formed from rows.
+    """
+    s = df.agg(*[f(c).alias(f"{n}{c}") for c in (x, y) for n, f in (("lo_", F.min), ("hi_", F.max))]).first()
+    slot = lambda c: F.least(F.floor((F.col(c) - (s[f"lo_{c}"] or 0)) / (((s[f"hi_{c}"] or 0) - (s[f"lo_{c}"] or 0)) or 1) * bins), F.lit(bins - 1)).cast("int")
+    g = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(slot(x).alias("i"), slot(y).alias("j")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    rows = g.collect()  # at most bins * bins
+    t = np.zeros((bins, bins))
+    for r in rows:
+        t[r["i"], r["j"]] = r["n"]
+    below = t[::-1].cumsum(0)[::-1]
+    after = np.vstack([below[1:], np.zeros(bins)])  # rows with larger x
+    right = np.hstack([after[:, ::-1].cumsum(1)[:, ::-1][:, 1:], np.zeros((bins, 1))])
+    left = np.hstack([np.zeros((bins, 1)), after.cumsum(1)[:, :-1]])
+    pairs = lambda v: float((v * (v - 1) / 2).sum())
+    n = t.sum()
+    free = np.sqrt((pairs(np.array([n])) - pairs(t.sum(1))) * (pairs(np.array([n])) - pairs(t.sum(0))))
+    tau = float((t * (right - left)).sum() / free) if free > 0 else None
+    return df.sparkSession.createDataFrame([(tau,)], "tau double")
+
+
 def pair_agreement(df: DataFrame, within: list[str], a: str, b: str) -> DataFrame:
     """Pairs of members together in both groupings and in each, from group sizes."""
     g = df.groupBy(*within, a, b).agg(F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.solve import compare_signatures
+from weftline.sources import files
+
 
 def columns_to_targets(columns: DataFrame, targets: DataFrame) -> DataFrame:
     """Each column once per level with the targets of its place: equal-key joins on ``(level, geographic id)``.
@@ -28,6 +31,59 @@ def build(columns: DataFrame, targets: DataFrame, values: DataFrame) -> DataFram
     return columns_to_targets(columns, targets).join(values, ["value_key", "record"]).where(F.col("val") != 0).select("target_idx", "col_id", "val")
 
 
+def table_print(df: DataFrame) -> str:
+    """A fingerprint of a table's rows that does not depend on their order: their number and two sums of their hashes."""
+    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("x"), F.coalesce(F.sum(F.pmod(h, F.lit(1 << 40))), F.lit(0)).alias("s")).first()
+    return f"{r['n']}-{r['x']:x}-{r['s']:x}"
+
+
+def lineage(columns: DataFrame, targets: DataFrame, values: DataFrame, chunk_size: int, batch: int, **facts) -> dict:
+    """The signature of a chunked build: what it is made of and how it is cut. ``facts`` are further things that must not change."""
+    return {"format": 1, "chunk_size": chunk_size, "batch": batch, "columns": table_print(columns), "targets": table_print(targets), "values": table_print(values)} | facts
+
+
+def build_chunks(columns: DataFrame, targets: DataFrame, values: DataFrame, folder: str, chunk_size: int, batch: int = 64, resume: bool = False, stop_after: int | None = None, **facts) -> tuple[DataFrame, dict[str, int]]:
+    """The matrix of :func:`build` written by ranges of columns, and how many batches were built and found.
+
+    A chunk holds the columns ``[k * chunk_size, (k + 1) * chunk_size)``; ``batch`` chunks are written by one job, into a
+    folder of their own whose success marker says that it is whole, so that a build that was stopped goes on with
+    ``resume`` where it ended. The manifest holds the signature (:func:`lineage`): resuming under another one, or
+    without a manifest, is an error; without ``resume`` everything is built anew. ``stop_after`` ends after so many
+    batches. Column ids are not negative. The first column's number is read from ``col_id`` and may have gaps.
+    """
+    spark = columns.sparkSession
+    signature = lineage(columns, targets, values, chunk_size, batch, **facts)
+    manifest, entries = f"{folder}/manifest", f"{folder}/entries"
+    if resume and files.exists(spark, manifest):
+        differ = compare_signatures(files.read_json(spark, manifest), signature, tuple(signature))
+        if differ["fatal"] or differ["soft"]:
+            raise ValueError(f"the chunks in {folder} are of another build: {', '.join(differ['fatal'] + differ['soft'])}")
+    elif resume and files.exists(spark, entries):
+        raise ValueError(f"the chunks in {folder} have no manifest")
+    else:
+        files.delete(spark, folder)
+        files.write_json(spark, signature, manifest)
+    last = columns.agg(F.max("col_id")).first()[0]
+    n_batches = 0 if last is None else last // (chunk_size * batch) + 1
+    done = {"built": 0, "found": 0}
+    for k in range(n_batches):
+        if files.exists(spark, f"{entries}/batch={k}/_SUCCESS"):
+            done["found"] += 1
+            continue
+        if stop_after is not None and done["built"] >= stop_after:
+            break
+        lo, hi = k * chunk_size * batch, (k + 1) * chunk_size * batch
+        part = build(columns.where((F.col("col_id") >= lo) & (F.col("col_id") < hi)), targets, values)
+        part.withColumn("chunk", F.floor(F.col("col_id") / chunk_size).cast("long")).write.mode("overwrite").partitionBy("chunk").parquet(f"{entries}/batch={k}")
+        done["built"] += 1
+    schema = build(columns, targets, values).schema
+    if not (done["built"] or done["found"]):
+        return spark.createDataFrame([], schema), done
+    whole = spark.read.schema(schema).option("basePath", entries).parquet(*[f"{entries}/batch={k}" for k in range(done["built"] + done["found"])])
+    return whole.select(*schema.names), done
+
+
 def multiply(matrix: DataFrame, weights: DataFrame) -> DataFrame:
     """``X w``: ``target_idx, estimate, row_sum``; ``weights`` has ``col_id, w``."""
     return matrix.join(weights, "col_id").groupBy("target_idx").agg(F.sum(F.col("val") * F.col("w")).alias("estimate"), F.sum("val").alias("row_sum"))

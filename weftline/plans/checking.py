@@ -9,6 +9,8 @@ from weftline.functions import exprs as X
 from weftline.operators import etl
 from weftline.operators import targets as T
 from weftline.operators import validate as V
+from weftline.operators import matrix as MX
+from weftline.plans.geography import _MX, _package
 from weftline.plans.micro import Book, Micro
 from weftline.session import scratch
 from weftline.sources import files as FS
@@ -33,21 +35,47 @@ def v1_sanity(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add("""
-WITH s AS (SELECT state, district, sum(agi * weight) AS sim FROM unit JOIN household USING (household_id) GROUP BY ALL), t AS (SELECT *, 60000000.0::DOUBLE AS target FROM s)
-SELECT district, round(sim, 2) AS sim, target, round((sim - target) / target, 5) AS rel, sim > 1e9 AS over_ceiling, district % 2 = 0 AS in_training FROM t""")
+SELECT * FROM (VALUES ('skipped', 'not negative household.rent', 'SKIP', 0), ('skipped', 'household.rent per household', 'SKIP', 0), ('skipped', 'person in household by household', 'SKIP', 0)) v(part, "check", status, failing)
+UNION ALL SELECT 'weight', 'not negative household.weight', 'PASS', 0 UNION ALL SELECT 'wealth', 'not negative household.wealth', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, n FROM (SELECT count(*) FILTER (wealth < 0) AS n FROM household)
+UNION ALL SELECT 'finite', 'finite household.wealth', 'PASS', 0 UNION ALL SELECT 'flag', 'flag household.late', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, n FROM (SELECT count(*) FILTER (household_id % 100 = 99) AS n FROM household)
+UNION ALL SELECT 'unique', 'unique household.household_id', 'PASS', 0 UNION ALL SELECT 'unique', 'unique unit.household_id', 'FAIL', count(*) - count(DISTINCT household_id) FROM unit
+UNION ALL SELECT 'orphan', 'unit in household by household_id', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, n FROM (SELECT count(*) AS n FROM unit WHERE household_id % 10 = 0)
+UNION ALL SELECT 'range', 'unit.agi per household', CASE WHEN sum(agi) / (SELECT count(*) FROM household WHERE household_id % 10 <> 0) BETWEEN 1 AND 10 THEN 'PASS' ELSE 'WARN' END, CASE WHEN sum(agi) / (SELECT count(*) FROM household WHERE household_id % 10 <> 0) BETWEEN 1 AND 10 THEN 0 ELSE 1 END FROM unit""")
+def v1_structural(spark, d):
+    """The suite on households (a tenth of which is left out of the table), filing units and persons."""
+    m = Micro(spark, d)
+    h = m.household.where("household_id % 10 <> 0").withColumn("late", (c("household_id") % 100 == 99).cast("int") * 2)
+    whole = m.household.withColumn("late", (c("household_id") % 100 == 99).cast("int") * 2)
+    a = V.structural({"household": whole, "unit": m.unit}, {"household": "household_id", "unit": "household_id"}, not_negative={"household": ["weight", "wealth", "rent"]}, finite={"household": ["wealth"]}, flags={"household": ["late"]})
+    b = V.structural({"household": h, "unit": m.unit}, {}, parents=[("unit", "household_id", "household"), ("person", "household", "household")], ranges={("unit", "agi", "household"): (1.0, 10.0), ("household", "rent", "household"): (0.0, 1.0)})
+    x = a.unionByName(b)
+    part = X.first_matching([(c("status") == "SKIP", "skipped"), (c("check").startswith("unique"), "unique"), (c("check").endswith(".weight"), "weight"), (c("check").startswith("finite"), "finite"), (c("check").startswith("flag"), "flag"), (c("check").contains(" in "), "orphan"), (c("check").contains(" per "), "range")], "wealth")
+    return x.select(part.alias("part"), "check", "status", "failing")
+
+
+@book.add("""
+WITH s AS (SELECT district, sum(agi * weight) AS sim FROM unit JOIN household USING (household_id) GROUP BY 1), t AS (SELECT district, sum(agi) * 4 AS target FROM unit JOIN household USING (household_id) WHERE district <> 3 GROUP BY 1 UNION ALL SELECT 99, 5.0)
+SELECT district, CASE WHEN target IS NOT NULL THEN 'district' END AS level, round(sim, 2) AS sim, round(target, 2) AS target, round(sim - target, 2) AS error, round((sim - target) / abs(target), 6) AS relative_error,
+CASE WHEN sim IS NULL OR target IS NULL THEN 'missing' WHEN abs(sim) > 5e9 THEN 'implausible' WHEN abs((sim - target) / target) <= 0.05 THEN 'ok' ELSE 'off' END AS status, district % 2 = 0 AS in_training FROM s FULL JOIN t USING (district)""")
 def v2_area_validation(spark, d):
     m = Micro(spark, d)
-    s = m.unit.join(m.household.select("household_id", "district", "weight"), "household_id").groupBy("district").agg(F.sum(c("agi") * c("weight")).alias("sim"))
-    t = F.lit(60000000.0)
-    return s.select("district", F.round("sim", 2).alias("sim"), t.alias("target"), F.round(X.relative_error(c("sim"), t), 5).alias("rel"), (c("sim") > 1e9).alias("over_ceiling"), (c("district") % 2 == 0).alias("in_training"))
+    u = m.unit.join(m.household.select("household_id", "district", "weight"), "household_id")
+    sim = u.groupBy("district").agg(F.sum(c("agi") * c("weight")).alias("sim"))
+    t = u.where("district <> 3").groupBy("district").agg((F.sum("agi") * 4).alias("target")).unionByName(spark.createDataFrame([(99, 5.0)], "district int, target double")).withColumn("level", F.lit("district"))
+    r = V.area_validation(sim, t, ["district"], {"district": 5e9}, c("district") % 2 == 0, tol=0.05)
+    return r.select("district", "level", *[F.round(x, 2).alias(x) for x in ("sim", "target", "error")], F.round("relative_error", 6).alias("relative_error"), "status", "in_training")
 
 
 @book.add("""
-WITH s AS (SELECT state, district, sum(agi * weight) AS v FROM unit JOIN household USING (household_id) GROUP BY ALL) SELECT state, round(sum(v), 2) AS by_districts, count(*) AS districts FROM s GROUP BY 1""")
+WITH s AS (SELECT state, district, sum(agi * weight) AS v FROM unit JOIN household USING (household_id) GROUP BY ALL), p AS (SELECT state, sum(v) AS by_parts, count(*) AS n_parts FROM s GROUP BY 1), w AS (SELECT state, sum(agi * weight) * CASE state WHEN 2 THEN 1.01::DOUBLE ELSE 1 END AS whole FROM unit JOIN household USING (household_id) WHERE state <> 4 GROUP BY 1)
+SELECT state, round(by_parts, 2) AS by_parts, n_parts, round(whole, 2) AS whole, round(by_parts - coalesce(whole, 0), 2) + 0.0 AS gap, state NOT IN (2, 4) AS adds_up FROM p LEFT JOIN w USING (state)""")
 def v3_additive_states(spark, d):
+    """States from their districts, against state totals of which one is off and one is not there."""
     m = Micro(spark, d)
-    s = m.unit.join(m.household.select("household_id", "state", "district", "weight"), "household_id").groupBy("state", "district").agg(F.sum(c("agi") * c("weight")).alias("v"))
-    return s.groupBy("state").agg(F.round(F.sum("v"), 2).alias("by_districts"), N().alias("districts"))
+    u = m.unit.join(m.household.select("household_id", "state", "district", "weight"), "household_id").withColumn("v", c("agi") * c("weight"))
+    parts = u.groupBy("state", "district").agg(F.sum("v").alias("v"))
+    wholes = u.where("state <> 4").groupBy("state").agg((F.sum("v") * F.when(c("state") == 2, 1.01).otherwise(1.0)).alias("v"))
+    return V.additive(parts, wholes, "state", "v").select("state", F.round("by_parts", 2).alias("by_parts"), "n_parts", F.round("whole", 2).alias("whole"), (F.round("gap", 2) + 0.0).alias("gap"), "adds_up")
 
 
 @book.add("""
@@ -74,18 +102,33 @@ def v5_bucket_cover(spark, d):
 
 
 @book.add("""SELECT definition_hash, count(*) AS n FROM (SELECT DISTINCT stratum_id, definition_hash FROM strata) GROUP BY 1 HAVING count(*) > 1""")
-def v6_v7_hash_uniqueness(spark, d):
+def v7_hash_uniqueness(spark, d):
     return V.duplicate_keys(Micro(spark, d).raw("strata").select("stratum_id", "definition_hash").distinct(), ["definition_hash"])
 
 
 @book.add("""
-SELECT l.stratum_id, p.variable, p.operation, p.value AS parent_value FROM living l JOIN constr p ON p.stratum_id = l.parent_stratum_id LEFT JOIN constr k ON k.stratum_id = l.stratum_id AND k.variable = p.variable AND k.operation = p.operation AND k.value = p.value WHERE k.stratum_id IS NULL""")
-def v8_parent_containment(spark, d):
-    """Parent constraints that a child lacks."""
+WITH x AS (SELECT stratum_id, bool_and(variable IN ('state_fips', 'congressional_district_geoid')) AS pure, max(value) FILTER (variable = 'state_fips') AS s, max(value) FILTER (variable = 'congressional_district_geoid') AS d FROM constr GROUP BY 1),
+g AS (SELECT l.stratum_id, parent_stratum_id, CASE WHEN d IS NOT NULL THEN 'district' WHEN s IS NOT NULL THEN 'state' ELSE 'national' END AS lv, coalesce(d, s, 'US') AS id FROM living l LEFT JOIN x USING (stratum_id) WHERE coalesce(pure, true)),
+j AS (SELECT g.*, u.lv AS ulv, u.id AS uid FROM g LEFT JOIN g u ON u.stratum_id = g.parent_stratum_id)
+SELECT lv AS geo_level, count(DISTINCT id) AS n, CASE lv WHEN 'national' THEN 1 WHEN 'state' THEN 51 ELSE 436 END AS expected, count(DISTINCT id) = CASE lv WHEN 'national' THEN 1 WHEN 'state' THEN 51 ELSE 436 END AS as_expected,
+CAST(count(*) FILTER (CASE lv WHEN 'national' THEN parent_stratum_id IS NULL WHEN 'state' THEN ulv = 'national' ELSE ulv = 'state' AND TRY_CAST(id AS INT) // 100 = TRY_CAST(uid AS INT) END) AS BIGINT) AS under_parent FROM j GROUP BY 1""")
+def v6_hierarchy(spark, d):
+    """Geographic strata by level against the nation, 51 states and 436 districts, and how many hang under the right parent."""
+    m = Micro(spark, d)
+    s = T.geographic_strata(m.strata, m.constraints).join(m.strata.select("stratum_id", "parent_stratum_id"), "stratum_id")
+    k = m.constraints.where("variable = 'congressional_district_geoid'").select("stratum_id", F.lit(True).alias("is_d")).distinct()
+    level = F.when(c("is_d"), "district").when(c("geographic_id") != "US", "state").otherwise("national")
+    return V.hierarchy(s.join(k, "stratum_id", "left").withColumn("geo_level", level), {"national": 1, "state": 51, "district": 436})
+
+
+@book.add("""
+WITH k AS (SELECT *, coalesce(CAST(TRY_CAST(value AS DOUBLE) AS VARCHAR), value) AS n FROM constr), d AS (SELECT stratum_id, max(TRY_CAST(value AS INT)) AS d FROM constr WHERE variable = 'congressional_district_geoid' AND operation = '==' GROUP BY 1),
+j AS (SELECT l.stratum_id, p.variable, p.operation, p.value AS parent_value, EXISTS (SELECT 1 FROM k WHERE k.stratum_id = l.stratum_id AND k.variable = p.variable AND k.operation = p.operation AND k.n = p.n) AS has, p.variable = 'state_fips' AND p.operation = '==' AND d IS NOT NULL AS st, coalesce(d // 100 = TRY_CAST(p.value AS INT), false) AS inside
+  FROM living l JOIN k p ON p.stratum_id = l.parent_stratum_id LEFT JOIN d ON d.stratum_id = l.stratum_id)
+SELECT stratum_id, variable, operation, parent_value, CASE WHEN st AND NOT inside THEN 'district outside state' ELSE 'missing' END AS problem FROM j WHERE (st AND NOT inside) OR (NOT has AND NOT (st AND inside))""")
+def v8_containment(spark, d):
     m = Micro(spark, d)
-    k = m.constraints
-    p = m.strata.where(c("parent_stratum_id").isNotNull()).select("stratum_id", "parent_stratum_id").join(k.select(c("stratum_id").alias("parent_stratum_id"), "variable", "operation", "value"), "parent_stratum_id")
-    return p.join(k, ["stratum_id", "variable", "operation", "value"], "left_anti").select("stratum_id", "variable", "operation", c("value").alias("parent_value"))
+    return V.containment(m.strata, m.constraints)
 
 
 @book.add("SELECT operation, count(*) AS n FROM stratum_constraints WHERE operation NOT IN ('==', '!=', '>', '>=', '<', '<=') GROUP BY 1")
@@ -102,11 +145,21 @@ def v10_quality_class(spark, d):
 
 
 @book.add("""
-SELECT 'household' AS entity, (SELECT count(*) FROM household) AS n, (SELECT count(DISTINCT household_id) FROM household) AS n_keys UNION ALL SELECT 'unit', (SELECT count(*) FROM unit), (SELECT count(DISTINCT unit_id) FROM unit)""")
+SELECT 'strata' AS entity, unnest(['stratum_id', 'parent_stratum_id', 'deleted_at']) AS column_name, unnest([count(stratum_id), count(parent_stratum_id), count(deleted_at)]) AS n_values, count(*) AS n_rows, count(DISTINCT stratum_id) AS n_keys, unnest([count(stratum_id), count(parent_stratum_id), count(deleted_at)]) = count(*) AND count(*) = count(DISTINCT stratum_id) AS complete FROM strata
+UNION ALL SELECT 'unit', unnest(['unit_id', 'agi']), unnest([count(unit_id), count(agi)]), count(*), count(DISTINCT unit_id), true FROM unit""")
 def v11_contract(spark, d):
     m = Micro(spark, d)
-    one = lambda df, k, n: df.agg(N().alias("n"), F.count_distinct(k).alias("n_keys")).select(F.lit(n).alias("entity"), "n", "n_keys")
-    return one(m.household, "household_id", "household").unionByName(one(m.unit, "unit_id", "unit"))
+    return V.contract({"strata": (m.raw("strata").select("stratum_id", "parent_stratum_id", "deleted_at"), "stratum_id"), "unit": (m.unit.select("unit_id", "agi"), "unit_id")})
+
+
+@book.add("""
+WITH s AS (SELECT min(wealth) AS a, max(wealth) AS b, min(weight) AS e, max(weight) AS f FROM household), g AS (SELECT least(CAST(floor((wealth - a) / (b - a) * 20) AS INT), 19) AS i, least(CAST(floor((weight - e) / (f - e) * 20) AS INT), 19) AS j, count(*)::DOUBLE AS n FROM household, s GROUP BY ALL),
+p AS (SELECT sum(x.n * y.n * sign(y.j - x.j)) AS cd FROM g x JOIN g y ON y.i > x.i), t AS (SELECT sum(n) AS n FROM g), r AS (SELECT sum(n * (n - 1) / 2) AS v FROM (SELECT sum(n) AS n FROM g GROUP BY i)), q AS (SELECT sum(n * (n - 1) / 2) AS v FROM (SELECT sum(n) AS n FROM g GROUP BY j))
+SELECT round(cd / sqrt((n * (n - 1) / 2 - r.v) * (n * (n - 1) / 2 - q.v)), 8) AS tau FROM p, t, r, q""")
+def v12_kendall(spark, d):
+    from weftline.operators.diagnostics import kendall
+
+    return kendall(Micro(spark, d).household, "wealth", "weight", 20).select(F.round("tau", 8).alias("tau"))
 
 
 _TWO = "WITH ab AS (SELECT household_id % 2 AS side, wealth AS x, weight FROM household), s AS (SELECT min(x) AS lo, max(x) AS hi FROM ab)"
@@ -135,11 +188,14 @@ def v13_accuracy(spark, d):
     return e.groupBy("segment").agg(F.round(F.avg(F.abs(c("wealth") - c("m"))), 6).alias("mae"), F.round(F.sqrt(F.avg((c("wealth") - c("m")) * (c("wealth") - c("m")))), 6).alias("rmse"), F.round(F.avg(c("wealth").between(c("lo"), c("hi")).cast("double")), 6).alias("coverage"))
 
 
-@book.add("""
-WITH t AS (SELECT target_id, CASE WHEN variable LIKE '%income%' THEN 'income' ELSE 'other' END AS category, abs((target_id % 41) - 20) AS ea, abs((target_id % 37) - 18) AS eb FROM target) SELECT category, round(avg((ea < eb)::INT), 8) AS share_a_better, round(avg(eb - ea), 8) AS mean_gain FROM t GROUP BY 1""")
+@book.add(_MX + """, e AS (SELECT value_key, geo_level, target_idx, sum(val) AS a, sum(val * (1 + col_id % 3)) AS b FROM x GROUP BY ALL), r AS (SELECT value_key || ' ' || geo_level AS category, abs(a - t) / t AS ea, abs(b - t) / t AS eb FROM (SELECT *, a * 1.5 AS t FROM e))
+SELECT category, count(*) AS n, round(avg((ea < eb)::INT), 8) AS share_a_better, round(avg(eb - ea), 8) AS mean_gain FROM r GROUP BY 1""")
 def v14_achievement(spark, d):
-    t = Micro(spark, d).targets.select(F.when(c("variable").contains("income"), "income").otherwise("other").alias("category"), F.abs((c("target_id") % 41) - 20).alias("a"), F.abs((c("target_id") % 37) - 18).alias("b"))
-    return t.groupBy("category").agg(F.round(F.avg((c("a") < c("b")).cast("double")), 8).alias("share_a_better"), F.round(F.avg(c("b") - c("a")), 8).alias("mean_gain"))
+    """Two sets of weights, by their estimates of the matrix's targets (1.5 times the row sums)."""
+    cols, t, x = _package(spark, d)
+    w = cols.select("col_id", (1 + c("col_id") % 3).cast("double").alias("w"))
+    e = MX.multiply(x, w).join(t, "target_idx").select(F.concat_ws(" ", "value_key", "geo_level").alias("category"), (c("row_sum") * 1.5).alias("target"), c("row_sum").alias("a"), c("estimate").alias("b"))
+    return V.achievement(e).select("category", "n", F.round("share_a_better", 8).alias("share_a_better"), F.round("mean_gain", 8).alias("mean_gain"))
 
 
 @book.add("""
@@ -278,10 +334,36 @@ def snk5_upsert(spark, d):
 @book.add("SELECT definition_hash FROM living UNION ALL SELECT 'new one'")
 def snk6_get_or_create(spark, d):
     s = Micro(spark, d).strata.select("definition_hash")
-    new = s.limit(5).unionByName(spark.createDataFrame([("new one",), ("new one",)], "definition_hash string"))
+    new = s.unionByName(spark.createDataFrame([("new one",), ("new one",)], "definition_hash string"))
     return T.get_or_create(s, new, "definition_hash")
 
 
+@book.add("SELECT release, CAST(n AS BIGINT) AS n FROM (VALUES ('first', 1), ('second', 2)) v(release, k), (SELECT count(*) AS n FROM nation)")
+def snk7_releases(spark, d):
+    """Two releases staged, checked and promoted, the second rolled back and the registry read."""
+    f = scratch(spark, "releases")
+    n = Micro(spark, d).raw("nation")
+    for v in ("first", "second"):
+        FS.stage(spark, {"nation": n}, f, v)
+        FS.promote(spark, f, v)
+    if FS.rollback(spark, f) != "first" or FS.releases(spark, f) != ["first"]:
+        raise RuntimeError("the first release should be current again")
+    return spark.read.parquet(f"{f}/releases/first/nation", f"{f}/releases/second/nation").groupBy(F.regexp_extract(F.input_file_name(), "releases/([a-z]+)/", 1).alias("release")).agg(N().alias("n"))
+
+
+@book.add("SELECT * FROM (VALUES ('before', 0), ('after', 1)) v(moment, problems)")
+def snk8_manifest(spark, d):
+    """Hashes of a folder's files, compared before and after a file is added."""
+    f = scratch(spark, "manifest")
+    n = Micro(spark, d).raw("nation")
+    n.coalesce(1).write.parquet(f"{f}/a")
+    old = spark.createDataFrame(FS.file_hashes(spark, f).collect(), "file string, length long, sha256 string")  # a few files
+    before = FS.verify_hashes(FS.file_hashes(spark, f), old).count()
+    n.coalesce(1).write.parquet(f"{f}/b")
+    after = FS.verify_hashes(FS.file_hashes(spark, f), old).where("file LIKE '%.parquet'").count()
+    return spark.createDataFrame([("before", before), ("after", after)], "moment string, problems long")
+
+
 # ---- streaming extension ----
 
 _WIN = "SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS \"end\", event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL"

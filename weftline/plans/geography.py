@@ -13,6 +13,7 @@ from weftline.operators import matrix as MX
 from weftline.operators import takeup as TK
 from weftline.operators import weights as W
 from weftline.plans.micro import Book, Micro
+from weftline.session import scratch
 
 book = Book()
 queries, oracle_sql = (lambda: book.queries), (lambda: book.sql)
@@ -221,6 +222,12 @@ x AS (SELECT target_idx, value_key, geo_level, geographic_id, col_id, val FROM c
 
 def _package(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Columns, targets and matrix of a small package: two clones, two value keys, three levels."""
+    cols, t, vals = _package_parts(spark, d)
+    return cols, t, MX.build(cols, t.select("target_idx", "value_key", "geo_level", "geographic_id"), vals)
+
+
+def _package_parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Columns, targets and values per key and record."""
     m = Micro(spark, d)
     h = m.household.select("household_id", "district")
     # the factor of the clone number is beyond all ids, and 1,000,000 at least, so that ids up to that size stay as they were
@@ -236,7 +243,7 @@ def _package(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFra
     from pyspark.sql import Window
 
     t = t.withColumn("target_idx", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("value_key", "lv", "geographic_id")) - 1)  # one row per target
-    return cols, t, MX.build(cols, t.select("target_idx", "value_key", "geo_level", "geographic_id"), vals)
+    return cols, t, vals
 
 
 @book.add(_MX + "SELECT target_idx, col_id, round(val, 2) AS val FROM x")
@@ -265,7 +272,7 @@ def mx5_package_report(spark, d):
 
 
 @book.add(_MX + ", e AS (SELECT target_idx, sum(val) AS xw FROM x GROUP BY 1), k AS (SELECT value_key, geo_level, geographic_id, sum(val) AS direct FROM x GROUP BY ALL) SELECT value_key, geo_level, geographic_id, round(xw, 2) AS xw, round(direct, 2) AS direct FROM e JOIN tg USING (target_idx) JOIN k USING (value_key, geo_level, geographic_id)")
-def mx6_xw_identity(spark, d):
+def mx3_xw_identity(spark, d):
     """X w against a direct aggregate over the cloned rows."""
     cols, t, x = _package(spark, d)
     m = Micro(spark, d)
@@ -276,3 +283,17 @@ def mx6_xw_identity(spark, d):
     place = F.explode(F.array(F.struct(F.lit("national").alias("geo_level"), F.lit("US").alias("geographic_id")), F.struct(F.lit("state").alias("geo_level"), c("state").cast("string").alias("geographic_id")), F.struct(F.lit("district").alias("geo_level"), c("district").cast("string").alias("geographic_id"))))
     dsum = long.select("value_key", "v", place.alias("p")).groupBy("value_key", "p.geo_level", "p.geographic_id").agg(F.sum("v").alias("direct"))
     return xw.join(dsum, ["value_key", "geo_level", "geographic_id"]).select("value_key", "geo_level", "geographic_id", F.round("estimate", 2).alias("xw"), F.round("direct", 2).alias("direct"))
+
+
+@book.add(_MX + "SELECT target_idx, col_id, round(val, 2) AS val FROM x")
+def mx6_chunked_build(spark, d):
+    """Built by chunks, stopped after two batches, and resumed: equal to the matrix built at once."""
+    cols, t, vals = _package_parts(spark, d)
+    t = t.select("target_idx", "value_key", "geo_level", "geographic_id")
+    f = scratch(spark, "chunks")
+    size = -(-(cols.agg(F.max("col_id")).first()[0] + 1) // 40)
+    MX.build_chunks(cols, t, vals, f, size, batch=8, stop_after=2, period=2024)
+    x, done = MX.build_chunks(cols, t, vals, f, size, batch=8, resume=True, period=2024)
+    if done["found"] != 2:
+        raise RuntimeError("the chunks of the first run were not found")
+    return x.withColumn("val", F.round("val", 2))
