@@ -226,6 +226,27 @@ def definition_hash(parent: Column, texts: Column) -> Column:
     return F.sha2(F.when(F.size(texts) > 0, F.concat(head, F.lit("\n"), F.array_join(F.array_sort(texts), "\n"))).otherwise(head), 256)
 
 
+def money_text(x: Column) -> Column:
+    """``$1.2B``, ``-$350.0K`` or ``$12``; ``n/a`` for null, NaN and infinities. For reports; halves go up."""
+    a, sign = F.abs(x), F.when(x < 0, "-").otherwise("")
+    sized = F.when(a < 1e3, F.format_string("%.0f", a)).otherwise(F.lit(None).cast("string"))
+    for scale, suffix in ((1e12, "T"), (1e9, "B"), (1e6, "M"), (1e3, "K")):
+        sized = F.coalesce(sized, F.when(a >= scale, F.concat(F.format_string("%.1f", a / scale), F.lit(suffix))))
+    return F.when(x.isNull() | F.isnan(x) | (a == float("inf")), "n/a").otherwise(F.concat(sign, F.lit("$"), sized))
+
+
+def percent_text(x: Column, signed: bool = False) -> Column:
+    """A share as ``12.34%`` (with a sign if ``signed``); ``n/a`` for null, NaN and infinities."""
+    return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), "n/a").otherwise(F.concat(F.format_string("%+.2f" if signed else "%.2f", x * 100), F.lit("%")))
+
+
+def bar_text(x: Column, top: Column, width: int = 28) -> Column:
+    """``x`` as a bar of ``#`` over dots, full at ``top``; all dots where either is no positive number."""
+    share = F.least(F.abs(x) / F.abs(top), F.lit(1.0))
+    n = F.coalesce(F.when(share.isNotNull() & ~F.isnan(share), F.bround(share * width, 0).cast("int")), F.lit(0))
+    return F.concat(F.repeat(F.lit("#"), n), F.repeat(F.lit("."), F.lit(width) - n))
+
+
 # ---- errors ----
 
 

@@ -98,6 +98,17 @@ def subset_to_weight(df: DataFrame, weight: str, draw: Column, current: float, w
     return df.join(F.broadcast(tot), F.lit(True)).where(draw < p).drop("_t")  # one row
 
 
+def move_to_target(df: DataFrame, status: str, source: str, to: str, weight: str, draw: Column, factor: float) -> DataFrame:
+    """Move rows of one status to another by draw, so that the expected weight of ``to`` becomes ``factor`` times its own.
+
+    A row of ``source`` moves if its draw is below the wanted weight over the weight of ``source``, at most all rows.
+    """
+    at = lambda x: F.coalesce(F.sum(F.when(F.col(status) == x, F.col(weight))), F.lit(0.0))
+    tot = df.agg(F.least(F.try_divide(F.greatest(at(to) * factor - at(to), F.lit(0.0)), at(source)), F.lit(1.0)).alias("_p"))
+    moved = (F.col(status) == source) & (draw < F.coalesce("_p", F.lit(0.0)))
+    return df.join(F.broadcast(tot), F.lit(True)).withColumn(status, F.when(moved, to).otherwise(F.col(status))).drop("_p")  # one row
+
+
 def lognormal(u1: Column, u2: Column, mu: float, sigma: float) -> Column:
     """A log-normal value from two uniforms."""
     z = F.sqrt(-2 * F.log(F.greatest(u1, F.lit(1e-18)))) * F.cos(2 * 3.141592653589793 * u2)

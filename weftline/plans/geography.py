@@ -142,7 +142,7 @@ _AREA = "WITH k AS (SELECT k AS clone, household_id, weight FROM household, rang
 
 
 @book.add(_AREA + " SELECT n.clone, new_household, unit_id, row_number() OVER (ORDER BY n.clone, unit_id) - 1 AS new_unit, weight FROM n JOIN unit USING (household_id)")
-def cl9_cl10_area_subset(spark, d):
+def cl9_area_subset(spark, d):
     """The households of one area with their units under new dense ids."""
     m = Micro(spark, d)
     h = m.household.withColumn("clone", F.explode(F.sequence(F.lit(0), F.lit(N_CLONES - 1)))).where("(household_id + clone) % 3 = 0")
@@ -159,16 +159,66 @@ def cl11_overrides(spark, d):
     return Micro(spark, d).raw("block_distribution").select("block_geoid", F.when(k == "06037", "override").otherwise(k).alias("county"), F.floor(c("cd_geoid") / 100).cast("int").alias("state"), (c("cd_geoid") % 100).alias("number"))
 
 
-@book.add("""SELECT 'state' AS area_type, lpad(CAST(cd_geoid // 100 AS VARCHAR), 2, '0') AS area_id, count(DISTINCT cd_geoid) AS districts FROM block_distribution GROUP BY ALL UNION ALL SELECT 'district', CAST(cd_geoid AS VARCHAR), 1 FROM block_distribution GROUP BY ALL UNION ALL SELECT 'national', 'US', count(DISTINCT cd_geoid) FROM block_distribution""")
+# The counties of New York City.
+CITY = ("36005", "36047", "36061", "36081", "36085")
+
+
+@book.add(f"""WITH x AS (SELECT DISTINCT cd_geoid, left(block_geoid, 5) AS county FROM block_distribution)
+SELECT 'state' AS area_type, lpad(CAST(cd_geoid // 100 AS VARCHAR), 2, '0') AS area_id, count(DISTINCT cd_geoid) AS districts FROM x GROUP BY ALL UNION ALL SELECT 'district', CAST(cd_geoid AS VARCHAR), 1 FROM x GROUP BY ALL
+UNION ALL SELECT 'city', 'NYC', count(DISTINCT cd_geoid) FROM x WHERE county IN {CITY} HAVING count(*) > 0 UNION ALL SELECT 'national', 'US', count(DISTINCT cd_geoid) FROM x""")
 def cl12_area_catalogue(spark, d):
-    k = Micro(spark, d).raw("block_distribution").select("cd_geoid").distinct()
-    s = k.groupBy(F.lit("state").alias("area_type"), F.lpad(F.floor(c("cd_geoid") / 100).cast("string"), 2, "0").alias("area_id")).agg(N().alias("districts"))
-    return s.unionByName(k.select(F.lit("district").alias("area_type"), c("cd_geoid").cast("string").alias("area_id"), F.lit(1).cast("long").alias("districts"))).unionByName(k.agg(N().alias("districts")).select(F.lit("national").alias("area_type"), F.lit("US").alias("area_id"), "districts"))
+    """States, districts, the city (districts with blocks in its counties, if any) and the nation."""
+    k = Micro(spark, d).raw("block_distribution").select("cd_geoid", F.substring("block_geoid", 1, 5).alias("county")).distinct()
+    state = F.lpad(F.floor(c("cd_geoid") / 100).cast("string"), 2, "0")
+    place = F.array_compact(F.array(
+        F.struct(F.lit("state").alias("area_type"), state.alias("area_id")), F.struct(F.lit("district").alias("area_type"), c("cd_geoid").cast("string").alias("area_id")),
+        F.struct(F.lit("national").alias("area_type"), F.lit("US").alias("area_id")), F.when(c("county").isin(*CITY), F.struct(F.lit("city").alias("area_type"), F.lit("NYC").alias("area_id"))),
+    ))
+    return k.select("cd_geoid", F.explode(place).alias("p")).groupBy("p.area_type", "p.area_id").agg(F.count_distinct("cd_geoid").alias("districts"))
 
 
-@book.add()
+_CHUNK = f"""
+WITH o AS (SELECT cd_geoid, row_number() OVER (ORDER BY cd_geoid) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT cd_geoid FROM block_distribution)),
+b AS (SELECT cd_geoid, block_geoid, sum(probability) OVER (PARTITION BY cd_geoid ORDER BY block_geoid) / sum(probability) OVER (PARTITION BY cd_geoid) AS hi FROM block_distribution),
+k AS (SELECT k * (SELECT max(household_id) + 1 FROM household) + household_id AS col_id, k AS clone, household_id FROM household, range(3) r(k)),
+e AS (SELECT min(col_id) + (max(col_id) - min(col_id)) // 4 AS lo, min(col_id) + (max(col_id) - min(col_id)) // 2 AS hi FROM k),
+h AS (SELECT k.*, cd_geoid, ((col_id * (1103515245 + 9) + 12345 + 9) % 2147483648) / 2147483648.0 AS u FROM k JOIN o ON i = (household_id + clone * 7) % n, e WHERE col_id >= lo AND col_id < e.hi),
+g AS (SELECT h.col_id, household_id, clone, h.cd_geoid, min(block_geoid) AS block_geoid FROM h JOIN b ON b.cd_geoid = h.cd_geoid AND u < b.hi GROUP BY ALL),
+p AS (SELECT household_id, unit_id, count(*) FILTER (age >= 18) AS adults, count(*) FILTER (age < 18) AS kids FROM person GROUP BY ALL)
+SELECT col_id, clone, p.unit_id, left(block_geoid, 5) AS county, g.cd_geoid, round((CASE WHEN status = 'F' THEN 18000.0 ELSE 21000.0 END * pow(adults + 0.7 * kids, 0.7) / pow(3.4, 0.7)) * (1 + (g.cd_geoid // 100) / 100.0), 4) AS threshold,
+  (((p.unit_id * 3 + clone) * (1103515245 + 5) + 12345 + 5) % 2147483648) / 2147483648.0 < CASE WHEN g.cd_geoid // 100 < 20 THEN 0.6 ELSE 0.8 END AS takes_up
+FROM g JOIN p USING (household_id) JOIN unit ON unit.unit_id = p.unit_id
+"""
+
+
+@book.add(_CHUNK)
+def cl10_cl11_chunk(spark, d):
+    """A range of columns with mixed places: each clone's block, its county and district, and per filing unit the threshold at the new place and the take-up."""
+    m = Micro(spark, d)
+    h = m.household.select("household_id").join(F.broadcast(m.household.agg((F.max("household_id") + 1).alias("step"))), F.lit(True))  # one row
+    k = C.clones(h, N_CLONES, "household_id", c("step")).select("col_id", "clone", "household_id")
+    e = k.agg(F.min("col_id").alias("a"), F.max("col_id").alias("z")).first()
+    lo, hi = e["a"] + (e["z"] - e["a"]) // 4, e["a"] + (e["z"] - e["a"]) // 2
+    o = C.dense_ids(m.raw("block_distribution").select("cd_geoid").distinct(), [], "cd_geoid", "i")
+    n = o.count()
+    part = k.where((c("col_id") >= lo) & (c("col_id") < hi)).withColumn("i", (c("household_id") + c("clone") * 7) % n).join(o, "i").drop("i")
+    g = C.draw_block(part, m.raw("block_distribution"), "cd_geoid", "block_geoid", "probability", X.lcg_uniform(c("col_id"), 9))
+    sizes = m.person.groupBy("household_id", "unit_id").agg(F.count(F.when(c("age") >= 18, 1)).alias("adults"), F.count(F.when(c("age") < 18, 1)).alias("kids"))
+    u = g.join(sizes, "household_id").join(m.unit.select("unit_id", "status"), "unit_id")
+    base = F.when(c("status") == "F", 18000.0).otherwise(21000.0) * F.pow(c("adults") + 0.7 * c("kids"), F.lit(0.7)) / F.pow(F.lit(3.4), F.lit(0.7))
+    state = F.floor(c("cd_geoid") / 100)
+    takes = X.lcg_uniform(c("unit_id") * 3 + c("clone"), 5) < F.when(state < 20, 0.6).otherwise(0.8)
+    return u.select("col_id", "clone", "unit_id", X.block_parts(c("block_geoid"))[1].alias("county"), "cd_geoid", F.round(base * (1 + state / 100.0), 4).alias("threshold"), takes.alias("takes_up"))
+
+
+@book.add("SELECT count(*) AS n, count(*) AS different, true AS inside, true AS even FROM unit")
 def tk1_draws(spark, d):
-    return TK.draws(Micro(spark, d).unit, "snap", "household_id", "unit_id").select("unit_id", "draw")
+    """One draw per filing unit: different, in [0, 1), and their mean within five standard errors of a half; the same again in another order."""
+    u = Micro(spark, d).unit
+    x = TK.draws(u, "snap", "household_id", "unit_id").select("unit_id", "draw")
+    if x.exceptAll(TK.draws(u.orderBy("agi"), "snap", "household_id", "unit_id").select("unit_id", "draw")).limit(1).count():
+        raise RuntimeError("draws depend on the order of the rows")
+    return x.agg(N().alias("n"), F.count_distinct("draw").alias("different"), F.min((c("draw") >= 0) & (c("draw") < 1)).alias("inside"), (F.abs(F.avg("draw") - 0.5) < 5 / F.sqrt(12.0 * N())).alias("even"))
 
 
 _U5 = "((unit_id * (1103515245 + 5) + 12345 + 5) % 2147483648) / 2147483648.0"

@@ -141,7 +141,11 @@ def t4_priority_choice(spark, d):
     return Micro(spark, d).unit.groupBy("household_id").agg(F.max_by("unit_id", F.struct(p, c("agi"), -c("unit_id"))).alias("chosen"))
 
 
-@book.add()
+@book.add("""
+WITH RECURSIVE a AS (SELECT district, sum(weight) AS load, row_number() OVER (ORDER BY sum(weight) DESC, district) AS n FROM household GROUP BY 1),
+s AS (SELECT 0::BIGINT AS n, [0.0, 0.0, 0.0, 0.0]::DOUBLE[] AS loads, 0 AS district, 0.0::DOUBLE AS load, 0 AS worker UNION ALL
+  SELECT a.n, list_transform(loads, lambda x, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN x + a.load ELSE x END), a.district, a.load, CAST(list_position(loads, list_min(loads)) - 1 AS INT) FROM s JOIN a ON a.n = s.n + 1)
+SELECT district, load, worker FROM s WHERE n > 0""")
 def t5_balanced_parts(spark, d):
     """Areas dealt to workers, heaviest first to the least loaded."""
     from weftline.operators.entities import sum_to

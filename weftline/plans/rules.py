@@ -11,6 +11,7 @@ from weftline.plans.micro import Book, Micro
 book = Book()
 queries, oracle_sql = (lambda: book.queries), (lambda: book.sql)
 c = F.col
+N = lambda: F.count(F.lit(1))
 
 RULES = [("age", ">=", "18"), ("flag", "==", "R"), ("earnings", "<", "50000.5")]
 
@@ -184,9 +185,19 @@ def f11_lcg_uniform(spark, d):
     return Micro(spark, d).raw("orders").select("o_orderkey", X.lcg_uniform(c("o_orderkey"), 17).alias("u"))
 
 
-@book.add()
+@book.add("SELECT count(*) AS n, count(*) AS different, true AS inside, true AS even FROM household")
 def f12_hash_uniform(spark, d):
-    return Micro(spark, d).household.select("household_id", X.hash_uniform("household_id", "segment").alias("u"))
+    """The draws of all households: different, in [0, 1), and their mean within five standard errors of a half."""
+    u = Micro(spark, d).household.select(X.hash_uniform("household_id", "segment").alias("u"))
+    return u.agg(N().alias("n"), F.count_distinct("u").alias("different"), F.min((c("u") >= 0) & (c("u") < 1)).alias("inside"), (F.abs(F.avg("u") - 0.5) < 5 / F.sqrt(12.0 * N())).alias("even"))
+
+
+@book.add("""
+WITH x AS (SELECT household_id, wealth, CASE WHEN wealth < 0 THEN '-' ELSE '' END AS s, abs(wealth) AS a FROM household)
+SELECT household_id, s || '$' || CASE WHEN a >= 1000 THEN printf('%.1f', round(a / 1000.0, 1)) || 'K' ELSE printf('%.0f', round(a, 0)) END AS money, printf('%.2f', wealth / 7777.0 * 100) || '%' AS share, repeat('#', CAST(round_even(least(a / 10000.0, 1) * 28, 0) AS INT)) || repeat('.', 28 - CAST(round_even(least(a / 10000.0, 1) * 28, 0) AS INT)) AS bar FROM x""")
+def f22_report_texts(spark, d):
+    w = c("wealth")
+    return Micro(spark, d).household.select("household_id", X.money_text(w).alias("money"), X.percent_text(w / 7777.0).alias("share"), X.bar_text(w, F.lit(10000.0)).alias("bar"))
 
 
 @book.add("""SELECT l.stratum_id, sha256(coalesce(CAST(parent_stratum_id AS VARCHAR), '') || coalesce(chr(10) || string_agg(variable || '|' || operation || '|' || value, chr(10) ORDER BY variable || '|' || operation || '|' || value), '')) AS hash

@@ -14,6 +14,7 @@ from weftline.operators import joins as J
 from weftline.operators import solve as S
 from weftline.operators import weights as W
 from weftline.plans.micro import Book, Micro
+from weftline.session import scratch
 
 book = Book()
 queries, oracle_sql = (lambda: book.queries), (lambda: book.sql)
@@ -170,20 +171,59 @@ def sv10_target_loss(spark, d):
 # ---- imputation ----
 
 
+def _hot_deck(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Wealth, then weight given wealth, from the donors (odd ids) of the same segment."""
+    h = Micro(spark, d).household.select("household_id", "segment", "district", "wealth", "weight")
+    donors = h.where("household_id % 2 = 1")
+    return I.hot_deck(h.where("household_id % 2 = 0").select("household_id", "segment"), donors, ["segment"], ["wealth", "weight"], "household_id"), donors
+
+
 @book.add()
 def im1_hot_deck(spark, d):
-    """Amount, then weight of a second column given the first, from the donors of the same segment."""
-    m = Micro(spark, d)
-    h = m.household.select("household_id", "segment", "district", "wealth", "weight")
-    return I.hot_deck(h.where("household_id % 2 = 0").select("household_id", "segment"), h.where("household_id % 2 = 1"), ["segment"], ["wealth", "weight"], "household_id")
+    return _hot_deck(spark, d)[0]
+
+
+@book.add("SELECT segment, count(*) FILTER (household_id % 2 = 0) AS imputed, true AS from_own_segment, true AS near_donors_mean FROM household GROUP BY 1")
+def im1_rules(spark, d):
+    """What imputed values must keep: one per recipient, each a value of a donor of its segment, and their mean near the donors'."""
+    got, donors = _hot_deck(spark, d)
+    v = donors.select("segment", "wealth", F.lit(True).alias("own")).distinct()
+    m = donors.groupBy("segment").agg(F.avg("wealth").alias("mean"), F.stddev_samp("wealth").alias("sd"))
+    per = got.join(v, ["segment", "wealth"], "left").groupBy("segment").agg(N().alias("imputed"), F.min(F.coalesce("own", F.lit(False)) & c("weight").isNotNull()).alias("from_own_segment"), F.avg("wealth").alias("avg"))
+    return per.join(m, "segment").select("segment", "imputed", "from_own_segment", (F.abs(c("avg") - c("mean")) < 5 * c("sd") / F.sqrt(c("imputed"))).alias("near_donors_mean"))
+
+
+def _resample(spark: SparkSession, d: str) -> DataFrame:
+    h = Micro(spark, d).household
+    rows = h.select(c("household_id").alias("draw_no"))
+    return I.draw_weighted(rows, h.select(c("household_id").alias("donor"), "weight"), "donor", "weight", X.hash_uniform("draw_no"))
 
 
 @book.add()
 def im2_weighted_resample(spark, d):
     """As many donors as households, drawn with replacement by weight."""
+    return _resample(spark, d)
+
+
+@book.add("SELECT weight, true AS as_expected FROM household GROUP BY 1")
+def im2_shares(spark, d):
+    """The share of draws by the donors' weight against the share of weight, within five standard errors."""
     h = Micro(spark, d).household
-    rows = h.select(c("household_id").alias("draw_no"))
-    return I.draw_weighted(rows, h.select(c("household_id").alias("donor"), "weight"), "donor", "weight", X.hash_uniform("draw_no"))
+    n = h.agg(N().alias("all"), F.sum("weight").alias("mass")).first()
+    got = _resample(spark, d).join(h.select(c("household_id").alias("donor"), "weight"), "donor").groupBy("weight").agg(N().alias("k"))
+    p = h.groupBy("weight").agg((F.sum("weight") / n["mass"]).alias("p")).join(got, "weight", "left")
+    return p.select("weight", (F.abs(F.coalesce("k", F.lit(0)) - c("p") * n["all"]) < 5 * F.sqrt(c("p") * (1 - c("p")) * n["all"])).alias("as_expected"))
+
+
+@book.add("""
+WITH r AS (SELECT household_id AS rid, segment, wealth FROM household WHERE household_id % 2 = 0), q AS (SELECT household_id AS did, segment, wealth, weight FROM household WHERE household_id % 2 = 1)
+SELECT rid, did, weight FROM (SELECT rid, did, q.weight, row_number() OVER (PARTITION BY rid ORDER BY abs(r.wealth - q.wealth), did) AS k FROM r JOIN q USING (segment)) WHERE k = 1""")
+def im3_rematch(spark, d):
+    """Records take over the columns of their nearest donor of the same segment by wealth."""
+    h = Micro(spark, d).household
+    donors = h.where("household_id % 2 = 1")
+    near = J.nearest_donors(h.where("household_id % 2 = 0"), donors, "household_id", "household_id", {"wealth": 1.0}, "segment", squared=False, standardise=False)
+    return near.join(donors.select(c("household_id").alias("did"), "weight"), "did").select("rid", "did", "weight")
 
 
 @book.add("""
@@ -236,31 +276,82 @@ def im10_subset_to_weight(spark, d):
     return I.subset_to_weight(h, "weight", X.lcg_uniform(c("household_id"), 3), 2000.0, 1500.0).select("household_id")
 
 
-@book.add("""
-WITH s AS (SELECT household_id, CASE WHEN wealth < 0 THEN 'none' WHEN segment = 'MACHINERY' THEN 'worker' WHEN weight >= 6 THEN 'student' WHEN segment = 'BUILDING' AND wealth > 5000 THEN 'family' ELSE 'other' END AS status, weight FROM household) SELECT status, count(*) AS n, sum(weight) AS weighted FROM s GROUP BY 1""")
-def im11_status_cascade(spark, d):
+@book.add(f"""
+WITH w AS (SELECT unit_id, household_id, status, agi / (20 + unit_id % 31) / 52 AS wage FROM unit WHERE agi > 1000 AND priority <> '5-LOW'), s AS (SELECT w.*, state FROM w JOIN household USING (household_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY ((unit_id * (1103515245 + 6) + 12345 + 6) % 2147483648) / 2147483648.0, unit_id) AS k, count(*) OVER (PARTITION BY state) AS n FROM s)
+SELECT unit_id, state, wage, k <= round(n * CASE state WHEN 0 THEN 0.2 WHEN 1 THEN 0.1 ELSE 0.05 END) AS in_union FROM r""")
+def im7_donors_and_quota(spark, d):
+    """Donors with earnings and hours, their hourly wage, and membership given to a quota of each state by draw."""
+    m = Micro(spark, d)
+    w = m.unit.where("agi > 1000 AND priority <> '5-LOW'").select("unit_id", "household_id", (c("agi") / (20 + c("unit_id") % 31) / 52).alias("wage"))
+    s = w.join(m.household.select("household_id", "state"), "household_id")
+    rate = F.when(c("state") == 0, 0.2).when(c("state") == 1, 0.1).otherwise(0.05)
+    inside = W.quota_sample(s, ["state"], X.lcg_uniform(c("unit_id"), 6), "unit_id", F.round(c("_n") * rate)).select("unit_id", F.lit(True).alias("in_union"))
+    return s.join(inside, "unit_id", "left").select("unit_id", "state", "wage", F.coalesce("in_union", F.lit(False)).alias("in_union"))
+
+
+_IM11 = f"""
+WITH s AS (SELECT household_id, weight, CASE WHEN wealth < 0 THEN 'none' WHEN segment = 'MACHINERY' THEN 'worker' WHEN weight >= 6 THEN 'student' WHEN segment = 'BUILDING' AND wealth > 5000 THEN 'family' ELSE 'other' END AS status, {_U3} AS u FROM household),
+t1 AS (SELECT *, CASE WHEN status = 'other' AND u < least(greatest((SELECT sum(weight) * 1.1::DOUBLE - sum(weight) FROM s WHERE status = 'worker'), 0) / (SELECT sum(weight) FROM s WHERE status = 'other'), 1) THEN 'worker' ELSE status END AS s1 FROM s),
+t2 AS (SELECT *, CASE WHEN s1 = 'other' AND 1 - u < least(greatest((SELECT sum(weight) * 1.2::DOUBLE - sum(weight) FROM t1 WHERE s1 = 'student'), 0) / (SELECT sum(weight) FROM t1 WHERE s1 = 'other'), 1) THEN 'student' ELSE s1 END AS s2 FROM t1)
+"""
+
+
+@book.add(_IM11 + "SELECT 0 AS step, status, count(*) AS n, sum(weight) AS weighted FROM t2 GROUP BY 2 UNION ALL SELECT 1, s1, count(*), sum(weight) FROM t2 GROUP BY 2 UNION ALL SELECT 2, s2, count(*), sum(weight) FROM t2 GROUP BY 2")
+def im11_status_steps(spark, d):
+    """A cascade of evidence, then rows moved by draw towards two weighted targets, with the counts after each step."""
     rules = [(c("wealth") < 0, "none"), (c("segment") == "MACHINERY", "worker"), (c("weight") >= 6, "student"), ((c("segment") == "BUILDING") & (c("wealth") > 5000), "family")]
-    return Micro(spark, d).household.groupBy(X.first_matching(rules, "other").alias("status")).agg(N().alias("n"), F.sum("weight").alias("weighted"))
+    h = Micro(spark, d).household.select("household_id", "weight", X.first_matching(rules, "other").alias("status"), X.lcg_uniform(c("household_id"), 3).alias("u"))
+    log = lambda x, k: x.groupBy(F.lit(k).alias("step"), "status").agg(N().alias("n"), F.sum("weight").alias("weighted"))
+    out = log(h, 0)
+    for k, (to, more, draw) in enumerate((("worker", 1.1, c("u")), ("student", 1.2, 1 - c("u"))), 1):
+        h = I.move_to_target(h, "status", "other", to, "weight", draw, more)
+        out = out.unionByName(log(h, k))
+    return out
 
 
 @book.add(f"WITH x AS (SELECT household_id, weight, sum(weight) OVER (ORDER BY (CASE WHEN segment = 'BUILDING' THEN 0 ELSE 1 END) + {_U3} * 0.5, household_id) AS cum FROM household) SELECT household_id FROM x WHERE cum - weight < 1000")
-def im7_im12_greedy_selection(spark, d):
+def im12_greedy_selection(spark, d):
     h = Micro(spark, d).household.withColumn("score", F.when(c("segment") == "BUILDING", 0.0).otherwise(1.0) + X.lcg_uniform(c("household_id"), 3) * 0.5)
     return W.fill_to_total(h, "score", "weight", "household_id", F.lit(1000.0)).select("household_id")
 
 
+@book.add("""
+WITH l AS (SELECT unit_id, agi * 0.05 AS interest, greatest(CASE WHEN unit_id % 4 = 0 THEN 0 ELSE agi * 2 END, 1000.0) AS first, CASE WHEN status = 'P' THEN greatest(agi * 0.5, 1000.0) ELSE 0 END AS second FROM unit), n AS (SELECT unit_id, count(*) AS persons FROM person GROUP BY 1)
+SELECT unit_id, interest * first / (first + second) AS on_first, interest * second / (first + second) AS on_second, interest / persons AS per_person FROM l JOIN n USING (unit_id)""")
+def im13_mortgage_parts(spark, d):
+    """Interest split over two loans by their balances, which have floors, and shared by the unit's persons."""
+    m = Micro(spark, d)
+    first = F.greatest(F.when(c("unit_id") % 4 == 0, 0.0).otherwise(c("agi") * 2), F.lit(1000.0))
+    second = F.when(c("status") == "P", F.greatest(c("agi") * 0.5, F.lit(1000.0))).otherwise(0.0)
+    l = m.unit.select("unit_id", (c("agi") * 0.05).alias("interest"), first.alias("a"), second.alias("b")).join(m.person.groupBy("unit_id").agg(N().alias("persons")), "unit_id")
+    return l.select("unit_id", *[(c("interest") * c(x) / (c("a") + c("b"))).alias(n) for x, n in (("a", "on_first"), ("b", "on_second"))], (c("interest") / c("persons")).alias("per_person"))
+
+
 @book.add("SELECT unit_id, line, part, supp, age, round(gross / sum(gross) OVER (PARTITION BY unit_id), 8) AS share FROM person")
 def im13_person_shares(spark, d):
     return C.shares(Micro(spark, d).person, "gross", ["unit_id"]).select("unit_id", "line", "part", "supp", "age", F.round("share", 8).alias("share"))
 
 
-@book.add()
-def im14_lognormal_draws(spark, d):
+def _lognormal(spark: SparkSession, d: str) -> DataFrame:
     u = Micro(spark, d).unit
     on = X.hash_uniform(F.lit("on"), "unit_id") < 0.3
     return u.select("unit_id", F.when(on, I.lognormal(X.hash_uniform(F.lit("a"), "unit_id"), X.hash_uniform(F.lit("b"), "unit_id"), 8.0, 1.2)).otherwise(0.0).alias("amount"))
 
 
+@book.add()
+def im14_lognormal_draws(spark, d):
+    return _lognormal(spark, d)
+
+
+@book.add("SELECT count(*) AS n, true AS share_on, true AS mean_log, true AS spread_log FROM unit")
+def im14_moments(spark, d):
+    """Three in ten are drawn; the logarithms have mean 8 and deviation 1.2, each within five standard errors."""
+    l = F.when(c("amount") > 0, F.log("amount"))
+    k = F.count(l)
+    return _lognormal(spark, d).agg(N().alias("n"), (F.abs(k / N() - 0.3) < 5 * F.sqrt(0.21 / N())).alias("share_on"), (F.abs(F.avg(l) - 8.0) < 5 * 1.2 / F.sqrt(k)).alias("mean_log"), (F.abs(F.stddev_samp(l) - 1.2) < 5 * 1.2 / F.sqrt(2 * k)).alias("spread_log"))
+
+
 @book.add("""
 WITH r AS (SELECT unit_id, agi, CASE status WHEN 'F' THEN 2 ELSE 1 END AS filers, least(unit_id % 5, 3) AS kids FROM unit), k AS (SELECT unit_id, agi, filers, unnest(range(1, CAST(filers + kids + 1 AS INT))) AS i FROM r)
 SELECT unit_id * 100 + i AS person_id, unit_id, CASE WHEN i = 1 THEN 'filer' WHEN i = 2 AND filers = 2 THEN 'spouse' ELSE 'dependant' END AS role, CASE WHEN i = 1 THEN CASE WHEN filers = 2 THEN agi * 0.75 ELSE agi END WHEN i = 2 AND filers = 2 THEN agi * 0.25 ELSE 0 END AS earnings FROM k""")
@@ -348,8 +439,7 @@ def ds5_replicate(spark, d):
     return I.expand(Micro(spark, d).unit, n).select("unit_id", "copy", (c("agi") / n).alias("part"))
 
 
-@book.add()
-def ds6_probability_donors(spark, d):
+def _tilted_donors(spark: SparkSession, d: str) -> DataFrame:
     """A donor of the household's nation for each, in proportion to a tilt towards similar size."""
     m = Micro(spark, d)
     pool = m.raw("supplier").select(c("s_suppkey").alias("donor"), c("s_nationkey").alias("district"), c("s_acctbal").alias("donor_wealth"), F.lit(1.0).alias("w"))
@@ -357,6 +447,23 @@ def ds6_probability_donors(spark, d):
     return I.draw_tilted(m.household.select("household_id", "district", "wealth"), pool, "household_id", "donor", "district", "w", tilt)
 
 
+@book.add()
+def ds6_probability_donors(spark, d):
+    return _tilted_donors(spark, d)
+
+
+@book.add("SELECT count(*) AS households, true AS own_district, true AS nearer_than_chance FROM household WHERE district IN (SELECT s_nationkey FROM supplier)")
+def ds6_rules(spark, d):
+    """One donor each, of the own district, and nearer in wealth than the district's donors on average."""
+    m = Micro(spark, d)
+    s = m.raw("supplier").select(c("s_suppkey").alias("donor"), c("s_nationkey").alias("there"), c("s_acctbal").alias("theirs"))
+    got = _tilted_donors(spark, d).join(m.household.select("household_id", "district", "wealth"), "household_id").join(s, "donor")
+    chance = m.household.select("district", "wealth").join(s.groupBy(c("there").alias("district")).agg(F.avg("theirs").alias("mid"), F.count("theirs").alias("k")), "district").agg(F.avg(F.abs(c("wealth") - c("mid"))).alias("gap"))
+    per = got.agg(N().alias("households"), F.min(c("district") == c("there")).alias("own_district"), F.avg(F.abs(c("wealth") - c("theirs"))).alias("mean_gap"))
+    wide = m.household.agg((F.max("wealth") - F.min("wealth")).alias("range"))
+    return per.join(F.broadcast(chance), F.lit(True)).join(F.broadcast(wide), F.lit(True)).select("households", "own_district", (c("mean_gap") < c("range") / 3).alias("nearer_than_chance"))  # one row each
+
+
 @book.add("""
 WITH p AS (SELECT DISTINCT record_id, snapshot_date, left(snapshot_date, 4)::INT AS y, networth_millions AS v, coalesce(industry, 'none') AS ind FROM forbes_top_tail)
 SELECT y, ind, count(*) AS n, round(sum(v), 2) AS total, round(max(v), 2) AS top FROM p GROUP BY ALL""")
@@ -415,6 +522,21 @@ def lr1_age_shifted_clones(spark, d):
     return g.select((c("household_id") + c("top") * (1 + F.floor(c("shift") / 5))).alias("new_id"), c("household_id").alias("donor"), "shift", (c("oldest") + c("shift")).alias("oldest"))
 
 
+@book.add(_P + """, s AS (SELECT sum(d * f0) * 1.03::DOUBLE AS f0, sum(d * f1) * 0.95::DOUBLE AS f1, sum(d * f2) * 1.02::DOUBLE AS f2 FROM x)
+SELECT 2025 + k AS year, 'f' || j AS target, round(CASE j WHEN 0 THEN f0 WHEN 1 THEN f1 ELSE f2 END * pow(1.01, k), 2) AS value, true AS met, n FROM s, range(3) r(k), range(3) q(j), (SELECT count(*) AS n FROM x)""")
+def lr2_yearly_audit(spark, d):
+    """Year by year: growing targets, raking, the year's weights written and read back for the audit of each target."""
+    x, t = problem(spark, d)
+    f, out = scratch(spark, "years"), None
+    for year in range(3):
+        want = [v * 1.01**year for v in t]
+        x.select("household_id", *FEATURES, S.rake(x, FEATURES, want, "d").weight.alias("w")).write.parquet(f"{f}/year={2025 + year}")
+    years = spark.read.parquet(f).groupBy("year").agg(N().alias("n"), *[F.sum(c(k) * c("w")).alias(k) for k in FEATURES])
+    long = years.unpivot(["year", "n"], FEATURES, "target", "achieved")
+    wanted = spark.createDataFrame([(2025 + y, k, float(v * 1.01**y)) for y in range(3) for k, v in zip(FEATURES, t)], "year int, target string, value double")
+    return long.join(F.broadcast(wanted), ["year", "target"]).select("year", "target", F.round("value", 2).alias("value"), (F.abs(c("achieved") / c("value") - 1) < 1e-5).alias("met"), "n")
+
+
 @book.add()
 def lr2_yearly_projection(spark, d):
     """Raking year by year with growing targets; one audit row per year and target."""
@@ -429,6 +551,32 @@ def lr2_yearly_projection(spark, d):
     return out
 
 
+@book.add("""
+WITH a AS (SELECT household_id, segment, wealth, weight, row_number() OVER (PARTITION BY segment ORDER BY wealth, household_id) - 1 AS i, count(*) OVER (PARTITION BY segment) AS n FROM household WHERE wealth < 0),
+b AS (SELECT household_id, segment, wealth, weight, row_number() OVER (PARTITION BY segment ORDER BY wealth, household_id) - 1 AS pos, count(*) OVER (PARTITION BY segment) AS m FROM household WHERE wealth >= 5000)
+SELECT (SELECT max(household_id) + 1 FROM household) + a.household_id AS new_id, a.household_id AS first, b.household_id AS second, a.wealth + b.wealth AS wealth, least(a.weight, b.weight) * 0.1::DOUBLE AS weight
+FROM a JOIN (SELECT DISTINCT segment, m FROM b) USING (segment) JOIN b ON b.segment = a.segment AND b.pos = CASE WHEN n = 1 THEN 0 ELSE CAST(round_even(i * (b.m - 1) / (n - 1), 0) AS INT) END""")
+def lr1_composites(spark, d):
+    """Two unlike households of a segment made one: paired by rank, under new ids, with the smaller weight scaled down."""
+    h = Micro(spark, d).household
+    a, b = h.where("wealth < 0"), h.where("wealth >= 5000")
+    pairs = J.pair_by_rank(a, b, "household_id", "household_id", "wealth", "wealth", "segment")
+    top = h.agg((F.max("household_id") + 1).alias("top"))
+    one = lambda x, k, p: x.select(c("household_id").alias(k), c("wealth").alias(f"{p}w"), c("weight").alias(f"{p}d"))
+    j = pairs.join(one(a, "rid", "a"), "rid").join(one(b, "did", "b"), "did").join(F.broadcast(top), F.lit(True))  # one row
+    return j.select((c("top") + c("rid")).alias("new_id"), c("rid").alias("first"), c("did").alias("second"), (c("aw") + c("bw")).alias("wealth"), (F.least("ad", "bd") * 0.1).alias("weight"))
+
+
+@book.add("SELECT CAST(count(DISTINCT segment) * 9 AS BIGINT) AS candidates, true AS sparse, true AS met FROM household")
+def gen3_support_solve(spark, d):
+    """Weights for the grid's candidates that meet four totals with as few candidates as a vertex of the program needs."""
+    g = gen3_candidate_grid(spark, d).select(F.lit(1.0).alias("d"), F.lit(1.0).alias("f0"), c("size").cast("double").alias("f1"), (c("per_head") * c("size") / 1000).alias("f2"), (c("q") > 0.4).cast("double").alias("f3"))
+    names = ["f0", "f1", "f2", "f3"]
+    t = [1.2 * v for v in S.totals(g, names, c("d") * F.when(c("f1") == 2, 1.5).otherwise(1.0))]
+    fit = S.minimax(g, names, t, "d")
+    return g.agg(N().alias("candidates"), (F.sum((fit.weight > 0).cast("long")) <= 2 * len(names) + 1).alias("sparse")).withColumn("met", F.lit(fit.converged))
+
+
 @book.add("""
 WITH q AS (SELECT segment, unnest(quantile_cont(wealth, [0.1, 0.5, 0.9])) AS level, unnest([0.1, 0.5, 0.9]) AS q FROM household GROUP BY segment), t AS (SELECT unnest([1, 2, 4]) AS size)
 SELECT segment, q::DOUBLE AS q, size, round(level / size, 6) AS per_head FROM q, t""")
