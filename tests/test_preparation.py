@@ -54,7 +54,11 @@ def test_orphans_brute_force(spark):
             first = min((x for x, _ in by[k] if x is not None), default=None)
             if first is not None and t is not None and first > t:
                 want.add((i, "late"))
-    assert orphan_rows(spark, refs, parents) == want
+    for limit in (orphans.BROADCAST_KEYS, 0):
+        old, orphans.BROADCAST_KEYS = orphans.BROADCAST_KEYS, limit
+        got = orphan_rows(spark, refs, parents)
+        orphans.BROADCAST_KEYS = old
+        assert got == want
 
 
 def test_orphans_of_empty_tables(spark):

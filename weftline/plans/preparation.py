@@ -11,11 +11,13 @@ from weftline.session import table
 
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     cons, over = table(spark, d, "stratum_constraints"), table(spark, d, "target_overview")
-    to_strata = orphans.references(cons, "stratum_constraints", "stratum_id", "constraint_id", F.year("loaded_at")).unionByName(
-        orphans.references(over, "target_overview", "stratum_id", "target_id", F.col("period"))
+    refs = (
+        orphans.references(cons, "stratum_constraints", "stratum_id", "constraint_id", F.year("loaded_at"), parent="strata")
+        .unionByName(orphans.references(over, "target_overview", "stratum_id", "target_id", F.col("period"), parent="strata"))
+        .unionByName(orphans.references(over, "target_overview", "target_id", "target_id", F.col("period"), parent="targets"))
     )
-    to_targets = orphans.references(over, "target_overview", "target_id", "target_id", F.col("period"))
-    return orphans.find_orphans(to_strata, table(spark, d, "strata"), "stratum_id").unionByName(orphans.find_orphans(to_targets, table(spark, d, "targets"), "target_id"))
+    parents = orphans.parent_rows(table(spark, d, "strata"), "stratum_id", parent="strata").unionByName(orphans.parent_rows(table(spark, d, "targets"), "target_id", parent="targets"))
+    return orphans.find_in(refs, parents)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
