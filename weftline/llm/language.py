@@ -273,59 +273,69 @@ def host_priors(documents: DataFrame, source: str = "source", label: str = "lang
     return (F.broadcast(priors) if n_src <= BROADCAST_SOURCES else priors.withColumn("src_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))), whole
 
 
-def posteriors(texts: list[str | None], declared: list[str | None], priors: list, model: np.ndarray, whole: list[float]) -> Iterator[list[tuple[int, int, int, int, np.ndarray]]]:
-    """Per text its statements as ``start, end, words, Han letters, posterior`` over ``ALL``."""
+def scored(texts: list[str | None], declared: list[str | None], priors: list, model: np.ndarray, whole: list[float]) -> Iterator[tuple[list[tuple], np.ndarray]]:
+    """Per text its statements (see :func:`statements`) and their posteriors over ``ALL``, one row each.
+
+    A text without statements has one row, that of its prior. Texts are taken together up to ``_CHUNK`` characters.
+    """
     k = len(ALL)
     wrong = (1 - TRUST) / (k - 1)
     trusted = {c: np.log(np.where(np.arange(k) == i, TRUST, wrong)) for i, c in enumerate(LANGS)}
+
+    def softmax(x: np.ndarray) -> np.ndarray:
+        e = np.exp(x - x.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
     at = 0
     while at < len(texts):
-        docs, size = [], 0
+        docs, size, first = [], 0, at
         while at < len(texts) and (not docs or size < _CHUNK):
             docs.append(statements(texts[at]))
             size += len(texts[at] or "")
             at += 1
-        plains = [" " + s[2] + " " for d in docs for s in d]
-        score = np.zeros((len(plains), k))
-        if plains:
-            lens = np.array([len(p) for p in plains])
-            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            codes = _codes("".join(plains) + "  ")
-            score = np.add.reduceat(model[_buckets(codes)], starts, axis=0, dtype=np.float64) / TEMPER
-            rows = [[_ROW[w] for w in p.split() if w in _ROW] for p in plains]
-            hits = np.zeros_like(score)
+        shares = np.array([whole if priors[j] is None else priors[j] for j in range(first, at)], float)
+        base = np.log(np.hstack([np.maximum(shares, 1e-9), np.full((len(docs), 1), OTHER_PRIOR)]))
+        for j in range(len(docs)):
+            if declared[first + j] in trusted:
+                base[j] += trusted[declared[first + j]]
+        flat = [s for d in docs for s in d]
+        x = np.zeros((0, k))
+        if flat:
+            plains = [" " + s[2] + " " for s in flat]
+            starts = np.concatenate([[0], np.cumsum([len(p) for p in plains])[:-1]])
+            x = np.add.reduceat(model[_buckets(_codes("".join(plains) + "  "))], starts, axis=0, dtype=np.float64) / TEMPER
+            rows = [[_ROW[w] for w in s[2].split() if w in _ROW] for s in flat]
+            hits = np.zeros_like(x)
             np.add.at(hits, np.repeat(np.arange(len(rows)), [len(r) for r in rows]), _HAS[[i for r in rows for i in r]])
-            n_words = np.array([s[3] for d in docs for s in d])[:, None]
-            evidence = hits * np.log(OWN_WORDS / STRAY_WORDS) + (n_words - hits) * np.log((1 - OWN_WORDS) / (1 - STRAY_WORDS))
-            score += np.where(_LISTED, evidence, 0.0)
-        n = 0
-        for j, d in enumerate(docs, at - len(docs)):
-            shares = np.maximum(np.array(whole if priors[j] is None else priors[j], float), 1e-9)
-            base = np.log(np.append(shares, OTHER_PRIOR))
-            if declared[j] in trusted:
-                base = base + trusted[declared[j]]
-            marks, langs = declared_elements(texts[j] or "")
-            out = []
-            for start, end, plain, words, han, foreign in d:
-                x = base + score[n]
-                here = langs[bisect_right(marks, (start + end) // 2) - 1] if len(marks) > 1 else None
-                if here in trusted:
-                    x = x + trusted[here]
-                if foreign > 2 and 2 * foreign > len(plain) - words:  # more than half of the letters, or kana beside Han
-                    x = np.full(k, -60.0)
-                    x[NONE] = 0.0
-                elif han >= MIN_HAN and han > 2 * words:
-                    x = np.full(k, -60.0)
-                    x[ZH] = 0.0
-                elif words:
-                    x[ZH] -= 60.0 if han else 1e6
-                e = np.exp(x - x.max())
-                out.append((start, end, words, han, e / e.sum()))
-                n += 1
-            if not d:
-                e = np.exp(base - base.max())
-                out = [(0, 0, 0, 0, e / e.sum())]
-            yield out
+            n_words, han, foreign, length = (np.array(v) for v in zip(*[(s[3], s[4], s[5], len(s[2])) for s in flat]))
+            evidence = hits * np.log(OWN_WORDS / STRAY_WORDS) + (n_words[:, None] - hits) * np.log((1 - OWN_WORDS) / (1 - STRAY_WORDS))
+            x += np.where(_LISTED, evidence, 0.0) + np.repeat(base, [len(d) for d in docs], axis=0)
+            n = 0
+            for j, d in enumerate(docs):
+                marks, langs = declared_elements(texts[first + j] or "")
+                if len(marks) > 1:
+                    for i, s in enumerate(d, n):
+                        here = langs[bisect_right(marks, (s[0] + s[1]) // 2) - 1]
+                        if here in trusted:
+                            x[i] += trusted[here]
+                n += len(d)
+            strange = (foreign > 2) & (2 * foreign > length - n_words)  # more than half of the letters, or kana beside Han
+            chinese = ~strange & (han >= MIN_HAN) & (han > 2 * n_words)
+            x[:, ZH] -= np.where(n_words > 0, np.where(han > 0, 60.0, 1e6), 0.0)
+            for at_, lang in ((strange, NONE), (chinese, ZH)):
+                x[at_] = -60.0
+                x[at_, lang] = 0.0
+            x = softmax(x)
+        alone, n = softmax(base), 0
+        for j, d in enumerate(docs):
+            yield d, x[n : n + len(d)] if d else alone[j : j + 1]
+            n += len(d)
+
+
+def posteriors(texts: list[str | None], declared: list[str | None], priors: list, model: np.ndarray, whole: list[float]) -> Iterator[list[tuple[int, int, int, int, np.ndarray]]]:
+    """Per text its statements as ``start, end, words, Han letters, posterior`` over ``ALL``."""
+    for d, p in scored(texts, declared, priors, model, whole):
+        yield [(s[0], s[1], s[3], s[4], q) for s, q in zip(d or [(0, 0, "", 0, 0, 0)], p)]
 
 
 SEGMENTS = "doc_id long, label string, declared string, segment_no int, start int, end int, lang string, confidence double, present boolean"
@@ -351,20 +361,20 @@ def segment_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         for b in batches:
             ids, labels, decs, texts = b["doc_id"].tolist(), b["label"].tolist(), b["declared"].tolist(), b["text"].tolist()
             rows = []
-            for i, parts in enumerate(posteriors(texts, decs, b["prior"].tolist(), held.value, whole)):
+            for i, (parts, p) in enumerate(scored(texts, decs, b["prior"].tolist(), held.value, whole)):
                 no, run_ = 0, None
                 d = None if ids[i] is None or ids[i] != ids[i] else int(ids[i])
-                for start, end, words, han, p in parts:
-                    k = int(p.argmax())
-                    full = p[k] >= SURE and (han >= MIN_HAN if k == ZH else words >= MIN_WORDS)
+                best = p.argmax(axis=1)
+                for (start, end, _, words, han, _), k, sure, q in zip(parts or [(0, 0, "", 0, 0, 0)], best.tolist(), p[np.arange(len(p)), best].tolist(), p):
+                    full = sure >= SURE and (han >= MIN_HAN if k == ZH else words >= MIN_WORDS)
                     weight = max(end - start, 1)
                     if run_ and (run_[2] == k or not (full or words >= MIN_WORDS)):
-                        run_[1], run_[3], run_[4], run_[5] = end, run_[3] + weight * float(p[run_[2]]), run_[4] + weight, run_[5] or (full and run_[2] == k)
+                        run_[1], run_[3], run_[4], run_[5] = end, run_[3] + weight * (sure if run_[2] == k else float(q[run_[2]])), run_[4] + weight, run_[5] or (full and run_[2] == k)
                     else:
                         if run_:
                             rows.append((d, labels[i], decs[i], no, run_[0], run_[1], ALL[run_[2]], run_[3] / run_[4], run_[5]))
                             no += 1
-                        run_ = [start, end, k, weight * float(p[k]), weight, bool(full)]
+                        run_ = [start, end, k, weight * sure, weight, full]
                 rows.append((d, labels[i], decs[i], no, run_[0], run_[1], ALL[run_[2]], run_[3] / run_[4], run_[5]))
             cols = list(zip(*rows)) if rows else [()] * 9
             yield pd.DataFrame({
