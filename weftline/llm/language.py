@@ -344,7 +344,8 @@ SEGMENTS = "doc_id long, label string, declared string, segment_no int, start in
 def segment_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang", source: str = "source", per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
     """One row per segment of every document: ``doc_id, label, declared, segment_no, start, end, lang, confidence, present``.
 
-    ``start`` and ``end`` count characters of the text. ``present`` marks segments that show their language by a whole
+    ``start`` and ``end`` count characters of the text; segments follow each other without gaps from its start to its
+    end, blanks going to the segment before them. ``present`` marks segments that show their language by a whole
     statement. A text without statements has one empty segment with the language of its prior.
     """
     priors, whole = host_priors(documents, source, label)
@@ -372,10 +373,10 @@ def segment_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
                         run_[1], run_[3], run_[4], run_[5] = end, run_[3] + weight * (sure if run_[2] == k else float(q[run_[2]])), run_[4] + weight, run_[5] or (full and run_[2] == k)
                     else:
                         if run_:
-                            rows.append((d, labels[i], decs[i], no, run_[0], run_[1], ALL[run_[2]], run_[3] / run_[4], run_[5]))
+                            rows.append((d, labels[i], decs[i], no, run_[0], run_[1], ALL[run_[2]], min(run_[3] / run_[4], 1.0), run_[5]))
                             no += 1
-                        run_ = [start, end, k, weight * sure, weight, full]
-                rows.append((d, labels[i], decs[i], no, run_[0], run_[1], ALL[run_[2]], run_[3] / run_[4], run_[5]))
+                        run_ = [run_[1] if run_ else 0, end, k, weight * sure, weight, full]
+                rows.append((d, labels[i], decs[i], no, run_[0], max(run_[1], len(texts[i] or "")), ALL[run_[2]], min(run_[3] / run_[4], 1.0), run_[5]))
             cols = list(zip(*rows)) if rows else [()] * 9
             yield pd.DataFrame({
                 "doc_id": pd.array(cols[0], dtype="Int64"), "label": pd.array(cols[1], dtype="object"), "declared": pd.array(cols[2], dtype="object"), "segment_no": pd.array(cols[3], dtype="Int32"),

@@ -62,8 +62,15 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return language.wrong_labels(_languages(spark, d))
 
 
+def p8_cover(spark: SparkSession, d: str) -> DataFrame:
+    """What segments must keep: they cover each text without gaps, from its start to its end, with confidences between 0 and 1."""
+    s = language.segment_documents(table(spark, d, "documents"))
+    per = s.groupBy("doc_id").agg(F.sum(F.col("end") - F.col("start")).alias("n_chars"), F.min("start").alias("first"), F.max("end").alias("last"), F.count(F.lit(1)).alias("n"), F.max("segment_no").alias("no"), F.min(F.col("confidence").between(0.0, 1.0)).alias("sound"))
+    return per.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), ((F.col("first") == 0) & (F.col("last") == F.col("n_chars")) & (F.col("no") == F.col("n") - 1)).alias("whole"), "sound")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p6_found, p6_placed, p6_containers, p6_document_bytes, p6_limits, p7_found, p7_leaks, p7_items, p8_found, p8_segments, p8_documents)}
+    return {f.__name__: f for f in (p6_found, p6_placed, p6_containers, p6_document_bytes, p6_limits, p7_found, p7_leaks, p7_items, p8_found, p8_segments, p8_documents, p8_cover)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -71,5 +78,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p6_found": f"SELECT DISTINCT doc_id FROM documents WHERE {size} > 4096",
         "p6_document_bytes": f"SELECT doc_id, CAST(sum(coalesce({size}, 0)) AS BIGINT) AS n_bytes, CAST(max(greatest(ceil(coalesce({size}, 0) / 4096.0), 1)) AS BIGINT) AS n_pieces FROM documents GROUP BY 1",
+        "p8_cover": "SELECT doc_id, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS n_chars, true AS whole, true AS sound FROM documents GROUP BY 1",
         "p6_limits": f"SELECT true AS fits, CAST(sum({size}) AS BIGINT) AS bytes, true AS well_filled FROM documents",
     }
