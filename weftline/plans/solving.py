@@ -152,6 +152,20 @@ def sv7_sv8_sparse_gates(spark, d):
     return S.sparse_gates(x, cols.select("col_id", F.lit(1.0).alias("w")), _gate_targets(t, x), penalty=1e-4)
 
 
+@book.add("SELECT 2 * count(*) AS columns, true AS sparse, true AS closed_weigh_nothing, true AS near_targets FROM household WHERE household_id IN (SELECT household_id FROM unit)")
+def sv7_sv8_rules(spark, d):
+    """What the gates must come to: most columns closed and without weight, and estimates near the targets (the mean of the errors' squares below 0.01)."""
+    from weftline.operators import matrix as MX
+    from weftline.plans.geography import _package
+
+    cols, t, x = _package(spark, d)
+    y = _gate_targets(t, x)
+    got = S.sparse_gates(x, cols.select("col_id", F.lit(1.0).alias("w")), y, penalty=1e-4)
+    per = got.agg(N().alias("columns"), (F.sum(c("active").cast("long")) < N() / 2).alias("sparse"), F.min(c("active") | (c("w") == 0)).alias("closed_weigh_nothing"))
+    e = MX.multiply(x, got).join(y, "target_idx").agg((F.avg(F.pow((c("estimate") - c("value")) / c("value"), F.lit(2))) < 0.01).alias("near_targets"))
+    return per.join(F.broadcast(e), F.lit(True))  # one row each
+
+
 def _gate_targets(t: DataFrame, x: DataFrame) -> DataFrame:
     """Targets 50% off, those of the nation together as heavy as all others."""
     est = x.groupBy("target_idx").agg((F.sum("val") * 1.5).alias("value")).join(t.select("target_idx", (c("geo_level") == "national").alias("nation")), "target_idx")
