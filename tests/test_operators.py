@@ -95,6 +95,9 @@ def test_band_join_meets_overlapping_and_open_bands(spark):
     x = spark.createDataFrame([(v,) for v in (-3.0, 0.0, 5.0, 10.0, 24.9, 25.0, None)], "v double")
     got = sorted((r["v"], r["n"]) for r in J.band_join(x, b, c("v"), "lo", "hi", 5.0).collect())
     assert got == [(-3.0, "low"), (0.0, "a"), (5.0, "a"), (5.0, "b"), (10.0, "b"), (24.9, "b"), (24.9, "top"), (25.0, "top")]
+    wide = spark.createDataFrame([("w", -1e6, 1e6), ("tiny", 5.0, 5.0 + 1e-9), ("empty", 7.0, 7.0), ("all", None, None)], "n string, lo double, hi double")
+    got = sorted((r["v"], r["n"]) for r in J.band_join(x, wide, c("v"), "lo", "hi", 0.001).collect())
+    assert got == sorted([(v, n) for v in (-3.0, 0.0, 5.0, 10.0, 24.9, 25.0) for n in ("all", "w")] + [(5.0, "tiny")])
     with pytest.raises(ValueError):
         J.checked_join(spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1,)], "k int"), "k")
 

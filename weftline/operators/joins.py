@@ -1,7 +1,7 @@
 """Joins the built-in operators do not name: range, nearest, paired and checked joins.
 
 Range and nearest joins never build a cross product: bands go to an equi-join over cells of the value axis, and
-neighbours are sought in cells or by a donor table of checked size.
+neighbours are sought block by block along an axis.
 """
 
 from __future__ import annotations
@@ -30,16 +30,26 @@ def lookup(df: DataFrame, other: DataFrame, on: list[str] | str, defaults: dict)
 
 
 def band_join(df: DataFrame, bands: DataFrame, x: Column, lo: str, hi: str, cell: float, keys: list[str] | None = None) -> DataFrame:
-    """Rows with ``lo <= x < hi``. Finite bands are cut into cells of width ``cell`` and joined by cell; open bands, few, by comparison."""
+    """Rows with ``lo <= x < hi``, by equal keys only.
+
+    A finite band lies on the level whose cells (``cell`` times a power of two) are about as wide as the band, so it
+    meets at most three of them, however wide it is; a row has one cell on each level that is in use. Bands open to one
+    side, a few per key, share one cell per key. Rows without ``x`` and empty bands meet nothing.
+    """
     keys = keys or []
-    finite = (F.col(lo) > float("-inf")) & (F.col(hi) < float("inf"))
-    inner = bands.where(finite).withColumn("_cell", F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))))
-    rows = df.withColumn("_x", x)
-    inside = (F.col("_x") >= F.col(lo)) & (F.col("_x") < F.col(hi))
-    closed = rows.withColumn("_cell", F.floor(F.col("_x") / cell)).join(inner, [*keys, "_cell"]).where(inside).drop("_cell", "_x")
-    wide = bands.where(~finite)  # open bands: at most two per key
-    open_ = rows.join(wide, keys).where(inside).drop("_x") if keys else rows.join(F.broadcast(wide), inside).drop("_x")
-    return closed.unionByName(open_)
+    low, high = F.coalesce(F.col(lo), F.lit(float("-inf"))), F.coalesce(F.col(hi), F.lit(float("inf")))
+    finite = (low > float("-inf")) & (high < float("inf"))
+    level = F.when(finite, F.greatest(F.ceil(F.log2((high - low) / cell)), F.lit(0))).otherwise(F.lit(-1)).cast("int")
+    b = bands.where(high > low).withColumn("_level", level)
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("_level"))
+    b = cut(b.withColumn("_cell", F.explode(F.when(F.col("_level") >= 0, F.sequence(F.floor(low / size), F.floor(high / size))).otherwise(F.array(F.lit(0).cast("long"))))))
+    used = sorted(r[0] for r in b.select("_level").distinct().collect())  # some sixty at most
+    if not used:
+        used = [0]
+    rows = df.withColumn("_x", x).where(F.col("_x").isNotNull() & ~F.isnan(F.col("_x").cast("double")))
+    spots = F.array(*[F.struct(F.lit(n).alias("_level"), (F.floor(F.col("_x") / (cell * 2.0**n)) if n >= 0 else F.lit(0)).cast("long").alias("_cell")) for n in used])
+    spread = rows.withColumn("_spot", F.explode(spots)).select("*", "_spot._level", "_spot._cell").drop("_spot")
+    return spread.join(small(b), [*keys, "_level", "_cell"]).where((F.col("_x") >= low) & (F.col("_x") < high)).drop("_x", "_level", "_cell")
 
 
 def checked_join(df: DataFrame, other: DataFrame, on: str) -> DataFrame:

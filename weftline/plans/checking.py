@@ -12,7 +12,7 @@ from weftline.operators import validate as V
 from weftline.operators import matrix as MX
 from weftline.plans.geography import _MX, _package
 from weftline.plans.micro import Book, Micro
-from weftline.session import scratch
+from weftline.session import driver_folder, scratch
 from weftline.sources import files as FS
 from weftline.streaming import events as EV
 
@@ -274,6 +274,52 @@ def src7_fixed_width(spark, d):
     return FS.read_fixed_width(spark, f, {"id": (1, 4, "int"), "name": (5, 30, "string"), "region": (35, 3, "int")})
 
 
+@book.add("SELECT n_nationkey AS id, n_regionkey AS region, n_nationkey * 0.5::DOUBLE AS half FROM nation")
+def src8_stata(spark, d):
+    """A table of fixed size as a zipped Stata file, read back."""
+    import os
+    import zipfile
+
+    from weftline.sources import legacy
+
+    f = driver_folder(spark, "stata")
+    n = Micro(spark, d).raw("nation").select(c("n_nationkey").cast("int").alias("id"), c("n_regionkey").cast("int").alias("region"), (c("n_nationkey") * 0.5).alias("half")).toPandas()
+    n.to_stata(os.path.join(f, "n.dta"), write_index=False)
+    with zipfile.ZipFile(os.path.join(f, "n.zip"), "w") as z:
+        z.write(os.path.join(f, "n.dta"), "n.dta")
+    return legacy.read_stata(spark, os.path.join(f, "n.zip"), ["id", "region", "half"])
+
+
+@book.add("SELECT n_regionkey AS region, count(*) AS n, min(n_name) AS first FROM nation GROUP BY 1")
+def src12_sqlite(spark, d):
+    """A table of fixed size in a SQLite file, and a query on it."""
+    import os
+    import sqlite3
+
+    path = os.path.join(driver_folder(spark, "sqlite"), "t.db")
+    rows = [tuple(r) for r in Micro(spark, d).raw("nation").select("n_nationkey", "n_regionkey", "n_name").collect()]
+    with sqlite3.connect(path) as con:
+        con.execute("CREATE TABLE nation (id INT, region INT, name TEXT)")
+        con.executemany("INSERT INTO nation VALUES (?, ?, ?)", rows)
+    return FS.read_sqlite(spark, path, "SELECT region, count(*), min(name) FROM nation GROUP BY 1", "region int, n long, first string")
+
+
+@book.add("SELECT * FROM (VALUES (2019, 'soi_2020.csv'), (2021, 'soi_2020.csv'), (2023, 'soi_2023.csv'), (2030, 'soi_2024.csv')) v(year, file)")
+def src15_year_files(spark, d):
+    names = ["soi_2023.csv", "notes.txt", "soi_2020.csv", "soi_2024.csv"]
+    return spark.createDataFrame([(y, FS.pick_year(names, y)) for y in (2019, 2021, 2023, 2030)], "year int, file string")
+
+
+@book.add("SELECT * FROM (VALUES ('beta', 'soft'), ('n_targets', 'fatal'), ('targets', 'fatal')) v(key, mismatch)")
+def sv9_signatures(spark, d):
+    """Mismatches of a checkpoint's signature: those that forbid going on, and those that do not."""
+    from weftline.operators.solve import compare_signatures
+
+    old, new = {"n_targets": 3, "targets": "a1", "beta": 0.5, "rate": 0.1}, {"n_targets": 4, "beta": 0.6, "rate": 0.1}
+    differ = compare_signatures(old, new, ("n_targets", "targets"))
+    return spark.createDataFrame([(k, kind) for kind, ks in differ.items() for k in ks], "key string, mismatch string")
+
+
 @book.add("SELECT n_name AS item, r_name AS section FROM nation JOIN region ON r_regionkey = n_regionkey")
 def src9_sections(spark, d):
     """A sheet: each region's name as a section header above its nations."""

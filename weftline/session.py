@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 
@@ -74,3 +75,12 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = own_folder("weftline-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def driver_folder(spark: SparkSession, name: str) -> str:
+    """A new scratch folder in which Python on the driver writes; the shared folder must be one of the mounted file system."""
+    folder = scratch(spark, name).removeprefix("file://").removeprefix("file:")
+    if "://" in folder:
+        raise RuntimeError("Python cannot write below spark.checkpoint.dir")
+    os.makedirs(folder)
+    return folder
