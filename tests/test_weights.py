@@ -34,13 +34,14 @@ def test_nearest_donors_brute_force(spark):
     donors = [(i, rnd.choice("xy"), rnd.choice([None, rnd.uniform(0, 9)]), rnd.uniform(0, 9)) for i in range(70)]
     asks = [(i, rnd.choice("xyz"), rnd.uniform(0, 9), rnd.uniform(0, 9)) for i in range(40)]
     d, r = (spark.createDataFrame(x, "id long, g string, a double, b double") for x in (donors, asks))
-    got = {}
-    for x in joins.nearest_donors(r, d, "id", "id", {"a": 1.0, "b": 2.0}, "g", k=2, squared=False, standardise=False, block=8).collect():
-        got.setdefault(x["rid"], {})[x["rank"]] = x["did"]
-    pools = {g: [x for x in donors if x[1] == g] for g in "xy"} | {"z": donors}
-    for i, g, a, b in asks:
-        best = sorted((abs((x[2] or 0.0) - a) + 2 * abs(x[3] - b), x[0]) for x in pools[g])[:2]
-        assert [got[i][1], got[i][2]] == [x[1] for x in best]
+    for n in (0, 1000):
+        got = {}
+        for x in joins.nearest_donors(r, d, "id", "id", {"a": 1.0, "b": 2.0}, "g", k=2, squared=False, standardise=False, block=8, prune_from=n).collect():
+            got.setdefault(x["rid"], {})[x["rank"]] = x["did"]
+        pools = {g: [x for x in donors if x[1] == g] for g in "xy"} | {"z": donors}
+        for i, g, a, b in asks:
+            best = sorted((abs((x[2] or 0.0) - a) + 2 * abs(x[3] - b), x[0]) for x in pools[g])[:2]
+            assert [got[i][1], got[i][2]] == [x[1] for x in best]
 
 
 def test_solvers_meet_their_targets(spark):
@@ -64,7 +65,7 @@ def test_nearest_donors_with_ties_and_repeats(spark):
     donors = [(i, "x", 5.0 if i % 2 else float(rnd.randrange(40)), float(rnd.randrange(3))) for i in range(300)]
     d = spark.createDataFrame(donors, "id long, g string, a double, b double")
     got = {}
-    for r in joins.nearest_donors(d, d, "id", "id", {"a": 1.0, "b": 1.0}, "g", k=3, standardise=False, block=16, others=True).collect():
+    for r in joins.nearest_donors(d, d, "id", "id", {"a": 1.0, "b": 1.0}, "g", k=3, standardise=False, block=16, others=True, prune_from=0).collect():
         got.setdefault(r["rid"], {})[r["rank"]] = (r["distance"], r["did"])
     for i, _, a, b in donors:
         best = sorted(((x[2] - a) ** 2 + (x[3] - b) ** 2, x[0]) for x in donors if x[0] != i)[:3]
@@ -76,7 +77,7 @@ def test_a_hot_group_of_donors_is_no_single_task(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        out = joins.nearest_donors(d, d, "id", "id", {"a": 1.0}, "g", block=64, standardise=False, others=True)
+        out = joins.nearest_donors(d, d, "id", "id", {"a": 1.0}, "g", block=64, standardise=False, others=True, prune_from=0)
         assert out.count() == 6000 and out.where("abs(distance - 1) > 1e-9").count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -15,6 +15,8 @@ from weftline.session import cut
 
 #: Most blocks of donors along the axis of a nearest-neighbour search; their edges are broadcast (8 MB).
 MOST_BLOCKS = 1_000_000
+#: Donors of the largest group from which a nearest-neighbour search prunes; below, meeting all parts is quicker than asking twice.
+PRUNE_FROM = 20_000
 #: Most rows of a specification table (bands, rules, rates) that are broadcast; about 10 MB.
 BROADCAST_ROWS = 100_000
 
@@ -60,7 +62,7 @@ def checked_join(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return df.join(other, on)
 
 
-def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str, features: dict[str, float], group: str, k: int = 1, squared: bool = True, standardise: bool = True, block: int = 512, others: bool = False) -> DataFrame:
+def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str, features: dict[str, float], group: str, k: int = 1, squared: bool = True, standardise: bool = True, block: int = 512, others: bool = False, prune_from: int = PRUNE_FROM) -> DataFrame:
     """For each recipient the ``k`` nearest donors of its group: ``rid, did, distance, rank`` (ties: smaller id).
 
     ``features`` names the columns with their weights. Distances are weighted sums of squared (or absolute) differences;
@@ -72,7 +74,8 @@ def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str,
     A recipient first meets the block it lies in; its k-th distance there bounds how far along the axis a nearer donor
     can lie, and only the blocks within are met then. Recipients come in packs of ``block`` and every (group, block,
     part) is a join key of its own, so no group is one task and no pair of rows is ever a row: an Arrow function keeps
-    the ``k`` best of a pack and a part.
+    the ``k`` best of a pack and a part. Where no group has more than ``prune_from`` donors, each group is one block, and
+    a recipient meets all its parts at once; the result is the same.
     """
     import numpy as np
 
@@ -98,7 +101,7 @@ def nearest_donors(recipients: DataFrame, donors: DataFrame, rid: str, did: str,
     n = sizes.agg(F.coalesce(F.sum("_nd"), F.lit(0)), F.coalesce(F.max("_nd"), F.lit(0))).first()
     block = max(block, -(-n[0] // MOST_BLOCKS))
     edges: dict[str, np.ndarray] = {}
-    if n[1] > block:
+    if n[1] > max(block, prune_from):
         points = min(4095, -(-n[1] // block) - 1)
         step = F.greatest(F.lit(1), F.floor(F.lit(points) / F.greatest(F.ceil(F.col("n") / block) - 1, F.lit(1)))).cast("int")
         cuts = d.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.get("_v", F.lit(axis)), F.lit([i / (points + 1) for i in range(1, points + 1)]), 10 * points).alias("e")).where(F.col("n") > block)
