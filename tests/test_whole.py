@@ -64,6 +64,14 @@ def test_place_value_falls_back_to_parent_then_zero(spark):
     assert {(r["record"], r["district"]): r["val"] for r in joining._place_values(asked, v).collect()} == {(1, 2): 8.0, (1, 12): 6.0, (1, 3): 0.0, (9, 2): 0.0}
 
 
+def test_place_values_are_not_broadcast(spark):
+    """Exploded, a small table of records is a large one; Spark's estimate for it is that of the small one."""
+    records = spark.range(1000).select(F.col("id").alias("record"), F.explode(F.sequence(F.lit(0), F.lit(24))).alias("district"))
+    got = joining._place_values(spark.range(100).select(F.col("id").alias("record"), F.lit(3).alias("district")), records.withColumn("val", F.lit(1.0)))
+    assert got.where("val = 1").count() == 100
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_raking_meets_its_targets(spark):
     x, t = solving.problem(spark, SF)
     w = QUERIES["sv1_rake_to_tolerance"](spark, SF)

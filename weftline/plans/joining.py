@@ -167,8 +167,9 @@ def j20_j21_place_values(spark, d):
 
 
 def _place_values(asked: DataFrame, v: DataFrame) -> DataFrame:
+    """``v`` has as many rows as records times places, though Spark takes it for about as small as the table of records: never broadcast."""
     s = v.groupBy("record", (c("district") % 5).alias("st")).agg(F.avg("val").alias("sval"))
-    j = asked.withColumn("st", c("district") % 5).join(v, ["record", "district"], "left").join(s, ["record", "st"], "left")
+    j = asked.withColumn("st", c("district") % 5).join(v.hint("merge"), ["record", "district"], "left").join(s.hint("merge"), ["record", "st"], "left")
     return j.select("record", "district", F.coalesce("val", "sval", F.lit(0.0)).alias("val"))
 
 
