@@ -109,6 +109,11 @@ def guarded_ratio(a: Column, b: Column, low: float, high: float, default: float
     return F.when(b > 0, F.least(F.greatest(a / b, F.lit(low)), F.lit(high))).otherwise(F.lit(default))
 
 
+def ordered_sum(x: str) -> Column:
+    """A group's sum, the same to the last bit however its rows arrive: added from the smallest value on; for short groups."""
+    return F.when(F.count(x) > 0, F.aggregate(F.array_sort(F.collect_list(F.col(x).cast("double"))), F.lit(0.0), lambda a, b: a + b))
+
+
 def largest_of(columns: Sequence[str]) -> Column:
     """The name of the largest column; ties go to the first."""
     return F.array_max(F.array(*[F.struct(F.col(c).alias("v"), F.lit(-i).alias("o"), F.lit(c).alias("n")) for i, c in enumerate(columns)]))["n"]

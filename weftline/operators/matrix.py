@@ -50,7 +50,8 @@ def build_chunks(columns: DataFrame, targets: DataFrame, values: DataFrame, fold
     folder of their own whose success marker says that it is whole, so that a build that was stopped goes on with
     ``resume`` where it ended. The manifest holds the signature (:func:`lineage`): resuming under another one, or
     without a manifest, is an error; without ``resume`` everything is built anew. ``stop_after`` ends after so many
-    batches. Column ids are not negative. The first column's number is read from ``col_id`` and may have gaps.
+    batches. Column ids are not negative. The first column's number is read from ``col_id`` and may have gaps. Values must
+    come out the same to the last bit each time: sums of doubles by :func:`weftline.functions.exprs.ordered_sum`.
     """
     spark = columns.sparkSession
     signature = lineage(columns, targets, values, chunk_size, batch, **facts)

@@ -285,7 +285,7 @@ def _package_parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, D
     col = C.clones(h.join(F.broadcast(step), F.lit(True)), 2, "household_id", c("step")).select("col_id", c("household_id").alias("record"), ((c("district") + c("clone") * 7) % 25).alias("district"))
     cols = col.join(m.district.select("district", "state"), "district")
     u = m.unit
-    vals = u.groupBy(F.lit("agi").alias("value_key"), c("household_id").alias("record")).agg(F.sum("agi").alias("val")).unionByName(u.where("status = 'F'").groupBy(F.lit("units").alias("value_key"), c("household_id").alias("record")).agg(N().cast("double").alias("val")))
+    vals = u.groupBy(F.lit("agi").alias("value_key"), c("household_id").alias("record")).agg(X.ordered_sum("agi").alias("val")).unionByName(u.where("status = 'F'").groupBy(F.lit("units").alias("value_key"), c("household_id").alias("record")).agg(N().cast("double").alias("val")))
     keys = F.explode(F.array(F.lit("agi"), F.lit("units"))).alias("value_key")
     t = spark.range(1).select(keys, F.lit(0).alias("lv"), F.lit("national").alias("geo_level"), F.lit("US").alias("geographic_id"))
     t = t.unionByName(m.raw("region").select(keys, F.lit(1).alias("lv"), F.lit("state").alias("geo_level"), c("r_regionkey").cast("string").alias("geographic_id")))
