@@ -107,6 +107,28 @@ def test_gates_in_one_task_and_spread_agree(spark):
     assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-9 for k in one)
 
 
+def test_closed_gates_apart_from_open_ones_agree_with_one_task(spark, tmp_path, monkeypatch):
+    """Losses, open gates and the last epoch of all columns in one task, though closed columns are fitted apart; no pass over all columns an epoch."""
+    monkeypatch.setattr(solve, "EPOCHS_FIRST", 8)
+    x = spark.createDataFrame([(k % 3, k // 2, 1.0 + k % 7) for k in range(80)], "target_idx long, col_id long, val double")
+    w = x.select("col_id", F.lit(1.0).alias("w")).distinct()
+    y = spark.createDataFrame([(0, 30.0), (1, 10.0), (2, 20.0)], "target_idx long, value double")
+    fits = {}
+    cases = {"one": (0.1, 200, {}), "apart": (0.1, 200, {"local": 0}), "passes": (0.1, 70, {"local": 0, "held": 0}), "all closed": (0.3, 200, {}), "all closed, apart": (0.3, 200, {"local": 0})}
+    for name, (penalty, epochs, how) in cases.items():
+        f = f"{tmp_path}/{name}"
+        fit = solve.sparse_gates(x, w, y, penalty, epochs=epochs, tol=0.1, patience=40, folder=f, every=500, **how)
+        fits[name] = fit.toPandas().set_index("col_id").sort_index(), spark.read.parquet(f"{f}/log").orderBy("epoch").toPandas(), spark.read.parquet(f"{f}/state").toPandas().set_index("col_id").sort_index()
+    for a, b in (("one", "apart"), ("one", "passes"), ("all closed", "all closed, apart")):
+        (one, log, state), (apart, log2, state2) = fits[a], fits[b]
+        n = min(len(log), cases[b][1])
+        assert len(log2) == n and abs(log["loss"][:n] / log2["loss"] - 1).max() < 1e-6 and (log["open"][:n] == log2["open"]).all()
+        if n == len(log):
+            assert (one["active"] == apart["active"]).all() and abs(one["w"] - apart["w"]).max() < 1e-6 and (apart.loc[~apart["active"], "w"] == 0).all()
+            assert all(abs(state[c] - state2[c]).max() < 1e-6 for c in ("la", "m2", "v2"))
+    assert 0 < fits["one"][0]["active"].sum() < 20 and 60 < len(fits["all closed"][1]) < 200  # the one is stopped, the other settles
+
+
 def test_targets_of_the_nation_weigh_as_much_as_the_others(spark):
     _, t, x = geography._package(spark, SF)
     got = solving._gate_targets(t, x).groupBy("nation").agg(F.sum("mass").alias("m")).collect()

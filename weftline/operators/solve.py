@@ -21,9 +21,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.exprs import ordered_sum
 from weftline.session import cut
 
 
@@ -445,16 +448,18 @@ def wide_weight(rows: DataFrame, beta: np.ndarray, row: str, weight: str) -> Dat
     return rows.mapInPandas(run, f"{row} {dict(rows.dtypes)[row]}, w double")
 
 
-#: Most matrix entries that one task fits by itself (32 bytes each); beyond, every epoch is a pass over the columns.
+#: Most matrix entries that one task fits by itself (32 bytes each); beyond, closed columns are fitted apart from open ones.
 LOCAL_ENTRIES = 2_000_000
-#: Epochs from one write of the columns' state to the checkpoint folder to the next; between them it is kept on the executors.
-EPOCHS_KEPT = 10
+#: Most entries of open columns that one task holds as arrays (12 bytes each, and 80 for a column); beyond, every epoch is a pass over the open columns.
+HELD_ENTRIES = 30_000_000
+#: Epochs from one sorting out of closed columns to the next: at first, at most (they double), and where every epoch is a pass.
+EPOCHS_FIRST, EPOCHS_MOST, EPOCHS_KEPT = 50, 1000, 10
 _GATE_STATE = ("lw", "la", "m1", "v1", "m2", "v2")
 
 
 def sparse_gates(
     matrix: DataFrame, weights: DataFrame, targets: DataFrame, penalty: float, epochs: int = 5000, rate: float = 0.1, temperature: float = 0.5, tol: float = 1e-4, patience: int = 200,
-    local: int = LOCAL_ENTRIES, folder: str | None = None, every: int = 500,
+    local: int = LOCAL_ENTRIES, held: int = HELD_ENTRIES, folder: str | None = None, every: int = 500,
 ) -> DataFrame:
     """Sparse reweighting with stretched gates: ``col_id, w, gate, active``.
 
@@ -466,8 +471,10 @@ def sparse_gates(
     reproducible.
 
     Up to ``local`` entries are fitted in one task. Beyond, each column holds its entries as arrays, its logarithmic
-    weight, gate logit and Adam moments; an epoch is a map over batches of columns with the slopes of all targets (one
-    number each) and a pass that adds up the next estimates per partition.
+    weight, gate logit and Adam moments, and closed columns are sorted out every so many epochs. A closed column weighs
+    nothing, never opens again, and its logit depends on itself alone, so all closed columns go through these epochs in
+    parallel, each task summing up their expected openings. The open ones, soon few, are fitted in one task, or, beyond
+    ``held`` entries, by two passes an epoch. The losses and the epoch at which the fit ends are those of one task.
 
     With ``folder`` (shared by all executors) the fit is written there every ``every`` epochs: the columns' state, the
     losses (``epoch, loss, open``) and the targets (``epoch, target_idx, estimate, value, relative_error``). A later call
@@ -542,9 +549,68 @@ def sparse_gates(
         news = [(r["lw"], int(r["la"])) for r in out.where("kind > 0").orderBy("kind").collect()]  # one row per epoch
         return out.where("kind = 0").drop("kind"), news, settled([*before, *news])
 
-    def spread(state: DataFrame, first: int, last: int, before: list) -> tuple[DataFrame, list, bool]:
-        e = flat.groupBy("col_id").agg(F.array_sort(F.collect_list(F.struct("_pos", "val"))).alias("e"))
-        s = cut(e.join(state, "col_id").select("col_id", F.transform("e", lambda x: x["_pos"]).alias("idx"), F.transform("e", lambda x: x["val"]).alias("val"), *_GATE_STATE))
+    def closing(shut: DataFrame, first: int, last: int) -> tuple[DataFrame, np.ndarray]:
+        """Closed columns (``col_id, la, m2, v2``) over epochs, and per epoch the sum of their expected openings."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            p, name = np.zeros(last - first + 1), None
+            for x in batches:
+                la, m, v = (x[c].to_numpy(float) for c in ("la", "m2", "v2"))
+                for i, t in enumerate(range(first, last + 1)):
+                    active = 1 / (1 + np.exp(shift - la))
+                    p[i] += active.sum()
+                    slope = penalty * active * (1 - active)
+                    m = 0.9 * m + 0.1 * slope
+                    v = 0.999 * v + 0.001 * slope * slope
+                    la = la - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+                name = x["col_id"].iloc[:1] if len(x) else name
+                yield x.assign(kind=0, la=la, m2=m, v2=v)
+            if name is not None:
+                yield pd.DataFrame({"col_id": name.repeat(len(p)).to_numpy(), "la": p, "m2": 0.0, "v2": 0.0, "kind": range(1, len(p) + 1)})
+
+        out = cut(shut.mapInPandas(run, f"col_id {given}, la double, m2 double, v2 double, kind int"))
+        p = np.zeros(last - first + 1)
+        for r in out.where("kind > 0").groupBy("kind").agg(ordered_sum("la").alias("p")).collect():  # one row per epoch
+            p[r["kind"] - 1] = r["p"]
+        return out.where("kind = 0").drop("kind"), p
+
+    def held_fit(s: DataFrame, first: int, last: int, before: list, closed: np.ndarray) -> tuple[DataFrame, list]:
+        """Open columns in one task, which holds a batch's entries as arrays."""
+
+        def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts, names = [], []
+            for x in batches:
+                if x.num_rows:
+                    size = pc.list_value_length(x.column("idx")).to_numpy()
+                    parts.append(({c: x.column(c).to_numpy() for c in _GATE_STATE}, x.column("idx").flatten().to_numpy(), x.column("val").flatten().to_numpy(zero_copy_only=False), size, np.cumsum(size) - size))
+                    names.append(x.column("col_id"))
+            history, news, slope = list(before), [], None
+            for t in range(first, last + 1):
+                est, p, k = np.zeros(len(y)), 0.0, 0
+                for b, idx, val, size, lead in parts:
+                    if slope is not None:
+                        step(b, np.add.reduceat(val * slope[idx], lead), t - 1)
+                    w, p1, k1 = opened(b)
+                    est += np.bincount(idx, val * np.repeat(w, size), len(y))
+                    p, k = p + p1, k + k1
+                main, slope = loss_slope(est)
+                news.append((main + penalty * (p + closed[t - first]), k))
+                history.append(news[-1])
+                if settled(history):
+                    break
+            else:
+                for b, idx, val, _, lead in parts:
+                    step(b, np.add.reduceat(val * slope[idx], lead), last)
+            for name, (b, *_) in zip(names, parts):
+                yield pa.RecordBatch.from_pydict({"col_id": name, "kind": np.zeros(len(name), np.int32)} | b)
+            if names:
+                yield pa.RecordBatch.from_pydict({"col_id": pa.nulls(len(news), names[0].type), "kind": np.arange(1, len(news) + 1, dtype=np.int32), "lw": np.array([a for a, _ in news]), "la": np.array([float(k) for _, k in news])} | dict.fromkeys(_GATE_STATE[2:], np.zeros(len(news))))
+
+        out = cut(s.repartition(1).sortWithinPartitions("col_id").mapInArrow(fit, f"col_id {given}, kind int, {numbers}"))
+        return out.where("kind = 0").drop("kind"), [(r["lw"], int(r["la"])) for r in out.where("kind > 0").orderBy("kind").collect()]  # one row per epoch
+
+    def passes_fit(s: DataFrame, first: int, last: int, before: list, closed: np.ndarray) -> tuple[DataFrame, list]:
+        """Open columns where they are, two passes an epoch."""
 
         def update(slope: np.ndarray, t: int) -> Callable:
             def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -565,24 +631,54 @@ def sparse_gates(
                 p, k = p + p1, k + k1
             yield pd.DataFrame({"pos": np.arange(-2, len(y)), "v": np.concatenate([[float(k), p], est])})
 
-        history, kept = list(before), []
+        news, kept = [], []
         for t in range(first, last + 1):
             got = s.mapInPandas(add_up, "pos int, v double").groupBy("pos").agg(F.sum("v").alias("v")).orderBy("pos").toArrow()["v"].to_numpy()  # one number per target
-            main, slope = loss_slope(got[2:] if len(got) else np.zeros(len(y)))
-            history.append((main + penalty * (got[1] if len(got) else 0.0), int(got[0]) if len(got) else 0))
-            if settled(history):
+            main, slope = loss_slope(got[2:])
+            news.append((main + penalty * (got[1] + closed[t - first]), int(got[0])))
+            if settled([*before, *news]):
                 break
-            s = s.mapInPandas(update(slope, t), s.schema)
-            if t % EPOCHS_KEPT == 0 or t == last:
-                s = cut(s)
-                for k in kept:
-                    k.unpersist()
-                kept = []
+            s = s.mapInPandas(update(slope, t), s.schema).persist()
+            kept.append(s)
+        state = cut(s.select("col_id", *_GATE_STATE))
+        for k in kept:
+            k.unpersist()
+        return state, news
+
+    entries: DataFrame | None = None
+
+    def spread(state: DataFrame, first: int, last: int, before: list) -> tuple[DataFrame, list, bool]:
+        nonlocal entries
+        if entries is None:
+            e = flat.groupBy("col_id").agg(F.array_sort(F.collect_list(F.struct("_pos", "val"))).alias("e"))
+            entries = e.select("col_id", F.transform("e", lambda x: x["_pos"]).alias("idx"), F.transform("e", lambda x: x["val"]).alias("val"))
+        tasks = 4 * spark.sparkContext.defaultParallelism
+        history, length, is_open, of_shut = list(before), EPOCHS_FIRST, gate > 0, ("col_id", "la", "m2", "v2")
+        # a gate closes while its logit falls; from then on only the penalty moves it, down: it stays closed, and no other column matters to it
+        ajar, shut = state.where(is_open), state.where(~is_open).select(*of_shut)
+        n_shut = shut.count()
+        while first <= last and not settled(history):
+            s = cut(entries.join(ajar, "col_id").select("col_id", "idx", "val", *_GATE_STATE))
+            entries = s.select("col_id", "idx", "val")
+            n_held = s.agg(F.coalesce(F.sum(F.size("idx")), F.lit(0))).first()[0]
+            end = min(last, first + (length if n_held <= held else EPOCHS_KEPT) - 1)
+            after, p = closing(shut, first, end)
+            if n_held:
+                got, news = (held_fit if n_held <= held else passes_fit)(s, first, end, history, p)
             else:
-                s = s.persist()
-                kept.append(s)
-        news = history[len(before):]
-        return cut(s.select("col_id", *_GATE_STATE)) if kept else s.select("col_id", *_GATE_STATE), news, settled(history)
+                got, news, main = s.select("col_id", *_GATE_STATE), [], loss_slope(np.zeros(len(y)))[0]
+                while len(news) < len(p) and not settled([*history, *news]):
+                    news.append((main + penalty * p[len(news)], 0))
+            history += news
+            if settled(history):  # the last of these epochs made no step
+                after = closing(shut, first, first + len(news) - 2)[0] if len(news) > 1 else shut
+            ajar, fresh = got.where(is_open), got.where(~is_open).select(*of_shut)
+            n_fresh = fresh.count()
+            shut = after.unionByName(fresh).repartition(tasks, "col_id") if 10 * n_fresh > n_shut else after.unionByName(fresh.coalesce(1)) if n_fresh else after
+            first, length, n_shut = first + len(news), min(2 * length, EPOCHS_MOST), n_shut + n_fresh
+            spark.sparkContext._jvm.System.gc()  # files of earlier states are deleted when the driver collects its garbage
+        state = ajar.unionByName(shut.select("col_id", *[F.col(c) if c in of_shut else F.lit(0.0).alias(c) for c in _GATE_STATE]))
+        return state, history[len(before):], settled(history)
 
     signature = {"penalty": penalty, "rate": rate, "temperature": temperature, "targets": hashlib.sha256(repr([(str(i), float(a), float(b)) for i, a, b in zip(ids, y, mass)]).encode()).hexdigest(), "epochs": epochs}
     history: list[tuple[float, int]] = []
