@@ -129,6 +129,15 @@ def test_closed_gates_apart_from_open_ones_agree_with_one_task(spark, tmp_path,
     assert 0 < fits["one"][0]["active"].sum() < 20 and 60 < len(fits["all closed"][1]) < 200  # the one is stopped, the other settles
 
 
+def test_many_gates_do_not_all_close(spark):
+    """The penalty on 3,000 gates is far above the loss; two columns meet both targets, but only after their weights have grown."""
+    x = spark.range(3000).select((F.col("id") % 2).alias("target_idx"), F.col("id").alias("col_id"), F.exp((F.col("id") * 7919 % 3000) / 1000.0).alias("val"))
+    y = x.groupBy("target_idx").agg((F.sum("val") * 1.5).alias("value"))
+    fit = solve.sparse_gates(x, x.select("col_id", F.lit(1.0).alias("w")), y, 0.02, epochs=1000)
+    e = matrix.multiply(x, fit).join(y, "target_idx").select(F.abs(F.col("estimate") / F.col("value") - 1).alias("e")).collect()
+    assert 0 < fit.where("active").count() < 30 and len(e) == 2 and max(r["e"] for r in e) < 0.01
+
+
 def test_targets_of_the_nation_weigh_as_much_as_the_others(spark):
     _, t, x = geography._package(spark, SF)
     got = solving._gate_targets(t, x).groupBy("nation").agg(F.sum("mass").alias("m")).collect()

@@ -454,6 +454,8 @@ LOCAL_ENTRIES = 2_000_000
 HELD_ENTRIES = 30_000_000
 #: Epochs from one sorting out of closed columns to the next: at first, at most (they double), and where every epoch is a pass.
 EPOCHS_FIRST, EPOCHS_MOST, EPOCHS_KEPT = 50, 1000, 10
+#: Most that the penalty on all open gates together pushes (nothing but closed gates has a loss of about 1).
+PUSH_MOST = 3.0
 _GATE_STATE = ("lw", "la", "m1", "v1", "m2", "v2")
 
 
@@ -470,6 +472,10 @@ def sparse_gates(
     many gates stayed open; over ``epochs`` epochs at most. Gates use their expected openings, so the fit is
     reproducible.
 
+    While the penalty on the open gates comes to more than ``PUSH_MOST``, its slope on them is that of this much in all:
+    otherwise the gates of some 100,000 columns would all close before the weights of the needed ones have grown, though
+    a few open ones have a far smaller loss. Losses have the whole penalty, and the fit ends under it.
+
     Up to ``local`` entries are fitted in one task. Beyond, each column holds its entries as arrays, its logarithmic
     weight, gate logit and Adam moments, and closed columns are sorted out every so many epochs. A closed column weighs
     nothing, never opens again, and its logit depends on itself alone, so all closed columns go through these epochs in
@@ -503,22 +509,26 @@ def sparse_gates(
         r = (est - y + 1) / (y + 1)
         return float((mass * r * r).sum() / n), 2 * mass * r / (y + 1) / n
 
-    def step(b: dict, g: np.ndarray, t: int) -> None:
+    def pushed(p_open: float) -> float:
+        return min(penalty, PUSH_MOST / max(p_open, 1e-300))
+
+    def step(b: dict, g: np.ndarray, t: int, push: float) -> None:
         w = np.exp(b["lw"])
         sig = 1 / (1 + np.exp(-b["la"]))
         raw = sig * (hi - lo) + lo
         z = np.clip(raw, 0, 1)
         active = 1 / (1 + np.exp(-(b["la"] - shift)))
-        slopes = {"lw": g * w * z, "la": g * w * np.where((raw > 0) & (raw < 1), (hi - lo) * sig * (1 - sig), 0) + penalty * active * (1 - active)}
+        slopes = {"lw": g * w * z, "la": g * w * np.where((raw > 0) & (raw < 1), (hi - lo) * sig * (1 - sig), 0) + np.where(z > 0, push, penalty) * active * (1 - active)}
         for p, m, v in (("lw", "m1", "v1"), ("la", "m2", "v2")):
             b[m] = 0.9 * b[m] + 0.1 * slopes[p]
             b[v] = 0.999 * b[v] + 0.001 * slopes[p] * slopes[p]
             b[p] = b[p] - rate * (b[m] / (1 - 0.9**t)) / (np.sqrt(b[v] / (1 - 0.999**t)) + 1e-8)
 
-    def opened(b: dict) -> tuple[np.ndarray, float, int]:
-        """Weights, expected number of open gates and open gates."""
+    def opened(b: dict) -> tuple[np.ndarray, float, int, float]:
+        """Weights, expected number of open gates, open gates, and the former of the latter."""
         z = np.clip(1 / (1 + np.exp(-b["la"])) * (hi - lo) + lo, 0, 1)
-        return np.exp(b["lw"]) * z, float((1 / (1 + np.exp(-(b["la"] - shift)))).sum()), int((z > 0).sum())
+        active = 1 / (1 + np.exp(-(b["la"] - shift)))
+        return np.exp(b["lw"]) * z, float(active.sum()), int((z > 0).sum()), float(active[z > 0].sum())
 
     numbers = ", ".join(f"{c} double" for c in _GATE_STATE)
 
@@ -534,13 +544,13 @@ def sparse_gates(
             b = {c: x[c].to_numpy(float)[lead] for c in _GATE_STATE}
             history, done = list(before), 0
             for t in range(first, last + 1):
-                w, p, k = opened(b)
+                w, p, k, q = opened(b)
                 main, slope = loss_slope(np.bincount(pos, val * w[col], len(y)))
                 history.append((main + penalty * p, k))
                 done += 1
                 if settled(history):
                     break
-                step(b, np.bincount(col, val * slope[pos], len(names)), t)
+                step(b, np.bincount(col, val * slope[pos], len(names)), t, pushed(q))
             yield pd.DataFrame({"col_id": names, "kind": 0} | b)
             news = history[len(before):]
             yield pd.DataFrame({"col_id": pd.Series([names[0]] * done), "kind": range(1, done + 1), "lw": [a for a, _ in news], "la": [float(k) for _, k in news]} | dict.fromkeys(_GATE_STATE[2:], 0.0))
@@ -584,15 +594,15 @@ def sparse_gates(
                     size = pc.list_value_length(x.column("idx")).to_numpy()
                     parts.append(({c: x.column(c).to_numpy() for c in _GATE_STATE}, x.column("idx").flatten().to_numpy(), x.column("val").flatten().to_numpy(zero_copy_only=False), size, np.cumsum(size) - size))
                     names.append(x.column("col_id"))
-            history, news, slope = list(before), [], None
+            history, news, slope, q = list(before), [], None, 0.0
             for t in range(first, last + 1):
-                est, p, k = np.zeros(len(y)), 0.0, 0
+                est, p, k, q, push = np.zeros(len(y)), 0.0, 0, 0.0, pushed(q)
                 for b, idx, val, size, lead in parts:
                     if slope is not None:
-                        step(b, np.add.reduceat(val * slope[idx], lead), t - 1)
-                    w, p1, k1 = opened(b)
+                        step(b, np.add.reduceat(val * slope[idx], lead), t - 1, push)
+                    w, p1, k1, q1 = opened(b)
                     est += np.bincount(idx, val * np.repeat(w, size), len(y))
-                    p, k = p + p1, k + k1
+                    p, k, q = p + p1, k + k1, q + q1
                 main, slope = loss_slope(est)
                 news.append((main + penalty * (p + closed[t - first]), k))
                 history.append(news[-1])
@@ -600,7 +610,7 @@ def sparse_gates(
                     break
             else:
                 for b, idx, val, _, lead in parts:
-                    step(b, np.add.reduceat(val * slope[idx], lead), last)
+                    step(b, np.add.reduceat(val * slope[idx], lead), last, pushed(q))
             for name, (b, *_) in zip(names, parts):
                 yield pa.RecordBatch.from_pydict({"col_id": name, "kind": np.zeros(len(name), np.int32)} | b)
             if names:
@@ -612,33 +622,33 @@ def sparse_gates(
     def passes_fit(s: DataFrame, first: int, last: int, before: list, closed: np.ndarray) -> tuple[DataFrame, list]:
         """Open columns where they are, two passes an epoch."""
 
-        def update(slope: np.ndarray, t: int) -> Callable:
+        def update(slope: np.ndarray, t: int, push: float) -> Callable:
             def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for x in batches:
                     at, idx, val = _flat(x)
                     b = {c: x[c].to_numpy(float) for c in _GATE_STATE}
-                    step(b, np.bincount(at, val * slope[idx], len(x)), t)
+                    step(b, np.bincount(at, val * slope[idx], len(x)), t, push)
                     yield x.assign(**b)
 
             return run
 
         def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            est, p, k = np.zeros(len(y)), 0.0, 0
+            est, p, k, q = np.zeros(len(y)), 0.0, 0, 0.0
             for x in batches:
                 at, idx, val = _flat(x)
-                w, p1, k1 = opened({c: x[c].to_numpy(float) for c in _GATE_STATE})
+                w, p1, k1, q1 = opened({c: x[c].to_numpy(float) for c in _GATE_STATE})
                 est += np.bincount(idx, val * w[at], len(y))
-                p, k = p + p1, k + k1
-            yield pd.DataFrame({"pos": np.arange(-2, len(y)), "v": np.concatenate([[float(k), p], est])})
+                p, k, q = p + p1, k + k1, q + q1
+            yield pd.DataFrame({"pos": np.arange(-3, len(y)), "v": np.concatenate([[q, float(k), p], est])})
 
         news, kept = [], []
         for t in range(first, last + 1):
             got = s.mapInPandas(add_up, "pos int, v double").groupBy("pos").agg(F.sum("v").alias("v")).orderBy("pos").toArrow()["v"].to_numpy()  # one number per target
-            main, slope = loss_slope(got[2:])
-            news.append((main + penalty * (got[1] + closed[t - first]), int(got[0])))
+            main, slope = loss_slope(got[3:])
+            news.append((main + penalty * (got[2] + closed[t - first]), int(got[1])))
             if settled([*before, *news]):
                 break
-            s = s.mapInPandas(update(slope, t), s.schema).persist()
+            s = s.mapInPandas(update(slope, t, pushed(got[0])), s.schema).persist()
             kept.append(s)
         state = cut(s.select("col_id", *_GATE_STATE))
         for k in kept:
